@@ -84,17 +84,20 @@ def value_histograms(
     return grouped.select(F.col("window.start").alias("window_start"), "n", *[f"bin_{i}" for i in range(bins)])
 
 
-def value_drift(histograms: DataFrame, baseline: DataFrame, bins: int, alert: float = 0.2, floor: float = 1e-4) -> DataFrame:
-    """PSI of each window's histogram against the static baseline.
+def drift_parts(histograms: DataFrame, baseline: DataFrame, bins: int, floor: float = 1e-4) -> DataFrame:
+    """Each closed window's bins next to the static baseline, with their parts of the PSI.
 
-    The baseline holds one share per bin, joined to the stream as a table of ``bins`` rows.
+    The baseline is joined to the stream as a broadcast table of at most ``bins`` rows.
     """
-    cells = histograms.select(
-        "window_start", "n",
-        F.posexplode(F.array(*[f"bin_{i}" for i in range(bins)])).alias("bin", "in_bin"),
-    )
+    counts = F.array(*[f"bin_{i}" for i in range(bins)])
+    cells = histograms.select("window_start", "n", F.posexplode(counts).alias("bin", "in_bin"))
     joined = cells.join(F.broadcast(baseline), "bin", "left")
     a = F.greatest(F.col("in_bin") / F.col("n"), F.lit(floor))
     e = F.greatest(F.coalesce("base_share", F.lit(0.0)), F.lit(floor))
-    out = joined.groupBy("window_start", "n").agg(F.sum((a - e) * F.ln(a / e)).alias("psi"))
+    return joined.select("window_start", "n", "bin", "in_bin", ((a - e) * F.ln(a / e)).alias("part"))
+
+
+def drift_report(parts: DataFrame, alert: float = 0.2) -> DataFrame:
+    """PSI and alert per window from the table of parts."""
+    out = parts.groupBy("window_start", "n").agg(F.sum("part").alias("psi"))
     return out.select("window_start", "n", F.round("psi", 6).alias("psi"), (F.col("psi") > alert).cast("int").alias("alert"))
