@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WHITESPACE = " \t\n\r\x0b\x0c"
@@ -39,6 +39,30 @@ def ratio(numerator: Column, denominator: Column) -> Column:
     return F.when(denominator > 0, numerator / denominator).otherwise(F.lit(0.0))
 
 
+def null_percent(column: str, digits: int) -> Column:
+    """Aggregate: % of rows on which a column is null."""
+    return rint_to(F.avg(F.col(column).isNull().cast("double")) * 100.0, digits)
+
+
 def rounded(columns: list[str], digits: int = 6) -> dict[str, Column]:
     """``withColumns`` argument that rounds result columns for a report."""
-    return {c: F.round(c, digits) for c in columns}
+    return {c: rint_to(F.col(c), digits) for c in columns}
+
+
+def paired_columns(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:
+    """``(pair, x, y)``: each row once per pair of columns, to aggregate by pair.
+
+    One small grouped aggregate compiles and runs faster than hundreds of aggregate columns.
+    """
+    names = list(dict.fromkeys(c for pair in pairs for c in pair))
+    values = F.array(*[F.col(c).cast("double") for c in names])
+    x, y = (F.array(*[F.lit(names.index(pair[side])) for pair in pairs]) for side in (0, 1))
+    numbered = df.select(values.alias("_values"), F.explode(F.sequence(F.lit(0), F.lit(len(pairs) - 1))).alias("pair"))
+    return numbered.select(
+        "pair", F.get("_values", F.get(x, F.col("pair"))).alias("x"), F.get("_values", F.get(y, F.col("pair"))).alias("y")
+    )
+
+
+def label_of(names: list[str], position: Column) -> Column:
+    """The name at a position."""
+    return F.get(F.array(*[F.lit(n) for n in names]), position)

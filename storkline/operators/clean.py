@@ -121,8 +121,8 @@ def cleaning_counts(df: DataFrame) -> DataFrame:
         return counts
     removed = F.col("rows_in") - F.col("rows_out")
     return counts.withColumn(
-        "removed_pct", F.round(100.0 * removed / F.greatest(F.col("rows_in"), F.lit(1)), 2)
-    ).withColumns({"grams_mean": F.round("grams_mean", 1), "grams_std": F.round("grams_std", 1)})
+        "removed_pct", rint_to(100.0 * removed / F.greatest(F.col("rows_in"), F.lit(1)), 2)
+    ).withColumns({"grams_mean": rint_to(F.col("grams_mean"), 1), "grams_std": rint_to(F.col("grams_std"), 1)})
 
 
 def run_preprocessing(df: DataFrame, observation: Observation | None = None) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from storkline import schema as S
-from storkline.functions.columns import flag
+from storkline.functions.columns import flag, rint_to
 from storkline.functions.counts import quantiles, running_totals, value_counts_long
 from storkline.functions.joins import join_lookup
 from storkline.operators.clean import null_unknown_lmp
@@ -52,7 +52,7 @@ def psi(
     out = cells.select("feature", group, ((a - e) * F.ln(a / e)).alias("part")).groupBy("feature", group).agg(
         F.sum("part").alias("psi")
     )
-    return out.select("feature", group, F.round("psi", digits).alias("psi"), (F.col("psi") > alert).cast("int").alias("alert"))
+    return out.select("feature", group, rint_to(F.col("psi"), digits).alias("psi"), (F.col("psi") > alert).cast("int").alias("alert"))
 
 
 def split_psi(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -74,7 +74,7 @@ def ks_drift(df: DataFrame, columns: list[str], reference: str = "train", others
         return F.col(f"{s}_upto") / F.nullif(F.col(f"{s}_total"), F.lit(0))
 
     wide = ranked.groupBy("feature").agg(*[F.max(F.abs(cdf(reference) - cdf(s))).alias(s) for s in others])
-    return wide.unpivot(["feature"], list(others), "split", "ks").withColumn("ks", F.round("ks", digits))
+    return wide.unpivot(["feature"], list(others), "split", "ks").withColumn("ks", rint_to(F.col("ks"), digits))
 
 
 def prediction_drift(scored: DataFrame, prediction: str = "prediction") -> DataFrame:
@@ -94,7 +94,7 @@ def weighted_prevalence(df: DataFrame, column: str = S.TARGET, weight: str = "re
     return known.agg(
         F.sum(w).cast("long").alias("population"),
         *[
-            F.round(100.0 * F.sum(F.when(c, w).otherwise(0)) / F.sum(w), digits).alias(name)
+            rint_to(100.0 * F.sum(F.when(c, w).otherwise(0)) / F.sum(w), digits).alias(name)
             for name, c in shares.items()
         ],
     )
@@ -141,8 +141,8 @@ def residuals_by_prediction(scored: DataFrame, edges: list[float], digits: int =
     bands = cut(F.col("prediction"), edges, list(range(len(edges) - 1)))
     error = F.col("residual")
     return residuals(scored).groupBy(bands.alias("band")).agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.avg(error), digits).alias("mean"),
-        F.round(F.stddev(error), digits).alias("std"), F.round(F.avg(F.abs(error)), digits).alias("mae"),
+        F.count(F.lit(1)).alias("n"), rint_to(F.avg(error), digits).alias("mean"),
+        rint_to(F.stddev(error), digits).alias("std"), rint_to(F.avg(F.abs(error)), digits).alias("mae"),
     )
 
 
@@ -201,7 +201,7 @@ def retrain_trigger(
     before, after = baseline.select("mae").scalar(), current.select("mae")
     increase = 100.0 * (F.col("mae") - before) / before
     by_error = after.select(
-        F.lit("mae").alias("reason"), F.round(increase, 6).alias("value"),
+        F.lit("mae").alias("reason"), rint_to(increase, 6).alias("value"),
         F.lit(float(max_increase_pct)).alias("bound"), flag(increase > max_increase_pct).cast("int").alias("retrain"),
     )
     by_drift = drift.groupBy("feature").agg(F.max("psi").alias("value")).select(

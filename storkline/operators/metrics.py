@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storkline import schema as S
-from storkline.functions.columns import ratio
+from storkline.functions.columns import ratio, rint_to
 
 REGRESSION = ["mae", "rmse", "r2"]
 CLINICAL = ["lbw_prevalence_pct", "sensitivity", "specificity", "precision", "f1", "n_lbw_true", "n_lbw_pred"]
@@ -19,9 +19,9 @@ def regression_columns(y: str = S.TARGET, p: str = "prediction") -> list[Column]
     left, spread = F.avg(error * error), F.var_pop(truth)
     r2 = F.when(F.min(truth) < F.max(truth), 1.0 - left / F.nullif(spread, F.lit(0.0))).when(left == 0, 1.0).otherwise(0.0)
     return [
-        F.round(F.avg(F.abs(error)), 3).alias("mae"),
-        F.round(F.sqrt(left), 3).alias("rmse"),
-        F.round(r2, 4).alias("r2"),
+        rint_to(F.avg(F.abs(error)), 3).alias("mae"),
+        rint_to(F.sqrt(left), 3).alias("rmse"),
+        rint_to(r2, 4).alias("r2"),
     ]
 
 
@@ -36,11 +36,11 @@ def _clinical_rates() -> dict[str, Column]:
     sensitivity, specificity = ratio(tp, tp + fn), ratio(tn, tn + fp)
     precision = ratio(tp, tp + fp)
     return {
-        "lbw_prevalence_pct": F.round(100.0 * ratio(tp + fn, tp + fn + fp + tn), 2),
-        "sensitivity": F.round(sensitivity, 4),
-        "specificity": F.round(specificity, 4),
-        "precision": F.round(precision, 4),
-        "f1": F.round(ratio(2.0 * precision * sensitivity, precision + sensitivity), 4),
+        "lbw_prevalence_pct": rint_to(100.0 * ratio(tp + fn, tp + fn + fp + tn), 2),
+        "sensitivity": rint_to(sensitivity, 4),
+        "specificity": rint_to(specificity, 4),
+        "precision": rint_to(precision, 4),
+        "f1": rint_to(ratio(2.0 * precision * sensitivity, precision + sensitivity), 4),
         "n_lbw_true": tp + fn,
         "n_lbw_pred": tp + fp,
     }

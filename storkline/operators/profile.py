@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from storkline import schema as S
-from storkline.functions.columns import percent
+from storkline.functions.columns import label_of, null_percent, paired_columns, percent, rint_to
 from storkline.functions.counts import (
     QUARTILES, describe, moments, quantiles, value_counts_long, value_counts_of,
 )
@@ -25,11 +25,6 @@ def _as_double(column: str) -> Column:
     return F.col(column).cast("double")
 
 
-def missing_wide(df: DataFrame, columns: list[str]) -> DataFrame:
-    """One row with the % of nulls of each column."""
-    return df.agg(*[(F.avg(F.col(c).isNull().cast("double")) * 100.0).alias(c) for c in columns])
-
-
 # ---- sizes and files
 
 
@@ -42,7 +37,7 @@ def data_summary(df: DataFrame) -> DataFrame:
     if "year_fix" in df.columns:
         aggregates += [F.min("year_fix").alias("year_min"), F.max("year_fix").alias("year_max")]
     aggregates += [
-        F.round(F.avg(F.col(c).isNull().cast("double")) * 100.0, 2).alias(f"missing_{c}") for c in df.columns
+        null_percent(c, 2).alias(f"missing_{c}") for c in df.columns
     ]
     return df.agg(*aggregates)
 
@@ -61,7 +56,7 @@ def file_row_share(df: DataFrame, expected_files: int | None = None) -> DataFram
     per_file = df.groupBy("source_file").agg(F.count(F.lit(1)).alias("row_count"))
     # windows over one row per file
     total = F.sum("row_count").over(Window.partitionBy())
-    share = F.round(F.col("row_count") * 100.0 / total, 1)
+    share = rint_to(F.col("row_count") / total * 100.0, 1)
     if expected_files is not None:
         files = F.count(F.lit(1)).over(Window.partitionBy())
         error = F.raise_error(F.concat(F.lit(f"expected {expected_files} files, found "), files.cast("string")))
@@ -76,7 +71,7 @@ def describe_numeric(df: DataFrame, columns: list[str], digits: int = 3) -> Data
     """Count, mean, deviation, range and exact quartiles of each column."""
     stats = describe(value_counts_long(df, columns), ["feature"])
     shown = ["mean", "std", "min", "q1", "median", "q3", "max"]
-    return stats.select("feature", "n", *[F.round(c, digits).alias(c) for c in shown])
+    return stats.select("feature", "n", *[rint_to(F.col(c), digits).alias(c) for c in shown])
 
 
 def bias_corrected(n: Column, skew: Column, kurtosis: Column) -> tuple[Column, Column]:
@@ -104,7 +99,7 @@ def target_stats(df: DataFrame, column: str = S.TARGET, digits: int = 6) -> Data
         "mean": F.col("mean"), "median": levels[0], "std": F.col("std"), "min": F.col("min"),
         "max": F.col("max"), "q1": levels[1], "q3": levels[2], "skew": skew, "kurtosis": kurtosis,
     }
-    return sums.select("n", *[F.round(c, digits).alias(name) for name, c in shown.items()])
+    return sums.select("n", *[rint_to(c, digits).alias(name) for name, c in shown.items()])
 
 
 def category_prevalence(df: DataFrame, column: str = S.TARGET) -> DataFrame:
@@ -117,7 +112,7 @@ def category_prevalence(df: DataFrame, column: str = S.TARGET) -> DataFrame:
         "normal_pct": grams.between(S.LBW_GRAMS, S.MACROSOMIA_GRAMS),
         "macrosomia_pct": grams > S.MACROSOMIA_GRAMS,
     }
-    return known.agg(*[F.round(percent(c), 2).alias(name) for name, c in shares.items()])
+    return known.agg(*[rint_to(percent(c), 2).alias(name) for name, c in shares.items()])
 
 
 def category_counts(df: DataFrame, column: str = S.TARGET) -> DataFrame:
@@ -131,7 +126,7 @@ def category_counts(df: DataFrame, column: str = S.TARGET) -> DataFrame:
     return wide.select(F.inline(F.array(*[
         F.struct(
             F.lit(i).alias("position"), F.lit(name).alias("category"), F.col(name).alias("n"),
-            F.round(F.col(name) * 100.0 / total, 1).alias("pct"),
+            rint_to(F.col(name) / total * 100.0, 1).alias("pct"),
         )
         for i, name in enumerate(S.WEIGHT_CATEGORIES)
     ])))
@@ -143,7 +138,7 @@ def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def lbw_rate(df: DataFrame, column: str = S.TARGET, threshold: float = S.LBW_GRAMS) -> DataFrame:
-    return df.agg(F.round(percent(F.col(column) < threshold), 2).alias("lbw_pct"))
+    return df.agg(rint_to(percent(F.col(column) < threshold), 2).alias("lbw_pct"))
 
 
 # ---- missing values
@@ -155,7 +150,7 @@ def missing_pct(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     wide = df.agg(*[F.struct(
         F.lit(c).alias("feature"),
         F.count(F.when(F.col(c).isNull(), 1)).alias("missing_count"),
-        F.round(F.avg(F.col(c).isNull().cast("double")) * 100.0, 2).alias("missing_pct"),
+        null_percent(c, 2).alias("missing_pct"),
     ).alias(c) for c in columns])
     long = wide.select(F.inline(F.array(*columns)))
     return long.filter("missing_count > 0").orderBy(F.desc("missing_count"), "feature")
@@ -164,7 +159,7 @@ def missing_pct(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 def missing_by_file(df: DataFrame, columns: list[str] = S.KEY_MISSING_COLUMNS) -> DataFrame:
     present = [c for c in columns if c in df.columns]
     return df.groupBy("source_file").agg(*[
-        F.round(F.avg(F.col(c).isNull().cast("double")) * 100.0, 1).alias(c) for c in present
+        null_percent(c, 1).alias(c) for c in present
     ])
 
 
@@ -180,7 +175,7 @@ def completeness(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     columns = columns or df.columns
     wide = df.agg(*[F.struct(
         F.lit(c).alias("feature"), F.count(c).alias("known"),
-        F.round(F.avg(F.col(c).isNotNull().cast("double")) * 100.0, 2).alias("known_pct"),
+        rint_to(F.avg(F.col(c).isNotNull().cast("double")) * 100.0, 2).alias("known_pct"),
     ).alias(c) for c in columns])
     return wide.select(F.inline(F.array(*columns)))
 
@@ -191,7 +186,7 @@ def schema_profile(df: DataFrame, columns: list[str] | None = None, sample: bool
     types = dict(df.dtypes)
     wide = df.agg(*[F.struct(
         F.lit(c).alias("feature"), F.lit(types[c]).alias("dtype"),
-        F.round(F.avg(F.col(c).isNull().cast("double")) * 100.0, 1).alias("null_pct"),
+        null_percent(c, 1).alias("null_pct"),
         *([F.first(c).cast("string").alias("sample_value")] if sample else []),
     ).alias(c) for c in columns])
     return wide.select(F.inline(F.array(*columns)))
@@ -203,16 +198,17 @@ def schema_profile(df: DataFrame, columns: list[str] | None = None, sample: bool
 def corr_matrix(df: DataFrame, columns: list[str] = S.CORRELATION_COLUMNS, digits: int = 6) -> DataFrame:
     """Pearson correlation of every pair in one pass; a pair with a null on either side is left out."""
     pairs = list(combinations(columns, 2))
-    wide = df.agg(*[F.corr(_as_double(a), _as_double(b)).alias(f"{a}|{b}") for a, b in pairs])
-    return wide.select(F.inline(F.array(*[
-        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.round(F.col(f"{a}|{b}"), digits).alias("r"))
-        for a, b in pairs
-    ])))
+    r = paired_columns(df, pairs).groupBy("pair").agg(F.corr("x", "y").alias("r"))
+    return r.select(
+        label_of([a for a, _ in pairs], F.col("pair")).alias("a"),
+        label_of([b for _, b in pairs], F.col("pair")).alias("b"),
+        rint_to(F.col("r"), digits).alias("r"),
+    )
 
 
 def corr_with(df: DataFrame, columns: list[str], target: str = S.TARGET) -> DataFrame:
-    wide = df.agg(*[F.corr(_as_double(c), _as_double(target)).alias(c) for c in columns])
-    return wide.unpivot([], list(columns), "feature", "r")
+    r = paired_columns(df, [(c, target) for c in columns]).groupBy("pair").agg(F.corr("x", "y").alias("r"))
+    return r.select(label_of(columns, F.col("pair")).alias("feature"), "r")
 
 
 def corr_ranked(
@@ -226,37 +222,37 @@ def corr_ranked(
     ranked = ranked.orderBy(F.abs("r").desc(), "feature")
     if k is not None:
         ranked = ranked.limit(k)
-    return ranked.withColumn("r", F.round("r", digits))
+    return ranked.withColumn("r", rint_to(F.col("r"), digits))
 
 
 def leakage_corr(df: DataFrame, digits: int = 6) -> DataFrame:
     """Correlation of the post-birth scores with the weight on raw rows."""
     grams = df.withColumn("_grams", F.col("weight_pounds") * S.GRAMS_PER_POUND)
     present = [c for c in S.APGAR_COLUMNS if c in df.columns]
-    return corr_with(grams, present, "_grams").withColumn("r", F.round("r", digits))
+    return corr_with(grams, present, "_grams").withColumn("r", rint_to(F.col("r"), digits))
 
 
 def point_biserial(df: DataFrame, flags: list[str], target: str = S.TARGET, digits: int = 6) -> DataFrame:
     """Correlation of 0/1 flags with the target and the mean target on both sides."""
     y = _as_double(target)
     wide = df.agg(*[F.struct(
-        F.lit(c).alias("feature"), F.round(F.corr(_as_double(c), y), digits).alias("r"),
-        F.round(F.avg(F.when(F.col(c) == 0, y)), digits).alias("mean_0"),
-        F.round(F.avg(F.when(F.col(c) == 1, y)), digits).alias("mean_1"),
+        F.lit(c).alias("feature"), rint_to(F.corr(_as_double(c), y), digits).alias("r"),
+        rint_to(F.avg(F.when(F.col(c) == 0, y)), digits).alias("mean_0"),
+        rint_to(F.avg(F.when(F.col(c) == 1, y)), digits).alias("mean_1"),
     ).alias(c) for c in flags])
     return wide.select(F.inline(F.array(*flags)))
 
 
 def trend_line(df: DataFrame, columns: list[str], target: str = S.TARGET, digits: int = 6) -> DataFrame:
     """Least-squares line of the target on each column over rows where both are known."""
-    y = _as_double(target)
-    wide = df.agg(*[F.struct(
-        F.lit(c).alias("feature"),
-        F.round(F.regr_slope(y, _as_double(c)), digits).alias("slope"),
-        F.round(F.regr_intercept(y, _as_double(c)), digits).alias("intercept"),
-        F.regr_count(y, _as_double(c)).alias("n"),
-    ).alias(c) for c in columns])
-    return wide.select(F.inline(F.array(*columns)))
+    lines = paired_columns(df, [(c, target) for c in columns]).groupBy("pair").agg(
+        F.regr_slope("y", "x").alias("slope"), F.regr_intercept("y", "x").alias("intercept"),
+        F.regr_count("y", "x").alias("n"),
+    )
+    return lines.select(
+        label_of(columns, F.col("pair")).alias("feature"),
+        rint_to(F.col("slope"), digits).alias("slope"), rint_to(F.col("intercept"), digits).alias("intercept"), "n",
+    )
 
 
 # ---- distributions
@@ -278,7 +274,7 @@ def yearly_trend(df: DataFrame, target: str = S.TARGET, digits: int = 6) -> Data
     median = quantiles(counts, ["year_fix"], {"median": 0.5})
     joined = stats.join(rates, "year_fix").join(median, "year_fix")
     shown = ["mean", "median", "std", "lbw_pct", "preterm_pct"]
-    return joined.select("year_fix", "n", *[F.round(c, digits).alias(c) for c in shown])
+    return joined.select("year_fix", "n", *[rint_to(F.col(c), digits).alias(c) for c in shown])
 
 
 def histogram(df: DataFrame, columns: list[str], bins: int = 80, digits: int = 9) -> DataFrame:
@@ -308,10 +304,10 @@ def histogram(df: DataFrame, columns: list[str], bins: int = 80, digits: int = 9
     n = F.coalesce("n", F.lit(0).cast("long"))
     return out.select(
         "feature", "bin",
-        F.round(low + F.col("bin") * width, digits).alias("bin_low"),
-        F.round(low + (F.col("bin") + 1) * width, digits).alias("bin_high"),
+        rint_to(low + F.col("bin") * width, digits).alias("bin_low"),
+        rint_to(low + (F.col("bin") + 1) * width, digits).alias("bin_high"),
         n.alias("n"),
-        F.round(n / (F.col("total") * width), digits).alias("density"),
+        rint_to(n / (F.col("total") * width), digits).alias("density"),
     )
 
 
@@ -345,8 +341,8 @@ def kde(
         F.sum(F.col("n") * F.exp(-0.5 * z * z)).alias("weight")
     )
     return out.select(
-        *([group] if key else []), "point", F.round("x", 6).alias("x"),
-        F.round(F.col("weight") / F.col("scale"), digits).alias("density"),
+        *([group] if key else []), "point", rint_to(F.col("x"), 6).alias("x"),
+        rint_to(F.col("weight") / F.col("scale"), digits).alias("density"),
     )
 
 
@@ -370,7 +366,7 @@ def box_stats(df: DataFrame, columns: list[str], key: str, digits: int = 6) -> D
         "whisker_low": F.least("low_in", "q1"), "whisker_high": F.greatest("high_in", "q3"),
         "notch_low": F.col("median") - notch, "notch_high": F.col("median") + notch,
     }
-    return stats.select(*keys, "n", "outliers", *[F.round(c, digits).alias(name) for name, c in shown.items()])
+    return stats.select(*keys, "n", "outliers", *[rint_to(c, digits).alias(name) for name, c in shown.items()])
 
 
 def qq_points(df: DataFrame, key: str, column: str = S.TARGET, n: int = 5000, seed: int = 42) -> DataFrame:
@@ -390,9 +386,9 @@ def qq_points(df: DataFrame, key: str, column: str = S.TARGET, n: int = 5000, se
 def qq_line(points: DataFrame, digits: int = 6) -> DataFrame:
     """Line fitted through Q-Q points, and their correlation."""
     return points.agg(
-        F.round(F.regr_slope("ordered", "theoretical"), digits).alias("slope"),
-        F.round(F.regr_intercept("ordered", "theoretical"), digits).alias("intercept"),
-        F.round(F.corr("ordered", "theoretical"), digits).alias("r"),
+        rint_to(F.regr_slope("ordered", "theoretical"), digits).alias("slope"),
+        rint_to(F.regr_intercept("ordered", "theoretical"), digits).alias("intercept"),
+        rint_to(F.corr("ordered", "theoretical"), digits).alias("r"),
     )
 
 

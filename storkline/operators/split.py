@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storkline import schema as S
+from storkline.functions.columns import null_percent, rint_to
 
 log = logging.getLogger(__name__)
 
@@ -68,14 +69,14 @@ def split_info(df: DataFrame, target: str | None = None) -> DataFrame:
         fields = [
             F.lit(split).alias("split"),
             F.col(f"{split}_rows").alias("n_rows"),
-            F.round(100.0 * F.col(f"{split}_rows") / F.greatest("total", F.lit(1)), 1).alias("pct"),
+            rint_to(100.0 * F.col(f"{split}_rows") / F.greatest("total", F.lit(1)), 1).alias("pct"),
             F.col(f"{split}_min").alias("year_min"),
             F.col(f"{split}_max").alias("year_max"),
         ]
         if target:
             low = F.when(inside, F.coalesce(F.col(target) < S.LBW_GRAMS, F.lit(False)).cast("double"))
             aggregates.append(F.avg(low).alias(f"{split}_lbw"))
-            fields.append(F.round(100.0 * F.col(f"{split}_lbw"), 2).alias("lbw_pct"))
+            fields.append(rint_to(100.0 * F.col(f"{split}_lbw"), 2).alias("lbw_pct"))
         rows.append(F.struct(*fields))
     return df.agg(*aggregates).select(F.inline(F.array(*rows)))
 
@@ -122,11 +123,9 @@ def model_matrix(
 
 def feature_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Name, type and % missing of each feature, from one aggregate row."""
-    from storkline.operators.profile import missing_wide
-
     columns = columns or feature_columns(df)
     types = dict(df.dtypes)
-    wide = missing_wide(df, columns)
+    wide = df.agg(*[null_percent(c, 1).alias(c) for c in columns])
     out = wide.unpivot([], columns, "feature", "missing_pct")
     dtype = F.create_map(*[F.lit(x) for c in columns for x in (c, types[c])])
-    return out.select("feature", dtype[F.col("feature")].alias("dtype"), F.round("missing_pct", 1).alias("missing_pct"))
+    return out.select("feature", dtype[F.col("feature")].alias("dtype"), "missing_pct")

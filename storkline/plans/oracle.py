@@ -87,9 +87,9 @@ def rows_of(template: str, names) -> str:
     return each(template, names, "\nUNION ALL ")
 
 
-METRICS = """round(avg(abs(weight_grams - prediction)), 3) AS mae,
-  round(sqrt(avg((weight_grams - prediction) ** 2)), 3) AS rmse,
-  round(1 - avg((weight_grams - prediction) ** 2) / var_pop(weight_grams), 4) AS r2"""
+METRICS = """round_even((avg(abs(weight_grams - prediction))) * 1000e0, 0) / 1000e0 AS mae,
+  round_even((sqrt(avg((weight_grams - prediction) ** 2))) * 1000e0, 0) / 1000e0 AS rmse,
+  round_even((1 - avg((weight_grams - prediction) ** 2) / var_pop(weight_grams)) * 10000e0, 0) / 10000e0 AS r2"""
 
 
 def clinical(threshold: float, keys: str = "", table: str = "scored") -> tuple[str, str]:
@@ -98,11 +98,11 @@ def clinical(threshold: float, keys: str = "", table: str = "scored") -> tuple[s
   count(*) FILTER (weight_grams < {threshold} AND prediction >= {threshold}) AS fn,
   count(*) FILTER (weight_grams >= {threshold} AND prediction < {threshold}) AS fp,
   count(*) FILTER (weight_grams >= {threshold} AND prediction >= {threshold}) AS tn"""
-    rates = """round(100e0 * (tp + fn) / (tp + fn + fp + tn), 2) AS lbw_prevalence_pct,
-  round(CASE WHEN tp + fn > 0 THEN tp * 1e0 / (tp + fn) ELSE 0 END, 4) AS sensitivity,
-  round(CASE WHEN tn + fp > 0 THEN tn * 1e0 / (tn + fp) ELSE 0 END, 4) AS specificity,
-  round(CASE WHEN tp + fp > 0 THEN tp * 1e0 / (tp + fp) ELSE 0 END, 4) AS precision,
-  round(CASE WHEN tp > 0 THEN 2e0 * tp / (2 * tp + fp + fn) ELSE 0 END, 4) AS f1,
+    rates = """round_even((100e0 * (tp + fn) / (tp + fn + fp + tn)) * 100e0, 0) / 100e0 AS lbw_prevalence_pct,
+  round_even((CASE WHEN tp + fn > 0 THEN tp * 1e0 / (tp + fn) ELSE 0 END) * 10000e0, 0) / 10000e0 AS sensitivity,
+  round_even((CASE WHEN tn + fp > 0 THEN tn * 1e0 / (tn + fp) ELSE 0 END) * 10000e0, 0) / 10000e0 AS specificity,
+  round_even((CASE WHEN tp + fp > 0 THEN tp * 1e0 / (tp + fp) ELSE 0 END) * 10000e0, 0) / 10000e0 AS precision,
+  round_even((CASE WHEN tp > 0 THEN 2e0 * tp / (2 * tp + fp + fn) ELSE 0 END) * 10000e0, 0) / 10000e0 AS f1,
   tp + fn AS n_lbw_true, tp + fp AS n_lbw_pred"""
     return cells, rates
 
@@ -130,8 +130,8 @@ def key_hash(key: str) -> str:
 def histogram(table: str, columns, bins: int) -> str:
     return sql(
         table,
-        f"""SELECT g.feature, g.bin, round(low + g.bin * width, 9) AS bin_low, round(low + (g.bin + 1) * width, 9) AS bin_high,
-  CAST(coalesce(n, 0) AS BIGINT) AS n, round(coalesce(n, 0) / (total * width), 9) AS density
+        f"""SELECT g.feature, g.bin, round_even((low + g.bin * width) * 1000000000e0, 0) / 1000000000e0 AS bin_low, round_even((low + (g.bin + 1) * width) * 1000000000e0, 0) / 1000000000e0 AS bin_high,
+  CAST(coalesce(n, 0) AS BIGINT) AS n, round_even((coalesce(n, 0) / (total * width)) * 1000000000e0, 0) / 1000000000e0 AS density
 FROM grid g LEFT JOIN filled f ON g.feature = f.feature AND g.bin = f.bin""",
         f"long AS ({long_of(table, columns)})",
         f"""ranges AS (SELECT feature, min(value) AS low, (max(value) - min(value)) / {bins} AS width, count(value) AS total
@@ -151,7 +151,7 @@ def kde(table: str, key: str | None, points: int) -> str:
     shown = f"c.k AS {key}, " if key else ""
     return sql(
         table,
-        f"""SELECT {shown}point, round(x, 6) AS x, round(sum(c.n * exp(-0.5e0 * ((x - v) / h) ** 2)) / (total * h * sqrt(2e0 * pi())), 9) AS density
+        f"""SELECT {shown}point, round_even((x) * 1000000e0, 0) / 1000000e0 AS x, round_even((sum(c.n * exp(-0.5e0 * ((x - v) / h) ** 2)) / (total * h * sqrt(2e0 * pi()))) * 1000000000e0, 0) / 1000000000e0 AS density
 FROM counts c JOIN grid g ON c.k = g.k GROUP BY c.k, point, x, total, h""",
         f"counts AS (SELECT {k} AS k, weight_grams AS v, count(*) AS n FROM {table} GROUP BY 1, 2)",
         f"""stats AS (SELECT {k} AS k, count(*) AS total, stddev_samp(weight_grams) * count(*) ** (-0.2e0) AS h,
@@ -166,11 +166,11 @@ def boxes(table: str, columns, key: str, more: tuple[str, ...] = ()) -> str:
         "clean",
         f"""SELECT b.{key}, b.feature, count(*) AS n,
   CAST(count(*) FILTER (NOT (value BETWEEN q1 - 1.5e0 * (q3 - q1) AND q3 + 1.5e0 * (q3 - q1))) AS BIGINT) AS outliers,
-  round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3,
-  round(least(q1, min(value) FILTER (value >= q1 - 1.5e0 * (q3 - q1))), 6) AS whisker_low,
-  round(greatest(q3, max(value) FILTER (value <= q3 + 1.5e0 * (q3 - q1))), 6) AS whisker_high,
-  round(median - 1.57e0 * (q3 - q1) / sqrt(count(*)), 6) AS notch_low,
-  round(median + 1.57e0 * (q3 - q1) / sqrt(count(*)), 6) AS notch_high
+  round_even((q1) * 1000000e0, 0) / 1000000e0 AS q1, round_even((median) * 1000000e0, 0) / 1000000e0 AS median, round_even((q3) * 1000000e0, 0) / 1000000e0 AS q3,
+  round_even((least(q1, min(value) FILTER (value >= q1 - 1.5e0 * (q3 - q1)))) * 1000000e0, 0) / 1000000e0 AS whisker_low,
+  round_even((greatest(q3, max(value) FILTER (value <= q3 + 1.5e0 * (q3 - q1)))) * 1000000e0, 0) / 1000000e0 AS whisker_high,
+  round_even((median - 1.57e0 * (q3 - q1) / sqrt(count(*))) * 1000000e0, 0) / 1000000e0 AS notch_low,
+  round_even((median + 1.57e0 * (q3 - q1) / sqrt(count(*))) * 1000000e0, 0) / 1000000e0 AS notch_high
 FROM long l JOIN box b ON l.{key} = b.{key} AND l.feature = b.feature
 GROUP BY b.{key}, b.feature, q1, median, q3""",
         *more,
@@ -180,16 +180,16 @@ GROUP BY b.{key}, b.feature, q1, median, q3""",
     )
 
 
-DESCRIBE = """SELECT feature, count(value) AS n, round(avg(value), 3) AS mean, round(stddev_samp(value), 3) AS std,
-  round(min(value), 3) AS min, round(quantile_cont(value, 0.25), 3) AS q1, round(quantile_cont(value, 0.5), 3) AS median,
-  round(quantile_cont(value, 0.75), 3) AS q3, round(max(value), 3) AS max FROM long GROUP BY feature"""
+DESCRIBE = """SELECT feature, count(value) AS n, round_even((avg(value)) * 1000e0, 0) / 1000e0 AS mean, round_even((stddev_samp(value)) * 1000e0, 0) / 1000e0 AS std,
+  round_even((min(value)) * 1000e0, 0) / 1000e0 AS min, round_even((quantile_cont(value, 0.25)) * 1000e0, 0) / 1000e0 AS q1, round_even((quantile_cont(value, 0.5)) * 1000e0, 0) / 1000e0 AS median,
+  round_even((quantile_cont(value, 0.75)) * 1000e0, 0) / 1000e0 AS q3, round_even((max(value)) * 1000e0, 0) / 1000e0 AS max FROM long GROUP BY feature"""
 
 
 def shape(column: str, table: str) -> str:
-    return f"""SELECT count({column}) AS n, round(avg({column}), 6) AS mean, round(median({column}), 6) AS median,
-  round(stddev_samp({column}), 6) AS std, round(min({column}), 6) AS min, round(max({column}), 6) AS max,
-  round(quantile_cont({column}, 0.25), 6) AS q1, round(quantile_cont({column}, 0.75), 6) AS q3,
-  round(skewness({column}), 6) AS skew, round(kurtosis({column}), 6) AS kurtosis FROM {table}"""
+    return f"""SELECT count({column}) AS n, round_even((avg({column})) * 1000000e0, 0) / 1000000e0 AS mean, round_even((median({column})) * 1000000e0, 0) / 1000000e0 AS median,
+  round_even((stddev_samp({column})) * 1000000e0, 0) / 1000000e0 AS std, round_even((min({column})) * 1000000e0, 0) / 1000000e0 AS min, round_even((max({column})) * 1000000e0, 0) / 1000000e0 AS max,
+  round_even((quantile_cont({column}, 0.25)) * 1000000e0, 0) / 1000000e0 AS q1, round_even((quantile_cont({column}, 0.75)) * 1000000e0, 0) / 1000000e0 AS q3,
+  round_even((skewness({column})) * 1000000e0, 0) / 1000000e0 AS skew, round_even((kurtosis({column})) * 1000000e0, 0) / 1000000e0 AS kurtosis FROM {table}"""
 
 
 def psi_ctes(long: str, group: str, reference: str, bins: int = 10) -> list[str]:
@@ -197,15 +197,17 @@ def psi_ctes(long: str, group: str, reference: str, bins: int = 10) -> list[str]
     steps = ", ".join(f"{i / bins}" for i in range(1, bins))
     return [
         f"long AS ({long})",
-        f"edges AS (SELECT feature, list_distinct(quantile_cont(value, [{steps}])) AS e FROM long WHERE {reference} AND value IS NOT NULL GROUP BY feature)",
-        """binned AS (SELECT grp, l.feature, ref, len(list_filter(e, x -> x < value)) AS bin, count(*) AS n
-  FROM long l JOIN edges USING (feature) WHERE value IS NOT NULL GROUP BY ALL)""",
+        f"edges AS (SELECT feature, quantile_cont(value, [{steps}]) AS e FROM long WHERE {reference} AND value IS NOT NULL GROUP BY feature)",
+        "marks AS (SELECT DISTINCT feature, unnest(e) AS x FROM edges)",
+        "counted AS (SELECT grp, feature, ref, value, count(*) AS n FROM long WHERE value IS NOT NULL GROUP BY ALL)",
+        "placed AS (SELECT c.grp, c.feature, c.ref, c.value, c.n, count(m.x) AS bin FROM counted c LEFT JOIN marks m ON m.feature = c.feature AND m.x < c.value GROUP BY ALL)",
+        "binned AS (SELECT grp, feature, ref, bin, sum(n) AS n FROM placed GROUP BY ALL)",
         "expected AS (SELECT feature, bin, sum(n) FILTER (ref) / sum(sum(n) FILTER (ref)) OVER (PARTITION BY feature) AS e FROM binned GROUP BY feature, bin)",
         "sizes AS (SELECT grp, feature, sum(n) AS total FROM binned GROUP BY grp, feature)",
         "actual AS (SELECT grp, feature, bin, sum(n) AS n FROM binned GROUP BY grp, feature, bin)",
         f"""parts AS (SELECT s.grp, s.feature, greatest(coalesce(x.e, 0), 0.0001e0) AS e, greatest(coalesce(a.n, 0) / s.total, 0.0001e0) AS a
   FROM sizes s JOIN expected x ON s.feature = x.feature LEFT JOIN actual a ON a.grp = s.grp AND a.feature = s.feature AND a.bin = x.bin)""",
-        f"psi AS (SELECT feature, grp AS {group}, round(sum((a - e) * ln(a / e)), 6) AS psi, CAST(sum((a - e) * ln(a / e)) > 0.2 AS INT) AS alert FROM parts GROUP BY feature, grp)",
+        f"psi AS (SELECT feature, grp AS {group}, round_even((sum((a - e) * ln(a / e))) * 1000000e0, 0) / 1000000e0 AS psi, CAST(sum((a - e) * ln(a / e)) > 0.2 AS INT) AS alert FROM parts GROUP BY feature, grp)",
     ]
 
 
@@ -214,7 +216,7 @@ def split_long(columns) -> str:
 
 
 def nulls(columns, digits: int) -> str:
-    return each(f"round(avg(CASE WHEN @ IS NULL THEN 100e0 ELSE 0e0 END), {digits}) AS @", columns)
+    return each(f"round_even((avg(CASE WHEN @ IS NULL THEN 1e0 ELSE 0e0 END) * 100e0) * {10 ** digits}e0, 0) / {10 ** digits}e0 AS @", columns)
 
 
 def expectations() -> str:
@@ -262,16 +264,16 @@ RANKED_COLUMNS = S.CORRELATION_COLUMNS[1:]
 
 def ranked(columns, where: str = "r IS NOT NULL", limit: int = 15) -> str:
     rows = rows_of("SELECT '@' AS feature, corr(CAST(@ AS DOUBLE), weight_grams) AS r FROM features", columns)
-    return sql("features", f"SELECT feature, round(r, 6) AS r FROM ({rows}) WHERE {where} ORDER BY abs(r) DESC, feature LIMIT {limit}")
+    return sql("features", f"SELECT feature, round_even((r) * 1000000e0, 0) / 1000000e0 AS r FROM ({rows}) WHERE {where} ORDER BY abs(r) DESC, feature LIMIT {limit}")
 
 
 LINES = rows_of(
-    "SELECT '@' AS model, round(avg(abs(weight_grams - (a + b * @))), 3) AS val_mae FROM split, "
-    "(SELECT round(regr_slope(weight_grams, @), 9) AS b, round(regr_intercept(weight_grams, @), 9) AS a FROM split WHERE split = 'train') "
+    "SELECT '@' AS model, round_even((avg(abs(weight_grams - (a + b * @)))) * 1000e0, 0) / 1000e0 AS val_mae FROM split, "
+    "(SELECT round_even((regr_slope(weight_grams, @)) * 1000000000e0, 0) / 1000000000e0 AS b, round_even((regr_intercept(weight_grams, @)) * 1000000000e0, 0) / 1000000000e0 AS a FROM split WHERE split = 'train') "
     "WHERE split = 'val' AND @ IS NOT NULL",
     S.NUMERIC_FEATURES,
 )
-SPLIT_ROWS = """SELECT split, count(*) AS n_rows, round(100e0 * count(*) / (SELECT count(*) FROM split), 1) AS pct,
+SPLIT_ROWS = """SELECT split, count(*) AS n_rows, round_even((100e0 * count(*) / (SELECT count(*) FROM split)) * 10e0, 0) / 10e0 AS pct,
   min(year_fix) AS year_min, max(year_fix) AS year_max"""
 SUBGROUPS = {
     "sex": "is_male", "age_group": "mother_age_group",
@@ -291,13 +293,13 @@ def oracle_sql() -> dict[str, str]:
     bins = 10
     value_bin = f"CAST(greatest(0, least({bins - 1}, floor(value * {bins} / 200e0))) AS INT)"
     out = {
-        "split_summary": sql("split", SPLIT_ROWS + ", round(100 * avg(CAST(weight_grams < 2500 AS INT)), 2) AS lbw_pct FROM split GROUP BY split"),
+        "split_summary": sql("split", SPLIT_ROWS + ", round_even((100 * avg(CAST(weight_grams < 2500 AS INT))) * 100e0, 0) / 100e0 AS lbw_pct FROM split GROUP BY split"),
         "tag_source_year": sql("births", "SELECT birth_id, source_file, CAST(right(source_file, 4) AS INT) AS source_year FROM births"),
         "load_all": sql("births", f"""SELECT source_file, count(*) AS n_rows, min(source_year) AS source_year,
-  {each('count(@) AS known_@', S.RAW_COLUMNS)}, round(sum(weight_pounds), 4) AS sum_weight_pounds,
-  round(sum(gestation_weeks), 4) AS sum_gestation_weeks, CAST(sum(length(lmp)) AS BIGINT) AS lmp_chars FROM births GROUP BY source_file"""),
+  {each('count(@) AS known_@', S.RAW_COLUMNS)}, round_even((sum(weight_pounds)) * 10000e0, 0) / 10000e0 AS sum_weight_pounds,
+  round_even((sum(gestation_weeks)) * 10000e0, 0) / 10000e0 AS sum_gestation_weeks, CAST(sum(length(lmp)) AS BIGINT) AS lmp_chars FROM births GROUP BY source_file"""),
         "read_pruned": sql("split", f"""SELECT count(*) AS n_rows, {each('count(@) AS known_@', S.MODEL_FEATURES)},
-  round(avg(CAST(CAST(weight_grams AS FLOAT) AS DOUBLE)), 3) AS mean_grams, round(avg(gestation_weeks), 6) AS mean_gestation
+  round_even((avg(CAST(CAST(weight_grams AS FLOAT) AS DOUBLE))) * 1000e0, 0) / 1000e0 AS mean_grams, round_even((avg(gestation_weeks)) * 1000000e0, 0) / 1000000e0 AS mean_gestation
   FROM split WHERE split = 'val'"""),
         # cleaning
         "drop_leakage": sql("births", "SELECT * EXCLUDE (apgar_1min, apgar_5min, day) FROM births"),
@@ -310,7 +312,7 @@ def oracle_sql() -> dict[str, str]:
         "convert_target": sql("births", "SELECT birth_id, weight_pounds, round_even(weight_pounds * 453.592e0 * 10e0, 0) / 10e0 AS weight_grams FROM births"),
         "drop_invalid_target": sql("births", "SELECT birth_id, weight_pounds FROM births WHERE weight_pounds BETWEEN 0.66e0 AND 15.43e0"),
         "run_preprocessing": sql("clean", "SELECT * FROM clean"),
-        "cleaning_counts": sql("births", """SELECT *, round(100e0 * (rows_in - rows_out) / rows_in, 2) AS removed_pct FROM (SELECT count(*) AS rows_in,
+        "cleaning_counts": sql("births", """SELECT *, round_even((100e0 * (rows_in - rows_out) / rows_in) * 100e0, 0) / 100e0 AS removed_pct FROM (SELECT count(*) AS rows_in,
   count(*) FILTER (father_age = 99) AS father_age_sentinels, count(*) FILTER (gestation_weeks = 99) AS gestation_weeks_sentinels,
   count(*) FILTER (plurality = 0) AS plurality_sentinels, count(*) FILTER (lmp IS NULL OR lmp IN ('99', '9999')) AS lmp_unknown,
   count(*) FILTER (gestation_weeks <> 99 AND gestation_weeks NOT BETWEEN 20 AND 44) AS gestation_weeks_capped,
@@ -318,8 +320,8 @@ def oracle_sql() -> dict[str, str]:
   count(*) FILTER (weight_pounds NOT BETWEEN 0.66e0 AND 15.43e0) AS weight_outliers,
   count(*) FILTER (weight_pounds IS NULL) AS weight_missing,
   count(*) FILTER (weight_pounds BETWEEN 0.66e0 AND 15.43e0) AS rows_out,
-  round(avg(round_even(weight_pounds * 453.592e0 * 10e0, 0) / 10e0), 1) AS grams_mean,
-  round(stddev_samp(round_even(weight_pounds * 453.592e0 * 10e0, 0) / 10e0), 1) AS grams_std FROM births)"""),
+  round_even((avg(round_even(weight_pounds * 453.592e0 * 10e0, 0) / 10e0)) * 10e0, 0) / 10e0 AS grams_mean,
+  round_even((stddev_samp(round_even(weight_pounds * 453.592e0 * 10e0, 0) / 10e0)) * 10e0, 0) / 10e0 AS grams_std FROM births)"""),
         "filter_by_value": sql("clean", "SELECT birth_id, is_male, weight_grams FROM clean WHERE is_male = 1"),
         # features
         "weight_gain_kg": sql("features", "SELECT birth_id, weight_gain_pounds, weight_gain_kg FROM features"),
@@ -340,36 +342,36 @@ def oracle_sql() -> dict[str, str]:
         "split_info": sql("split", SPLIT_ROWS + " FROM split GROUP BY split"),
         "get_xy": sql("split", f"SELECT {', '.join(feature_columns)}, weight_grams FROM split WHERE split = 'test'"),
         "model_matrix": sql("split", "SELECT birth_id, split, " + each("CAST(@ AS DOUBLE) AS @", S.MODEL_FEATURES) + ", weight_grams FROM split"),
-        "feature_profile": sql("features", rows_of("SELECT '@' AS feature, round(avg(CASE WHEN @ IS NULL THEN 100e0 ELSE 0e0 END), 1) AS missing_pct FROM features", feature_columns)),
+        "feature_profile": sql("features", rows_of("SELECT '@' AS feature, round_even((avg(CASE WHEN @ IS NULL THEN 1e0 ELSE 0e0 END) * 100e0) * 10e0, 0) / 10e0 AS missing_pct FROM features", feature_columns)),
         # profiling
         "data_summary": sql("births", f"""SELECT count(*) AS n_rows, 28 AS n_cols, string_agg(DISTINCT source_file, ',' ORDER BY source_file) AS files_included,
   min(year_fix) AS year_min, max(year_fix) AS year_max,
-  {each('round(avg(CASE WHEN @ IS NULL THEN 100e0 ELSE 0e0 END), 2) AS missing_@', all_births[1:])} FROM births"""),
+  {each('round_even((avg(CASE WHEN @ IS NULL THEN 1e0 ELSE 0e0 END) * 100e0) * 100e0, 0) / 100e0 AS missing_@', all_births[1:])} FROM births"""),
         "file_year_ranges": sql("births", "SELECT source_file, count(*) AS n_rows, min(year_fix) AS year_min, max(year_fix) AS year_max, count(DISTINCT year_fix) AS n_years FROM births GROUP BY source_file"),
-        "file_row_share": sql("births", "SELECT source_file, count(*) AS row_count, round(100e0 * count(*) / (SELECT count(*) FROM births), 1) AS pct FROM births GROUP BY source_file"),
+        "file_row_share": sql("births", "SELECT source_file, count(*) AS row_count, round_even((count(*) * 1e0 / (SELECT count(*) FROM births) * 100e0) * 10e0, 0) / 10e0 AS pct FROM births GROUP BY source_file"),
         "describe_numeric": sql("births", DESCRIBE, f"long AS ({long_of('births', PROFILED)})"),
         "target_stats": sql("clean", shape("weight_grams", "clean")),
-        "category_prevalence": sql("clean", """SELECT round(100 * avg(CAST(weight_grams < 1500 AS INT)), 2) AS vlbw_pct, round(100 * avg(CAST(weight_grams < 2500 AS INT)), 2) AS lbw_pct,
-  round(100 * avg(CAST(weight_grams >= 2500 AND weight_grams <= 4000 AS INT)), 2) AS normal_pct, round(100 * avg(CAST(weight_grams > 4000 AS INT)), 2) AS macrosomia_pct FROM clean"""),
-        "category_counts": sql("clean", """SELECT position, category, count(weight_grams) AS n, round(count(weight_grams) * 100e0 / (SELECT count(*) FROM clean), 1) AS pct
+        "category_prevalence": sql("clean", """SELECT round_even((100 * avg(CAST(weight_grams < 1500 AS INT))) * 100e0, 0) / 100e0 AS vlbw_pct, round_even((100 * avg(CAST(weight_grams < 2500 AS INT))) * 100e0, 0) / 100e0 AS lbw_pct,
+  round_even((100 * avg(CAST(weight_grams >= 2500 AND weight_grams <= 4000 AS INT))) * 100e0, 0) / 100e0 AS normal_pct, round_even((100 * avg(CAST(weight_grams > 4000 AS INT))) * 100e0, 0) / 100e0 AS macrosomia_pct FROM clean"""),
+        "category_counts": sql("clean", """SELECT position, category, count(weight_grams) AS n, round_even((count(weight_grams) * 1e0 / (SELECT count(*) FROM clean) * 100e0) * 10e0, 0) / 10e0 AS pct
   FROM (VALUES (0, 'VLBW', -1e9, 1500e0), (1, 'LBW', 1500e0, 2500e0), (2, 'Normal', 2500e0, 4000e0), (3, 'Macrosomia', 4000e0, 1e9)) v(position, category, lo, hi)
   LEFT JOIN clean ON weight_grams > lo AND weight_grams <= hi GROUP BY position, category"""),
         "value_counts": sql("clean", f"SELECT feature, value, count(*) AS n FROM ({long_of('clean', ['is_male', 'mother_married', 'plurality', 'record_weight'])}) GROUP BY feature, value"),
-        "missing_pct": sql("births", "SELECT * FROM (" + rows_of("SELECT '@' AS feature, count(*) - count(@) AS missing_count, round(100e0 * (count(*) - count(@)) / count(*), 2) AS missing_pct FROM births", all_births) + ") WHERE missing_count > 0"),
+        "missing_pct": sql("births", "SELECT * FROM (" + rows_of("SELECT '@' AS feature, count(*) - count(@) AS missing_count, round_even(((count(*) - count(@)) * 1e0 / count(*) * 100e0) * 100e0, 0) / 100e0 AS missing_pct FROM births", all_births) + ") WHERE missing_count > 0"),
         "missing_by_file": sql("births", f"SELECT source_file, {nulls(S.KEY_MISSING_COLUMNS, 1)} FROM births GROUP BY source_file"),
         "missing_patterns": sql("births", "SELECT " + each("CASE WHEN @ IS NULL THEN '1' ELSE '0' END", S.RAW_COLUMNS, " || ") + " AS pattern, count(*) AS n FROM births GROUP BY 1"),
-        "completeness": sql("clean", rows_of("SELECT '@' AS feature, count(@) AS known, round(100e0 * count(@) / count(*), 2) AS known_pct FROM clean", clean_columns)),
-        "schema_profile": sql("births", rows_of("SELECT '@' AS feature, round(100e0 * (count(*) - count(@)) / count(*), 1) AS null_pct FROM births", all_births)),
-        "corr_matrix": sql("features", "\nUNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, round(corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE)), 6) AS r FROM features" for a, b in combinations(S.CORRELATION_COLUMNS, 2))),
+        "completeness": sql("clean", rows_of("SELECT '@' AS feature, count(@) AS known, round_even((count(@) * 1e0 / count(*) * 100e0) * 100e0, 0) / 100e0 AS known_pct FROM clean", clean_columns)),
+        "schema_profile": sql("births", rows_of("SELECT '@' AS feature, round_even(((count(*) - count(@)) * 1e0 / count(*) * 100e0) * 10e0, 0) / 10e0 AS null_pct FROM births", all_births)),
+        "corr_matrix": sql("features", "\nUNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, round_even((corr(CAST({a} AS DOUBLE), CAST({b} AS DOUBLE))) * 1000000e0, 0) / 1000000e0 AS r FROM features" for a, b in combinations(S.CORRELATION_COLUMNS, 2))),
         "corr_ranked": ranked(S.MODEL_FEATURES),
         "corr_positive": ranked(RANKED_COLUMNS, "r > 0", 5),
         "corr_negative": ranked(RANKED_COLUMNS, "r < 0", 5),
-        "leakage_corr": sql("births", rows_of("SELECT '@' AS feature, round(corr(@, weight_pounds * 453.592e0), 6) AS r FROM births", S.APGAR_COLUMNS)),
-        "point_biserial": sql("features", rows_of("SELECT '@' AS feature, round(corr(CAST(@ AS DOUBLE), weight_grams), 6) AS r, round(avg(weight_grams) FILTER (@ = 0), 6) AS mean_0, round(avg(weight_grams) FILTER (@ = 1), 6) AS mean_1 FROM features", ["is_male", "mother_married", "is_multiple_birth"])),
-        "trend_line": sql("features", rows_of("SELECT '@' AS feature, round(regr_slope(weight_grams, @), 6) AS slope, round(regr_intercept(weight_grams, @), 6) AS intercept, CAST(regr_count(weight_grams, @) AS BIGINT) AS n FROM features", [*BOXED, "father_age"])),
-        "lbw_rate": sql("clean", "SELECT round(100 * avg(CAST(weight_grams < 2500 AS INT)), 2) AS lbw_pct FROM clean"),
-        "yearly_trend": sql("features", """SELECT year_fix, count(*) AS n, round(avg(weight_grams), 6) AS mean, round(median(weight_grams), 6) AS median, round(stddev_samp(weight_grams), 6) AS std,
-  round(100 * avg(CAST(weight_grams < 2500 AS INT)), 6) AS lbw_pct, round(100 * avg(gestation_preterm), 6) AS preterm_pct FROM features GROUP BY year_fix"""),
+        "leakage_corr": sql("births", rows_of("SELECT '@' AS feature, round_even((corr(@, weight_pounds * 453.592e0)) * 1000000e0, 0) / 1000000e0 AS r FROM births", S.APGAR_COLUMNS)),
+        "point_biserial": sql("features", rows_of("SELECT '@' AS feature, round_even((corr(CAST(@ AS DOUBLE), weight_grams)) * 1000000e0, 0) / 1000000e0 AS r, round_even((avg(weight_grams) FILTER (@ = 0)) * 1000000e0, 0) / 1000000e0 AS mean_0, round_even((avg(weight_grams) FILTER (@ = 1)) * 1000000e0, 0) / 1000000e0 AS mean_1 FROM features", ["is_male", "mother_married", "is_multiple_birth"])),
+        "trend_line": sql("features", rows_of("SELECT '@' AS feature, round_even((regr_slope(weight_grams, @)) * 1000000e0, 0) / 1000000e0 AS slope, round_even((regr_intercept(weight_grams, @)) * 1000000e0, 0) / 1000000e0 AS intercept, CAST(regr_count(weight_grams, @) AS BIGINT) AS n FROM features", [*BOXED, "father_age"])),
+        "lbw_rate": sql("clean", "SELECT round_even((100 * avg(CAST(weight_grams < 2500 AS INT))) * 100e0, 0) / 100e0 AS lbw_pct FROM clean"),
+        "yearly_trend": sql("features", """SELECT year_fix, count(*) AS n, round_even((avg(weight_grams)) * 1000000e0, 0) / 1000000e0 AS mean, round_even((median(weight_grams)) * 1000000e0, 0) / 1000000e0 AS median, round_even((stddev_samp(weight_grams)) * 1000000e0, 0) / 1000000e0 AS std,
+  round_even((100 * avg(CAST(weight_grams < 2500 AS INT))) * 1000000e0, 0) / 1000000e0 AS lbw_pct, round_even((100 * avg(gestation_preterm)) * 1000000e0, 0) / 1000000e0 AS preterm_pct FROM features GROUP BY year_fix"""),
         "histogram": histogram("features", [S.TARGET], 80),
         "feature_histograms": histogram("features", S.NUMERIC_FEATURES[:9], 40),
         "kde": kde("clean", None, 1000),
@@ -391,13 +393,13 @@ def oracle_sql() -> dict[str, str]:
         "impute_rows": sql("split", "SELECT birth_id, " + ", ".join(f"CAST(coalesce({c}, {fill_of(c)}) AS DOUBLE) AS {c}" for c in S.MODEL_FEATURES) + " FROM split WHERE split = 'val'", *impute_ctes()),
         "standardize": sql(
             "split",
-            "SELECT birth_id, " + each("round(CAST((@ - (SELECT avg(@) FROM full_rows WHERE split = 'train')) / (SELECT stddev_pop(@) FROM full_rows WHERE split = 'train') AS DOUBLE), 6) AS @", S.NUMERIC_FEATURES) + " FROM full_rows WHERE split = 'val'",
+            "SELECT birth_id, " + each("round_even((CAST((@ - (SELECT avg(@) FROM full_rows WHERE split = 'train')) / (SELECT stddev_pop(@) FROM full_rows WHERE split = 'train') AS DOUBLE)) * 1000000e0, 0) / 1000000e0 AS @", S.NUMERIC_FEATURES) + " FROM full_rows WHERE split = 'val'",
             *impute_ctes(),
             "full_rows AS (SELECT birth_id, split, " + ", ".join(f"coalesce({c}, {fill_of(c)}) AS {c}" for c in S.NUMERIC_FEATURES) + " FROM split)",
         ),
         "baseline_mean": sql("mean", all_metrics("split")),
-        "ridge_coefficient": sql("ridge", "SELECT round(w / sg, 6) AS grams_per_week, round(my - w * mg / sg, 4) AS intercept FROM scale, weight"),
-        "ridge_predictions": sql("ridge", "SELECT birth_id, round(prediction, 4) AS prediction FROM scored"),
+        "ridge_coefficient": sql("ridge", "SELECT round_even((w / sg) * 1000000e0, 0) / 1000000e0 AS grams_per_week, round_even((my - w * mg / sg) * 10000e0, 0) / 10000e0 AS intercept FROM scale, weight"),
+        "ridge_predictions": sql("ridge", "SELECT birth_id, round_even((prediction) * 10000e0, 0) / 10000e0 AS prediction FROM scored"),
         "regression_metrics": sql("ridge", f"SELECT split, {METRICS} FROM scored GROUP BY split"),
         "clinical_metrics": sql("ridge", f"SELECT split, {rates} FROM (SELECT split, {cells} FROM scored GROUP BY split)"),
         "evaluate_split": sql("ridge", "SELECT " + each("@ AS val_@", ["mae", "rmse", "r2", "lbw_prevalence_pct", "sensitivity", "specificity", "precision", "f1", "n_lbw_true", "n_lbw_pred"]) + f" FROM ({all_metrics('', where=chr(39).join(['split = ', 'val', '']))})"),
@@ -405,24 +407,24 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT '{m}' AS metric, CAST({m} AS DOUBLE) AS value, '{d}' AS direction, CAST({b} AS DOUBLE) AS bound, CASE WHEN {m} {d} {b} THEN 'PASS' ELSE 'FAIL' END AS verdict FROM m"
             for m, (d, b) in S.ACCEPTANCE.items()), f"m AS ({all_metrics('', where=chr(39).join(['split = ', 'test', '']))})"),
         "permutation_importance": "SELECT * FROM (VALUES " + each("('@', 0e0, 0e0)", S.MODEL_FEATURES) + ") v(feature, importance, std)",
-        "shapley": sql("ridge", """SELECT 'gestation_weeks' AS feature, round(avg(abs(w * (g - (SELECT avg(g) FROM filled WHERE split = 'val')) / sg)), 6) AS mean_abs
+        "shapley": sql("ridge", """SELECT 'gestation_weeks' AS feature, round_even((avg(abs(w * (g - (SELECT avg(g) FROM filled WHERE split = 'val')) / sg))) * 1000000e0, 0) / 1000000e0 AS mean_abs
   FROM filled, scale, weight WHERE split = 'val'"""),
-        "find_run": sql("mean", """SELECT split || '-' || source_year AS run_id, split AS run_name, CAST(source_year AS BIGINT) AS start_ms, round(avg(abs(weight_grams - prediction)), 3) AS mae
+        "find_run": sql("mean", """SELECT split || '-' || source_year AS run_id, split AS run_name, CAST(source_year AS BIGINT) AS start_ms, round_even((avg(abs(weight_grams - prediction))) * 1000e0, 0) / 1000e0 AS mae
   FROM scored WHERE split = 'train' GROUP BY source_year, split ORDER BY source_year DESC LIMIT 1"""),
         # drift and scoring
         "psi": sql("split", "SELECT * FROM psi WHERE split <> 'train'", *psi_ctes(split_long(DRIFTED), "split", "ref")),
         "ks_drift": sql(
             "split",
-            "SELECT feature, split, round(max(abs(f_ref - f_other)), 6) AS ks FROM cdf GROUP BY feature, split",
+            "SELECT feature, split, round_even((max(abs(f_ref - f_other))) * 1000000e0, 0) / 1000000e0 AS ks FROM cdf GROUP BY feature, split",
             f"long AS (SELECT * FROM ({long_of('split', [*DRIFTED, 'weight_pounds'], 'split, ')}) WHERE value IS NOT NULL)",
             "marks AS (SELECT feature, value, count(*) FILTER (split = 'train') AS r, count(*) FILTER (split = 'val') AS v, count(*) FILTER (split = 'test') AS t FROM long GROUP BY 1, 2)",
             """steps AS (SELECT feature, value, sum(r) OVER w / sum(r) OVER (PARTITION BY feature) AS fr, sum(v) OVER w / sum(v) OVER (PARTITION BY feature) AS fv,
   sum(t) OVER w / sum(t) OVER (PARTITION BY feature) AS ft FROM marks WINDOW w AS (PARTITION BY feature ORDER BY value))""",
             "cdf AS (SELECT feature, 'val' AS split, fr AS f_ref, fv AS f_other FROM steps UNION ALL SELECT feature, 'test', fr, ft FROM steps)",
         ),
-        "prediction_drift": sql("ridge", "SELECT * FROM psi", *psi_ctes("SELECT 'prediction' AS feature, year_fix AS grp, year_fix < 2010 AS ref, round(prediction, 4) AS value FROM scored", "year_fix", "ref")),
+        "prediction_drift": sql("ridge", "SELECT * FROM psi", *psi_ctes("SELECT 'prediction' AS feature, year_fix AS grp, year_fix < 2010 AS ref, round_even((prediction) * 10000e0, 0) / 10000e0 AS value FROM scored", "year_fix", "ref")),
         "weighted_prevalence": sql("clean", "SELECT CAST(sum(record_weight) AS BIGINT) AS population, " + ", ".join(
-            f"round(100e0 * sum(CASE WHEN weight_grams {c} THEN record_weight ELSE 0 END) / sum(record_weight), 6) AS {n}"
+            f"round_even((100e0 * sum(CASE WHEN weight_grams {c} THEN record_weight ELSE 0 END) / sum(record_weight)) * 1000000e0, 0) / 1000000e0 AS {n}"
             for n, c in (("vlbw_pct", "< 1500"), ("lbw_pct", "< 2500"), ("macrosomia_pct", "> 4000"))) + " FROM clean"),
         "subgroup_metrics": sql("mean", all_metrics("\"grouping\", value", "labelled"), "labelled AS (" + "\nUNION ALL ".join(
             f"SELECT '{n}' AS \"grouping\", coalesce(CAST({e} AS VARCHAR), 'unknown') AS value, weight_grams, prediction FROM scored" for n, e in SUBGROUPS.items()) + ")"),
@@ -430,31 +432,31 @@ def oracle_sql() -> dict[str, str]:
   CASE WHEN prediction < 2500 THEN 'LBW' WHEN prediction > 4000 THEN 'Macrosomia' ELSE 'Normal' END AS predicted_class, count(*) AS n FROM scored GROUP BY 1, 2"""),
         "residuals": sql("mean", shape("residual", "(SELECT weight_grams - prediction AS residual FROM scored)")),
         "residuals_by_prediction": sql("ridge", """SELECT CAST(CASE WHEN prediction <= 0 THEN NULL WHEN prediction <= 3200 THEN 0 WHEN prediction <= 3400 THEN 1 WHEN prediction <= 3600 THEN 2 WHEN prediction <= 3800 THEN 3
-  WHEN prediction <= 4000 THEN 4 WHEN prediction <= 9999 THEN 5 END AS INT) AS band, count(*) AS n, round(avg(weight_grams - prediction), 6) AS mean,
-  round(stddev_samp(weight_grams - prediction), 6) AS std, round(avg(abs(weight_grams - prediction)), 6) AS mae FROM scored GROUP BY 1"""),
-        "risk_category": sql("ridge", f"SELECT birth_id, p AS prediction, {RISK.replace('@', 'p')} FROM (SELECT birth_id, round(prediction, 4) AS p FROM scored)"),
+  WHEN prediction <= 4000 THEN 4 WHEN prediction <= 9999 THEN 5 END AS INT) AS band, count(*) AS n, round_even((avg(weight_grams - prediction)) * 1000000e0, 0) / 1000000e0 AS mean,
+  round_even((stddev_samp(weight_grams - prediction)) * 1000000e0, 0) / 1000000e0 AS std, round_even((avg(abs(weight_grams - prediction))) * 1000000e0, 0) / 1000000e0 AS mae FROM scored GROUP BY 1"""),
+        "risk_category": sql("ridge", f"SELECT birth_id, p AS prediction, {RISK.replace('@', 'p')} FROM (SELECT birth_id, round_even((prediction) * 10000e0, 0) / 10000e0 AS p FROM scored)"),
         "risk_category_of_weights": sql("clean", f"SELECT birth_id, weight_grams, {RISK.replace('@', 'weight_grams')} FROM clean"),
         "lmp_date": sql("births", "SELECT birth_id, CASE WHEN lmp NOT IN ('99', '9999') THEN CAST(try_strptime(lmp, '%m%d%Y') AS DATE) END AS lmp_date FROM births"),
-        "target_encode": sql("split", """SELECT birth_id, s.mother_birth_state, round(coalesce(e.m, (SELECT avg(weight_grams) FROM split WHERE split = 'train')), 6) AS encoded
+        "target_encode": sql("split", """SELECT birth_id, s.mother_birth_state, round_even((coalesce(e.m, (SELECT avg(weight_grams) FROM split WHERE split = 'train'))) * 1000000e0, 0) / 1000000e0 AS encoded
   FROM split s LEFT JOIN (SELECT mother_birth_state, avg(weight_grams) AS m FROM split WHERE split = 'train' GROUP BY 1) e ON s.mother_birth_state = e.mother_birth_state"""),
         "cross_file_duplicates": sql("births", f"SELECT {DUPLICATE_COLUMNS}, count(*) AS copies, min(source_file) AS first_file, max(source_file) AS last_file FROM births GROUP BY {DUPLICATE_COLUMNS} HAVING count(*) > 1 AND count(DISTINCT source_file) > 1"),
         "cross_file_duplicates_all": sql("births", f"SELECT count(*) AS copies, min(source_file) AS first_file, max(source_file) AS last_file FROM births GROUP BY {raw} HAVING count(*) > 1 AND count(DISTINCT source_file) > 1"),
-        "kfold": sql("split", """SELECT h.fold, count(*) AS n, round(avg(abs(weight_grams - p)), 3) AS mae, round(sqrt(avg((weight_grams - p) ** 2)), 3) AS rmse,
-  round(1 - avg((weight_grams - p) ** 2) / var_pop(weight_grams), 4) AS r2 FROM folded h JOIN others o ON h.fold = o.fold GROUP BY h.fold""",
+        "kfold": sql("split", """SELECT h.fold, count(*) AS n, round_even((avg(abs(weight_grams - p))) * 1000e0, 0) / 1000e0 AS mae, round_even((sqrt(avg((weight_grams - p) ** 2))) * 1000e0, 0) / 1000e0 AS rmse,
+  round_even((1 - avg((weight_grams - p) ** 2) / var_pop(weight_grams)) * 10000e0, 0) / 10000e0 AS r2 FROM folded h JOIN others o ON h.fold = o.fold GROUP BY h.fold""",
             f"folded AS (SELECT CAST({key_hash('birth_id')} % 5 AS INT) AS fold, weight_grams FROM split WHERE split = 'train')",
             "others AS (SELECT a.fold, avg(b.weight_grams) AS p FROM (SELECT DISTINCT fold FROM folded) a JOIN folded b ON a.fold <> b.fold GROUP BY a.fold)"),
         "add_fold_numbers": sql("births", f"SELECT birth_id, CAST({key_hash('birth_id')} % 5 AS INT) AS fold FROM births"),
         "retrain_trigger": sql(
             "mean",
-            """SELECT 'mae' AS reason, round(100e0 * (t - v) / v, 6) AS value, 10e0 AS bound, CAST(100e0 * (t - v) / v > 10 AS INT) AS retrain FROM errors
+            """SELECT 'mae' AS reason, round_even((100e0 * (t - v) / v) * 1000000e0, 0) / 1000000e0 AS value, 10e0 AS bound, CAST(100e0 * (t - v) / v > 10 AS INT) AS retrain FROM errors
 UNION ALL SELECT 'psi:' || feature, max(psi), 0.2e0, CAST(max(psi) > 0.2 AS INT) FROM psi WHERE split <> 'train' GROUP BY feature""",
-            "errors AS (SELECT round(avg(abs(weight_grams - prediction)) FILTER (split = 'val'), 3) AS v, round(avg(abs(weight_grams - prediction)) FILTER (split = 'test'), 3) AS t FROM scored)",
+            "errors AS (SELECT round_even((avg(abs(weight_grams - prediction)) FILTER (split = 'val')) * 1000e0, 0) / 1000e0 AS v, round_even((avg(abs(weight_grams - prediction)) FILTER (split = 'test')) * 1000e0, 0) / 1000e0 AS t FROM scored)",
             *psi_ctes(split_long(DRIFTED), "split", "ref"),
         ),
         # streaming, as the batch result over closed windows
-        "stream_score": sql("ridge", f"SELECT birth_id, round(prediction, 4) AS prediction, {RISK.replace('@', 'prediction')} FROM scored"),
+        "stream_score": sql("ridge", f"SELECT birth_id, round_even((prediction) * 10000e0, 0) / 10000e0 AS prediction, {RISK.replace('@', 'prediction')} FROM scored"),
         "stream_counts": """SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS requests, count(*) FILTER (event_type = 'error') AS errors,
-  round(100e0 * count(*) FILTER (event_type = 'error') / count(*), 4) AS error_pct, CAST(100e0 * count(*) FILTER (event_type = 'error') / count(*) > 5 AS INT) AS alert
+  round_even((100e0 * count(*) FILTER (event_type = 'error') / count(*)) * 10000e0, 0) / 10000e0 AS error_pct, CAST(100e0 * count(*) FILTER (event_type = 'error') / count(*) > 5 AS INT) AS alert
 FROM (SELECT date_trunc('hour', ts) AS w, event_type FROM events)
 WHERE w + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE GROUP BY w""",
         "stream_value_drift": f"""WITH binned AS (SELECT date_trunc('day', ts) AS w, {value_bin} AS bin FROM events WHERE value IS NOT NULL),
@@ -463,7 +465,7 @@ windows AS (SELECT w, count(*) AS n FROM binned WHERE w + INTERVAL 1 DAY <= (SEL
 parts AS (SELECT windows.w, windows.n, greatest(coalesce(e, 0), 0.0001e0) AS e, greatest(count(b.bin) * 1e0 / windows.n, 0.0001e0) AS a
   FROM windows CROSS JOIN (SELECT CAST(range AS INT) AS bin FROM range({bins})) r
   LEFT JOIN base ON base.bin = r.bin LEFT JOIN binned b ON b.w = windows.w AND b.bin = r.bin GROUP BY windows.w, windows.n, e, r.bin)
-SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, n, round(sum((a - e) * ln(a / e)), 6) AS psi, CAST(sum((a - e) * ln(a / e)) > 0.2 AS INT) AS alert
+SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, n, round_even((sum((a - e) * ln(a / e))) * 1000000e0, 0) / 1000000e0 AS psi, CAST(sum((a - e) * ln(a / e)) > 0.2 AS INT) AS alert
 FROM parts GROUP BY w, n""",
     }
     return out

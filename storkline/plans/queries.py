@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storkline import schema as S
-from storkline.functions.columns import rounded
+from storkline.functions.columns import label_of, paired_columns, rint_to, rounded
 from storkline.functions.sampling import add_fold, sample_n
 from storkline.operators import clean, drift, explain, features, metrics, model, profile, split, validate
 from storkline.sources import raw_files, run_tables, split_files
@@ -91,8 +91,8 @@ def load_all(spark, sf_dir):
     return loaded.groupBy("source_file").agg(
         F.count(F.lit(1)).alias("n_rows"), F.min("source_year").alias("source_year"),
         *[F.count(c).alias(f"known_{c}") for c in S.RAW_COLUMNS],
-        F.round(F.sum("weight_pounds"), 4).alias("sum_weight_pounds"),
-        F.round(F.sum("gestation_weeks"), 4).alias("sum_gestation_weeks"),
+        rint_to(F.sum("weight_pounds"), 4).alias("sum_weight_pounds"),
+        rint_to(F.sum("gestation_weeks"), 4).alias("sum_gestation_weeks"),
         F.sum(F.length("lmp")).alias("lmp_chars"),
     )
 
@@ -106,8 +106,8 @@ def read_pruned(spark, sf_dir):
     return val.agg(
         F.count(F.lit(1)).alias("n_rows"),
         *[F.count(c).alias(f"known_{c}") for c in S.MODEL_FEATURES],
-        F.round(F.avg(F.col(S.TARGET).cast("double")), 3).alias("mean_grams"),
-        F.round(F.avg(F.col("gestation_weeks").cast("double")), 6).alias("mean_gestation"),
+        rint_to(F.avg(F.col(S.TARGET).cast("double")), 3).alias("mean_grams"),
+        rint_to(F.avg(F.col("gestation_weeks").cast("double")), 6).alias("mean_gestation"),
     )
 
 
@@ -425,12 +425,12 @@ def line_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Validation error of the training line of each numeric feature, one row per feature."""
     train, val = part(spark, sf_dir, "train"), part(spark, sf_dir, "val")
     lines = profile.trend_line(train, S.NUMERIC_FEATURES, digits=9)
-    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("x")) for c in S.NUMERIC_FEATURES])
-    long = val.select(S.TARGET, F.inline(pairs)).filter(F.col("x").isNotNull())
+    long = paired_columns(val, [(c, S.TARGET) for c in S.NUMERIC_FEATURES]).filter(F.col("x").isNotNull())
+    long = long.withColumn("feature", label_of(S.NUMERIC_FEATURES, F.col("pair")))
     # one line per feature
-    predicted = long.join(F.broadcast(lines), "feature").withColumn("p", F.col("intercept") + F.col("slope") * F.col("x"))
-    return predicted.groupBy(F.col("feature").alias("model")).agg(
-        F.round(F.avg(F.abs(F.col(S.TARGET) - F.col("p"))), 3).alias("val_mae")
+    error = F.col("y") - (F.col("intercept") + F.col("slope") * F.col("x"))
+    return long.join(F.broadcast(lines), "feature").groupBy(F.col("feature").alias("model")).agg(
+        rint_to(F.avg(F.abs(error)), 3).alias("val_mae")
     )
 
 
@@ -513,7 +513,7 @@ def impute_rows(spark, sf_dir):
 def standardize(spark, sf_dir):
     prep = model.FeaturePrep(scaleNumeric=True).fit(part(spark, sf_dir, "train"))
     scaled = prep.transform(part(spark, sf_dir, "val"))
-    return scaled.select("birth_id", *[F.round(f"x_{c}", 6).alias(c) for c in S.NUMERIC_FEATURES])
+    return scaled.select("birth_id", *[rint_to(F.col(f"x_{c}"), 6).alias(c) for c in S.NUMERIC_FEATURES])
 
 
 @query
@@ -526,14 +526,14 @@ def ridge_coefficient(spark, sf_dir):
     """Weight and intercept of the one-feature ridge, recovered from its own predictions."""
     scored = scored_by_ridge(spark, sf_dir).filter(F.col("gestation_weeks").isNotNull())
     return scored.agg(
-        F.round(F.regr_slope("prediction", "gestation_weeks"), 6).alias("grams_per_week"),
-        F.round(F.regr_intercept("prediction", "gestation_weeks"), 4).alias("intercept"),
+        rint_to(F.regr_slope("prediction", "gestation_weeks"), 6).alias("grams_per_week"),
+        rint_to(F.regr_intercept("prediction", "gestation_weeks"), 4).alias("intercept"),
     )
 
 
 @query
 def ridge_predictions(spark, sf_dir):
-    return scored_by_ridge(spark, sf_dir).select("birth_id", F.round("prediction", 4).alias("prediction"))
+    return scored_by_ridge(spark, sf_dir).select("birth_id", rint_to(F.col("prediction"), 4).alias("prediction"))
 
 
 @query
@@ -623,7 +623,7 @@ def shapley(spark, sf_dir):
     """Exact values of the one-feature ridge on validation rows."""
     fitted = gestation_ridge(part(spark, sf_dir, "train"))
     explained = explain.linear_shapley(fitted, part(spark, sf_dir, "val"))
-    return explain.mean_absolute_shapley(explained, ["gestation_weeks"]).withColumn("mean_abs", F.round("mean_abs", 6))
+    return explain.mean_absolute_shapley(explained, ["gestation_weeks"]).withColumn("mean_abs", rint_to(F.col("mean_abs"), 6))
 
 
 @query
@@ -679,7 +679,7 @@ def ks_drift(spark, sf_dir):
 
 @query
 def prediction_drift(spark, sf_dir):
-    return drift.prediction_drift(scored_by_ridge(spark, sf_dir).withColumn("prediction", F.round("prediction", 4)))
+    return drift.prediction_drift(scored_by_ridge(spark, sf_dir).withColumn("prediction", rint_to(F.col("prediction"), 4)))
 
 
 @query
@@ -716,7 +716,7 @@ def residuals_by_prediction(spark, sf_dir):
 
 @query
 def risk_category(spark, sf_dir):
-    scored = scored_by_ridge(spark, sf_dir).withColumn("prediction", F.round("prediction", 4))
+    scored = scored_by_ridge(spark, sf_dir).withColumn("prediction", rint_to(F.col("prediction"), 4))
     return drift.risk_category(scored).select("birth_id", "prediction", "risk", "near_limit")
 
 
@@ -735,7 +735,7 @@ def lmp_date(spark, sf_dir):
 def target_encode(spark, sf_dir):
     df = divided(spark, sf_dir)
     encoded = drift.target_encode(df, df.filter("split = 'train'"), "mother_birth_state")
-    return encoded.select("birth_id", "mother_birth_state", F.round("mother_birth_state_encoded", 6).alias("encoded"))
+    return encoded.select("birth_id", "mother_birth_state", rint_to(F.col("mother_birth_state_encoded"), 6).alias("encoded"))
 
 
 @query
@@ -777,7 +777,7 @@ def stream_score(spark, sf_dir):
     arriving = births_from(jobs.stream_table(spark, sf_dir, "lineitem.parquet"))
     records = features.engineer_features(clean.run_preprocessing(arriving))
     scored = jobs.available_now(jobs.score(records, fitted, ["birth_id"]), "scores")
-    return scored.withColumn("prediction", F.round("prediction", 4))
+    return scored.withColumn("prediction", rint_to(F.col("prediction"), 4))
 
 
 @query

@@ -10,6 +10,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from storkline.functions.columns import rint_to
 from storkline.operators.drift import risk_category
 from storkline.session import work_path
 
@@ -53,7 +54,7 @@ def request_counts(
     rate = 100.0 * F.col("errors") / F.col("requests")
     return grouped.select(
         F.col("window.start").alias("window_start"), "requests", "errors",
-        F.round(rate, 4).alias("error_pct"), (rate > alert_pct).cast("int").alias("alert"),
+        rint_to(rate, 4).alias("error_pct"), (rate > alert_pct).cast("int").alias("alert"),
     )
 
 
@@ -100,4 +101,4 @@ def drift_parts(histograms: DataFrame, baseline: DataFrame, bins: int, floor: fl
 def drift_report(parts: DataFrame, alert: float = 0.2) -> DataFrame:
     """PSI and alert per window from the table of parts."""
     out = parts.groupBy("window_start", "n").agg(F.sum("part").alias("psi"))
-    return out.select("window_start", "n", F.round("psi", 6).alias("psi"), (F.col("psi") > alert).cast("int").alias("alert"))
+    return out.select("window_start", "n", rint_to(F.col("psi"), 6).alias("psi"), (F.col("psi") > alert).cast("int").alias("alert"))
