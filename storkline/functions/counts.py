@@ -50,7 +50,7 @@ def value_bucket(value: Column) -> Column:
 def running_totals(counts: DataFrame, keys: list[str], value: str, sums: list[str]) -> DataFrame:
     """Adds ``<sum>_upto`` (total of rows with a value not above this one) and ``<sum>_total``.
 
-    ``counts`` must hold each value once per key, without nulls in keys and values.
+    ``counts`` must hold each value once per key, without null keys.
     """
     bucketed = counts.withColumn("_bucket", value_bucket(F.col(value)))
     inside = Window.partitionBy(*keys, "_bucket").orderBy(value)
@@ -74,8 +74,12 @@ def running_totals(counts: DataFrame, keys: list[str], value: str, sums: list[st
 
 
 def quantiles(counts: DataFrame, keys: list[str], probabilities: dict[str, float]) -> DataFrame:
-    """Exact, linearly interpolated quantiles per key; ``probabilities`` maps names to levels."""
-    known = counts.filter(F.col("value").isNotNull()).select(*keys, "value", "n")
+    """Exact, linearly interpolated quantiles per key; ``probabilities`` maps names to levels.
+
+    A null value weighs nothing here. Weighing instead of filtering leaves the counting scan as it
+    is, so that it can be shared with other uses of the same counts.
+    """
+    known = counts.select(*keys, "value", F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0).alias("n"))
     ranked = running_totals(known, keys, "value", ["n"])
     first, last = F.col("n_upto") - F.col("n"), F.col("n_upto") - 1  # 0-based ranks held by a value
     picks = []

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storkline import schema as S
@@ -27,32 +27,34 @@ def psi(
     share of 0.0001.
     """
     marked = df.withColumn("_ref", F.coalesce(is_reference, F.lit(False)))
-    counts = value_counts_long(marked, columns, [group, "_ref"]).filter(F.col("value").isNotNull())
-    reference = counts.filter("_ref").groupBy("feature", "value").agg(F.sum("n").alias("n"))
+    counts = value_counts_long(marked, columns, [group, "_ref"])
+    n_ref = F.when(F.col("_ref"), F.col("n")).otherwise(0)
+    reference = counts.groupBy("feature", "value").agg(F.sum(n_ref).alias("n"))
     levels = {f"e{i}": i / bins for i in range(1, bins)}
     edges = quantiles(reference, ["feature"], levels).select(
         "feature", F.array_distinct(F.array(*levels)).alias("edges")
     )
+    number = F.when(F.col("value").isNotNull(), F.size(F.filter("edges", lambda e: e < F.col("value"))))
     # one row of edges per column of the frame
-    binned = counts.join(F.broadcast(edges), "feature").withColumn(
-        "bin", F.size(F.filter("edges", lambda e: e < F.col("value")))
+    placed = counts.join(F.broadcast(edges), "feature").withColumn("_bin", number)
+    in_bin = [F.col("_bin") == i for i in range(bins)]
+    wide = placed.groupBy("feature", group).agg(
+        *[F.sum(F.when(c, F.col("n")).otherwise(0)).alias(f"a{i}") for i, c in enumerate(in_bin)],
+        *[F.sum(F.when(c, n_ref).otherwise(0)).alias(f"r{i}") for i, c in enumerate(in_bin)],
     )
-    per_bin = binned.groupBy("feature", group, "bin").agg(
-        F.sum("n").alias("n"), F.sum(F.when(F.col("_ref"), F.col("n")).otherwise(0)).alias("n_ref")
+    expected = wide.groupBy("feature").agg(*[F.sum(f"r{i}").alias(f"e{i}") for i in range(bins)])
+    # again one row per column of the frame
+    both = wide.join(F.broadcast(expected), "feature")
+
+    def shares(prefix: str) -> list[Column]:
+        cells = [F.col(f"{prefix}{i}") for i in range(bins)]
+        total = F.nullif(sum(cells, F.lit(0)), F.lit(0))
+        return [F.greatest(c / total, F.lit(PSI_FLOOR)) for c in cells]
+
+    value = sum(((a - e) * F.ln(a / e) for a, e in zip(shares("a"), shares("e"))), F.lit(0.0))
+    return both.select(
+        "feature", group, rint_to(value, digits).alias("psi"), (value > alert).cast("int").alias("alert")
     )
-    expected = per_bin.groupBy("feature", "bin").agg(F.sum("n_ref").alias("n_ref"))
-    # windows over the bins of one column
-    expected = expected.withColumn("e", F.col("n_ref") / F.sum("n_ref").over(Window.partitionBy("feature")))
-    groups = per_bin.select("feature", group).distinct()
-    grid = groups.join(F.broadcast(expected.select("feature", "bin", "e")), "feature")
-    cells = grid.join(per_bin.select("feature", group, "bin", "n"), ["feature", group, "bin"], "left")
-    total = F.sum("n").over(Window.partitionBy("feature", group))
-    a = F.greatest(F.coalesce(F.col("n"), F.lit(0)) / total, F.lit(PSI_FLOOR))
-    e = F.greatest("e", F.lit(PSI_FLOOR))
-    out = cells.select("feature", group, ((a - e) * F.ln(a / e)).alias("part")).groupBy("feature", group).agg(
-        F.sum("part").alias("psi")
-    )
-    return out.select("feature", group, rint_to(F.col("psi"), digits).alias("psi"), (F.col("psi") > alert).cast("int").alias("alert"))
 
 
 def split_psi(df: DataFrame, columns: list[str]) -> DataFrame:

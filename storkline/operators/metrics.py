@@ -70,6 +70,14 @@ def all_metrics(
     return cells.select(*keys, *REGRESSION, *[c.alias(name) for name, c in _clinical_rates().items()])
 
 
+def metric_row(scored: DataFrame, y: str = S.TARGET, p: str = "prediction") -> dict:
+    """All metrics and the number of rows ``n`` as numbers, from one aggregate."""
+    cells = scored.agg(
+        F.count(F.lit(1)).alias("n"), *regression_columns(y, p), *_clinical_counts(S.LBW_GRAMS, y, p)
+    )
+    return cells.select("n", *REGRESSION, *[c.alias(name) for name, c in _clinical_rates().items()]).first().asDict()
+
+
 def evaluate_split(model: Model, df: DataFrame, split_name: str = "val", y: str = S.TARGET) -> DataFrame:
     """One row of all metrics of a fitted model, named ``<split>_<metric>``."""
     row = all_metrics(model.transform(df), y=y)

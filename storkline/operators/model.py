@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from storkline import schema as S
 from storkline.functions.counts import quantiles, value_counts_long
 from storkline.functions.sampling import add_fold, sample_n
-from storkline.operators.metrics import all_metrics, evaluate_split, regression_columns
+from storkline.operators.metrics import evaluate_split, metric_row, regression_columns
 from storkline.operators.profile import sort_metric
 from storkline.session import shared_folder
 from storkline.sources.run_tables import Run, append_run
@@ -35,31 +35,43 @@ PREPARED = "x_"
 # ---- feature preparation
 
 
+def _fills(counts: DataFrame, numeric: list[str]) -> DataFrame:
+    """``(feature, strategy, fill)`` from counted values; null for a feature without any value."""
+    known = F.when(F.col("value").isNotNull(), F.col("n"))
+    mode = counts.groupBy("feature").agg(
+        F.max_by("value", F.struct(known.alias("n"), -F.col("value"))).alias("mode")
+    )
+    is_numeric = F.col("feature").isin(list(numeric))
+    return mode.join(quantiles(counts, ["feature"], {"median": 0.5}), "feature").select(
+        "feature", F.when(is_numeric, "median").otherwise("most_frequent").alias("strategy"),
+        F.when(is_numeric, F.col("median")).otherwise(F.col("mode")).alias("fill"),
+    )
+
+
+def fill_values(
+    df: DataFrame, numeric: list[str] = S.NUMERIC_FEATURES, binary: list[str] = S.BINARY_FEATURES
+) -> DataFrame:
+    """Fill value per feature: the exact median of numeric ones, the most frequent value of binary
+    ones (the lowest on a tie)."""
+    return _fills(value_counts_long(df, [*numeric, *binary]), numeric)
+
+
 def fit_statistics(
     df: DataFrame, numeric: list[str] = S.NUMERIC_FEATURES, binary: list[str] = S.BINARY_FEATURES
 ) -> DataFrame:
     """Fill value, mean and population deviation per feature, from one scan of counted values.
 
-    Numeric features fill with the exact median, binary ones with the most frequent value (the
-    lowest on a tie). Mean and deviation hold after filling. A feature without any value has no row.
+    Mean and deviation hold after filling. A feature without any value has no row.
     """
     counts = value_counts_long(df, [*numeric, *binary])
-    known = counts.filter(F.col("value").isNotNull())
-    median = quantiles(known.filter(F.col("feature").isin(list(numeric))), ["feature"], {"fill": 0.5})
-    mode = (
-        known.filter(F.col("feature").isin(list(binary)))
-        .groupBy("feature")
-        .agg(F.max_by("value", F.struct("n", -F.col("value"))).alias("fill"))
-    )
-    fills = median.withColumn("strategy", F.lit("median")).unionByName(mode.withColumn("strategy", F.lit("most_frequent")))
     # one row per feature
-    centred = counts.join(F.broadcast(fills), "feature").withColumn("d", F.coalesce(F.col("value") - F.col("fill"), F.lit(0.0)))
-    n, d = F.col("n"), F.col("d")
-    sums = centred.groupBy("feature", "strategy", "fill").agg(
+    placed = counts.join(F.broadcast(_fills(counts, numeric)), "feature")
+    n, d = F.col("n"), F.coalesce(F.col("value") - F.col("fill"), F.lit(0.0))
+    sums = placed.groupBy("feature", "strategy", "fill").agg(
         F.sum(n).alias("rows"), F.sum(n * d).alias("s1"), F.sum(n * d * d).alias("s2")
     )
     offset = F.col("s1") / F.col("rows")
-    return sums.select(
+    return sums.filter(F.col("fill").isNotNull()).select(
         "feature", "strategy", "fill", (F.col("fill") + offset).alias("mean"),
         F.sqrt(F.greatest(F.col("s2") / F.col("rows") - offset * offset, F.lit(0.0))).alias("std_pop"),
     )
@@ -234,14 +246,11 @@ def train_and_log(
     start = time.time()
     model = pipeline.fit(train)
     seconds = time.time() - start
-    metrics = {}
-    sizes = {}
+    metrics, sizes = {}, {}
     for split, df in (("train", train), ("val", val)):
-        scored = model.transform(df)
-        row = all_metrics(scored.withColumn("_all", F.lit(1)), ["_all"]).drop("_all").first()
-        values = row.asDict() if row else {}
-        metrics |= {f"{split}_{k}": float(v) for k, v in values.items() if v is not None}
-        sizes[split] = df.count()
+        row = metric_row(model.transform(df))
+        sizes[split] = row.pop("n")
+        metrics |= {f"{split}_{k}": float(v) for k, v in row.items() if v is not None}
     metrics["train_time_sec"] = round(seconds, 2)
     run = Run.new(
         name, metrics,
@@ -349,6 +358,6 @@ def reload_predict(spark, path: str, df: DataFrame, n: int = 5, label: str = S.T
 
 __all__ = [
     "BaselineMean", "FeaturePrep", "Ridge", "build_pipeline", "depthwise_space", "evaluate_split",
-    "fit_statistics", "gbt", "kfold_scores", "leafwise_space", "prepared_features", "reload_predict",
+    "fill_values", "fit_statistics", "gbt", "kfold_scores", "leafwise_space", "prepared_features", "reload_predict",
     "run_search", "screening_table", "train_and_log",
 ]

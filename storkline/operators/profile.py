@@ -279,9 +279,10 @@ def yearly_trend(df: DataFrame, target: str = S.TARGET, digits: int = 6) -> Data
 
 def histogram(df: DataFrame, columns: list[str], bins: int = 80, digits: int = 9) -> DataFrame:
     """Equal-width bins per column with counts and density; empty bins kept, last bin closed."""
-    counts = value_counts_long(df, columns).filter(F.col("value").isNotNull())
+    counts = value_counts_long(df, columns)
     ranges = counts.groupBy("feature").agg(
-        F.min("value").alias("low"), F.max("value").alias("high"), F.sum("n").alias("total"),
+        F.min("value").alias("low"), F.max("value").alias("high"),
+        F.sum(F.when(F.col("value").isNotNull(), F.col("n"))).alias("total"),
     )
     flat = F.col("low") == F.col("high")  # a constant column gets a range of width one
     ranges = ranges.select(
@@ -290,17 +291,18 @@ def histogram(df: DataFrame, columns: list[str], bins: int = 80, digits: int = 9
         (F.when(flat, F.lit(1.0)).otherwise(F.col("high") - F.col("low")) / bins).alias("width"),
     )
     low, width, value = F.col("low"), F.col("width"), F.col("value")
-    guess = F.least(F.floor((value - low) / width), F.lit(bins - 1)).cast("int")
+    guess = F.when(value.isNotNull(), F.least(F.floor((value - low) / width), F.lit(bins - 1))).cast("int")
     # the quotient can land next to an edge; the edge itself decides
     exact = (
         F.when(value < low + guess * width, guess - 1)
         .when((value >= low + (guess + 1) * width) & (guess < bins - 1), guess + 1)
         .otherwise(guess)
     )
-    # one row per column of the frame
-    filled = counts.join(F.broadcast(ranges), "feature").groupBy("feature", exact.alias("bin")).agg(F.sum("n").alias("n"))
+    # one row per column of the frame; the total comes along so that both uses of the ranges share a scan
+    placed = counts.join(F.broadcast(ranges), "feature")
+    filled = placed.groupBy("feature", "total", exact.alias("bin")).agg(F.sum("n").alias("n"))
     grid = ranges.select("*", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
-    out = grid.join(filled, ["feature", "bin"], "left")
+    out = grid.join(filled, ["feature", "total", "bin"], "left")
     n = F.coalesce("n", F.lit(0).cast("long"))
     return out.select(
         "feature", "bin",

@@ -498,8 +498,7 @@ def expectations(spark, sf_dir):
 
 @query
 def impute(spark, sf_dir):
-    stats = model.fit_statistics(part(spark, sf_dir, "train"))
-    return stats.select("feature", "strategy", "fill")
+    return model.fill_values(part(spark, sf_dir, "train"))
 
 
 @query
