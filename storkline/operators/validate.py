@@ -67,7 +67,7 @@ def run_expectations(splits: Splits, expected_files: int | None = None) -> DataF
     row_checks = _row_checks(columns)
 
     # a marker row per split keeps an empty split in the result
-    spark = splits.train.sparkSession
+    spark = frames["train"].sparkSession
     parts = [df.withColumns({"split": F.lit(name), "_row": F.lit(1)}) for name, df in frames.items()]
     parts.append(spark.createDataFrame([(name,) for name in frames], "split string"))
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

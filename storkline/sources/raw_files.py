@@ -16,6 +16,8 @@ from storkline import schema as S
 log = logging.getLogger(__name__)
 
 BAD_LINE = "_bad_line"
+# a quote inside a quoted field is doubled
+CSV_OPTIONS = {"header": True, "escape": '"'}
 
 
 def _missing_path(error: AnalysisException) -> bool:
@@ -25,7 +27,7 @@ def _missing_path(error: AnalysisException) -> bool:
 def read_header(spark: SparkSession, path: str) -> list[str]:
     """Column names of a headered CSV file (reads its first line only)."""
     try:
-        return spark.read.option("header", True).csv(path).columns
+        return spark.read.options(**CSV_OPTIONS).csv(path).columns
     except AnalysisException as error:
         if _missing_path(error):
             raise FileNotFoundError(f"no raw data file at {path}") from error
@@ -43,7 +45,7 @@ def scan_rows(spark: SparkSession, path: str, skip_bad_lines: bool = True) -> Da
     fields.append(T.StructField(BAD_LINE, T.StringType()))
     rows = (
         spark.read.schema(T.StructType(fields))
-        .option("header", True)
+        .options(**CSV_OPTIONS)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", BAD_LINE)
         # a pruned parse would not see surplus fields
@@ -53,7 +55,9 @@ def scan_rows(spark: SparkSession, path: str, skip_bad_lines: bool = True) -> Da
     if skip_bad_lines:
         unquoted = F.regexp_replace(BAD_LINE, r'"([^"]|"")*"', "")
         commas = F.length(unquoted) - F.length(F.replace(unquoted, F.lit(","), F.lit("")))
-        rows = rows.filter(F.col(BAD_LINE).isNull() | (commas < len(header)))
+        # a plain count must still ask the reader for a field, which it needs beside the raw text
+        asks_a_field = F.coalesce(F.length(header[0]), F.lit(0)) >= 0
+        rows = rows.filter((F.col(BAD_LINE).isNull() | (commas < len(header))) & asks_a_field)
     return rows.drop(BAD_LINE)
 
 
