@@ -73,54 +73,70 @@ def running_totals(counts: DataFrame, keys: list[str], value: str, sums: list[st
     )
 
 
-def quantiles(counts: DataFrame, keys: list[str], probabilities: dict[str, float]) -> DataFrame:
+def quantiles(
+    counts: DataFrame, keys: list[str], probabilities: dict[str, float], extra: list[Column] = ()
+) -> DataFrame:
     """Exact, linearly interpolated quantiles per key; ``probabilities`` maps names to levels.
 
-    A null value weighs nothing here. Weighing instead of filtering leaves the counting scan as it
-    is, so that it can be shared with other uses of the same counts.
+    ``extra`` aggregates over ``value`` and ``n`` come from the same pass. A null value weighs
+    nothing in the quantiles. Weighing instead of filtering leaves the counting scan as it is, so
+    that it can be shared with other uses of the same counts.
     """
-    known = counts.select(*keys, "value", F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0).alias("n"))
-    ranked = running_totals(known, keys, "value", ["n"])
-    first, last = F.col("n_upto") - F.col("n"), F.col("n_upto") - 1  # 0-based ranks held by a value
+    weight = F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0)
+    ranked = running_totals(counts.select(*keys, "value", "n", weight.alias("_w")), keys, "value", ["_w"])
+    first, last = F.col("_w_upto") - F.col("_w"), F.col("_w_upto") - 1  # 0-based ranks held by a value
     picks = []
     for name, p in probabilities.items():
-        position = F.lit(float(p)) * (F.col("n_total") - 1)
+        position = F.lit(float(p)) * (F.col("_w_total") - 1)
         low, high = F.floor(position), F.ceil(position)
         picks += [
             F.max(F.when((first <= low) & (low <= last), F.col("value"))).alias(f"_{name}_low"),
             F.max(F.when((first <= high) & (high <= last), F.col("value"))).alias(f"_{name}_high"),
             F.max(position - low).alias(f"_{name}_part"),
         ]
-    picked = ranked.groupBy(*keys).agg(*picks) if keys else ranked.agg(*picks)
+    picked = ranked.groupBy(*keys).agg(*picks, *extra)
+    others = [c for c in picked.columns if c not in keys][len(picks):]
     return picked.select(*keys, *[
         (F.col(f"_{n}_low") + (F.col(f"_{n}_high") - F.col(f"_{n}_low")) * F.col(f"_{n}_part")).alias(n)
         for n in probabilities
-    ])
+    ], *others)
 
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
 
-def moments(counts: DataFrame, keys: list[str]) -> DataFrame:
-    """n, mean, sample and population deviation, min and max per key from counted values."""
+def moment_sums() -> list[Column]:
+    """Aggregates over counted values that ``finish_moments`` turns into moments."""
     n, v = F.col("n"), F.col("value")
     known = F.when(v.isNotNull(), n)
-    total = F.coalesce(F.sum(known), F.lit(0).cast("long"))
-    sums = counts.groupBy(*keys).agg(
-        total.alias("n"), F.sum(n * v).alias("_s1"), F.sum(n * v * v).alias("_s2"),
-        F.min("value").alias("min"), F.max("value").alias("max"),
-    )
+    return [
+        F.coalesce(F.sum(known), F.lit(0).cast("long")).alias("_n"), F.sum(n * v).alias("_s1"),
+        F.sum(n * v * v).alias("_s2"), F.min(v).alias("min"), F.max(v).alias("max"),
+    ]
+
+
+def finish_moments(sums: DataFrame, keep: list[str]) -> DataFrame:
+    """n, mean, sample and population deviation, min and max next to the columns to ``keep``."""
+    n = F.col("_n")
     # rounding can leave a tiny negative sum of squares for a constant column
-    centred = F.greatest(F.col("_s2") - F.col("_s1") * F.col("_s1") / F.nullif(F.col("n"), F.lit(0)), F.lit(0.0))
+    centred = F.greatest(F.col("_s2") - F.col("_s1") * F.col("_s1") / F.nullif(n, F.lit(0)), F.lit(0.0))
+    centred = F.when(n > 0, centred)
     return sums.select(
-        *keys, "n",
-        (F.col("_s1") / F.nullif(F.col("n"), F.lit(0))).alias("mean"),
-        F.sqrt(centred / F.nullif(F.col("n") - 1, F.lit(0))).alias("std"),
-        F.sqrt(centred / F.nullif(F.col("n"), F.lit(0))).alias("std_pop"),
+        *keep, n.alias("n"),
+        (F.col("_s1") / F.nullif(n, F.lit(0))).alias("mean"),
+        F.sqrt(centred / F.nullif(n - 1, F.lit(0))).alias("std"),
+        F.sqrt(centred / F.nullif(n, F.lit(0))).alias("std_pop"),
         "min", "max",
     )
 
 
-def describe(counts: DataFrame, keys: list[str]) -> DataFrame:
+def moments(counts: DataFrame, keys: list[str]) -> DataFrame:
+    """Moments per key from counted values."""
+    return finish_moments(counts.groupBy(*keys).agg(*moment_sums()), keys)
+
+
+def describe(counts: DataFrame, keys: list[str], extra: list[Column] = ()) -> DataFrame:
     """Moments and quartiles per key; a column without values keeps its row with n = 0."""
-    return moments(counts, keys).join(quantiles(counts, keys, QUARTILES), keys, "left")
+    both = quantiles(counts, keys, QUARTILES, [*moment_sums(), *extra])
+    sums = {"_n", "_s1", "_s2", "min", "max"}
+    return finish_moments(both, [c for c in both.columns if c not in sums])

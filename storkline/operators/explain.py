@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from storkline import schema as S
 from storkline.operators.model import PREPARED, prepared_features
+from storkline.session import stored
 
 BLOCK_ROWS = 100_000
 
@@ -19,8 +20,8 @@ def with_partner(rows: DataFrame, columns: list[str], seed: int, blocks: int) ->
 
     Rows go to random blocks and take the next row of their block in random order, the last one
     taking the first: a random permutation without a global order. Position, not the key, decides
-    the block, so copies of one record spread over all blocks. ``rows`` must come straight from
-    files (or a checkpoint), so that a repeated task draws the same numbers.
+    the block, so copies of one record spread over all blocks. ``rows`` must be read from a table
+    (see ``stored``), so that a repeated task draws the same numbers.
     """
     drawn = rows.withColumns({
         "_block": F.floor(F.rand(seed) * blocks), "_order": F.rand(seed + 1_000_003),
@@ -45,7 +46,10 @@ def permutation_importance(
     taken from there, so the only exchange carries the rows themselves.
     """
     features = [f for f in features if f in df.columns]
-    rows = df.select(*[F.col(f).cast("double").alias(f) for f in features], F.col(target).cast("double").alias(target))
+    rows = stored(
+        df.select(*[F.col(f).cast("double").alias(f) for f in features], F.col(target).cast("double").alias(target)),
+        "importance",
+    )
     blocks = _blocks(rows)
 
     def variant(changed: str) -> Column:
@@ -103,7 +107,7 @@ def sampled_shapley(
     """
     features = [f for f in features if f in df.columns]
     p = len(features)
-    rows = df.select(key, *[F.col(f).cast("double").alias(f) for f in features])
+    rows = stored(df.select(key, *[F.col(f).cast("double").alias(f) for f in features]), "shapley")
     blocks = _blocks(rows)
     numbers = F.array(*[F.lit(i) for i in range(p)])
     names = F.array(*[F.lit(f) for f in features])

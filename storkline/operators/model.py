@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from storkline import schema as S
 from storkline.functions.counts import quantiles, value_counts_long
+from storkline.functions.partitions import spread
 from storkline.functions.sampling import add_fold, sample_n
 from storkline.operators.metrics import evaluate_split, metric_row, regression_columns
 from storkline.operators.profile import sort_metric
@@ -35,46 +36,37 @@ PREPARED = "x_"
 # ---- feature preparation
 
 
-def _fills(counts: DataFrame, numeric: list[str]) -> DataFrame:
-    """``(feature, strategy, fill)`` from counted values; null for a feature without any value."""
-    known = F.when(F.col("value").isNotNull(), F.col("n"))
-    mode = counts.groupBy("feature").agg(
-        F.max_by("value", F.struct(known.alias("n"), -F.col("value"))).alias("mode")
-    )
-    is_numeric = F.col("feature").isin(list(numeric))
-    return mode.join(quantiles(counts, ["feature"], {"median": 0.5}), "feature").select(
-        "feature", F.when(is_numeric, "median").otherwise("most_frequent").alias("strategy"),
-        F.when(is_numeric, F.col("median")).otherwise(F.col("mode")).alias("fill"),
-    )
-
-
-def fill_values(
-    df: DataFrame, numeric: list[str] = S.NUMERIC_FEATURES, binary: list[str] = S.BINARY_FEATURES
-) -> DataFrame:
-    """Fill value per feature: the exact median of numeric ones, the most frequent value of binary
-    ones (the lowest on a tie)."""
-    return _fills(value_counts_long(df, [*numeric, *binary]), numeric)
-
-
 def fit_statistics(
     df: DataFrame, numeric: list[str] = S.NUMERIC_FEATURES, binary: list[str] = S.BINARY_FEATURES
 ) -> DataFrame:
-    """Fill value, mean and population deviation per feature, from one scan of counted values.
+    """Strategy, fill value, mean and population deviation per feature, from one scan.
 
-    Mean and deviation hold after filling. A feature without any value has no row.
+    Numeric features fill with the exact median, binary ones with the most frequent value (the
+    lowest on a tie). Mean and deviation hold after filling. A feature without any value has a null
+    fill value.
     """
-    counts = value_counts_long(df, [*numeric, *binary])
-    # one row per feature
-    placed = counts.join(F.broadcast(_fills(counts, numeric)), "feature")
-    n, d = F.col("n"), F.coalesce(F.col("value") - F.col("fill"), F.lit(0.0))
-    sums = placed.groupBy("feature", "strategy", "fill").agg(
-        F.sum(n).alias("rows"), F.sum(n * d).alias("s1"), F.sum(n * d * d).alias("s2")
-    )
-    offset = F.col("s1") / F.col("rows")
-    return sums.filter(F.col("fill").isNotNull()).select(
-        "feature", "strategy", "fill", (F.col("fill") + offset).alias("mean"),
-        F.sqrt(F.greatest(F.col("s2") / F.col("rows") - offset * offset, F.lit(0.0))).alias("std_pop"),
+    n, v = F.col("n"), F.col("value")
+    known = F.when(v.isNotNull(), n)
+    found = quantiles(value_counts_long(df, [*numeric, *binary]), ["feature"], {"median": 0.5}, [
+        F.max_by(v, F.struct(known.alias("n"), -v)).alias("mode"),
+        F.sum(n).alias("rows"), F.sum(known).alias("known"),
+        F.sum(n * v).alias("s1"), F.sum(n * v * v).alias("s2"),
+        (F.min(v) == F.max(v)).alias("constant"),
+    ])
+    is_numeric = F.col("feature").isin(list(numeric))
+    fill, missing = F.col("fill"), F.col("rows") - F.col("known")
+    filled = found.select(
+        "feature", F.when(is_numeric, "median").otherwise("most_frequent").alias("strategy"),
+        F.when(is_numeric, F.col("median")).otherwise(F.col("mode")).alias("fill"),
+        "rows", "known", "s1", "s2", "constant",
+    ).select(
+        "feature", "strategy", "fill", "constant", ((F.col("s1") + missing * fill) / F.col("rows")).alias("mean"),
+        ((F.col("s2") + missing * fill * fill) / F.col("rows")).alias("square"),
     )
+    variance = F.greatest(F.col("square") - F.col("mean") * F.col("mean"), F.lit(0.0))
+    # rounding must not make a constant column look spread
+    deviation = F.when(F.col("constant"), F.lit(0.0)).otherwise(F.sqrt(variance))
+    return filled.select("feature", "strategy", "fill", "mean", deviation.alias("std_pop"))
 
 
 def _literal(value: float) -> str:
@@ -114,7 +106,7 @@ class FeaturePrep(Estimator, HasOutputCol, DefaultParamsReadable, DefaultParamsW
         numeric = [c for c in self.getOrDefault(self.numericCols) if c in df.columns]
         binary = [c for c in self.getOrDefault(self.binaryCols) if c in df.columns]
         # one row per feature
-        rows = {r.feature: (r.fill, r.mean, r.std_pop) for r in fit_statistics(df, numeric, binary).collect()}
+        rows = {r.feature: (r.fill, r.mean, r.std_pop) for r in fit_statistics(df, numeric, binary).filter("fill is not null").collect()}
         kept = [c for c in [*numeric, *binary] if c in rows]
         dropped = [c for c in [*numeric, *binary] if c not in rows]
         if dropped:
@@ -244,7 +236,7 @@ def train_and_log(
     """Fit, measure on both splits, and record the run (and the model) below the ``runs`` folder."""
     shared_folder(train.sparkSession)
     start = time.time()
-    model = pipeline.fit(train)
+    model = pipeline.fit(spread(train))
     seconds = time.time() - start
     metrics, sizes = {}, {}
     for split, df in (("train", train), ("val", val)):
@@ -279,8 +271,8 @@ def run_search(
     spark = train.sparkSession
     shared_folder(spark)
     prep = FeaturePrep().fit(train)
-    fit_rows = prep.transform(train).select("features", label).persist(StorageLevel.MEMORY_AND_DISK)
-    val_rows = prep.transform(val).select("features", label).persist(StorageLevel.MEMORY_AND_DISK)
+    fit_rows = prep.transform(spread(train)).select("features", label).persist(StorageLevel.MEMORY_AND_DISK)
+    val_rows = prep.transform(spread(val)).select("features", label).persist(StorageLevel.MEMORY_AND_DISK)
     draw = random.Random(seed)
     drawn = [space(draw) for _ in range(n_trials)]
 
@@ -316,7 +308,9 @@ def screening_table(
     """Candidates fitted on the same sample of training rows, best validation error first."""
     spark = train.sparkSession
     shared_folder(spark)
-    drawn = sample_n(train, sample, key, seed).persist(StorageLevel.MEMORY_AND_DISK)
+    # a limit leaves one partition
+    cores = spark.sparkContext.defaultParallelism
+    drawn = sample_n(train, sample, key, seed).repartition(cores).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         lines = []
         for name, (model, scale) in candidates.items():
@@ -358,6 +352,6 @@ def reload_predict(spark, path: str, df: DataFrame, n: int = 5, label: str = S.T
 
 __all__ = [
     "BaselineMean", "FeaturePrep", "Ridge", "build_pipeline", "depthwise_space", "evaluate_split",
-    "fill_values", "fit_statistics", "gbt", "kfold_scores", "leafwise_space", "prepared_features", "reload_predict",
+    "fit_statistics", "gbt", "kfold_scores", "leafwise_space", "prepared_features", "reload_predict",
     "run_search", "screening_table", "train_and_log",
 ]

@@ -266,15 +266,14 @@ def yearly_trend(df: DataFrame, target: str = S.TARGET, digits: int = 6) -> Data
         F.sum(F.coalesce(F.col("gestation_preterm"), F.lit(0))).alias("n_preterm"),
         F.count("gestation_preterm").alias("n_flagged"),
     )
-    stats = moments(counts, ["year_fix"])
+    n = F.col("n")
+    joined = describe(counts, ["year_fix"])
     rates = counts.groupBy("year_fix").agg(
-        (F.sum(F.when(F.col("value") < S.LBW_GRAMS, F.col("n")).otherwise(0)) * 100.0 / F.sum("n")).alias("lbw_pct"),
+        (F.sum(F.when(F.col("value") < S.LBW_GRAMS, n).otherwise(0)) * 100.0 / F.sum("n")).alias("lbw_pct"),
         (F.sum("n_preterm") * 100.0 / F.nullif(F.sum("n_flagged"), F.lit(0))).alias("preterm_pct"),
     )
-    median = quantiles(counts, ["year_fix"], {"median": 0.5})
-    joined = stats.join(rates, "year_fix").join(median, "year_fix")
     shown = ["mean", "median", "std", "lbw_pct", "preterm_pct"]
-    return joined.select("year_fix", "n", *[rint_to(F.col(c), digits).alias(c) for c in shown])
+    return joined.join(rates, "year_fix").select("year_fix", "n", *[rint_to(F.col(c), digits).alias(c) for c in shown])
 
 
 def histogram(df: DataFrame, columns: list[str], bins: int = 80, digits: int = 9) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from storkline import schema as S
 from storkline.functions.columns import label_of, paired_columns, rint_to, rounded
+from storkline.functions.partitions import spread
 from storkline.functions.sampling import add_fold, sample_n
 from storkline.operators import clean, drift, explain, features, metrics, model, profile, split, validate
 from storkline.sources import raw_files, run_tables, split_files
@@ -52,6 +53,11 @@ def gestation_ridge(train: DataFrame) -> PipelineModel:
     return model.build_pipeline(model.Ridge(1.0), True, ["gestation_weeks"], []).fit(train)
 
 
+def small_trees(spark: SparkSession, sf_dir: str) -> PipelineModel:
+    shared_folder(spark)
+    return model.build_pipeline(model.gbt(**SMALL_TREES)).fit(spread(part(spark, sf_dir, "train")))
+
+
 def scored_by_ridge(spark: SparkSession, sf_dir: str) -> DataFrame:
     fitted = gestation_ridge(part(spark, sf_dir, "train"))
     return fitted.transform(divided(spark, sf_dir)).drop("features", "x_gestation_weeks")
@@ -498,7 +504,7 @@ def expectations(spark, sf_dir):
 
 @query
 def impute(spark, sf_dir):
-    return model.fill_values(part(spark, sf_dir, "train"))
+    return model.fit_statistics(part(spark, sf_dir, "train")).select("feature", "strategy", "fill")
 
 
 @query
@@ -544,8 +550,7 @@ def ridge(spark, sf_dir):
 
 @query
 def gbt(spark, sf_dir):
-    shared_folder(spark)
-    fitted = model.build_pipeline(model.gbt(**SMALL_TREES)).fit(part(spark, sf_dir, "train"))
+    fitted = small_trees(spark, sf_dir)
     return metrics.all_metrics(fitted.transform(divided(spark, sf_dir)), ["split"])
 
 
@@ -612,8 +617,7 @@ def permutation_importance(spark, sf_dir):
 
 @query
 def permutation_importance_trees(spark, sf_dir):
-    shared_folder(spark)
-    fitted = model.build_pipeline(model.gbt(**SMALL_TREES)).fit(part(spark, sf_dir, "train"))
+    fitted = small_trees(spark, sf_dir)
     return explain.permutation_importance(fitted, part(spark, sf_dir, "val"), repeats=2)
 
 
@@ -628,8 +632,7 @@ def shapley(spark, sf_dir):
 @query
 def shapley_trees(spark, sf_dir):
     """Sampled values of boosted trees, mean size per feature over a sample of 1,000 rows."""
-    shared_folder(spark)
-    fitted = model.build_pipeline(model.gbt(**SMALL_TREES)).fit(part(spark, sf_dir, "train"))
+    fitted = small_trees(spark, sf_dir)
     rows = sample_n(part(spark, sf_dir, "val"), 1000, "birth_id")
     phi = explain.sampled_shapley(fitted, rows, "birth_id", permutations=4)
     return phi.groupBy("feature").agg(F.avg(F.abs("phi")).alias("mean_abs")).orderBy(F.desc("mean_abs"))
@@ -637,8 +640,7 @@ def shapley_trees(spark, sf_dir):
 
 @query
 def builtin_importance(spark, sf_dir):
-    shared_folder(spark)
-    fitted = model.build_pipeline(model.gbt(**SMALL_TREES)).fit(part(spark, sf_dir, "train"))
+    fitted = small_trees(spark, sf_dir)
     return explain.builtin_importance(fitted)
 
 

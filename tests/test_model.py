@@ -65,7 +65,7 @@ def test_fill_values(spark):
     df = spark.createDataFrame(
         [(1.0, 1.0, None), (2.0, 1.0, None), (4.0, 0.0, None), (9.0, 0.0, None), (None, None, None)], "a double, b double, c double"
     )
-    got = {r.feature: (r.strategy, r.fill) for r in model.fill_values(df, ["a", "c"], ["b"]).collect()}
+    got = {r.feature: (r.strategy, r.fill) for r in model.fit_statistics(df, ["a", "c"], ["b"]).collect()}
     assert got == {"a": ("median", 3.0), "b": ("most_frequent", 0.0), "c": ("median", None)}
 
 
