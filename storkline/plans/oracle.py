@@ -8,6 +8,7 @@ from __future__ import annotations
 from itertools import combinations
 
 from storkline import schema as S
+from storkline.functions import normal
 from storkline.plans.queries import BOXED, DRIFTED, PROFILED
 from storkline.sources.births import BIRTHS_COLUMNS
 
@@ -114,6 +115,9 @@ def all_metrics(keys: str, table: str = "scored", where: str = "true") -> str:
     return f"SELECT {lead}mae, rmse, r2, {rates} FROM (SELECT {lead}{METRICS}, {cells} FROM {table} WHERE {where} {group})"
 
 
+IN_TRAIN, IN_VAL, IN_TEST = ("split = 'train'", "split = 'val'", "split = 'test'")
+
+
 def long_of(table: str, columns, lead: str = "", where: str = "true") -> str:
     """CTE body: one row per column and value."""
     return rows_of(f"SELECT {lead}'@' AS feature, CAST(@ AS DOUBLE) AS value FROM {table} WHERE {where}", columns)
@@ -259,6 +263,29 @@ def fill_of(column: str) -> str:
     return f"(SELECT fill FROM fills WHERE feature = '{column}')"
 
 
+def horner(x: str, coefficients: list[float]) -> str:
+    out = f"{coefficients[0]!r}"
+    for c in coefficients[1:]:
+        out = f"({out} * {x} + {c!r})"
+    return out
+
+
+def normal_quantile(p: str) -> str:
+    """The published approximation AS 241 as SQL."""
+    def part(x: str, region) -> str:
+        return f"{horner(x, region[0])} / {horner(x, region[1])}"
+
+    r = f"sqrt(-ln(least({p}, 1e0 - {p})))"
+    return f"""CASE WHEN abs({p} - 0.5e0) <= 0.425e0 THEN ({p} - 0.5e0) * {part(f'(0.180625e0 - ({p} - 0.5e0) * ({p} - 0.5e0))', normal.CENTRE)}
+  WHEN {r} <= 5e0 THEN sign({p} - 0.5e0) * {part(f'({r} - 1.6e0)', normal.SHOULDER)} ELSE sign({p} - 0.5e0) * {part(f'({r} - 5e0)', normal.TAIL)} END"""
+
+
+QQ = [
+    f"drawn AS (SELECT weight_grams AS ordered FROM clean ORDER BY {key_hash('birth_id')}, birth_id LIMIT 5000)",
+    "numbered AS (SELECT ordered, row_number() OVER (ORDER BY ordered) AS i, (SELECT count(*) FROM drawn) * 1e0 AS m FROM drawn)",
+    "levels AS (SELECT i, ordered, CASE WHEN i = m THEN 0.5e0 ** (1e0 / m) WHEN i = 1 THEN 1e0 - 0.5e0 ** (1e0 / m) ELSE (i - 0.3175e0) / (m + 0.365e0) END AS p FROM numbered)",
+    f"points AS (SELECT i, ordered, {normal_quantile('p')} AS z FROM levels)",
+]
 RANKED_COLUMNS = S.CORRELATION_COLUMNS[1:]
 
 
@@ -379,6 +406,9 @@ def oracle_sql() -> dict[str, str]:
         "kde_by_split": kde("split", "split", 200),
         "box_stats": boxes("clean", [S.TARGET], "is_male"),
         "box_stats_by_category": boxes("labelled", BOXED, "weight_category", (f"labelled AS (SELECT *, CASE WHEN weight_grams <= 1500 THEN 'VLBW' WHEN weight_grams <= 2500 THEN 'LBW' WHEN weight_grams <= 4000 THEN 'Normal' ELSE 'Macrosomia' END AS weight_category FROM clean)",)),
+        "qq_points": sql("clean", "SELECT CAST(i AS INT) AS i, round_even(z * 1000000e0, 0) / 1000000e0 AS theoretical, ordered FROM points", *QQ),
+        "qq_line": sql("clean", """SELECT round_even(regr_slope(ordered, z) * 100000e0, 0) / 100000e0 AS slope,
+  round_even(regr_intercept(ordered, z) * 100000e0, 0) / 100000e0 AS intercept, round_even(corr(ordered, z) * 100000e0, 0) / 100000e0 AS r FROM points""", *QQ),
         # ordering, sampling, set operations
         "sort_metric": sql("split", LINES),
         "top_k": sql("split", f"SELECT * FROM ({LINES}) ORDER BY val_mae LIMIT 6"),
@@ -402,10 +432,19 @@ def oracle_sql() -> dict[str, str]:
         "ridge_predictions": sql("ridge", "SELECT birth_id, round_even((prediction) * 10000e0, 0) / 10000e0 AS prediction FROM scored"),
         "regression_metrics": sql("ridge", f"SELECT split, {METRICS} FROM scored GROUP BY split"),
         "clinical_metrics": sql("ridge", f"SELECT split, {rates} FROM (SELECT split, {cells} FROM scored GROUP BY split)"),
-        "evaluate_split": sql("ridge", "SELECT " + each("@ AS val_@", ["mae", "rmse", "r2", "lbw_prevalence_pct", "sensitivity", "specificity", "precision", "f1", "n_lbw_true", "n_lbw_pred"]) + f" FROM ({all_metrics('', where=chr(39).join(['split = ', 'val', '']))})"),
+        "evaluate_split": sql("ridge", "SELECT " + each("@ AS val_@", ["mae", "rmse", "r2", "lbw_prevalence_pct", "sensitivity", "specificity", "precision", "f1", "n_lbw_true", "n_lbw_pred"]) + f" FROM ({all_metrics('', where=IN_VAL)})"),
         "acceptance_gate": sql("ridge", "\nUNION ALL ".join(
             f"SELECT '{m}' AS metric, CAST({m} AS DOUBLE) AS value, '{d}' AS direction, CAST({b} AS DOUBLE) AS bound, CASE WHEN {m} {d} {b} THEN 'PASS' ELSE 'FAIL' END AS verdict FROM m"
-            for m, (d, b) in S.ACCEPTANCE.items()), f"m AS ({all_metrics('', where=chr(39).join(['split = ', 'test', '']))})"),
+            for m, (d, b) in S.ACCEPTANCE.items()), f"m AS ({all_metrics('', where=IN_TEST)})"),
+        "train_and_log": sql(
+            "ridge",
+            """SELECT 'ridge' AS run_name, (SELECT count(*) FROM split WHERE split = 'train') AS n_train, (SELECT count(*) FROM split WHERE split = 'val') AS n_val,
+  'ridge' AS model_type, t.mae AS train_mae, t.rmse AS train_rmse, t.r2 AS train_r2, v.mae AS val_mae, v.rmse AS val_rmse, v.r2 AS val_r2,
+  v.sensitivity AS val_sensitivity, v.specificity AS val_specificity FROM t, v""",
+            f"t AS ({all_metrics('', where=IN_TRAIN)})", f"v AS ({all_metrics('', where=IN_VAL)})",
+        ),
+        "reload_predict": sql("ridge", """SELECT weight_grams AS actual, round_even(prediction * 10000e0, 0) / 10000e0 AS predicted,
+  round_even(abs(prediction - weight_grams) * 10000e0, 0) / 10000e0 AS error FROM scored WHERE split = 'test' ORDER BY birth_id, weight_grams LIMIT 5"""),
         "permutation_importance": "SELECT * FROM (VALUES " + each("('@', 0e0, 0e0)", S.MODEL_FEATURES) + ") v(feature, importance, std)",
         "shapley": sql("ridge", """SELECT 'gestation_weeks' AS feature, round_even((avg(abs(w * (g - (SELECT avg(g) FROM filled WHERE split = 'val')) / sg))) * 1000000e0, 0) / 1000000e0 AS mean_abs
   FROM filled, scale, weight WHERE split = 'val'"""),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml import PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,9 +48,13 @@ def part(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return divided(spark, sf_dir).filter(F.col("split") == name).drop("split")
 
 
+def gestation_pipeline() -> Pipeline:
+    return model.build_pipeline(model.Ridge(1.0), True, ["gestation_weeks"], [])
+
+
 def gestation_ridge(train: DataFrame) -> PipelineModel:
     """A fitted one-feature ridge model, small enough for a closed form in SQL."""
-    return model.build_pipeline(model.Ridge(1.0), True, ["gestation_weeks"], []).fit(train)
+    return gestation_pipeline().fit(train)
 
 
 def small_trees(spark: SparkSession, sf_dir: str) -> PipelineModel:
@@ -578,11 +582,15 @@ def acceptance_gate(spark, sf_dir):
 
 @query
 def train_and_log(spark, sf_dir):
+    """The recorded run of the one-feature ridge."""
     folder = work_path(spark, "tracking")
     train, val = part(spark, sf_dir, "train"), part(spark, sf_dir, "val")
-    model.train_and_log(model.build_pipeline(model.Ridge(1.0), True), "ridge", train, val, folder, {"alpha": 1.0})
-    runs = run_tables.read_runs(spark, folder)
-    return runs.select("run_name", "params", F.map_filter("metrics", lambda k, v: k != "train_time_sec").alias("metrics"), "tags")
+    model.train_and_log(gestation_pipeline(), "ridge", train, val, folder, {"alpha": 1.0})
+    shown = ["train_mae", "train_rmse", "train_r2", "val_mae", "val_rmse", "val_r2", "val_sensitivity", "val_specificity"]
+    return run_tables.read_runs(spark, folder).select(
+        "run_name", F.col("params")["n_train"].cast("long").alias("n_train"), F.col("params")["n_val"].cast("long").alias("n_val"),
+        F.col("tags")["model_type"].alias("model_type"), *[F.col("metrics")[m].alias(m) for m in shown],
+    )
 
 
 @query
@@ -594,7 +602,10 @@ def hpo(spark, sf_dir):
         return {**SMALL_TREES, "n_estimators": draw.randint(2, 5), "max_depth": draw.randint(2, 4)}
 
     model.run_search("trees", space, lambda p: model.gbt(**p), train, val, n_trials=3, runs=folder)
-    return run_tables.read_runs(spark, folder).select("run_name", "params", "metrics", "tags")
+    return run_tables.read_runs(spark, folder).select(
+        "run_name", F.col("params")["n_estimators"].alias("n_estimators"), F.col("params")["max_depth"].alias("max_depth"),
+        F.col("metrics")["val_mae"].alias("val_mae"), F.col("metrics")["best_val_mae"].alias("best_val_mae"),
+    )
 
 
 @query
@@ -658,11 +669,13 @@ def find_run(spark, sf_dir):
 
 @query
 def reload_predict(spark, sf_dir):
+    """The registered one-feature ridge, loaded to score the first test records by key."""
     folder = work_path(spark, "tracking")
     train, val, test = (part(spark, sf_dir, s) for s in S.SPLITS)
-    _, run = model.train_and_log(model.build_pipeline(model.Ridge(1.0), True), "ridge", train, val, folder)
+    _, run = model.train_and_log(gestation_pipeline(), "ridge", train, val, folder)
     run_tables.register_model(spark, folder, "birth-weight", run.run_id)
-    return model.reload_predict(spark, run_tables.registered_path(spark, folder, "birth-weight"), test)
+    path = run_tables.registered_path(spark, folder, "birth-weight")
+    return model.reload_predict(spark, path, test.orderBy("birth_id", S.TARGET), 5).withColumns(rounded(["predicted", "error"], 4))
 
 
 # ---- drift and scoring
