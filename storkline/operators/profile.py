@@ -321,28 +321,29 @@ def kde(
     The grid reaches half a range beyond the data on both sides. Rows are counted by value before
     the grid is laid over them, so the work grows with distinct values.
     """
-    group = key or "_all"
-    source = df if key else df.withColumn("_all", F.lit("all"))
-    counts = value_counts_of(source, column, [group])
-    stats = moments(counts, [group]).filter((F.col("n") > min_rows) & (F.col("std") > 0))
+    keys = [key] if key else []
+    counts = value_counts_of(df, column, keys)
+    stats = moments(counts, keys).filter((F.col("n") > min_rows) & (F.col("std") > 0))
     reach = F.col("max") - F.col("min")
     stats = stats.select(
-        F.col(group), F.col("n").alias("total"),
+        *keys, F.col("n").alias("total"),
         (F.col("std") * F.pow(F.col("n").cast("double"), F.lit(-0.2))).alias("bandwidth"),
         (F.col("min") - 0.5 * reach).alias("start"), (2.0 * reach / (points - 1)).alias("step"),
     )
+    if key:
+        placed = counts.join(stats, key)
+    else:
+        placed = counts.withColumn("_stats", stats.select(F.struct("*")).scalar()).select("value", "n", "_stats.*")
     # each counted value meets every grid point inside its task and is summed there
-    spread = counts.join(stats, group).select(
-        "*", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point")
-    )
+    spread = placed.select("*", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
     x = F.col("start") + F.col("point") * F.col("step")
     z = (x - F.col("value")) / F.col("bandwidth")
     scale = F.col("total") * F.col("bandwidth") * 2.5066282746310002  # sqrt(2 pi)
-    out = spread.groupBy(group, "point", x.alias("x"), scale.alias("scale")).agg(
+    out = spread.groupBy(*keys, "point", x.alias("x"), scale.alias("scale")).agg(
         F.sum(F.col("n") * F.exp(-0.5 * z * z)).alias("weight")
     )
-    return out.select(
-        *([group] if key else []), "point", rint_to(F.col("x"), 6).alias("x"),
+    return out.filter(F.col("scale").isNotNull()).select(
+        *keys, "point", rint_to(F.col("x"), 6).alias("x"),
         rint_to(F.col("weight") / F.col("scale"), digits).alias("density"),
     )
 
