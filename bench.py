@@ -15,7 +15,7 @@ from storkline.session import build_session  # noqa: E402
 
 HEADLINES = [
     "split_summary", "engineer_features", "describe_numeric", "target_stats", "missing_patterns",
-    "corr_matrix", "yearly_trend", "kde", "box_stats_by_category", "expectations", "sample_rows",
+    "corr_matrix", "yearly_trend", "kde", "box_stats_by_category", "expectations", "sample_n",
     "psi", "ks_drift", "cross_file_duplicates", "standardize", "baseline_mean", "ridge", "gbt",
 ]
 

@@ -325,6 +325,10 @@ def oracle_sql() -> dict[str, str]:
         "load_all": sql("births", f"""SELECT source_file, count(*) AS n_rows, min(source_year) AS source_year,
   {each('count(@) AS known_@', S.RAW_COLUMNS)}, round_even((sum(weight_pounds)) * 10000e0, 0) / 10000e0 AS sum_weight_pounds,
   round_even((sum(gestation_weeks)) * 10000e0, 0) / 10000e0 AS sum_gestation_weeks, CAST(sum(length(lmp)) AS BIGINT) AS lmp_chars FROM births GROUP BY source_file"""),
+        "scan_csv": sql("births", f"SELECT source_year, {raw} FROM births WHERE source_year = 2002"),
+        "skip_bad_lines": sql("births", "SELECT year_fix, month, count(*) AS n, count(*) FILTER (apgar_1min <> 6) AS n_state FROM births WHERE apgar_1min <> 7 GROUP BY 1, 2"),
+        "save_splits": sql("split", "SELECT split, count(*) AS n_rows, round_even(sum(weight_grams) * 10e0, 0) / 10e0 AS sum_grams, CAST(sum(parity) AS BIGINT) AS sum_parity FROM split GROUP BY split"),
+        "verify_reload": sql("split", "SELECT split, count(*) AS n_rows, 1 AS rows_match, 1 AS columns_match FROM split GROUP BY split"),
         "read_pruned": sql("split", f"""SELECT count(*) AS n_rows, {each('count(@) AS known_@', S.MODEL_FEATURES)},
   round_even((avg(CAST(CAST(weight_grams AS FLOAT) AS DOUBLE))) * 1000e0, 0) / 1000e0 AS mean_grams, round_even((avg(gestation_weeks)) * 1000000e0, 0) / 1000000e0 AS mean_gestation
   FROM split WHERE split = 'val'"""),
@@ -413,7 +417,7 @@ def oracle_sql() -> dict[str, str]:
         "sort_metric": sql("split", LINES),
         "top_k": sql("split", f"SELECT * FROM ({LINES}) ORDER BY val_mae LIMIT 6"),
         "argmin_model": sql("split", f"SELECT * FROM ({LINES}) ORDER BY val_mae LIMIT 1"),
-        "sample_rows": sql("clean", f"SELECT birth_id, weight_grams FROM clean ORDER BY {key_hash('birth_id')}, birth_id LIMIT 5000"),
+        "sample_n": sql("clean", f"SELECT birth_id, weight_grams FROM clean ORDER BY {key_hash('birth_id')}, birth_id LIMIT 5000"),
         "limit_per_file": sql("births", "SELECT birth_id, source_file FROM births QUALIFY row_number() OVER (PARTITION BY source_file ORDER BY birth_id) <= 1000"),
         "union_by_name": sql("births", "SELECT birth_id, source_file, weight_pounds, CASE WHEN source_year >= 2002 THEN alcohol_use END AS alcohol_use, CASE WHEN source_year >= 2002 THEN drinks_per_week END AS drinks_per_week FROM births"),
         "union_splits": sql("features", "SELECT count(*) AS n, count(*) FILTER (weight_grams < 300 OR weight_grams > 7000) AS out_of_range FROM features"),
@@ -448,7 +452,7 @@ def oracle_sql() -> dict[str, str]:
         "permutation_importance": "SELECT * FROM (VALUES " + each("('@', 0e0, 0e0)", S.MODEL_FEATURES) + ") v(feature, importance, std)",
         "shapley": sql("ridge", """SELECT 'gestation_weeks' AS feature, round_even((avg(abs(w * (g - (SELECT avg(g) FROM filled WHERE split = 'val')) / sg))) * 1000000e0, 0) / 1000000e0 AS mean_abs
   FROM filled, scale, weight WHERE split = 'val'"""),
-        "find_run": sql("mean", """SELECT split || '-' || source_year AS run_id, split AS run_name, CAST(source_year AS BIGINT) AS start_ms, round_even((avg(abs(weight_grams - prediction))) * 1000e0, 0) / 1000e0 AS mae
+        "run_search": sql("mean", """SELECT split || '-' || source_year AS run_id, split AS run_name, CAST(source_year AS BIGINT) AS start_ms, round_even((avg(abs(weight_grams - prediction))) * 1000e0, 0) / 1000e0 AS mae
   FROM scored WHERE split = 'train' GROUP BY source_year, split ORDER BY source_year DESC LIMIT 1"""),
         # drift and scoring
         "psi": sql("split", "SELECT * FROM psi WHERE split <> 'train'", *psi_ctes(split_long(DRIFTED), "split", "ref")),

@@ -21,6 +21,8 @@ from storkline.streaming import jobs
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+# texts keep their blanks, as in a raw file
+RAW_CSV = {"header": True, "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 PROFILED = [*S.NUMERIC_RAW_COLUMNS, "source_year"]
 BOXED = ["gestation_weeks", "mother_age", "weight_gain_pounds"]
 DRIFTED = ["gestation_weeks", "mother_age", "weight_gain_pounds", "father_age", S.TARGET]
@@ -28,7 +30,8 @@ SMALL_TREES = {"n_estimators": 10, "max_depth": 4, "learning_rate": 0.2, "max_bi
 
 
 def query(function: Query) -> Query:
-    QUERIES[function.__name__] = function
+    """Registers a query under its name, without the ending that keeps it apart from its operator."""
+    QUERIES[function.__name__.removesuffix("_query")] = function
     return function
 
 
@@ -96,7 +99,7 @@ def load_all(spark, sf_dir):
     for i, name in enumerate(S.ERA_FILES):
         order = S.RAW_COLUMNS[i * 5:] + S.RAW_COLUMNS[:i * 5]
         rows = view.filter(F.col("source_file") == name).select(*order)
-        rows.write.option("header", True).csv(f"{folder}/{name}")
+        rows.write.options(**RAW_CSV).csv(f"{folder}/{name}")
     loaded = raw_files.load_all(spark, folder)
     return loaded.groupBy("source_file").agg(
         F.count(F.lit(1)).alias("n_rows"), F.min("source_year").alias("source_year"),
@@ -107,6 +110,51 @@ def load_all(spark, sf_dir):
     )
 
 
+@query
+def scan_csv(spark, sf_dir):
+    """One era written as CSV with a foreign column, scanned by name and typed."""
+    path = work_path(spark, "newborn_2002")
+    rows = births(spark, sf_dir).filter("source_year = 2002").withColumn("foreign", F.lit("x"))
+    rows.select("foreign", *reversed(S.RAW_COLUMNS)).write.options(**RAW_CSV).csv(path)
+    return raw_files.scan_csv(spark, path)
+
+
+@query
+def skip_bad_lines(spark, sf_dir):
+    """Lines with a surplus field are dropped, lines with too few are padded with nulls."""
+    path = work_path(spark, "lines")
+    view, line = births(spark, sf_dir), F.col("apgar_1min")
+    surplus = F.when(line == 7, ",surplus").otherwise("")
+    ending = F.when(line == 6, "").otherwise(F.concat(F.lit(","), "state", surplus))
+    text = F.concat(F.col("year_fix").cast("string"), F.lit(","), F.col("month").cast("string"), ending)
+    # written as one column whose name is the header line
+    view.select(text.alias("year_fix,month,state")).write.option("header", True).option("sep", "\t").csv(path)
+    scanned = raw_files.scan_csv(spark, path, era_year=1986)
+    return scanned.groupBy("year_fix", "month").agg(F.count(F.lit(1)).alias("n"), F.count("state").alias("n_state"))
+
+
+@query
+def save_splits(spark, sf_dir):
+    """Split sets written and loaded: rows and sums per set."""
+    folder = work_path(spark, "splits")
+    split_files.save_splits(divided(spark, sf_dir), folder)
+    parts = zip(S.SPLITS, split_files.load_splits(spark, folder))
+    return raw_files.union_by_name([df.withColumn("split", F.lit(name)) for name, df in parts]).groupBy("split").agg(
+        F.count(F.lit(1)).alias("n_rows"), rint_to(F.sum(S.TARGET), 1).alias("sum_grams"), F.sum("parity").alias("sum_parity")
+    )
+
+
+@query
+def verify_reload(spark, sf_dir):
+    folder = work_path(spark, "splits")
+    df = featured(spark, sf_dir)
+    split_files.save_splits(df, folder)
+    report = split_files.verify_reload(split.temporal_split(df), split_files.load_splits(spark, folder))
+    rows = [(r["split"], r["rows"], int(r["rows_match"]), int(r["columns_match"])) for r in report]
+    # one row per split
+    return spark.createDataFrame(rows, "split string, n_rows long, rows_match int, columns_match int")
+
+
 @query
 def read_pruned(spark, sf_dir):
     """Split sets written once, one read back with the model columns only."""
@@ -460,7 +508,7 @@ def argmin_model(spark, sf_dir):
 
 
 @query
-def sample_rows(spark, sf_dir):
+def sample_n_query(spark, sf_dir):
     return sample_n(cleaned(spark, sf_dir), 5000, "birth_id").select("birth_id", S.TARGET)
 
 
@@ -656,7 +704,7 @@ def builtin_importance(spark, sf_dir):
 
 
 @query
-def find_run(spark, sf_dir):
+def run_search_query(spark, sf_dir):
     """Newest run of a name among runs derived per era and split."""
     mae = metrics.regression_metrics(scored_by_mean(spark, sf_dir), ["source_year", "split"])
     runs = mae.select(
