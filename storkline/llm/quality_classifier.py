@@ -63,7 +63,7 @@ def text_features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def train(
-    texts: list[str], labels: list[int], dim: int = 8, epochs: int = 12, rate: float = 4.0, seed: int = 42
+    texts: list[str], labels: list[int], dim: int = 8, epochs: int = 6, rate: float = 4.0, seed: int = 42
 ) -> tuple[np.ndarray, float]:
     """One number per bucket and a constant: log odds of label 1 are their mean over a text, plus constant."""
     y = np.array(labels, np.int64)
@@ -117,7 +117,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, rows: int, id_col: str,
 
 def score_quality(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
-    threshold: float = 0.3, train_rows: int = 8_000, prefix: str = "",
+    threshold: float = 0.3, train_rows: int = 6_000, prefix: str = "",
 ) -> DataFrame:
     """The rows of ``docs`` with all columns and ``held_out``, ``score``, ``predicted``.
 

@@ -25,12 +25,14 @@ RULES: dict[str, tuple[str, str]] = {
     "dup_lines": ("10 * n_dup_lines > 3 * n_lines", "n_dup_lines = 0"),
     "repeat_words": ("10 * n_repeat_words > n_words", "50 * n_repeat_words < n_words"),
     "capitals": ("10 * n_capitals > 3 * word_chars", "10 * n_capitals < word_chars"),
-    "other_chars": ("5 * n_other > word_chars", "10 * n_other < word_chars"),
+    "other_chars": ("5 * n_other > word_chars and n_words >= 20", "10 * n_other < word_chars"),
     "shouting": ("20 * n_shouts > n_words", "n_shouts = 0"),
     "sentences": ("n_words > 100 * n_ends", "n_words <= 50 * n_ends"),
 }
-# pseudo-counts of right and wrong votes that keep an accuracy from running to 0 or 1
-RIGHT, WRONG = 8.0, 2.0
+# accuracies before any data, as pseudo-counts of right and wrong votes: on good documents a rule mostly
+# votes good, on bad ones most rules see nothing wrong
+GOOD_COUNTS, BAD_COUNTS = (19.0, 1.0), (3.0, 7.0)
+PRIOR = 0.8
 
 
 def repeated_words(words: Column, hashes: Column, n: Column) -> tuple[Column, Column]:
@@ -80,55 +82,50 @@ def base_features(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def votes(features: DataFrame) -> DataFrame:
-    """Adds ``vote_<rule>``: 1 good, -1 bad, 0 abstains."""
-    return features.withColumns({
-        f"vote_{name}": F.when(F.expr(bad), -1).when(F.expr(good), 1).otherwise(0) for name, (bad, good) in RULES.items()
-    })
+    """Adds ``_votes``, one per rule: 1 good, -1 bad, 0 abstains."""
+    cast = [F.when(F.expr(bad), -1).when(F.expr(good), 1).otherwise(0) for bad, good in RULES.values()]
+    return features.withColumn("_votes", F.array(*cast))
 
 
-def log_odds(names: list[str], prior: float, good: dict[str, float], bad: dict[str, float]) -> Column:
-    """Log odds of a good document given its votes, rules taken as independent."""
-    total = F.lit(math.log(prior / (1 - prior)))
-    for name in names:
-        vote = F.col(f"vote_{name}")
-        total = total + F.when(vote == 1, math.log(good[name] / (1 - bad[name]))).when(
-            vote == -1, math.log((1 - good[name]) / bad[name])).otherwise(0.0)
-    return total
-
-
-def probability(odds: Column) -> Column:
+def probability(prior: float, good: list[float], bad: list[float]) -> Column:
+    """Posterior of a good document given its votes, rules taken as independent."""
+    parts = [x for g, b in zip(good, bad) for x in (math.log((1 - g) / b), 0.0, math.log(g / (1 - b)))]
+    weights = F.lit(parts)
+    shares = F.transform("_votes", lambda v, rule: F.get(weights, rule * 3 + v + 1))
+    odds = F.aggregate(shares, F.lit(math.log(prior / (1 - prior))), lambda total, x: total + x)
     return 1 / (1 + F.exp(-odds))
 
 
-def estimate(patterns: DataFrame, names: list[str], rounds: int) -> tuple[float, dict[str, float], dict[str, float]]:
+def estimate(patterns: DataFrame, rounds: int, settled: float = 1e-6) -> tuple[float, list[float], list[float]]:
     """Prior and the rules' accuracies on good and on bad documents, from counted vote patterns.
 
-    The first step takes the share of good votes as the probability. Each round is one aggregate over at
-    most 3 ** rules patterns.
+    Each round gives every pattern its posterior and takes accuracies from the votes so weighted; at most
+    three rows per rule come back. Ends when no number moves by more than ``settled``.
     """
-    n = F.col("_n")
-    cast = F.aggregate(F.array(*[F.abs(f"vote_{v}") for v in names]), F.lit(0), lambda a, x: a + x)
-    yes = F.aggregate(F.array(*[(F.col(f"vote_{v}") == 1).cast("int") for v in names]), F.lit(0), lambda a, x: a + x)
-    p = (yes + 1) / (cast + 2)
-    prior, good, bad = 0.5, {}, {}
+    n = len(RULES)
+    prior = PRIOR
+    good, bad = [GOOD_COUNTS[0] / sum(GOOD_COUNTS)] * n, [BAD_COUNTS[0] / sum(BAD_COUNTS)] * n
     for _ in range(rounds):
-        sums = [F.sum(n * p).alias("_good"), F.sum(n).alias("_all")]
-        for v in names:
-            vote = F.col(f"vote_{v}")
-            sums += [
-                F.sum(F.when(vote == 1, n * p)).alias(f"{v}_gr"), F.sum(F.when(vote == -1, n * p)).alias(f"{v}_gw"),
-                F.sum(F.when(vote == -1, n * (1 - p))).alias(f"{v}_br"), F.sum(F.when(vote == 1, n * (1 - p))).alias(f"{v}_bw"),
-            ]
-        row = {k: x or 0.0 for k, x in patterns.select("*", p.alias("_p")).agg(*sums).first().asDict().items()}
-        prior = (row["_good"] + 1) / (row["_all"] + 2)
-        good = {v: (row[f"{v}_gr"] + RIGHT) / (row[f"{v}_gr"] + row[f"{v}_gw"] + RIGHT + WRONG) for v in names}
-        bad = {v: (row[f"{v}_br"] + RIGHT) / (row[f"{v}_br"] + row[f"{v}_bw"] + RIGHT + WRONG) for v in names}
-        p = probability(log_odds(names, prior, good, bad))
+        weighed = patterns.withColumn("_p", probability(prior, good, bad))
+        votes_of = weighed.select("_n", "_p", F.posexplode("_votes").alias("rule", "vote")).groupBy("rule", "vote")
+        sums = votes_of.agg(F.sum(F.col("_n") * F.col("_p")).alias("g"), F.sum(F.col("_n") * (1 - F.col("_p"))).alias("b"))
+        seen = {(r["rule"], r["vote"]): (r["g"], r["b"]) for r in sums.collect()}
+
+        def total(rule: int, of: int, kinds: tuple[int, ...]) -> float:
+            return sum(seen.get((rule, v), (0.0, 0.0))[of] for v in kinds)
+
+        last = [prior, *good, *bad]
+        all_good, all_bad = (total(0, of, (-1, 0, 1)) for of in (0, 1))
+        prior = (all_good + 1) / (all_good + all_bad + 2)
+        good = [(total(i, 0, (1,)) + GOOD_COUNTS[0]) / (total(i, 0, (-1, 1)) + sum(GOOD_COUNTS)) for i in range(n)]
+        bad = [(total(i, 1, (-1,)) + BAD_COUNTS[0]) / (total(i, 1, (-1, 1)) + sum(BAD_COUNTS)) for i in range(n)]
+        if max(abs(x - y) for x, y in zip(last, [prior, *good, *bad])) <= settled:
+            break
     return prior, good, bad
 
 
 def score_documents(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5, rounds: int = 20
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5, rounds: int = 30
 ) -> DataFrame:
     """``(doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, probability, kept)``.
 
@@ -139,14 +136,13 @@ def score_documents(
     kept when the posterior probability of a good document reaches ``threshold``. An empty table gives an
     empty result; other columns are ignored.
 
-    Features are computed once and written without the text. Only the rules' accuracies reach the driver.
+    Accuracies are estimated on the documents that pass the base, as the others are settled. Features are
+    computed once and written without the text; the driver sees three sums per rule.
     """
-    names = list(RULES)
     rows = stored(votes(base_features(docs, id_col, text_col)), "rule-votes")
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    patterns = rows.groupBy(*[f"vote_{v}" for v in names]).agg(F.count(F.lit(1)).cast("double").alias("_n"))
-    prior, good, bad = estimate(stored(patterns, "vote-patterns"), names, rounds)
-    posterior = F.round(probability(log_odds(names, prior, good, bad)), 9)
+    patterns = rows.filter(~failed).groupBy("_votes").agg(F.count(F.lit(1)).cast("double").alias("_n"))
+    posterior = F.round(probability(*estimate(stored(patterns, "vote-patterns"), rounds)), 9)
     return rows.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         failed.alias("base_failed"), posterior.alias("probability"), (~failed & (posterior >= threshold)).alias("kept"),
