@@ -10,6 +10,7 @@ places of the plan by their position among pieces of the same length.
 from __future__ import annotations
 
 import itertools
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storkline.llm.ranks import ranked, slots_for
-from storkline.llm.words import pieces, text_bytes, word_spans
+from storkline.llm.words import pieces, text_bytes
 from storkline.session import stored
 
 MAX_TOKENS = 2048
@@ -36,39 +37,74 @@ class WordTokenizer:
     """Ids of whole texts by a tokenizer that never joins words across blanks.
 
     Such a tokenizer gives a text the ids of its words one after the other, so a word's ids are worked out
-    once and remembered.
+    once and remembered. New words are normalised together and cut by the tokenizer's own expression, and
+    its model sees every distinct piece once; words with characters beyond the common Latin ones, or with a
+    ``<``, which may begin a special token, go through the whole tokenizer one by one.
     """
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        import json
+
+        import regex
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        config = json.loads(self.tokenizer.to_str())
+        split = [p for p in config["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"]
+        if config["model"]["type"] != "BPE" or len(split) != 1 or not split[0]["invert"]:
+            raise ValueError("not a tokenizer of separate words")
+        self.piece = regex.compile(split[0]["pattern"]["Regex"])
+        letters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.letters = {c: letters.pre_tokenize_str(chr(c))[0][0] for c in range(0x21, 0x250)}
+        self.common = re.compile("[!-;=-~\u00a1-\u024f]+")
         self.forget()
 
     def forget(self) -> None:
         self.known: dict[bytes, int] = {}
+        self.pieces: dict[str, list[int]] = {}
         self.ids = np.zeros(1 << 20, np.uint32)
         self.begins = np.zeros(1 << 18, np.int64)
 
+    def piece_ids(self, piece: str) -> list[int]:
+        found = self.pieces.get(piece)
+        if found is None:
+            found = self.pieces[piece] = [t.id for t in self.tokenizer.model.tokenize(piece.translate(self.letters))]
+        return found
+
+    def word_ids(self, words: list[str]) -> list[list[int]]:
+        common, cut, piece_ids = self.common.fullmatch, self.piece.findall, self.piece_ids
+        plain = [common(w) is not None for w in words]
+        usual = iter(self.tokenizer.normalizer.normalize_str(" ".join(itertools.compress(words, plain))).split(" "))
+        out = []
+        for word, is_plain in zip(words, plain):
+            norm = next(usual) if is_plain else ""
+            if common(norm) is None:
+                out.append(self.tokenizer.encode(word, add_special_tokens=False).ids)
+            elif norm.isalpha():
+                out.append(piece_ids(norm))
+            else:
+                out.append([i for p in cut(norm) for i in piece_ids(p)])
+        return out
+
     def learn(self, words: list[bytes]) -> None:
-        at = int(self.begins[len(self.known)])
-        for word, encoded in zip(words, self.tokenizer.encode_batch([w.decode() for w in words], add_special_tokens=False)):
-            ids = encoded.ids
-            while at + len(ids) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-            self.ids[at : at + len(ids)] = ids
-            at += len(ids)
-            self.known[word] = len(self.known)
-            if len(self.known) >= len(self.begins):
-                self.begins = np.concatenate([self.begins, np.zeros_like(self.begins)])
-            self.begins[len(self.known)] = at
+        found = self.word_ids([w.decode() for w in words])
+        n, at = len(self.known), int(self.begins[len(self.known)])
+        flat = np.fromiter(itertools.chain.from_iterable(found), np.uint32)
+        while at + len(flat) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        while n + len(words) >= len(self.begins):
+            self.begins = np.concatenate([self.begins, np.zeros_like(self.begins)])
+        self.ids[at : at + len(flat)] = flat
+        self.begins[n + 1 : n + 1 + len(words)] = at + np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
+        self.known.update(zip(words, range(n, n + len(words))))
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each closed by the end id, and where each text begins."""
         data, offsets = text_bytes(column)
-        starts, ends, firsts = word_spans(data, offsets)
-        text = data.tobytes()
-        words = [text[s:e] for s, e in zip(starts.tolist(), ends.tolist())]
+        text, at = data.tobytes(), offsets.tolist()
+        per_text = [text[a:z].split() for a, z in itertools.pairwise(at)]  # at the blanks of ``words``
+        firsts = np.concatenate([[0], np.cumsum([len(w) for w in per_text], dtype=np.int64)])
+        words = list(itertools.chain.from_iterable(per_text))
         if len(self.known) > REMEMBERED_WORDS:
             self.forget()
         number = np.fromiter(map(self.known.get, words, itertools.repeat(-1)), np.int64, len(words))

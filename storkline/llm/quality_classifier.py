@@ -63,7 +63,7 @@ def text_features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def train(
-    texts: list[str], labels: list[int], dim: int = 8, epochs: int = 6, rate: float = 4.0, seed: int = 42
+    texts: list[str], labels: list[int], dim: int = 8, epochs: int = 4, rate: float = 4.0, seed: int = 42
 ) -> tuple[np.ndarray, float]:
     """One number per bucket and a constant: log odds of label 1 are their mean over a text, plus constant."""
     y = np.array(labels, np.int64)
@@ -84,7 +84,7 @@ def train(
             index, share = rows[i]
             pace = rate * (1 - done / total)
             done += 1
-            mean = share @ vectors[index]
+            mean = (share[:, None] * vectors[index]).sum(axis=0)
             odds = mean @ layer + bias
             p = np.exp(odds - odds.max())
             error = p / p.sum()
@@ -92,7 +92,7 @@ def train(
             back = layer @ error
             layer -= pace * 0.1 * np.outer(mean, error)
             bias -= pace * 0.01 * error
-            vectors[index] -= (pace * share[:, None] * len(index) ** 0.5) * back[None, :]
+            vectors[index] -= (pace * len(index) ** 0.5 * share)[:, None] * back
     part = vectors @ (layer[:, 1] - layer[:, 0])
     return part.astype(np.float32), float(bias[1] - bias[0])
 
@@ -117,7 +117,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, rows: int, id_col: str,
 
 def score_quality(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
-    threshold: float = 0.3, train_rows: int = 6_000, prefix: str = "",
+    threshold: float = 0.3, train_rows: int = 4_000, prefix: str = "",
 ) -> DataFrame:
     """The rows of ``docs`` with all columns and ``held_out``, ``score``, ``predicted``.
 
