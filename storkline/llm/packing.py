@@ -26,7 +26,7 @@ from storkline.session import stored
 MAX_TOKENS = 2048
 END = 0
 # words a task remembers the ids of before it starts afresh
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 700_000
 ROUNDS = 300
 # patterns of three lengths for each shortest length; many more would share the histogram out so thinly
 # that every count rounds to 0
