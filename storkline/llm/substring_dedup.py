@@ -283,11 +283,13 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
 
     buckets = max(1, int(size // BUCKET_BYTES))
     rows = candidates(texts, bitmap_of(cells, bits), hot, bits, window)
-    rows = rows.withColumn("bucket", F.pmod("anchor", F.lit(buckets)))
+    # rows without hashes are done with and only need to come through, whichever way
+    dealt = F.when(F.col("hashes").isNull(), F.xxhash64("doc", "start")).otherwise(F.col("anchor"))
+    rows = rows.withColumn("bucket", F.pmod(dealt, F.lit(buckets)))
     if hot is None or len(hot):
         rows = rows.withColumn("_hot", F.col("salt") > 0)
         parts = stored(reduced(rows.filter("_hot").drop("_hot"), ["bucket", "salt"], reach, False), "reduced")
-        parts = parts.withColumn("bucket", F.pmod("anchor", F.lit(buckets)))
+        parts = parts.withColumn("bucket", F.pmod(dealt, F.lit(buckets)))
         rows = rows.filter("not _hot").drop("_hot").unionByName(parts)
     removed = reduced(rows, ["bucket"], reach, True)
     runs = removed.groupBy("doc", "key").agg(F.collect_list(F.struct("start", "mask")).alias("runs"))
