@@ -2,8 +2,10 @@
 
 Most profiling reads the data once: rows are counted by value with a map-side partial aggregate,
 which also takes the skew out of hot values. Quantiles, histograms, densities and drift then work
-on the counted values. Running totals never order a whole column in one task: values fall in
-ordered buckets, each bucket is ordered on its own, and bucket totals give the offsets.
+on the counted values. Running totals never order a whole column in one task: approximate quantiles of
+the distinct values cut them into ordered buckets of similar size, whatever their distribution; each
+bucket is ordered on its own, and bucket totals give the offsets. Sums of squares are taken around the
+mean, which those totals give as well.
 """
 
 from __future__ import annotations
@@ -11,9 +13,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Buckets per unit of log(1 + |value|): 0.4 % of a value's size. A double has |value| < 1.8e308,
-# so there are at most 2 * 256 * 710 buckets whatever the data.
-BUCKETS_PER_LOG = 256
+BUCKETS = 128
+# accuracy of the splitting quantiles: 1 / SPLIT_ACCURACY of the distinct values
+SPLIT_ACCURACY = 2_000
 
 
 def value_counts_long(df: DataFrame, columns: list[str], keys: list[str] = ()) -> DataFrame:
@@ -38,13 +40,21 @@ def value_counts_of(df: DataFrame, column: str, keys: list[str] = ()) -> DataFra
     return known.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def value_bucket(value: Column) -> Column:
-    """Ordered bucket number: values in different buckets order like their buckets.
+def bucketed(counts: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """Adds ``_bucket``, the number of splitting values not above a value; null is in bucket 0.
 
-    Every step is monotone in floating point, so no two values can swap.
+    The splitting values of a key are approximate quantiles of its distinct values, so a bucket gets
+    about 1 / ``BUCKETS`` of them and the final ranks stay exact. One row per key is shared.
     """
-    size = F.coalesce(F.floor(F.log1p(F.abs(value)) * BUCKETS_PER_LOG), F.lit(0).cast("long"))
-    return F.when(value < 0, -size).otherwise(size)
+    levels = [i / BUCKETS for i in range(1, BUCKETS)]
+    cuts = F.percentile_approx(value, levels, SPLIT_ACCURACY).alias("_cuts")
+    if keys:
+        split = counts.groupBy(*keys).agg(cuts)
+        joined = counts.join(F.broadcast(split), keys, "left")
+    else:
+        joined = counts.crossJoin(F.broadcast(counts.agg(cuts)))
+    below = F.size(F.filter("_cuts", lambda c: c <= F.col(value)))
+    return joined.withColumn("_bucket", F.when(F.col("_cuts").isNull() | F.col(value).isNull(), 0).otherwise(below)).drop("_cuts")
 
 
 def running_totals(counts: DataFrame, keys: list[str], value: str, sums: list[str]) -> DataFrame:
@@ -52,11 +62,11 @@ def running_totals(counts: DataFrame, keys: list[str], value: str, sums: list[st
 
     ``counts`` must hold each value once per key, without null keys.
     """
-    bucketed = counts.withColumn("_bucket", value_bucket(F.col(value)))
+    dealt = bucketed(counts, keys, value)
     inside = Window.partitionBy(*keys, "_bucket").orderBy(value)
-    local = bucketed.select("*", *[F.sum(s).over(inside).alias(f"_{s}_local") for s in sums])
+    local = dealt.select("*", *[F.sum(s).over(inside).alias(f"_{s}_local") for s in sums])
 
-    per_bucket = bucketed.groupBy(*keys, "_bucket").agg(*[F.sum(s).alias(s) for s in sums])
+    per_bucket = dealt.groupBy(*keys, "_bucket").agg(*[F.sum(s).alias(s) for s in sums])
     # at most one row per bucket, a number bounded above
     whole = Window.partitionBy(*keys)
     below = whole.orderBy("_bucket")
@@ -78,12 +88,14 @@ def quantiles(
 ) -> DataFrame:
     """Exact, linearly interpolated quantiles per key; ``probabilities`` maps names to levels.
 
-    ``extra`` aggregates over ``value`` and ``n`` come from the same pass. A null value weighs
-    nothing in the quantiles. Weighing instead of filtering leaves the counting scan as it is, so
+    ``extra`` aggregates over ``value``, ``n`` and ``_mean``, the key's mean, come from the same pass. A
+    null value weighs nothing in the quantiles. Weighing instead of filtering leaves the counting scan as it is, so
     that it can be shared with other uses of the same counts.
     """
     weight = F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0)
-    ranked = running_totals(counts.select(*keys, "value", "n", weight.alias("_w")), keys, "value", ["_w"])
+    weighed = counts.select(*keys, "value", "n", weight.alias("_w"), F.coalesce(weight * F.col("value"), F.lit(0.0)).alias("_wv"))
+    ranked = running_totals(weighed, keys, "value", ["_w", "_wv"])
+    ranked = ranked.withColumn("_mean", F.col("_wv_total") / F.nullif(F.col("_w_total"), F.lit(0)))
     first, last = F.col("_w_upto") - F.col("_w"), F.col("_w_upto") - 1  # 0-based ranks held by a value
     picks = []
     for name, p in probabilities.items():
@@ -105,34 +117,40 @@ def quantiles(
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
 
+def centred_squares() -> Column:
+    """Aggregate next to quantiles: sum of squared differences from the mean, free of its rounding error."""
+    apart = F.col("value") - F.col("_mean")
+    known = F.sum(F.when(F.col("value").isNotNull(), F.col("n")))
+    drift = F.sum(F.col("n") * apart)
+    return F.greatest(F.sum(F.col("n") * apart * apart) - drift * drift / known, F.lit(0.0))
+
+
 def moment_sums() -> list[Column]:
-    """Aggregates over counted values that ``finish_moments`` turns into moments."""
+    """Aggregates next to quantiles that ``finish_moments`` turns into moments."""
     n, v = F.col("n"), F.col("value")
     known = F.when(v.isNotNull(), n)
     return [
         F.coalesce(F.sum(known), F.lit(0).cast("long")).alias("_n"), F.sum(n * v).alias("_s1"),
-        F.sum(n * v * v).alias("_s2"), F.min(v).alias("min"), F.max(v).alias("max"),
+        centred_squares().alias("_s2"), F.min(v).alias("min"), F.max(v).alias("max"),
     ]
 
 
 def finish_moments(sums: DataFrame, keep: list[str]) -> DataFrame:
     """n, mean, sample and population deviation, min and max next to the columns to ``keep``."""
     n = F.col("_n")
-    # rounding can leave a tiny negative sum of squares for a constant column
-    centred = F.greatest(F.col("_s2") - F.col("_s1") * F.col("_s1") / F.nullif(n, F.lit(0)), F.lit(0.0))
-    centred = F.when(n > 0, centred)
+    squares = F.when(n > 0, F.col("_s2"))
     return sums.select(
         *keep, n.alias("n"),
         (F.col("_s1") / F.nullif(n, F.lit(0))).alias("mean"),
-        F.sqrt(centred / F.nullif(n - 1, F.lit(0))).alias("std"),
-        F.sqrt(centred / F.nullif(n, F.lit(0))).alias("std_pop"),
+        F.sqrt(squares / F.nullif(n - 1, F.lit(0))).alias("std"),
+        F.sqrt(squares / F.nullif(n, F.lit(0))).alias("std_pop"),
         "min", "max",
     )
 
 
 def moments(counts: DataFrame, keys: list[str]) -> DataFrame:
     """Moments per key from counted values."""
-    return finish_moments(counts.groupBy(*keys).agg(*moment_sums()), keys)
+    return finish_moments(quantiles(counts, keys, {}, moment_sums()), keys)
 
 
 def describe(counts: DataFrame, keys: list[str], extra: list[Column] = ()) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storkline import schema as S
-from storkline.functions.counts import quantiles, value_counts_long
+from storkline.functions.counts import centred_squares, quantiles, value_counts_long
 from storkline.functions.partitions import spread
 from storkline.functions.sampling import add_fold, sample_n
 from storkline.operators.metrics import evaluate_split, metric_row, regression_columns
@@ -50,7 +50,7 @@ def fit_statistics(
     found = quantiles(value_counts_long(df, [*numeric, *binary]), ["feature"], {"median": 0.5}, [
         F.max_by(v, F.struct(known.alias("n"), -v)).alias("mode"),
         F.sum(n).alias("rows"), F.sum(known).alias("known"),
-        F.sum(n * v).alias("s1"), F.sum(n * v * v).alias("s2"),
+        F.max("_mean").alias("centre"), centred_squares().alias("squares"),
         (F.min(v) == F.max(v)).alias("constant"),
     ])
     is_numeric = F.col("feature").isin(list(numeric))
@@ -58,12 +58,14 @@ def fit_statistics(
     filled = found.select(
         "feature", F.when(is_numeric, "median").otherwise("most_frequent").alias("strategy"),
         F.when(is_numeric, F.col("median")).otherwise(F.col("mode")).alias("fill"),
-        "rows", "known", "s1", "s2", "constant",
-    ).select(
-        "feature", "strategy", "fill", "constant", ((F.col("s1") + missing * fill) / F.col("rows")).alias("mean"),
-        ((F.col("s2") + missing * fill * fill) / F.col("rows")).alias("square"),
+        "rows", "known", "centre", "squares", "constant",
     )
-    variance = F.greatest(F.col("square") - F.col("mean") * F.col("mean"), F.lit(0.0))
+    mean = (F.col("known") * F.col("centre") + missing * fill) / F.col("rows")
+    filled = filled.withColumn("mean", F.when(F.col("constant"), fill).otherwise(mean))
+    # squares around the mean of the known values, moved to the mean after filling
+    from_known, from_fill = F.col("centre") - F.col("mean"), fill - F.col("mean")
+    moved = F.col("squares") + F.col("known") * from_known * from_known + missing * from_fill * from_fill
+    variance = moved / F.col("rows")
     # rounding must not make a constant column look spread
     deviation = F.when(F.col("constant"), F.lit(0.0)).otherwise(F.sqrt(variance))
     return filled.select("feature", "strategy", "fill", "mean", deviation.alias("std_pop"))

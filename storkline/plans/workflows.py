@@ -68,11 +68,12 @@ class Outcome:
 def train_models(
     spark: SparkSession, splits_dir: str, tracking_dir: str, key: str,
     candidates: dict[str, Candidate] | None = None, n_trials: int = 30, screen_rows: int = 500_000,
-    importance_rows: int = 50_000, importance_repeats: int = 10, seed: int = 42,
+    importance_rows: int | None = None, importance_repeats: int = 10, seed: int = 42,
 ) -> Outcome:
     """Baseline, screening, search, final fits, one look at the test split, importance, registration.
 
-    ``key`` is an integer column that identifies records; screening and importance draw by it.
+    ``key`` is an integer column that identifies records; screening draws by it. Importance takes all
+    validation records unless ``importance_rows`` asks for a sample.
     """
     candidates = candidates or default_candidates()
     splits = split_files.load_splits(spark, splits_dir)
@@ -103,7 +104,7 @@ def train_models(
 
 def finish_model(
     spark: SparkSession, tracking_dir: str, run_name: str, fitted: PipelineModel | None, val: DataFrame,
-    test: DataFrame, key: str, screening: DataFrame | None = None, importance_rows: int = 50_000,
+    test: DataFrame, key: str, screening: DataFrame | None = None, importance_rows: int | None = None,
     importance_repeats: int = 10, seed: int = 42,
 ) -> Outcome:
     """Evaluate on test, explain and register the newest run of a name; loads its model when not given."""
@@ -114,7 +115,7 @@ def finish_model(
     results = {k: v for k, v in metrics.metric_row(fitted.transform(test)).items() if k != "n"}
     row = spark.createDataFrame([{k: float(v) for k, v in results.items()}])
     importance = explain.permutation_importance(
-        fitted, sample_n(val, importance_rows, key, seed), repeats=importance_repeats, seed=seed
+        fitted, sample_n(val, importance_rows, key, seed) if importance_rows else val, repeats=importance_repeats, seed=seed
     )
     version, path = run_tables.register_model(
         spark, tracking_dir, REGISTERED_NAME, found.run_id, {f"test_{k}": float(v) for k, v in results.items()},

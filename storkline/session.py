@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -36,7 +37,7 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     folder = folder or context.getCheckpointDir()
     if folder is None:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^]]*\])?", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="storkline-")
     if context.getCheckpointDir() is None:

@@ -27,12 +27,13 @@ RAW_DDL = (
     "record_weight int, state string, mother_residence_state string, mother_birth_state string, "
     "cigarette_use string, cigarettes_per_day double, alcohol_use string, drinks_per_week double"
 )
+# one record on each side of the edges that cleaning and features care about; the third has no target
 RAW_ROWS = [
-    (1990, 1, 15, 7.5, 1.0, "true", "true", 8.0, 9.0, 28.0, 39.0, "01012000", 25.0, 1.0, 0.0, 0.0, 2.0, 30.0, 1, "CA", "CA", "CA"),
-    (2000, 6, 22, 5.2, 1.0, "false", "false", 9.0, 10.0, 35.0, 38.0, "9999", 18.0, 0.0, 0.0, 1.0, 1.0, 99.0, 1, "TX", "TX", "MX"),
-    (2010, 11, 3, 8.1, 2.0, "true", "true", 7.0, 9.0, 22.0, 32.0, "03152010", 30.0, 2.0, 0.0, 0.0, 3.0, 28.0, 2, "NY", "NY", "NY"),
-    (2018, 3, 17, 4.0, 1.0, "false", "true", 8.0, 9.0, 42.0, 40.0, None, 22.0, 3.0, 1.0, 0.0, 5.0, 45.0, 1, "FL", "FL", "FL"),
-    (2005, 8, 9, None, 1.0, "true", "false", None, None, 30.0, 47.0, "99", 15.0, 0.0, 0.0, 0.0, 1.0, 33.0, 2, "WA", "WA", "OH"),
+    (1988, 12, 31, 6.3, 3.0, " TRUE", "no", 3.0, 7.0, 19.0, 36.0, "99999999", 41.0, 0.0, 2.0, None, 2.0, 98.0, 2, "OR", "NV", "PR"),
+    (2009, 2, 1, 9.25, None, "False", "TRUE", 10.0, 10.0, 20.0, 42.0, "12242008", 0.0, None, None, None, None, None, 1, "ME", "ME", None),
+    (1995, 7, 4, None, 2.0, "true", "true", None, None, 61.0, 18.0, " 99 ", 12.0, 1.0, 1.0, 1.0, 3.0, 99.0, 1, "GA", "GA", "GA"),
+    (2015, 9, 30, 3.3, 1.0, "x", "false", 1.0, 2.0, 39.0, 37.0, "", 97.0, 6.0, 0.0, 3.0, 9.0, 99.0, 1, "UT", "ID", "UT"),
+    (2021, 4, 11, 11.0, 1.0, "false", " true ", 9.0, 8.0, 60.0, 41.0, "07042020", 33.0, 1.0, 0.0, 0.0, 1.0, 52.0, 2, "VT", "VT", "CN"),
 ]
 
 

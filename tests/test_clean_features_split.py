@@ -82,9 +82,9 @@ def test_invalid_targets_are_removed(spark):
 
 def test_preprocessing_of_the_sample(raw):
     out = clean.run_preprocessing(raw).orderBy("year_fix")
-    assert values(out, "weight_grams") == [3401.9, 2358.7, 3674.1, 1814.4]
-    assert values(out, "father_age") == [30.0, None, 28.0, 45.0]
-    assert values(out, "lmp") == ["01012000", None, "03152010", None]
+    assert values(out, "weight_grams") == [2857.6, 4195.7, 1496.9, 4989.5]
+    assert values(out, "father_age") == [98.0, None, None, 52.0]
+    assert values(out, "lmp") == [None, "12242008", None, "07042020"]
     assert values(out, "outlier_weight") == [0, 0, 0, 0]
 
 
@@ -99,7 +99,7 @@ def test_steps_skip_absent_columns(spark):
 def test_counts_of_cleaning(raw):
     row = clean.cleaning_counts(raw).first()
     assert (row.rows_in, row.rows_out, row.weight_missing, row.weight_outliers) == (5, 4, 1, 0)
-    assert (row.father_age_sentinels, row.lmp_unknown, row.gestation_weeks_capped, row.mother_age_capped) == (1, 3, 1, 0)
+    assert (row.father_age_sentinels, row.lmp_unknown, row.gestation_weeks_capped, row.mother_age_capped) == (2, 3, 1, 1)
     assert row.removed_pct == 20.0
 
 
@@ -117,9 +117,9 @@ def test_observation_gives_the_same_counts(raw):
 def test_features_of_the_sample(features_frame):
     out = features_frame.orderBy("year_fix")
     expected = {
-        "parity": [1, 1, 2, 4], "is_multiple_birth": [0, 0, 1, 0], "gestation_preterm": [0, 0, 1, 0],
-        "gestation_post_term": [0, 0, 0, 0], "mother_age_group": [1, 2, 1, 3], "lmp_known": [1, 0, 1, 0],
-        "weight_gain_kg": [11.34, 8.16, 13.61, 9.98],
+        "parity": [2, 0, 9, 1], "is_multiple_birth": [1, 0, 0, 0], "gestation_preterm": [1, 0, 0, 0],
+        "gestation_post_term": [0, 1, 0, 0], "mother_age_group": [0, 1, 2, 3], "lmp_known": [0, 1, 0, 1],
+        "weight_gain_kg": [18.6, 0.0, 44.0, 14.97],
     }
     for name, want in expected.items():
         assert values(out, name) == want, name
@@ -225,5 +225,5 @@ def test_model_matrix(features_frame, caplog):
 
 def test_feature_profile(features_frame):
     rows = {r.feature: r for r in split.feature_profile(features_frame).collect()}
-    assert rows["cigarette_use"].missing_pct == 100.0 and rows["father_age"].missing_pct == 25.0
+    assert rows["cigarette_use"].missing_pct == 100.0 and rows["father_age"].missing_pct == 50.0
     assert rows["parity"].dtype == "smallint"

@@ -1,6 +1,7 @@
 import math
 import random
 import statistics
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -11,11 +12,12 @@ from pyspark.sql import functions as F
 from conftest import values
 from storkline.functions.columns import clip, flag, paired_columns, ratio, rint_to, strip
 from storkline.functions.counts import (
-    BUCKETS_PER_LOG, describe, moments, quantiles, running_totals, value_bucket, value_counts_long, value_counts_of,
+    bucketed, describe, moments, quantiles, running_totals, value_counts_long, value_counts_of,
 )
 from storkline.functions.joins import join_lookup
 from storkline.functions.normal import normal_quantile
 from storkline.functions.sampling import PRIME, add_fold, key_hash, sample_n
+from storkline.operators.model import fit_statistics
 
 
 def numbers(spark, xs, name="x"):
@@ -54,24 +56,27 @@ def test_paired_columns_are_row_wise(spark):
     assert got == [(0, 1.0, 2.0), (1, 2.0, 1.0)]
 
 
-@given(st.lists(st.floats(allow_nan=False, allow_infinity=False), min_size=2, max_size=50))
-def test_value_buckets_keep_order(xs):
-    """The bucket formula in plain Python: order of values is order of buckets, and their number is bounded."""
-    def bucket(x):
-        size = math.floor(math.log1p(abs(x)) * BUCKETS_PER_LOG)
-        return -size if x < 0 else size
-
-    xs = sorted(xs)
-    buckets = [bucket(x) for x in xs]
-    assert buckets == sorted(buckets)
-    assert max(map(abs, buckets)) <= 710 * BUCKETS_PER_LOG
-
-
-def test_value_bucket_in_spark(spark):
-    xs = sorted(random.Random(1).uniform(-1e6, 1e6) for _ in range(2000)) + [1e6, 1.7e308]
-    df = numbers(spark, [-1.7e308, *xs, 0.0])
-    rows = sorted((r.x, r.b) for r in df.select("x", value_bucket(F.col("x")).alias("b")).collect())
+@pytest.mark.parametrize("xs", [
+    [1.7e9 + i * 0.864 for i in range(100_000)], [i * 3e-8 for i in range(100_000)], [float(i) for i in range(-50_000, 50_000)],
+    [1.7e308 * (i / 3000) for i in range(-3000, 3001)],
+])
+def test_buckets_are_even_and_ordered(spark, xs):
+    counts = numbers(spark, xs).select(F.col("x").alias("value"))
+    rows = sorted((r.value, r._bucket) for r in bucketed(counts, [], "value").collect())
     assert [b for _, b in rows] == sorted(b for _, b in rows)
+    sizes = Counter(b for _, b in rows)
+    assert max(sizes.values()) <= 0.1 * len(xs)
+
+
+def test_moments_far_from_zero(spark):
+    xs = [1.7e9, 1.7e9 + 1, 1.7e9 + 2, None]
+    counts = value_counts_long(numbers(spark, xs), ["x"])
+    got = describe(counts, ["feature"]).first()
+    assert got.std == pytest.approx(1.0, rel=1e-12) and got.std_pop == pytest.approx(math.sqrt(2 / 3), rel=1e-12)
+    assert moments(counts, ["feature"]).first().std == got.std
+    fitted = fit_statistics(numbers(spark, xs), ["x"], []).first()
+    # the median fills the missing value
+    assert (fitted.fill, fitted.mean) == (1.7e9 + 1, 1.7e9 + 1) and fitted.std_pop == pytest.approx(math.sqrt(0.5), rel=1e-12)
 
 
 def test_running_totals_match_a_plain_sum(spark):
