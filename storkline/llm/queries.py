@@ -36,7 +36,8 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_path(spark, "warc")
-    warc.write_archive(table(spark, sf_dir, "pages"), path)
+    # a gzip member per record, as archives usually have
+    warc.write_archive(table(spark, sf_dir, "pages"), path, compress=True)
     page, digest = warc.record_number("record_id").alias("page_id"), F.regexp_replace("payload_digest", "^sha1:", "")
     responses = warc.read_archive(spark, path).filter(F.col("record_type") == "response")
     revisits = warc.read_archive(spark, path, payload=False).filter(F.col("record_type") == "revisit")
