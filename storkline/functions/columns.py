@@ -39,6 +39,11 @@ def ratio(numerator: Column, denominator: Column) -> Column:
     return F.when(denominator > 0, numerator / denominator).otherwise(F.lit(0.0))
 
 
+def whole_quotient(numerator: Column, denominator: Column) -> Column:
+    """Integer quotient, rounded towards zero, without passing through a floating-point number."""
+    return F.call_function("div", numerator, denominator)
+
+
 def null_percent(column: str, digits: int) -> Column:
     """Aggregate: % of rows on which a column is null."""
     return rint_to(F.avg(F.col(column).isNull().cast("double")) * 100.0, digits)

@@ -6,18 +6,16 @@ counted values (``functions.counts``), so no group is gathered in one task.
 
 from __future__ import annotations
 
-from itertools import combinations
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from storkline import schema as S
-from storkline.functions.columns import label_of, null_percent, paired_columns, percent, rint_to
+from storkline.functions.columns import label_of, null_percent, paired_columns, percent, rint_to, whole_quotient
+from storkline.functions.correlation import pair_correlations
 from storkline.functions.counts import (
-    QUARTILES, describe, moments, quantiles, value_counts_long, value_counts_of,
+    QUARTILES, describe, moments, quantiles, running_totals, value_counts_long, value_counts_of,
 )
 from storkline.functions.normal import normal_quantile
-from storkline.functions.sampling import sample_n
 from storkline.operators.features import OPEN_WEIGHT_EDGES, weight_category
 
 
@@ -197,18 +195,16 @@ def schema_profile(df: DataFrame, columns: list[str] | None = None, sample: bool
 
 def corr_matrix(df: DataFrame, columns: list[str] = S.CORRELATION_COLUMNS, digits: int = 6) -> DataFrame:
     """Pearson correlation of every pair in one pass; a pair with a null on either side is left out."""
-    pairs = list(combinations(columns, 2))
-    r = paired_columns(df, pairs).groupBy("pair").agg(F.corr("x", "y").alias("r"))
-    return r.select(
-        label_of([a for a, _ in pairs], F.col("pair")).alias("a"),
-        label_of([b for _, b in pairs], F.col("pair")).alias("b"),
-        rint_to(F.col("r"), digits).alias("r"),
+    r = pair_correlations(df, columns)
+    return r.filter("i < j").select(
+        label_of(columns, F.col("i")).alias("a"), label_of(columns, F.col("j")).alias("b"), rint_to(F.col("r"), digits).alias("r"),
     )
 
 
 def corr_with(df: DataFrame, columns: list[str], target: str = S.TARGET) -> DataFrame:
-    r = paired_columns(df, [(c, target) for c in columns]).groupBy("pair").agg(F.corr("x", "y").alias("r"))
-    return r.select(label_of(columns, F.col("pair")).alias("feature"), "r")
+    r = pair_correlations(df, [*columns, target])
+    last = len(columns)
+    return r.filter((F.col("j") == last) & (F.col("i") < last)).select(label_of(columns, F.col("i")).alias("feature"), "r")
 
 
 def corr_ranked(
@@ -371,18 +367,31 @@ def box_stats(df: DataFrame, columns: list[str], key: str, digits: int = 6) -> D
     return stats.select(*keys, "n", "outliers", *[rint_to(c, digits).alias(name) for name, c in shown.items()])
 
 
-def qq_points(df: DataFrame, key: str, column: str = S.TARGET, n: int = 5000, seed: int = 42) -> DataFrame:
-    """Normal Q-Q points of a sample of ``n`` rows: theoretical and ordered values."""
-    values = sample_n(df.filter(F.col(column).isNotNull()), n, key, seed).select(
-        _as_double(column).alias("ordered")
-    )
-    # windows over the sample, whose size is the argument n
-    size = F.count(F.lit(1)).over(Window.partitionBy()).cast("double")
-    ranked = values.select("ordered", F.row_number().over(Window.orderBy("ordered")).alias("i"), size.alias("size"))
-    last = F.pow(F.lit(0.5), 1.0 / F.col("size"))
-    middle = (F.col("i") - 0.3175) / (F.col("size") + 0.365)
-    level = F.when(F.col("i") == F.col("size"), last).when(F.col("i") == 1, 1.0 - last).otherwise(middle)
-    return ranked.select("i", normal_quantile(level).alias("theoretical"), "ordered")
+def qq_points(df: DataFrame, column: str = S.TARGET, n: int = 5000) -> DataFrame:
+    """Normal Q-Q points of all rows: theoretical and ordered values at up to ``n`` ranks.
+
+    The ranks are spread evenly from the smallest to the largest value, so the points are those of the plot
+    of every row, shown at ``n`` places; with fewer rows than ``n`` each row is a point. Ranks come from
+    counted values. ``i`` numbers the points.
+    """
+    ranked = running_totals(value_counts_of(df, column), [], "value", ["n"])
+    total = F.col("n_total")
+    points = F.least(total, F.lit(n).cast("long"))
+
+    def first_point(rank: Column) -> Column:
+        """The first point whose 0-based rank is not below ``rank``."""
+        gaps = F.greatest(total - 1, F.lit(1))
+        return whole_quotient(rank * (points - 1) + gaps - 1, gaps)
+
+    low = first_point(F.col("n_upto") - F.col("n"))
+    high = F.when(F.col("n_upto") == total, points).otherwise(first_point(F.col("n_upto")))
+    held = ranked.select("value", total.alias("total"), points.alias("points"), low.alias("low"), high.alias("high"))
+    shown = held.filter("low < high").select("*", F.explode(F.sequence(F.col("low"), F.col("high") - 1)).alias("at"))
+    size = F.col("total").cast("double")
+    rank = whole_quotient(F.col("at") * (F.col("total") - 1), F.greatest(F.col("points") - 1, F.lit(1))) + 1
+    last = F.pow(F.lit(0.5), 1.0 / size)
+    level = F.when(rank == F.col("total"), last).when(rank == 1, 1.0 - last).otherwise((rank - 0.3175) / (size + 0.365))
+    return shown.select((F.col("at") + 1).cast("int").alias("i"), normal_quantile(level).alias("theoretical"), F.col("value").alias("ordered"))
 
 
 def qq_line(points: DataFrame, digits: int = 6) -> DataFrame:

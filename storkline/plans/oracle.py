@@ -281,9 +281,9 @@ def normal_quantile(p: str) -> str:
 
 
 QQ = [
-    f"drawn AS (SELECT weight_grams AS ordered FROM clean ORDER BY {key_hash('birth_id')}, birth_id LIMIT 5000)",
-    "numbered AS (SELECT ordered, row_number() OVER (ORDER BY ordered) AS i, (SELECT count(*) FROM drawn) * 1e0 AS m FROM drawn)",
-    "levels AS (SELECT i, ordered, CASE WHEN i = m THEN 0.5e0 ** (1e0 / m) WHEN i = 1 THEN 1e0 - 0.5e0 ** (1e0 / m) ELSE (i - 0.3175e0) / (m + 0.365e0) END AS p FROM numbered)",
+    "numbered AS (SELECT weight_grams AS ordered, row_number() OVER (ORDER BY weight_grams) AS r, count(*) OVER () AS m FROM clean)",
+    "shown AS (SELECT k AS i, (k - 1) * (m - 1) // greatest(least(m, 5000) - 1, 1) + 1 AS r FROM (SELECT max(m) AS m FROM numbered), range(1, 5001) t(k) WHERE k <= m)",
+    "levels AS (SELECT i, ordered, CASE WHEN r = m THEN 0.5e0 ** (1e0 / m) WHEN r = 1 THEN 1e0 - 0.5e0 ** (1e0 / m) ELSE (r - 0.3175e0) / (m + 0.365e0) END AS p FROM numbered JOIN shown USING (r))",
     f"points AS (SELECT i, ordered, {normal_quantile('p')} AS z FROM levels)",
 ]
 RANKED_COLUMNS = S.CORRELATION_COLUMNS[1:]
@@ -418,7 +418,13 @@ def oracle_sql() -> dict[str, str]:
         "top_k": sql("split", f"SELECT * FROM ({LINES}) ORDER BY val_mae LIMIT 6"),
         "argmin_model": sql("split", f"SELECT * FROM ({LINES}) ORDER BY val_mae LIMIT 1"),
         "sample_n": sql("clean", f"SELECT birth_id, weight_grams FROM clean ORDER BY {key_hash('birth_id')}, birth_id LIMIT 5000"),
-        "limit_per_file": sql("births", "SELECT birth_id, source_file FROM births QUALIFY row_number() OVER (PARTITION BY source_file ORDER BY birth_id) <= 1000"),
+        "limit_per_file": sql("births", "SELECT source_file, year_fix, month, weight_pounds, mother_age, lmp, state FROM births QUALIFY row_number() OVER (PARTITION BY source_file ORDER BY birth_id) <= 1000"),
+        "peek_raw": sql("births", """SELECT birth_id, year_fix, state, lmp, CAST(1 AS INT) AS header FROM first
+UNION ALL SELECT birth_id, year_fix, state, lmp, 0 FROM first WHERE n < 5 UNION ALL SELECT 'birth_id', 'year_fix', 'state', 'lmp', 0""",
+            "first AS (SELECT CAST(birth_id AS VARCHAR) AS birth_id, CAST(year_fix AS VARCHAR) AS year_fix, state, lmp, row_number() OVER (ORDER BY births.birth_id) AS n FROM births WHERE source_year = 2002 QUALIFY n <= 5)"),
+        "column_set_diff": sql("features", "\nUNION ALL ".join(
+            rows_of(f"SELECT '@' AS \"column\", count(@) AS n_known, '{side}' AS only_in FROM {table}", names)
+            for side, table, names in (("raw", "births", ["day", *S.APGAR_COLUMNS]), ("featured", "features", ["outlier_weight", "weight_grams", *S.ENGINEERED_COLUMNS])))),
         "union_by_name": sql("births", "SELECT birth_id, source_file, weight_pounds, CASE WHEN source_year >= 2002 THEN alcohol_use END AS alcohol_use, CASE WHEN source_year >= 2002 THEN drinks_per_week END AS drinks_per_week FROM births"),
         "union_splits": sql("features", "SELECT count(*) AS n, count(*) FILTER (weight_grams < 300 OR weight_grams > 7000) AS out_of_range FROM features"),
         "expectations": expectations(),
@@ -502,6 +508,9 @@ UNION ALL SELECT 'psi:' || feature, max(psi), 0.2e0, CAST(max(psi) > 0.2 AS INT)
   round_even((100e0 * count(*) FILTER (event_type = 'error') / count(*)) * 10000e0, 0) / 10000e0 AS error_pct, CAST(100e0 * count(*) FILTER (event_type = 'error') / count(*) > 5 AS INT) AS alert
 FROM (SELECT date_trunc('hour', ts) AS w, event_type FROM events)
 WHERE w + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE GROUP BY w""",
+        "stream_counts_resumed": """SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS requests, count(*) FILTER (event_type = 'error') AS errors,
+  round_even((100e0 * count(*) FILTER (event_type = 'error') / count(*)) * 10000e0, 0) / 10000e0 AS error_pct, CAST(100e0 * count(*) FILTER (event_type = 'error') / count(*) > 5 AS INT) AS alert
+FROM (SELECT date_trunc('hour', ts) AS w, event_type FROM events) GROUP BY w""",
         "stream_value_drift": f"""WITH binned AS (SELECT date_trunc('day', ts) AS w, {value_bin} AS bin FROM events WHERE value IS NOT NULL),
 base AS (SELECT bin, count(*) * 1e0 / (SELECT count(*) FROM binned) AS e FROM binned GROUP BY bin),
 windows AS (SELECT w, count(*) AS n FROM binned WHERE w + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR GROUP BY w),

@@ -468,12 +468,12 @@ def box_stats_by_category(spark, sf_dir):
 
 @query
 def qq_points(spark, sf_dir):
-    return profile.qq_points(cleaned(spark, sf_dir), "birth_id").withColumns(rounded(["theoretical"]))
+    return profile.qq_points(cleaned(spark, sf_dir)).withColumns(rounded(["theoretical"]))
 
 
 @query
 def qq_line(spark, sf_dir):
-    return profile.qq_line(profile.qq_points(cleaned(spark, sf_dir), "birth_id"), digits=5)
+    return profile.qq_line(profile.qq_points(cleaned(spark, sf_dir)), digits=5)
 
 
 # ---- ordering, sampling, set operations
@@ -514,12 +514,36 @@ def sample_n_query(spark, sf_dir):
 
 @query
 def limit_per_file(spark, sf_dir):
-    """At most 1,000 rows of each file, first by key."""
-    view = births(spark, sf_dir)
-    parts = [
-        view.filter(F.col("source_file") == name).orderBy("birth_id").limit(1000) for name in S.ERA_FILES
-    ]
-    return raw_files.union_by_name(parts).select("birth_id", "source_file")
+    """The view written as one CSV per file, ordered by key, of which the first 1,000 rows are loaded."""
+    folder = work_path(spark, "raw")
+    for name in S.ERA_FILES:
+        rows = births(spark, sf_dir).filter(F.col("source_file") == name).orderBy("birth_id")
+        rows.select(*S.RAW_COLUMNS).write.options(**RAW_CSV).csv(f"{folder}/{name}")
+    loaded = raw_files.load_all(spark, folder, nrows_per_file=1000)
+    return loaded.select("source_file", "year_fix", "month", "weight_pounds", "mother_age", "lmp", "state")
+
+
+@query
+def peek_raw(spark, sf_dir):
+    """The first five rows of a file ordered by key, read without and with its header."""
+    path = work_path(spark, "newborn_2002")
+    columns = ["birth_id", "year_fix", "state", "lmp"]
+    rows = births(spark, sf_dir).filter("source_year = 2002").orderBy("birth_id")
+    rows.select(*columns).write.options(**RAW_CSV).csv(path)
+    plain, headed = raw_files.peek_raw(spark, path)
+    return plain.toDF(*columns).withColumn("header", F.lit(0)).unionAll(headed.withColumn("header", F.lit(1)))
+
+
+@query
+def column_set_diff(spark, sf_dir):
+    """Columns that only the raw view or only the featured frame has, and how many rows know them."""
+    raw, full = births(spark, sf_dir), featured(spark, sf_dir)
+    sides = []
+    for side, df, names in zip(("raw", "featured"), (raw, full), validate.column_set_diff(raw, full)):
+        names = sorted(names)
+        known = df.agg(*[F.count(c).alias(c) for c in names]).unpivot([], names, "column", "n_known")
+        sides.append(known.withColumn("only_in", F.lit(side)))
+    return sides[0].unionAll(sides[1])
 
 
 @query
@@ -662,7 +686,7 @@ def screening_table(spark, sf_dir):
     candidates = {
         "baseline_mean": (model.BaselineMean(), False),
         "ridge_default": (model.Ridge(1.0), True),
-        "trees_default": (model.gbt(**SMALL_TREES), False),
+        "trees_small": (model.gbt(**SMALL_TREES), False),
     }
     return model.screening_table(candidates, train, val, "birth_id")
 
@@ -690,10 +714,9 @@ def shapley(spark, sf_dir):
 
 @query
 def shapley_trees(spark, sf_dir):
-    """Sampled values of boosted trees, mean size per feature over a sample of 1,000 rows."""
+    """Sampled values of small boosted trees, mean size per feature over all validation rows."""
     fitted = small_trees(spark, sf_dir)
-    rows = sample_n(part(spark, sf_dir, "val"), 1000, "birth_id")
-    phi = explain.sampled_shapley(fitted, rows, "birth_id", permutations=4)
+    phi = explain.sampled_shapley(fitted, part(spark, sf_dir, "val"), "birth_id", permutations=4)
     return phi.groupBy("feature").agg(F.avg(F.abs("phi")).alias("mean_abs")).orderBy(F.desc("mean_abs"))
 
 
@@ -849,6 +872,20 @@ def stream_counts(spark, sf_dir):
     return closed.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))
 
 
+@query
+def stream_counts_resumed(spark, sf_dir):
+    """The events in two halves through one checkpoint; an event of the next day closes the last window."""
+    folder, out, state = (work_path(spark, f"requests-{part}") for part in ("in", "out", "state"))
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select(F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    half, end = events.agg(F.timestamp_micros(((F.min(F.unix_micros("ts")) + F.max(F.unix_micros("ts"))) / 2).cast("long")), F.max("ts")).first()
+    closing = events.filter(F.col("ts") == F.lit(end)).limit(1).select((F.col("ts") + F.expr("INTERVAL 1 DAY")).alias("ts"), "event_type")
+    later = events.filter(F.col("ts") >= F.lit(half)).unionAll(closing)
+    for arriving in (events.filter(F.col("ts") < F.lit(half)), later):
+        arriving.write.mode("append").parquet(folder)
+        closed = jobs.available_now(jobs.request_counts(jobs.stream_table(spark, folder, "*.parquet")), "requests", out, state)
+    return closed.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))
+
+
 @query
 def stream_value_drift(spark, sf_dir):
     low, high, bins = 0.0, 200.0, 10

@@ -1,7 +1,9 @@
 """Scoring and monitoring as Structured Streaming jobs.
 
 Every job reads files as they arrive and appends to a Parquet table; progress and state live in a
-checkpoint below the shared folder. The ``available_now`` runner processes what is there and stops.
+checkpoint. The ``available_now`` runner processes what is there and stops; given the same output and
+checkpoint again, it goes on where it stopped. A window is emitted once an event later than its end plus the
+lateness has come, so the last window of a stream stays open until then.
 """
 
 from __future__ import annotations
@@ -21,10 +23,16 @@ def stream_table(spark: SparkSession, folder: str, file_name: str) -> DataFrame:
     return spark.readStream.schema(schema).option("pathGlobFilter", file_name).parquet(folder)
 
 
-def available_now(stream: DataFrame, name: str) -> DataFrame:
-    """Run an append query over all files present, and read its output table."""
+def available_now(stream: DataFrame, name: str, out: str | None = None, state: str | None = None) -> DataFrame:
+    """Run an append query over all files not seen yet, and read its whole output table.
+
+    ``out`` and ``state`` name the output and the checkpoint of a job that is continued run by run; without
+    them a job starts afresh below the shared folder.
+    """
+    if (out is None) != (state is None):
+        raise ValueError("a continued job needs its output and its checkpoint")
     spark = stream.sparkSession
-    out, state = work_path(spark, f"{name}-out"), work_path(spark, f"{name}-state")
+    out, state = out or work_path(spark, f"{name}-out"), state or work_path(spark, f"{name}-state")
     query = (
         stream.writeStream.format("parquet").outputMode("append")
         .option("path", out).option("checkpointLocation", state)

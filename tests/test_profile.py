@@ -160,12 +160,18 @@ def test_box_stats(frame, people):
 def test_qq_points(frame, people):
     import statistics
 
-    points = profile.qq_points(frame, "birth_id", n=300)
-    rows = sorted(points.collect(), key=lambda r: r.i)
-    assert len(rows) == 300 and [r.ordered for r in rows] == sorted(r.ordered for r in rows)
-    n = len(rows)
+    ordered = sorted(r[0] for r in frame.filter("weight_grams is not null").select(F.col("weight_grams").cast("double")).collect())
+    n = len(ordered)
     levels = [1 - 0.5 ** (1 / n), *[(i - 0.3175) / (n + 0.365) for i in range(2, n)], 0.5 ** (1 / n)]
-    assert [r.theoretical for r in rows] == pytest.approx([statistics.NormalDist().inv_cdf(p) for p in levels], abs=1e-12)
+    # every rank with more points than rows, evenly spread ranks otherwise, both ends included
+    for k in (2, 7, 300, n, n + 50):
+        points = profile.qq_points(frame, n=k)
+        rows = sorted(points.collect(), key=lambda r: r.i)
+        ranks = [i * (n - 1) // (min(k, n) - 1) for i in range(min(k, n))]
+        assert [r.i for r in rows] == list(range(1, len(ranks) + 1)) and [r.ordered for r in rows] == [ordered[r] for r in ranks]
+        assert [r.theoretical for r in rows] == pytest.approx([statistics.NormalDist().inv_cdf(levels[r]) for r in ranks], abs=1e-12)
+    one = profile.qq_points(frame.filter("weight_grams is not null").limit(1)).collect()
+    assert [(r.i, r.theoretical) for r in one] == [(1, 0.0)] and profile.qq_points(frame.limit(0)).isEmpty()
     slope, intercept = np.polyfit([r.theoretical for r in rows], [r.ordered for r in rows], 1)
     line = profile.qq_line(points).first()
     assert (line.slope, line.intercept) == (pytest.approx(slope, abs=1e-4), pytest.approx(intercept, abs=1e-4))
