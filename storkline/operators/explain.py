@@ -103,11 +103,12 @@ def sampled_shapley(
     For each permutation a row walks from its random partner to itself, one feature after the
     other in random order; a feature earns the change of the prediction at its step. The values of
     a row add up to its prediction minus the mean of its partners' predictions, and the error
-    shrinks with the square root of ``permutations``.
+    shrinks with the square root of ``permutations``. Records that share a key are explained each.
     """
     features = [f for f in features if f in df.columns]
     p = len(features)
-    rows = stored(df.select(key, *[F.col(f).cast("double").alias(f) for f in features]), "shapley")
+    numbered = F.monotonically_increasing_id().alias("_row")
+    rows = stored(df.select(key, numbered, *[F.col(f).cast("double").alias(f) for f in features]), "shapley")
     blocks = _blocks(rows)
     numbers = F.array(*[F.lit(i) for i in range(p)])
     names = F.array(*[F.lit(f) for f in features])
@@ -116,7 +117,7 @@ def sampled_shapley(
         paired = with_partner(rows, features, seed + r, blocks).withColumn("_walk", F.shuffle(numbers, seed + 7919 * (r + 1)))
         steps = paired.select("*", F.explode(F.sequence(F.lit(0), F.lit(p))).alias("_step"))
         return steps.select(
-            key, "_step",
+            key, "_row", "_step",
             F.get(names, F.get("_walk", F.col("_step") - 1)).alias("_gains"),
             F.get(names, F.get("_walk", F.col("_step"))).alias("_loses"),
             *[
@@ -130,8 +131,8 @@ def sampled_shapley(
         F.struct(F.col("_gains").alias("feature"), F.col("prediction").alias("part")),
         F.struct(F.col("_loses").alias("feature"), (-F.col("prediction")).alias("part")),
     )
-    parts = scored.select(key, F.inline(ends)).filter(F.col("feature").isNotNull())
-    return parts.groupBy(key, "feature").agg((F.sum("part") / permutations).alias("phi"))
+    parts = scored.select(key, "_row", F.inline(ends)).filter(F.col("feature").isNotNull())
+    return parts.groupBy("_row", key, "feature").agg((F.sum("part") / permutations).alias("phi")).drop("_row")
 
 
 def builtin_importance(model: PipelineModel) -> DataFrame:

@@ -14,10 +14,10 @@ CLINICAL = ["lbw_prevalence_pct", "sensitivity", "specificity", "precision", "f1
 
 
 def regression_columns(y: str = S.TARGET, p: str = "prediction") -> list[Column]:
-    """MAE, RMSE and R2; R2 of a constant target is 1 when every prediction is right, else 0."""
+    """MAE, RMSE and R2, null without rows; R2 of a constant target is 1 when every prediction is right, else 0."""
     truth, error = F.col(y).cast("double"), F.col(y) - F.col(p)
     left, spread = F.avg(error * error), F.var_pop(truth)
-    r2 = F.when(F.min(truth) < F.max(truth), 1.0 - left / F.nullif(spread, F.lit(0.0))).when(left == 0, 1.0).otherwise(0.0)
+    r2 = F.when(F.min(truth) < F.max(truth), 1.0 - left / F.nullif(spread, F.lit(0.0))).when(left == 0, 1.0).when(left.isNotNull(), 0.0)
     return [
         rint_to(F.avg(F.abs(error)), 3).alias("mae"),
         rint_to(F.sqrt(left), 3).alias("rmse"),

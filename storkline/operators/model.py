@@ -149,6 +149,8 @@ class BaselineMean(Estimator, HasLabelCol, HasPredictionCol):
 
     def _fit(self, df: DataFrame) -> Model:
         mean = df.agg(F.avg(self.getLabelCol())).first()[0]
+        if mean is None:
+            raise ValueError("no training rows with a target")
         return SQLTransformer(statement=f"SELECT *, {_literal(mean)} AS `{self.getPredictionCol()}` FROM __THIS__")
 
 
@@ -167,6 +169,8 @@ class Ridge(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCol):
     def _fit(self, df: DataFrame) -> Model:
         label = self.getLabelCol()
         n, spread = df.agg(F.count(label), F.stddev_pop(label)).first()
+        if not n:
+            raise ValueError("no training rows with a target")
         return LinearRegression(
             featuresCol=self.getFeaturesCol(), labelCol=label, predictionCol=self.getPredictionCol(),
             elasticNetParam=0.0, standardization=False, solver="normal", regParam=self.alpha * spread / n,
@@ -252,7 +256,7 @@ def train_and_log(
             "model_name": name, "n_train": sizes["train"], "n_val": sizes["val"],
             "n_features": len([c for c in S.MODEL_FEATURES if c in train.columns]), **(params or {}),
         },
-        tags={"model_type": name, **(tags or {})},
+        tags={"model_type": name, **(tags or {})}, start_ms=int(start * 1000),
     )
     if runs:
         if save_model:
@@ -264,15 +268,15 @@ def train_and_log(
 def run_search(
     name: str, space: Callable[[random.Random], dict], make: Callable[[dict], Estimator],
     train: DataFrame, val: DataFrame, n_trials: int = 30, seed: int = 42, runs: str | None = None,
-    minimize: bool = True, parallelism: int = 1, label: str = S.TARGET,
+    minimize: bool = True, parallelism: int = 1, label: str = S.TARGET, prep: FeaturePrep | None = None,
 ) -> tuple[dict, list[Run]]:
     """Random search on the fixed validation rows: each trial is one distributed fit.
 
-    The features are prepared once and shared by all trials.
+    The features are prepared once, by ``prep`` (unscaled unless given), and shared by all trials.
     """
     spark = train.sparkSession
     shared_folder(spark)
-    prep = FeaturePrep().fit(train)
+    prep = (prep or FeaturePrep()).fit(train)
     fit_rows = prep.transform(spread(train)).select("features", label).persist(StorageLevel.MEMORY_AND_DISK)
     val_rows = prep.transform(spread(val)).select("features", label).persist(StorageLevel.MEMORY_AND_DISK)
     draw = random.Random(seed)
@@ -280,11 +284,12 @@ def run_search(
 
     def trial(numbered: tuple[int, dict]) -> Run:
         number, params = numbered
+        start = int(time.time() * 1000)
         row = make(params).fit(fit_rows).transform(val_rows).agg(*regression_columns(label)).first()
         metrics = {f"val_{k}": float(v) for k, v in row.asDict().items()}
         return Run.new(
             f"{name}_trial_{number}", metrics, params=params,
-            tags={"model_type": name, "trial": str(number), "search": "random"},
+            tags={"model_type": name, "trial": str(number), "search": "random"}, start_ms=start,
         )
 
     try:
@@ -304,10 +309,13 @@ def run_search(
 
 
 def screening_table(
-    candidates: dict[str, tuple[Estimator, bool]], train: DataFrame, val: DataFrame, key: str,
+    candidates: dict[str, tuple[Estimator, bool] | Pipeline], train: DataFrame, val: DataFrame, key: str,
     sample: int = 500_000, seed: int = 42, runs: str | None = None,
 ) -> DataFrame:
-    """Candidates fitted on the same sample of training rows, best validation error first."""
+    """Candidates fitted on the same sample of training rows, best validation error first.
+
+    A candidate is a regressor and whether its features are scaled, or a whole pipeline.
+    """
     spark = train.sparkSession
     shared_folder(spark)
     # a limit leaves one partition
@@ -315,8 +323,9 @@ def screening_table(
     drawn = sample_n(train, sample, key, seed).repartition(cores).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         lines = []
-        for name, (model, scale) in candidates.items():
-            _, run = train_and_log(build_pipeline(model, scale), name, drawn, val, runs, tags={"stage": "screening"}, save_model=False)
+        for name, candidate in candidates.items():
+            pipeline = candidate if isinstance(candidate, Pipeline) else build_pipeline(*candidate)
+            _, run = train_and_log(pipeline, name, drawn, val, runs, tags={"stage": "screening"}, save_model=False)
             m = run.metrics
             lines.append((name, m["val_mae"], m["val_rmse"], m["val_r2"], m["val_sensitivity"]))
     finally:

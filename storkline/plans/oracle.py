@@ -5,11 +5,12 @@ Each text starts with the ``births`` view and adds the steps it needs as common
 
 from __future__ import annotations
 
+import random
 from itertools import combinations
 
 from storkline import schema as S
 from storkline.functions import normal
-from storkline.plans.queries import BOXED, DRIFTED, PROFILED
+from storkline.plans.queries import BOXED, DRIFTED, PROFILED, STUMP_FEATURES, STUMP_TRIALS, stump_space
 from storkline.sources.births import BIRTHS_COLUMNS
 
 BIRTHS = "births AS (SELECT " + ", ".join(f"{sql} AS {name}" for name, sql in BIRTHS_COLUMNS.items()) + " FROM lineitem)"
@@ -108,6 +109,10 @@ def clinical(threshold: float, keys: str = "", table: str = "scored") -> tuple[s
     return cells, rates
 
 
+CONFUSION = """SELECT CASE WHEN weight_grams < 2500 THEN 'LBW' WHEN weight_grams > 4000 THEN 'Macrosomia' ELSE 'Normal' END AS true_class,
+  CASE WHEN prediction < 2500 THEN 'LBW' WHEN prediction > 4000 THEN 'Macrosomia' ELSE 'Normal' END AS predicted_class, count(*) AS n FROM @ GROUP BY 1, 2"""
+
+
 def all_metrics(keys: str, table: str = "scored", where: str = "true") -> str:
     cells, rates = clinical(2500e0)
     lead = f"{keys}, " if keys else ""
@@ -263,6 +268,36 @@ def fill_of(column: str) -> str:
     return f"(SELECT fill FROM fills WHERE feature = '{column}')"
 
 
+STUMP_COLUMNS = sum(STUMP_FEATURES, [])
+
+
+def stump_ctes(least: int = 1, name: str = "stump") -> list[str]:
+    """A tree of one split: every cut of every filled feature is tried on the training rows."""
+    chosen = "CASE feature " + each("WHEN '@' THEN @", STUMP_COLUMNS, " ") + " END"
+    return [
+        f"{name}_rows AS (SELECT split, weight_grams, " + ", ".join(f"CAST(coalesce({c}, {fill_of(c)}) AS DOUBLE) AS {c}" for c in STUMP_COLUMNS) + " FROM split)",
+        f"{name}_values AS (" + rows_of(f"SELECT '@' AS feature, @ AS v, count(*) AS n, sum(weight_grams) AS s FROM {name}_rows WHERE split = 'train' GROUP BY @", STUMP_COLUMNS) + ")",
+        f"""{name}_cuts AS (SELECT feature, v, sum(n) OVER w AS nl, sum(s) OVER w AS sl, sum(n) OVER (PARTITION BY feature) AS nt, sum(s) OVER (PARTITION BY feature) AS st
+  FROM {name}_values WINDOW w AS (PARTITION BY feature ORDER BY v))""",
+        f"""{name}_best AS (SELECT feature, v, sl / nl AS low, (st - sl) / (nt - nl) AS high FROM {name}_cuts WHERE nl >= {least} AND nt - nl >= {least}
+  ORDER BY sl * sl / nl + (st - sl) * (st - sl) / (nt - nl) DESC LIMIT 1)""",
+        f"{name} AS (SELECT r.*, CASE WHEN {chosen} <= v THEN low ELSE high END AS prediction FROM {name}_rows r, {name}_best)",
+    ]
+
+
+def stump_trials() -> str:
+    """Trials and the best of them, the parameters drawn as the search draws them."""
+    draw = random.Random(42)
+    least = [stump_space(draw)["min_child_samples"] for _ in range(STUMP_TRIALS)]
+    trials = " UNION ALL ".join(
+        f"SELECT 'stumps_trial_{i}' AS run_name, {i} AS i, '{m}' AS min_child_samples, mae AS val_mae FROM ({all_metrics('', f't{i}', IN_VAL)})"
+        for i, m in enumerate(least))
+    ctes = [cte for i, m in enumerate(least) for cte in stump_ctes(m, f"t{i}")]
+    return sql("split", f"""SELECT run_name, min_child_samples, val_mae FROM trials
+UNION ALL SELECT * FROM (SELECT 'stumps_{STUMP_TRIALS}_trials', min_child_samples, val_mae FROM trials ORDER BY val_mae, i LIMIT 1)""",
+        *impute_ctes(), *ctes, f"trials AS ({trials})")
+
+
 def horner(x: str, coefficients: list[float]) -> str:
     out = f"{coefficients[0]!r}"
     for c in coefficients[1:]:
@@ -438,6 +473,17 @@ UNION ALL SELECT birth_id, year_fix, state, lmp, 0 FROM first WHERE n < 5 UNION
             "full_rows AS (SELECT birth_id, split, " + ", ".join(f"coalesce({c}, {fill_of(c)}) AS {c}" for c in S.NUMERIC_FEATURES) + " FROM split)",
         ),
         "baseline_mean": sql("mean", all_metrics("split")),
+        "ridge_optimality": sql("split", rows_of("SELECT '@' AS feature, 0e0 AS gap, round_even(avg(weight_grams) * 10000e0, 0) / 10000e0 AS mean_prediction FROM split WHERE split = 'train'", S.MODEL_FEATURES)),
+        "gbt_stump": sql("split", all_metrics("split", "stump"), *impute_ctes(), *stump_ctes()),
+        "category_confusion_stump": sql("split", CONFUSION.replace("@", "stump"), *impute_ctes(), *stump_ctes()),
+        "builtin_importance_stump": sql("split", rows_of("SELECT '@' AS feature, CASE WHEN feature = '@' THEN 1e0 ELSE 0e0 END AS importance FROM stump_best", STUMP_COLUMNS), *impute_ctes(), *stump_ctes()),
+        "permutation_importance_stump": sql("split", rows_of("SELECT '@' AS feature, CAST(feature = '@' AS INT) AS matters, CAST(feature <> '@' AS INT) AS is_zero FROM stump_best", STUMP_COLUMNS), *impute_ctes(), *stump_ctes()),
+        "shapley_stump": sql("split", rows_of("SELECT '@' AS feature, (SELECT count(*) FROM split WHERE split = 'val') AS n, 0e0 AS total, CAST(feature = '@' AS INT) AS matters FROM stump_best", STUMP_COLUMNS), *impute_ctes(), *stump_ctes()),
+        "hpo_stump": stump_trials(),
+        "screening_small": sql("ridge", "\nUNION ALL ".join(
+            f"SELECT '{n}' AS model, mae AS val_mae, rmse AS val_rmse, r2 AS val_r2, sensitivity AS val_sensitivity FROM ({all_metrics('', t, IN_VAL)})"
+            for n, t in (("mean", "mean_scored"), ("ridge", "scored"), ("stump", "stump"))),
+            MEAN.replace("scored AS", "mean_scored AS"), *impute_ctes(), *stump_ctes()),
         "ridge_coefficient": sql("ridge", "SELECT round_even((w / sg) * 1000000e0, 0) / 1000000e0 AS grams_per_week, round_even((my - w * mg / sg) * 10000e0, 0) / 10000e0 AS intercept FROM scale, weight"),
         "ridge_predictions": sql("ridge", "SELECT birth_id, round_even((prediction) * 10000e0, 0) / 10000e0 AS prediction FROM scored"),
         "regression_metrics": sql("ridge", f"SELECT split, {METRICS} FROM scored GROUP BY split"),
@@ -477,8 +523,7 @@ UNION ALL SELECT birth_id, year_fix, state, lmp, 0 FROM first WHERE n < 5 UNION
             for n, c in (("vlbw_pct", "< 1500"), ("lbw_pct", "< 2500"), ("macrosomia_pct", "> 4000"))) + " FROM clean"),
         "subgroup_metrics": sql("mean", all_metrics("\"grouping\", value", "labelled"), "labelled AS (" + "\nUNION ALL ".join(
             f"SELECT '{n}' AS \"grouping\", coalesce(CAST({e} AS VARCHAR), 'unknown') AS value, weight_grams, prediction FROM scored" for n, e in SUBGROUPS.items()) + ")"),
-        "category_confusion": sql("ridge", """SELECT CASE WHEN weight_grams < 2500 THEN 'LBW' WHEN weight_grams > 4000 THEN 'Macrosomia' ELSE 'Normal' END AS true_class,
-  CASE WHEN prediction < 2500 THEN 'LBW' WHEN prediction > 4000 THEN 'Macrosomia' ELSE 'Normal' END AS predicted_class, count(*) AS n FROM scored GROUP BY 1, 2"""),
+        "category_confusion": sql("ridge", CONFUSION.replace("@", "scored")),
         "residuals": sql("mean", shape("residual", "(SELECT weight_grams - prediction AS residual FROM scored)")),
         "residuals_by_prediction": sql("ridge", """SELECT CAST(CASE WHEN prediction <= 0 THEN NULL WHEN prediction <= 3200 THEN 0 WHEN prediction <= 3400 THEN 1 WHEN prediction <= 3600 THEN 2 WHEN prediction <= 3800 THEN 3
   WHEN prediction <= 4000 THEN 4 WHEN prediction <= 9999 THEN 5 END AS INT) AS band, count(*) AS n, round_even((avg(weight_grams - prediction)) * 1000000e0, 0) / 1000000e0 AS mean,

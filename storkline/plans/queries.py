@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from collections.abc import Callable
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -27,6 +28,10 @@ PROFILED = [*S.NUMERIC_RAW_COLUMNS, "source_year"]
 BOXED = ["gestation_weeks", "mother_age", "weight_gain_pounds"]
 DRIFTED = ["gestation_weeks", "mother_age", "weight_gain_pounds", "father_age", S.TARGET]
 SMALL_TREES = {"n_estimators": 10, "max_depth": 4, "learning_rate": 0.2, "max_bins": 32}
+# more bins than a feature has values, so that every cut is tried
+STUMP = {"n_estimators": 1, "max_depth": 1, "max_bins": 128}
+STUMP_FEATURES = (["gestation_weeks", "mother_age", "father_age", "month"], ["is_male", "mother_married", "gestation_preterm"])
+STUMP_TRIALS = 3
 
 
 def query(function: Query) -> Query:
@@ -65,6 +70,20 @@ def small_trees(spark: SparkSession, sf_dir: str) -> PipelineModel:
     return model.build_pipeline(model.gbt(**SMALL_TREES)).fit(spread(part(spark, sf_dir, "train")))
 
 
+def stump_pipeline() -> Pipeline:
+    return model.build_pipeline(model.gbt(**STUMP), False, *STUMP_FEATURES)
+
+
+def stump(spark: SparkSession, sf_dir: str) -> PipelineModel:
+    """A fitted tree of one split, which SQL finds by trying every cut."""
+    shared_folder(spark)
+    return stump_pipeline().fit(spread(part(spark, sf_dir, "train")))
+
+
+def stump_space(draw: random.Random) -> dict:
+    return {**STUMP, "min_child_samples": 500 * draw.randint(1, 3)}
+
+
 def scored_by_ridge(spark: SparkSession, sf_dir: str) -> DataFrame:
     fitted = gestation_ridge(part(spark, sf_dir, "train"))
     return fitted.transform(divided(spark, sf_dir)).drop("features", "x_gestation_weeks")
@@ -630,6 +649,74 @@ def gbt(spark, sf_dir):
     return metrics.all_metrics(fitted.transform(divided(spark, sf_dir)), ["split"])
 
 
+@query
+def ridge_optimality(spark, sf_dir):
+    """Condition of the full ridge per feature: its products with the errors add up to alpha times its weight."""
+    fitted = model.build_pipeline(model.Ridge(1.0), True).fit(part(spark, sf_dir, "train"))
+    scored = fitted.transform(part(spark, sf_dir, "train"))
+    names = model.prepared_features(fitted)
+    error, weights = F.col(S.TARGET) - F.col("prediction"), fitted.stages[-1].coefficients.toArray().tolist()
+    gaps = scored.agg(F.count(F.lit(1)).alias("_n"), F.avg("prediction").alias("_mean"), *[
+        (F.sum(F.col(f"x_{c}") * error) - w).alias(c) for c, w in zip(names, weights)
+    ])
+    return gaps.unpivot(["_n", "_mean"], names, "feature", "gap").select(
+        "feature", F.abs(rint_to(F.col("gap") / F.col("_n"), 6)).alias("gap"), rint_to(F.col("_mean"), 4).alias("mean_prediction")
+    )
+
+
+@query
+def gbt_stump(spark, sf_dir):
+    return metrics.all_metrics(stump(spark, sf_dir).transform(divided(spark, sf_dir)), ["split"])
+
+
+@query
+def category_confusion_stump(spark, sf_dir):
+    """Classes of a model that predicts low weights too."""
+    return drift.category_confusion(stump(spark, sf_dir).transform(divided(spark, sf_dir)))
+
+
+@query
+def builtin_importance_stump(spark, sf_dir):
+    return explain.builtin_importance(stump(spark, sf_dir))
+
+
+@query
+def permutation_importance_stump(spark, sf_dir):
+    """Only the feature of the split matters; any other has an importance of exactly 0."""
+    found = explain.permutation_importance(stump(spark, sf_dir), part(spark, sf_dir, "val"), sum(STUMP_FEATURES, []), repeats=2)
+    return found.select("feature", (F.col("importance") > 0).cast("int").alias("matters"), (F.col("importance") == 0).cast("int").alias("is_zero"))
+
+
+@query
+def shapley_stump(spark, sf_dir):
+    """Contributions of all validation rows add up to 0, as their partners are a permutation of them."""
+    rows = part(spark, sf_dir, "val")
+    phi = explain.sampled_shapley(stump(spark, sf_dir), rows, "birth_id", sum(STUMP_FEATURES, []), permutations=2)
+    return phi.groupBy("feature").agg(
+        F.count(F.lit(1)).alias("n"), F.abs(rint_to(F.sum("phi"), 3)).alias("total"), F.max((F.col("phi") != 0).cast("int")).alias("matters")
+    )
+
+
+@query
+def hpo_stump(spark, sf_dir):
+    """Three stumps that differ in the least number of rows on a side."""
+    folder = work_path(spark, "tracking")
+    train, val = part(spark, sf_dir, "train"), part(spark, sf_dir, "val")
+    prep = model.FeaturePrep(numericCols=STUMP_FEATURES[0], binaryCols=STUMP_FEATURES[1])
+    model.run_search("stumps", stump_space, lambda p: model.gbt(**p), train, val, STUMP_TRIALS, runs=folder, prep=prep)
+    return run_tables.read_runs(spark, folder).select(
+        "run_name", F.col("params")["min_child_samples"].alias("min_child_samples"),
+        F.coalesce(F.col("metrics")["val_mae"], F.col("metrics")["best_val_mae"]).alias("val_mae"),
+    )
+
+
+@query
+def screening_small(spark, sf_dir):
+    """Mean, one-feature ridge and stump on the screening sample."""
+    candidates = {"mean": model.build_pipeline(model.BaselineMean()), "ridge": gestation_pipeline(), "stump": stump_pipeline()}
+    return model.screening_table(candidates, part(spark, sf_dir, "train"), part(spark, sf_dir, "val"), "birth_id")
+
+
 @query
 def regression_metrics(spark, sf_dir):
     return metrics.regression_metrics(scored_by_ridge(spark, sf_dir), ["split"])

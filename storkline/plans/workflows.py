@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from storkline.functions.sampling import sample_n
 from storkline.operators import explain, metrics, model, split
@@ -26,13 +27,17 @@ def prepare_data(
 ) -> dict:
     """Raw files to cleaned, featured split sets: one stage from scan to write.
 
-    Returns the counts of the cleaning steps, which the writing job observes on its way.
+    Returns the counts of the cleaning steps, which the writing job observes on its way, and under ``splits``
+    the size, share and years of each split. An empty split is logged as a warning.
     """
     seen = Observation("cleaning")
     raw = raw_files.load_all(spark, data_dir, files, nrows_per_file)
     split_files.save_splits(engineer_features(run_preprocessing(raw, seen)), out_dir)
     log.info("cleaning: %s", seen.get)
-    return seen.get
+    info = split.split_info(spark.read.parquet(out_dir))
+    split.warn_empty_splits(info)
+    # three rows
+    return {**seen.get, "splits": [r.asDict() for r in info.collect()]}
 
 
 @dataclass
@@ -61,6 +66,7 @@ class Outcome:
     test: DataFrame
     gate: DataFrame
     importance: DataFrame
+    shapley: DataFrame
     version: int
     path: str
 
@@ -68,14 +74,18 @@ class Outcome:
 def train_models(
     spark: SparkSession, splits_dir: str, tracking_dir: str, key: str,
     candidates: dict[str, Candidate] | None = None, n_trials: int = 30, screen_rows: int = 500_000,
-    importance_rows: int | None = None, importance_repeats: int = 10, seed: int = 42,
+    importance_rows: int | None = None, importance_repeats: int = 10, seed: int = 42, parallelism: int = 1,
+    shapley_permutations: int = 8,
 ) -> Outcome:
-    """Baseline, screening, search, final fits, one look at the test split, importance, registration.
+    """Baseline, screening, search, final fits, one look at the test split, explanation, registration.
 
-    ``key`` is an integer column that identifies records; screening draws by it. Importance takes all
-    validation records unless ``importance_rows`` asks for a sample.
+    ``key`` is an integer column that identifies records; screening draws by it. Importance and Shapley values
+    take all validation records unless ``importance_rows`` asks for a sample. ``parallelism`` trials of a
+    search run side by side.
     """
     candidates = candidates or default_candidates()
+    if not any(c.space for c in candidates.values()):
+        raise ValueError("no candidate names a space to search")
     splits = split_files.load_splits(spark, splits_dir)
     train, val, test = (split.model_matrix(df, keep=(key,)) for df in splits)
 
@@ -90,6 +100,7 @@ def train_models(
             continue
         params, _ = model.run_search(
             f"{name}_search", candidate.space, lambda p, c=candidate: c.make(**p), train, val, n_trials, seed, tracking_dir,
+            parallelism=parallelism, prep=model.FeaturePrep(scaleNumeric=candidate.scale),
         )
         finals[f"{name}_final"] = model.train_and_log(
             model.build_pipeline(candidate.make(**params), candidate.scale), f"{name}_final", train, val,
@@ -98,30 +109,37 @@ def train_models(
     best = min(finals, key=lambda n: finals[n][1].metrics["val_mae"])
     fitted, run = finals[best]
     return finish_model(
-        spark, tracking_dir, run.run_name, fitted, val, test, key, screening, importance_rows, importance_repeats, seed
+        spark, tracking_dir, run.run_name, fitted, val, test, key, screening, importance_rows, importance_repeats, seed,
+        run.run_id, shapley_permutations,
     )
 
 
 def finish_model(
     spark: SparkSession, tracking_dir: str, run_name: str, fitted: PipelineModel | None, val: DataFrame,
     test: DataFrame, key: str, screening: DataFrame | None = None, importance_rows: int | None = None,
-    importance_repeats: int = 10, seed: int = 42,
+    importance_repeats: int = 10, seed: int = 42, run_id: str | None = None, shapley_permutations: int = 8,
 ) -> Outcome:
-    """Evaluate on test, explain and register the newest run of a name; loads its model when not given."""
-    found = run_tables.find_run(run_tables.read_runs(spark, tracking_dir), run_name).first()
-    if found is None:
-        raise ValueError(f"no run named '{run_name}' in {tracking_dir}")
-    fitted = fitted or PipelineModel.load(f"{tracking_dir}/models/{found.run_id}")
+    """Evaluate on test, explain and register a run; loads its model when not given.
+
+    Without ``run_id`` it is the newest run of the name, whose own model is loaded whatever ``fitted`` is.
+    """
+    if run_id is None:
+        found = run_tables.find_run(run_tables.read_runs(spark, tracking_dir), run_name).first()
+        if found is None:
+            raise ValueError(f"no run named '{run_name}' in {tracking_dir}")
+        run_id, fitted = found.run_id, None
+    fitted = fitted or PipelineModel.load(f"{tracking_dir}/models/{run_id}")
     results = {k: v for k, v in metrics.metric_row(fitted.transform(test)).items() if k != "n"}
     row = spark.createDataFrame([{k: float(v) for k, v in results.items()}])
-    importance = explain.permutation_importance(
-        fitted, sample_n(val, importance_rows, key, seed) if importance_rows else val, repeats=importance_repeats, seed=seed
-    )
+    explained = sample_n(val, importance_rows, key, seed) if importance_rows else val
+    importance = explain.permutation_importance(fitted, explained, repeats=importance_repeats, seed=seed)
+    phi = explain.sampled_shapley(fitted, explained, key, permutations=shapley_permutations, seed=seed)
+    shapley = phi.groupBy("feature").agg(F.avg(F.abs("phi")).alias("mean_abs")).orderBy(F.desc("mean_abs"), "feature")
     version, path = run_tables.register_model(
-        spark, tracking_dir, REGISTERED_NAME, found.run_id, {f"test_{k}": float(v) for k, v in results.items()},
+        spark, tracking_dir, REGISTERED_NAME, run_id, {f"test_{k}": float(v) for k, v in results.items()},
         {"test_evaluated": "true"},
     )
-    return Outcome(run_name, fitted, screening, row, metrics.acceptance_gate(row), importance, version, path)
+    return Outcome(run_name, fitted, screening, row, metrics.acceptance_gate(row), importance, shapley, version, path)
 
 
 def smoke_test(spark: SparkSession, tracking_dir: str, test: DataFrame, n: int = 5) -> DataFrame:

@@ -24,9 +24,11 @@ class Run:
     tags: dict[str, str] = field(default_factory=dict)
 
     @classmethod
-    def new(cls, name: str, metrics: dict, params: dict | None = None, tags: dict | None = None) -> Run:
+    def new(
+        cls, name: str, metrics: dict, params: dict | None = None, tags: dict | None = None, start_ms: int | None = None
+    ) -> Run:
         return cls(
-            uuid.uuid4().hex, name, int(time.time() * 1000),
+            uuid.uuid4().hex, name, int(time.time() * 1000) if start_ms is None else start_ms,
             {k: str(v) for k, v in (params or {}).items()}, dict(metrics), dict(tags or {}),
         )
 

@@ -249,3 +249,20 @@ def test_metrics_of_all_splits(data, ridge):
     both = train.withColumn("split", F.lit("train")).unionByName(val.withColumn("split", F.lit("val")))
     got = {r.split: r.mae for r in all_metrics(ridge.transform(both), ["split"]).collect()}
     assert got["val"] == evaluate_split(ridge, val).first().val_mae
+
+
+def test_equal_keys_are_explained_each(data, trees):
+    _, val, _ = data
+    same = val.limit(40).withColumn("record", F.lit(1).cast("long"))
+    phi = explain.sampled_shapley(trees, same, "record", permutations=1)
+    assert phi.groupBy("feature").count().select("count").distinct().collect() == [(40,)]
+
+
+def test_no_rows(spark, data):
+    train, _, _ = data
+    none = train.limit(0)
+    with pytest.raises(ValueError, match="no training rows"):
+        model.BaselineMean().fit(none)
+    scored = model.BaselineMean().fit(train).transform(none)
+    row = all_metrics(scored).first()
+    assert (row.mae, row.r2, row.n_lbw_true) == (None, None, 0)

@@ -3,6 +3,7 @@ import math
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import values
 from storkline.operators import profile
@@ -96,6 +97,14 @@ def test_correlations(frame, people):
     assert all(r.r > 0 for r in profile.corr_ranked(frame, ["gestation_weeks", "is_male", "year_fix"], sign=1).collect())
 
 
+def test_correlations_far_from_zero_and_of_constants(spark):
+    rows = [(1.7e9 + i, float(i % 7) - 2 * i, 5.1, None, float("nan") if i % 5 else float(i)) for i in range(200)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, e double")
+    got = {(r.a, r.b): r.r for r in profile.corr_matrix(df, list("abcde"), digits=9).collect()}
+    assert got["a", "b"] == pytest.approx(np.corrcoef(range(200), [i % 7 - 2 * i for i in range(200)])[0, 1], abs=1e-9)
+    assert got["a", "e"] == 1.0 and [got[p] for p in (("a", "c"), ("b", "c"), ("a", "d"), ("c", "e"))] == [None] * 4
+
+
 def test_trend_line(frame, people):
     known = people.dropna(subset=["gestation_weeks"])
     slope, intercept = np.polyfit(known.gestation_weeks, known.weight_grams, 1)

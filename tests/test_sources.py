@@ -121,7 +121,7 @@ def test_csv_to_splits(spark, raw, tmp_path):
     out = engineer_features(run_preprocessing(df))
     assert [s.count() for s in temporal_split(out)] == [2, 1, 1]
     split_files.save_splits(out, str(tmp_path / "out"))
-    assert split_files.load_splits(spark, str(tmp_path / "out")).test.first().weight_grams == 1814.4
+    assert split_files.load_splits(spark, str(tmp_path / "out")).test.first().weight_grams == 4989.5
 
 
 def test_runs_and_registry(spark, tmp_path):
@@ -146,3 +146,30 @@ def test_runs_and_registry(spark, tmp_path):
 def test_source_year_column(spark):
     df = spark.createDataFrame([("x/newborn_2018",), ("newborn_1986.csv",), ("else",)], "f string")
     assert values(df.select(raw_files.source_year_from_file(F.col("f")).alias("y")), "y") == [2018, 1986, None]
+
+
+def test_first_rows_are_the_first(spark, tmp_path):
+    folder = tmp_path / "newborn_1986"
+    folder.mkdir()
+    # the later part is the larger one, which a scan takes first
+    write(folder / "part-00000", ["year_fix", "state"], *[f"{1900 + i},A" for i in range(5)])
+    write(folder / "part-00001", ["year_fix", "state"], *[f"{2000 + i},{'B' * 50}" for i in range(99)])
+    got = raw_files.load_all(spark, str(tmp_path), ["newborn_1986"], nrows_per_file=7)
+    assert sorted(values(got, "year_fix")) == [1900, 1901, 1902, 1903, 1904, 2000, 2001]
+    plain, headed = raw_files.peek_raw(spark, str(folder), 2)
+    assert values(headed, "year_fix") == ["1900", "1901"] and [r[0] for r in plain.collect()] == ["year_fix", "1900"]
+
+
+def test_part_with_another_header_is_an_error(spark, tmp_path):
+    folder = tmp_path / "newborn_1994"
+    folder.mkdir()
+    write(folder / "part-00000", ["year_fix", "month"], "1991,2")
+    write(folder / "part-00001", ["month", "year_fix"], "3,1992")
+    with pytest.raises(Exception, match="header"):
+        raw_files.scan_csv(spark, str(folder)).collect()
+
+
+def test_quoted_line_break(spark, tmp_path):
+    path = write(tmp_path / "newborn_2010", ["year_fix", "state"], '2011,"a\nb"', "2012,CA")
+    rows = raw_files.scan_csv(spark, path, multi_line=True).orderBy("year_fix").collect()
+    assert [(r.year_fix, r.state) for r in rows] == [(2011, "a\nb"), (2012, "CA")]

@@ -62,3 +62,14 @@ def test_score(spark, tmp_path):
     batch = fitted.transform(spark.read.parquet(str(tmp_path / "in"))).select("k", "prediction")
     assert scored.count() == 200 and scored.join(batch, ["k", "prediction"]).count() == 200
     assert model.prepared_features(fitted) == ["gestation_weeks"]
+
+
+def test_goes_on_from_its_checkpoint(spark, folder, tmp_path):
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    first = jobs.available_now(jobs.request_counts(stream(spark, folder)), "t", out, state)
+    assert first.count() == 4
+    events(spark, folder, [(START + datetime.timedelta(hours=4, minutes=59), "error", 1.0), (START + datetime.timedelta(hours=9), "view", 1.0)], "more")
+    rows = jobs.available_now(jobs.request_counts(stream(spark, folder)), "t", out, state).orderBy("window_start").collect()
+    assert [(r.requests, r.errors) for r in rows] == [(20, 0), (20, 1), (20, 2), (20, 3), (21, 5)]
+    with pytest.raises(ValueError):
+        jobs.available_now(jobs.request_counts(stream(spark, folder)), "t", out)

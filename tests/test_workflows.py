@@ -23,6 +23,7 @@ def prepared(spark, tmp_path_factory):
 def test_prepare(spark, prepared):
     folder, view, counts = prepared
     assert counts["rows_in"] == view.count()
+    assert sum(s["n_rows"] for s in counts["splits"]) == counts["rows_out"]
     splits = split_files.load_splits(spark, str(folder / "splits"))
     assert sum(s.count() for s in splits) == counts["rows_out"]
     valid = view.filter(F.col("weight_pounds").between(*S.VALID_POUNDS) & F.col("year_fix").between(2010, 2015))
@@ -45,15 +46,19 @@ def test_train(spark, prepared):
         "trees": workflows.Candidate(lambda **p: model.gbt(**p), {"n_estimators": 2, "max_bins": 16}, space),
     }
     out = workflows.train_models(
-        spark, keyed, str(folder / "tracking"), "record", candidates, n_trials=2, importance_rows=300, importance_repeats=1
+        spark, keyed, str(folder / "tracking"), "record", candidates, n_trials=2, importance_rows=300, importance_repeats=1,
+        parallelism=2, shapley_permutations=1,
     )
     assert out.best == "trees_final" and out.version == 1
     assert {r.model for r in out.screening.collect()} == {"ridge_default", "trees_default"}
     assert {r.metric: r.verdict for r in out.gate.collect()}["mae"] == "FAIL"
     assert out.importance.count() == len(S.MODEL_FEATURES)
+    assert {r.feature for r in out.shapley.collect()} == set(S.MODEL_FEATURES)
+    with pytest.raises(ValueError, match="space"):
+        workflows.train_models(spark, keyed, str(folder / "tracking"), "record", {"ridge": candidates["ridge"]})
     again = workflows.finish_model(
         spark, str(folder / "tracking"), "trees_final", None, split_files.load_splits(spark, keyed).val,
-        split_files.load_splits(spark, keyed).test, "record", importance_rows=200, importance_repeats=1,
+        split_files.load_splits(spark, keyed).test, "record", importance_rows=200, importance_repeats=1, shapley_permutations=1,
     )
     assert again.version == 2 and again.test.first().mae == out.test.first().mae
     with pytest.raises(ValueError, match="nothing"):
