@@ -4,60 +4,71 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from storkline.functions.columns import clip
 
-# a deviation below this share of the root mean square is rounding: the column is constant
-CONSTANT = 1e-13
+# a deviation below 1e-14 of the mean is rounding: the column is constant
+CONSTANT = 1e-28
 
 
-def pair_sums(df: DataFrame, columns: list[str]) -> DataFrame:
+def pair_moments(df: DataFrame, columns: list[str]) -> DataFrame:
     """``(i, j, n, x, y, xx, yy, xy)`` per task and pair of columns, over rows where both are known.
 
-    A task adds up products of masked matrices, batch by batch, and emits one row per pair, whatever its
-    number of rows. Values are taken relative to the columns' means, which one aggregate finds first, so
-    that sums of squares keep their digits. NaN counts as unknown.
+    ``x`` and ``y`` are means, ``xx``, ``yy`` and ``xy`` sums of products around them. A task adds up products
+    of masked matrices, batch by batch, and emits one row per pair whatever its number of rows. Values are
+    taken relative to the first known one of a column, so that products keep their digits. NaN counts as
+    unknown.
     """
     doubles = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)])
-    # one number per column
-    means = doubles.agg(*[F.avg(F.nanvl(c, F.lit(None))).alias(c) for c in doubles.columns]).first()
-    shift = [m or 0.0 for m in means]
+    k = len(columns)
 
     def scan(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
-        k = len(shift)
+        shift = np.full(k, np.nan)
         n, x, xx, xy = (np.zeros((k, k)) for _ in range(4))
         for batch in batches:
             values = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns], axis=1).astype(np.float64)
             known = ~np.isnan(values)
-            values = np.where(known, values - shift, 0.0)
+            fresh = np.flatnonzero(np.isnan(shift) & known.any(axis=0))
+            shift[fresh] = values[known.argmax(axis=0)[fresh], fresh]
+            values = np.where(known, values - np.nan_to_num(shift), 0.0)
             mask = known.astype(np.float64)
             n += mask.T @ mask
             x += values.T @ mask
             xx += (values * values).T @ mask
             xy += values.T @ values
+        shift, some = np.nan_to_num(shift), np.maximum(n, 1.0)
+        mean = x / some
         i, j = np.triu_indices(k, 1)
-        cells = {
-            "i": i.astype(np.int32), "j": j.astype(np.int32), "n": n[i, j], "x": x[i, j], "y": x[j, i], "xx": xx[i, j],
-            "yy": xx[j, i], "xy": xy[i, j],
-        }
-        yield pa.RecordBatch.from_pydict(cells)
+        around, both = xx - x * mean, xy - x * mean.T
+        yield pa.RecordBatch.from_pydict({
+            "i": i.astype(np.int32), "j": j.astype(np.int32), "n": n[i, j], "x": mean[i, j] + shift[i], "y": mean[j, i] + shift[j],
+            "xx": around[i, j], "yy": around[j, i], "xy": both[i, j],
+        })
 
     return doubles.mapInArrow(scan, "i int, j int, n double, x double, y double, xx double, yy double, xy double")
 
 
 def pair_correlations(df: DataFrame, columns: list[str]) -> DataFrame:
-    """``(i, j, r)``: Pearson correlation per pair of positions, ``i < j``; null where a side is constant."""
-    totals = pair_sums(df, columns).groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "x", "y", "xx", "yy", "xy")])
-    n = F.col("n")
+    """``(i, j, r)``: Pearson correlation per pair of positions, ``i < j``; null where a side is constant.
 
-    def spread(total: str, squares: str) -> Column:
-        around = n * F.col(squares) - F.col(total) * F.col(total)
-        return F.when(around > CONSTANT * n * F.col(squares), around)
+    The tasks' moments are moved to the common mean before they are added up.
+    """
+    n, pair = F.col("n"), Window.partitionBy("i", "j")
+    means = {f"m{c}": F.sum(n * F.col(c)).over(pair) / F.nullif(F.sum(n).over(pair), F.lit(0.0)) for c in "xy"}
+    moved = pair_moments(df, columns).withColumns(means)
+    dx, dy = F.col("x") - F.col("mx"), F.col("y") - F.col("my")
+    totals = moved.groupBy("i", "j").agg(
+        F.sum("n").alias("n"), F.max("mx").alias("mx"), F.max("my").alias("my"), F.sum(F.col("xx") + n * dx * dx).alias("xx"),
+        F.sum(F.col("yy") + n * dy * dy).alias("yy"), F.sum(F.col("xy") + n * dx * dy).alias("xy"),
+    )
+
+    def spread(squares: str, mean: str) -> Column:
+        return F.when(F.col(squares) > CONSTANT * n * F.col(mean) * F.col(mean), F.sqrt(squares))
 
-    r = (n * F.col("xy") - F.col("x") * F.col("y")) / (F.sqrt(spread("x", "xx")) * F.sqrt(spread("y", "yy")))
+    r = F.col("xy") / F.nullif(spread("xx", "mx") * spread("yy", "my"), F.lit(0.0))
     return totals.select("i", "j", clip(r, -1.0, 1.0).alias("r"))

@@ -88,12 +88,12 @@ def quantiles(
 ) -> DataFrame:
     """Exact, linearly interpolated quantiles per key; ``probabilities`` maps names to levels.
 
-    ``extra`` aggregates over ``value``, ``n`` and ``_mean``, the key's mean, come from the same pass. A
+    ``extra`` aggregates over the counts' columns and ``_mean``, the key's mean, come from the same pass. A
     null value weighs nothing in the quantiles. Weighing instead of filtering leaves the counting scan as it is, so
     that it can be shared with other uses of the same counts.
     """
     weight = F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0)
-    weighed = counts.select(*keys, "value", "n", weight.alias("_w"), F.coalesce(weight * F.col("value"), F.lit(0.0)).alias("_wv"))
+    weighed = counts.select("*", weight.alias("_w"), F.coalesce(weight * F.col("value"), F.lit(0.0)).alias("_wv"))
     ranked = running_totals(weighed, keys, "value", ["_w", "_wv"])
     ranked = ranked.withColumn("_mean", F.col("_wv_total") / F.nullif(F.col("_w_total"), F.lit(0)))
     first, last = F.col("_w_upto") - F.col("_w"), F.col("_w_upto") - 1  # 0-based ranks held by a value

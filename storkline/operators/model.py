@@ -25,7 +25,7 @@ from storkline.functions.partitions import spread
 from storkline.functions.sampling import add_fold, sample_n
 from storkline.operators.metrics import evaluate_split, metric_row, regression_columns
 from storkline.operators.profile import sort_metric
-from storkline.session import shared_folder
+from storkline.session import shared_folder, stored
 from storkline.sources.run_tables import Run, append_run
 
 log = logging.getLogger(__name__)
@@ -339,7 +339,7 @@ def kfold_scores(df: DataFrame, make: Callable[[], Pipeline], k: int, key: str,
     """Regression metrics of k fits, each scored on the fold it did not see."""
     spark = df.sparkSession
     shared_folder(spark)
-    folded = add_fold(df, k, key, seed)
+    folded = stored(add_fold(df, k, key, seed), "folds")
     scored = []
     for fold in range(k):
         model = make().fit(folded.filter(F.col("fold") != fold))

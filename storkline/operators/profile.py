@@ -263,13 +263,12 @@ def yearly_trend(df: DataFrame, target: str = S.TARGET, digits: int = 6) -> Data
         F.count("gestation_preterm").alias("n_flagged"),
     )
     n = F.col("n")
-    joined = describe(counts, ["year_fix"])
-    rates = counts.groupBy("year_fix").agg(
+    found = describe(counts, ["year_fix"], [
         (F.sum(F.when(F.col("value") < S.LBW_GRAMS, n).otherwise(0)) * 100.0 / F.sum("n")).alias("lbw_pct"),
         (F.sum("n_preterm") * 100.0 / F.nullif(F.sum("n_flagged"), F.lit(0))).alias("preterm_pct"),
-    )
+    ])
     shown = ["mean", "median", "std", "lbw_pct", "preterm_pct"]
-    return joined.join(rates, "year_fix").select("year_fix", "n", *[rint_to(F.col(c), digits).alias(c) for c in shown])
+    return found.select("year_fix", "n", *[rint_to(F.col(c), digits).alias(c) for c in shown])
 
 
 def histogram(df: DataFrame, columns: list[str], bins: int = 80, digits: int = 9) -> DataFrame:
