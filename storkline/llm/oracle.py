@@ -64,8 +64,22 @@ SELECT doc_id, bytes, min(d)::INT AS depth, substr(lpad(bin(h), 60, '0'), 1, min
 FROM level WHERE total <= 1048576 GROUP BY doc_id, bytes, h
 """
 
+# base32 takes the digest five bits at a time, four digits of it from five hexadecimal ones
+WARC = """
+WITH t AS (SELECT page_id, coalesce(html, '') AS payload FROM pages), d AS (
+  SELECT *, sha1(payload) AS hex, min(page_id) OVER (PARTITION BY payload) AS first FROM t
+)
+SELECT page_id, strlen(payload)::BIGINT AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda i : substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + ((('0x' || substr(hex, (1 + 5 * (i // 4))::INT, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::INT, 1)), '') AS payload_digest,
+  CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN first < page_id THEN first END AS refers_to
+FROM d
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
-        "op1_line_dedup": LINE_DEDUP, "op4_substring_dedup": SUBSTRING_DEDUP, "op5_exact_dedup": EXACT_DEDUP,
+        "op1_line_dedup": LINE_DEDUP, "op3_warc": WARC, "op4_substring_dedup": SUBSTRING_DEDUP, "op5_exact_dedup": EXACT_DEDUP,
         "op7_sharding": SHARDING,
     }
