@@ -40,14 +40,15 @@ def value_counts_of(df: DataFrame, column: str, keys: list[str] = ()) -> DataFra
     return known.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def bucketed(counts: DataFrame, keys: list[str], value: str) -> DataFrame:
+def bucketed(counts: DataFrame, keys: list[str], value: str, n: str) -> DataFrame:
     """Adds ``_bucket``, the number of splitting values not above a value; null is in bucket 0.
 
     The splitting values of a key are approximate quantiles of its distinct values, so a bucket gets
-    about 1 / ``BUCKETS`` of them and the final ranks stay exact. One row per key is shared.
+    about 1 / ``BUCKETS`` of them and the final ranks stay exact. One row per key is shared. ``n`` holds
+    counts; looking at them keeps this branch's counting the same as the others', so that all share a scan.
     """
     levels = [i / BUCKETS for i in range(1, BUCKETS)]
-    cuts = F.percentile_approx(value, levels, SPLIT_ACCURACY).alias("_cuts")
+    cuts = F.percentile_approx(F.when(F.col(n) >= 0, F.col(value)), levels, SPLIT_ACCURACY).alias("_cuts")
     if keys:
         split = counts.groupBy(*keys).agg(cuts)
         joined = counts.join(F.broadcast(split), keys, "left")
@@ -60,9 +61,9 @@ def bucketed(counts: DataFrame, keys: list[str], value: str) -> DataFrame:
 def running_totals(counts: DataFrame, keys: list[str], value: str, sums: list[str]) -> DataFrame:
     """Adds ``<sum>_upto`` (total of rows with a value not above this one) and ``<sum>_total``.
 
-    ``counts`` must hold each value once per key, without null keys.
+    ``counts`` must hold each value once per key, without null keys; the first of ``sums`` is never negative.
     """
-    dealt = bucketed(counts, keys, value)
+    dealt = bucketed(counts, keys, value, sums[0])
     inside = Window.partitionBy(*keys, "_bucket").orderBy(value)
     local = dealt.select("*", *[F.sum(s).over(inside).alias(f"_{s}_local") for s in sums])
 
@@ -149,8 +150,14 @@ def finish_moments(sums: DataFrame, keep: list[str]) -> DataFrame:
 
 
 def moments(counts: DataFrame, keys: list[str]) -> DataFrame:
-    """Moments per key from counted values."""
-    return finish_moments(quantiles(counts, keys, {}, moment_sums()), keys)
+    """Moments per key from counted values: means first, one row per key, then squares around them."""
+    n, v = F.col("n"), F.col("value")
+    mean = (F.sum(n * v) / F.nullif(F.sum(F.when(v.isNotNull(), n)), F.lit(0))).alias("_mean")
+    if keys:
+        centred = counts.join(counts.groupBy(*keys).agg(mean), keys)
+    else:
+        centred = counts.crossJoin(F.broadcast(counts.agg(mean)))
+    return finish_moments(centred.groupBy(*keys).agg(*moment_sums()), keys)
 
 
 def describe(counts: DataFrame, keys: list[str], extra: list[Column] = ()) -> DataFrame:

@@ -19,12 +19,13 @@ PSI_FLOOR = 1e-4
 
 def psi(
     df: DataFrame, columns: list[str], group: str, is_reference: Column, bins: int = 10,
-    alert: float = PSI_ALERT, digits: int = 6,
+    alert: float = PSI_ALERT, digits: int = 6, others_only: bool = False,
 ) -> DataFrame:
     """Population stability index of each column in each group against the reference rows.
 
     One scan counts values; the bin edges are the reference quantiles; an empty bin counts as a
-    share of 0.0001.
+    share of 0.0001. ``others_only`` leaves out groups with reference rows, after the counts, so that all
+    branches still share the scan.
     """
     marked = df.withColumn("_ref", F.coalesce(is_reference, F.lit(False)))
     counts = value_counts_long(marked, columns, [group, "_ref"])
@@ -41,10 +42,12 @@ def psi(
     wide = placed.groupBy("feature", group).agg(
         *[F.sum(F.when(c, F.col("n")).otherwise(0)).alias(f"a{i}") for i, c in enumerate(in_bin)],
         *[F.sum(F.when(c, n_ref).otherwise(0)).alias(f"r{i}") for i, c in enumerate(in_bin)],
+        F.max("_ref").alias("_has_ref"),
     )
     expected = wide.groupBy("feature").agg(*[F.sum(f"r{i}").alias(f"e{i}") for i in range(bins)])
     # again one row per column of the frame
-    both = wide.join(F.broadcast(expected), "feature")
+    shown = wide.filter(~F.col("_has_ref")) if others_only else wide
+    both = shown.join(F.broadcast(expected), "feature")
 
     def shares(prefix: str) -> list[Column]:
         cells = [F.col(f"{prefix}{i}") for i in range(bins)]
@@ -59,8 +62,7 @@ def psi(
 
 def split_psi(df: DataFrame, columns: list[str]) -> DataFrame:
     """PSI of validation and test rows against training rows."""
-    out = psi(df, columns, "split", F.col("split") == "train")
-    return out.filter("split <> 'train'")
+    return psi(df, columns, "split", F.col("split") == "train", others_only=True)
 
 
 def ks_drift(df: DataFrame, columns: list[str], reference: str = "train", others: list[str] = ("val", "test"), digits: int = 6) -> DataFrame:

@@ -158,7 +158,7 @@ class Ridge(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCol):
     """Least squares with an L2 penalty ``alpha * |w|^2`` on the total squared error, free intercept.
 
     The normal equations take one pass. The library penalises the mean squared error of a target
-    divided by its deviation, hence the factor.
+    divided by its deviation, hence the factor. The prepared vectors are held for the two passes.
     """
 
     def __init__(self, alpha: float = 1.0, labelCol: str = S.TARGET):
@@ -168,13 +168,17 @@ class Ridge(Estimator, HasFeaturesCol, HasLabelCol, HasPredictionCol):
 
     def _fit(self, df: DataFrame) -> Model:
         label = self.getLabelCol()
-        n, spread = df.agg(F.count(label), F.stddev_pop(label)).first()
-        if not n:
-            raise ValueError("no training rows with a target")
-        return LinearRegression(
-            featuresCol=self.getFeaturesCol(), labelCol=label, predictionCol=self.getPredictionCol(),
-            elasticNetParam=0.0, standardization=False, solver="normal", regParam=self.alpha * spread / n,
-        ).fit(df)
+        held = df.select(self.getFeaturesCol(), label).persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            n, deviation = held.agg(F.count(label), F.stddev_pop(label)).first()
+            if not n:
+                raise ValueError("no training rows with a target")
+            return LinearRegression(
+                featuresCol=self.getFeaturesCol(), labelCol=label, predictionCol=self.getPredictionCol(),
+                elasticNetParam=0.0, standardization=False, solver="normal", regParam=self.alpha * deviation / n,
+            ).fit(held)
+        finally:
+            held.unpersist()
 
 
 def gbt(label: str = S.TARGET, **params) -> GBTRegressor:

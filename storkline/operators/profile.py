@@ -257,12 +257,13 @@ def trend_line(df: DataFrame, columns: list[str], target: str = S.TARGET, digits
 def yearly_trend(df: DataFrame, target: str = S.TARGET, digits: int = 6) -> DataFrame:
     """Per year: rows, mean, exact median, deviation, LBW and preterm rates, from one scan."""
     known = df.filter(F.col(target).isNotNull() & F.col("year_fix").isNotNull())
-    counts = known.groupBy("year_fix", _as_double(target).alias("value")).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.coalesce(F.col("gestation_preterm"), F.lit(0))).alias("n_preterm"),
-        F.count("gestation_preterm").alias("n_flagged"),
+    # the flag is a key, so that every use of the counts has the same first aggregate and shares the scan
+    flagged = known.groupBy("year_fix", _as_double(target).alias("value"), F.col("gestation_preterm").alias("flag"))
+    n, flag = F.col("n"), F.col("flag")
+    counts = flagged.agg(F.count(F.lit(1)).alias("n")).groupBy("year_fix", "value").agg(
+        F.sum("n").alias("n"), F.sum(n * F.coalesce(flag, F.lit(0))).alias("n_preterm"),
+        F.sum(F.when(flag.isNotNull(), n).otherwise(0)).alias("n_flagged"),
     )
-    n = F.col("n")
     found = describe(counts, ["year_fix"], [
         (F.sum(F.when(F.col("value") < S.LBW_GRAMS, n).otherwise(0)) * 100.0 / F.sum("n")).alias("lbw_pct"),
         (F.sum("n_preterm") * 100.0 / F.nullif(F.sum("n_flagged"), F.lit(0))).alias("preterm_pct"),
@@ -307,14 +308,19 @@ def histogram(df: DataFrame, columns: list[str], bins: int = 80, digits: int = 9
     )
 
 
+# bandwidths beyond which a Gaussian kernel cannot be seen in a double
+REACH = 9.0
+
+
 def kde(
     df: DataFrame, column: str = S.TARGET, key: str | None = None, points: int = 1000,
     min_rows: int = 100, digits: int = 9,
 ) -> DataFrame:
     """Gaussian density on an even grid per group, Scott bandwidth; small groups are left out.
 
-    The grid reaches half a range beyond the data on both sides. Rows are counted by value before
-    the grid is laid over them, so the work grows with distinct values.
+    The grid reaches half a range beyond the data on both sides. Rows are counted by value first, and a value
+    is laid only over the grid points within ``REACH`` bandwidths: beyond, a kernel is below 1e-17 of its
+    peak. So the work grows with distinct values and with the share of the grid that a kernel covers.
     """
     keys = [key] if key else []
     counts = value_counts_of(df, column, keys)
@@ -329,15 +335,21 @@ def kde(
         placed = counts.join(stats, key)
     else:
         placed = counts.withColumn("_stats", stats.select(F.struct("*")).scalar()).select("value", "n", "_stats.*")
-    # each counted value meets every grid point inside its task and is summed there
-    spread = placed.select("*", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
+        placed = placed.filter(F.col("total").isNotNull())
+    # each counted value meets the grid points in reach inside its task and is summed there
+    first = F.greatest(F.ceil((F.col("value") - REACH * F.col("bandwidth") - F.col("start")) / F.col("step")), F.lit(0))
+    last = F.least(F.floor((F.col("value") + REACH * F.col("bandwidth") - F.col("start")) / F.col("step")), F.lit(points - 1))
+    near = F.when(first <= last, F.sequence(first.cast("int"), last.cast("int")))
+    spread = placed.select("*", F.explode(near).alias("point"))
     x = F.col("start") + F.col("point") * F.col("step")
     z = (x - F.col("value")) / F.col("bandwidth")
     scale = F.col("total") * F.col("bandwidth") * 2.5066282746310002  # sqrt(2 pi)
-    out = spread.groupBy(*keys, "point", x.alias("x"), scale.alias("scale")).agg(
-        F.sum(F.col("n") * F.exp(-0.5 * z * z)).alias("weight")
-    )
-    return out.filter(F.col("scale").isNotNull()).select(
+    weights = spread.select(*keys, "point", x.alias("x"), scale.alias("scale"), (F.col("n") * F.exp(-0.5 * z * z)).alias("weight"))
+    # points that no value reaches stay, with density 0
+    grid = stats.select("*", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
+    grid = grid.select(*keys, "point", x.alias("x"), scale.alias("scale"), F.lit(0.0).alias("weight"))
+    out = weights.unionByName(grid).groupBy(*keys, "point", "x", "scale").agg(F.sum("weight").alias("weight"))
+    return out.select(
         *keys, "point", rint_to(F.col("x"), 6).alias("x"),
         rint_to(F.col("weight") / F.col("scale"), digits).alias("density"),
     )

@@ -61,8 +61,8 @@ def test_paired_columns_are_row_wise(spark):
     [1.7e308 * (i / 3000) for i in range(-3000, 3001)],
 ])
 def test_buckets_are_even_and_ordered(spark, xs):
-    counts = numbers(spark, xs).select(F.col("x").alias("value"))
-    rows = sorted((r.value, r._bucket) for r in bucketed(counts, [], "value").collect())
+    counts = numbers(spark, xs).select(F.col("x").alias("value"), F.lit(1).alias("n"))
+    rows = sorted((r.value, r._bucket) for r in bucketed(counts, [], "value", "n").collect())
     assert [b for _, b in rows] == sorted(b for _, b in rows)
     sizes = Counter(b for _, b in rows)
     assert max(sizes.values()) <= 0.1 * len(xs)
