@@ -55,7 +55,11 @@ def test_stages(spark, tmp_path):
 
 
 def test_stages_against_plain_versions(spark, tmp_path):
-    """Each stage's rows from its own input, worked out without its operator."""
+    """Each stage's rows worked out from its own input.
+
+    The classifier's training and features and the sources' targets are the operators' own; they have tests in
+    ``test_operators.py``.
+    """
     rng = random.Random(4)
     vocabulary = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 7))) for _ in range(400)]
     line = lambda: " ".join(rng.choice(vocabulary) for _ in range(9))
