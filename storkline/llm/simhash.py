@@ -190,6 +190,16 @@ def near_links(fingerprints: DataFrame, distance: int) -> DataFrame:
     return as_home.unionAll(as_guest).groupBy("shard", "i", "j").applyInArrow(compare, "a long, b long")
 
 
+def with_groups(rows: DataFrame, least: DataFrame, links: DataFrame) -> DataFrame:
+    """``rows`` with ``_first``, the least ``_lead`` of their component; ``least(fp, _lead)`` has one row per node."""
+    linked = connected_components(links)
+    known = least.join(linked, F.col("fp") == F.col("node"), "left")
+    known = known.select(F.col("fp").alias("_fp"), "_lead", F.coalesce("component", "fp").alias("_component"))
+    names = known.groupBy(F.col("_component").alias("_c")).agg(F.min("_lead").alias("_first"))
+    named = stored(known.join(names, F.col("_component") == F.col("_c")).select("_fp", "_first"), "components")
+    return rows.join(named, F.col("fp") == F.col("_fp"), "left")
+
+
 def near_duplicates(
     docs: DataFrame, shingle: int = 4, distance: int = 4, id_col: str = "doc_id", text_col: str = "text",
     keep_columns: bool = False, prefix: str = "",
@@ -214,12 +224,7 @@ def near_duplicates(
     lead = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("at")))
     least = stored(rows.groupBy("fp").agg(lead.alias("_lead")), "distinct-fingerprints")
     links = stored(near_links(least.select("fp"), distance), "fingerprint-links")
-    linked = connected_components(links)
-    known = least.join(linked, F.col("fp") == F.col("node"), "left")
-    known = known.select(F.col("fp").alias("_fp"), "_lead", F.coalesce("component", "fp").alias("_component"))
-    names = known.groupBy(F.col("_component").alias("_c")).agg(F.min("_lead").alias("_first"))
-    named = stored(known.join(names, F.col("_component") == F.col("_c")).select("_fp", "_first"), "components")
-    found = rows.join(named, F.col("fp") == F.col("_fp"), "left")
+    found = with_groups(rows, least, links)
     return found.select(
         *([F.col("row")[c].alias(c) for c in columns] if keep_columns else ["doc_id"]),
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias(new[0]), F.col("_first.id").alias(new[1]),
