@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from storkline.llm import (
-    exact_dedup, line_dedup, mixing, packing, quality_classifier, quality_rules, sharding, simhash, substring_dedup, warc,
+    exact_dedup, hard_negatives, line_dedup, middle, mixing, packing, quality_classifier, quality_rules, sharding, simhash,
+    substring_dedup, token_files, warc,
 )
 from storkline.session import work_path
 
@@ -19,10 +20,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -81,9 +82,29 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "score", "predicted")
 
 
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = work_path(spark, "token-files")
+    token_files.write_ids(table(spark, sf_dir, "documents"), folder, tokenizer_path("byte_bpe_50k.json"))
+    return token_files.read_ids(spark, folder).drop("ids")
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label")
+    label = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    return hard_negatives.mine_hard_negatives(table(spark, sf_dir, "embeddings"), label_col=label)
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_line_dedup, op2_quality_rules, op3_warc, op4_substring_dedup, op5_exact_dedup, op6_packing, op7_sharding,
-        op8_mixing, op9_simhash, op10_quality_classifier,
+        op8_mixing, op9_simhash, op10_quality_classifier, op11_token_files, op12_hard_negatives, op13_fill_in_middle,
     )
 }

@@ -18,7 +18,7 @@ from storkline.llm.queries import QUERIES, tokenizer_path
 
 def test_registered():
     names = set(entry.queries())
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)} and {*QUERIES, "pipeline"} <= names
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)} and {*QUERIES, "pipeline"} <= names
     assert set(entry.oracle_sql()) <= names
 
 
