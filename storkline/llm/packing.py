@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from storkline.llm.ranks import ranked, slots_for
 from storkline.llm.words import pieces, text_bytes
+from storkline.llm.workers import held_by_worker
 from storkline.session import stored
 
 MAX_TOKENS = 2048
@@ -128,7 +129,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int, id_col:
     rows = docs.select(F.col(id_col).alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.col(text_col).alias("text"))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = WordTokenizer(tokenizer_path)
+        tokenizer = held_by_worker(WordTokenizer, tokenizer_path)
         for batch in batches:
             for part in pieces(batch, "text", 1 << 20):
                 ids, begins = tokenizer.encode(part.column("text"))

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from storkline.llm.warc import open_store
 from storkline.llm.words import pieces
+from storkline.llm.workers import held_by_worker
 
 MAGIC = b"IDPLANE1"
 # docs offset, docs bytes, docs, index offset, index bytes, blocks, ids, ids of a block, planes of an id
@@ -241,20 +242,6 @@ class PieceTokenizer:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
 
-def worker_tokenizer(kind: type, path: str):
-    """One tokenizer of a kind per Python worker, with what it remembers, while tasks come and go.
-
-    It is kept with the imported library: this module travels by value, so its own names are new in every task.
-    """
-    import tokenizers
-
-    held = vars(tokenizers).setdefault("_held_by_workers", {})
-    key = kind.__name__, path
-    if key not in held:
-        held[key] = kind(path)
-    return held[key]
-
-
 MANIFEST_TYPE = "part int, file string, n_docs long, n_ids long"
 
 
@@ -282,7 +269,7 @@ def write_ids(
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        tokenizer = worker_tokenizer(PieceTokenizer, tokenizer_path)
+        tokenizer = held_by_worker(PieceTokenizer, tokenizer_path)
         name, writer = f"ids-{uuid.uuid4().hex}.planes", None
         for batch in batches:
             for part in pieces(batch, "text", 1 << 20):

@@ -110,6 +110,42 @@ def components(prints, distance=4):
     return label
 
 
+def shingle_set(text, k=5):
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    w = words((text or "").translate(lower))
+    k = min(k, len(w))
+    return {tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if w else set()
+
+
+def jaccard_links(sets, similarity=0.8):
+    """Pairs of positions at or above the similarity; sets without members link to each other."""
+    places = {}
+    for i, held in enumerate(sets):
+        for x in held or {None}:
+            places.setdefault(x, []).append(i)
+    out = []
+    for i, held in enumerate(sets):
+        both = Counter(j for x in held or {None} for j in places[x] if j < i)
+        out += [(j, i) for j, n in both.items() if not held or n >= similarity * (len(held) + len(sets[j]) - n)]
+    return out
+
+
+def jaccard_components(texts, similarity=0.8):
+    """Number of the component of each text."""
+    label = list(range(len(texts)))
+
+    def top(i):
+        while label[i] != i:
+            label[i] = label[label[i]]
+            i = label[i]
+        return i
+
+    for i, j in jaccard_links([shingle_set(t) for t in texts], similarity):
+        a, z = sorted((top(i), top(j)))
+        label[z] = a
+    return [top(i) for i in range(len(texts))]
+
+
 def digest32(payload):
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 

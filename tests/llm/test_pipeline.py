@@ -11,8 +11,8 @@ from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from brute import components, fingerprint, lines_removed, words
-from storkline.llm import mixing, quality_classifier, simhash
+from brute import jaccard_components, lines_removed, words
+from storkline.llm import mixing, quality_classifier
 from storkline.llm.queries import QUERIES, tokenizer_path
 
 
@@ -47,7 +47,7 @@ def test_stages(spark, tmp_path):
     ids = {name: {r[0] for r in df.select("doc_id").collect()} for name, df in seen.items()}
     assert not any(300 <= i < 400 for i in ids["quality"]) and set(range(120)) <= ids["quality"]
     assert seen["lines"].count() == seen["quality"].count()
-    groups = simhash.near_duplicates(seen["lines"]).select("component_id").distinct().count()
+    groups = len(set(jaccard_components([r.text for r in seen["lines"].collect()])))
     assert seen["near_copies"].count() == groups and set(range(120)) <= ids["near_copies"]
     assert seen["mix"].groupBy("doc_id").count().agg(F.max("count")).first()[0] <= 2
     assert ids["pack"] == ids["mix"]
@@ -99,7 +99,7 @@ def test_stages_against_plain_versions(spark, tmp_path):
     assert sorted(lined, key=repr) == sorted(expected, key=repr) and any(gone for gone, _ in cut.values())
 
     # near copies: the smallest id of every component, whole row
-    label = components([fingerprint(r[1]) for r in lined])
+    label = jaccard_components([r[1] for r in lined])
     first = {c: min(r[0] for r, x in zip(lined, label) if x == c) for c in label}
     assert sorted(single, key=repr) == sorted((r for r in lined if r[0] in set(first.values())), key=repr)
     assert len(single) < len(lined)
