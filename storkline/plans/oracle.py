@@ -5,12 +5,15 @@ Each text starts with the ``births`` view and adds the steps it needs as common
 
 from __future__ import annotations
 
+import math
 import random
 from itertools import combinations
 
 from storkline import schema as S
 from storkline.functions import normal
-from storkline.plans.queries import BOXED, DRIFTED, PROFILED, STUMP_FEATURES, STUMP_TRIALS, stump_space
+from storkline.plans.queries import (
+    BOOSTED, BOXED, CUT_FEATURES, DRIFTED, HALVING_MOST, HALVING_START, PROFILED, STUMP_FEATURES, STUMP_TRIALS, halving_space, stump_space,
+)
 from storkline.sources.births import BIRTHS_COLUMNS
 
 BIRTHS = "births AS (SELECT " + ", ".join(f"{sql} AS {name}" for name, sql in BIRTHS_COLUMNS.items()) + " FROM lineitem)"
@@ -298,6 +301,97 @@ UNION ALL SELECT * FROM (SELECT 'stumps_{STUMP_TRIALS}_trials', min_child_sample
         *impute_ctes(), *ctes, f"trials AS ({trials})")
 
 
+CUT_COLUMNS = sum(CUT_FEATURES, [])
+CUT_VALUE = "CASE feature " + each("WHEN '@' THEN @", CUT_COLUMNS, " ") + " END"
+
+
+def filled_rows(name: str) -> str:
+    """The filled features of the trees next to target and split."""
+    columns = ", ".join(f"CAST(coalesce({c}, {fill_of(c)}) AS DOUBLE) AS {c}" for c in CUT_COLUMNS)
+    return f"{name} AS MATERIALIZED (SELECT birth_id, split, CAST(weight_grams AS DOUBLE) AS y, {columns} FROM split)"
+
+
+def best_cut(name: str, rows: str, target: str, least: int = 1, where: str = "true") -> list[str]:
+    """``{name}(feature, v, low, high, nl, nr)``: the cut of the training rows that leaves the least squared error."""
+    return [
+        f"{name}_values AS MATERIALIZED (" + rows_of(f"SELECT '@' AS feature, @ AS v, count(*) AS n, sum({target}) AS s FROM {rows} WHERE split = 'train' AND {where} GROUP BY @", CUT_COLUMNS) + ")",
+        f"""{name}_cuts AS (SELECT feature, v, sum(n) OVER w AS nl, sum(s) OVER w AS sl, sum(n) OVER (PARTITION BY feature) AS nt, sum(s) OVER (PARTITION BY feature) AS st
+  FROM {name}_values WINDOW w AS (PARTITION BY feature ORDER BY v))""",
+        f"""{name} AS MATERIALIZED (SELECT feature, v, sl / nl AS low, (st - sl) / (nt - nl) AS high, nl, nt - nl AS nr FROM {name}_cuts WHERE nl >= {least} AND nt - nl >= {least}
+  ORDER BY sl * sl / nl + (st - sl) * (st - sl) / (nt - nl) DESC LIMIT 1)""",
+    ]
+
+
+def boosted_ctes(name: str, rounds: int, rate: float, least: int = 1) -> list[str]:
+    """Stumps fitted one after the other on twice the errors so far; ``{name}_errors`` has a row for every number of them."""
+    out = []
+    for r in range(1, rounds + 1):
+        rows = "tree_rows" if r == 1 else f"{name}_p{r - 1}"
+        out += best_cut(f"{name}_c{r}", rows, "y" if r == 1 else "2 * (y - p)", least)
+        value = f"CASE WHEN {CUT_VALUE} <= v THEN low ELSE high END"
+        prediction = value if r == 1 else f"p + {rate!r}e0 * {value}"
+        columns = ", ".join(f"r.{c}" for c in ["split", "y", *CUT_COLUMNS])
+        out.append(f"{name}_p{r} AS MATERIALIZED (SELECT {columns}, {prediction} AS p FROM {rows} r, {name}_c{r})")
+    error = """SELECT {r} AS trees, count(*) AS n, round_even(avg(abs(y - p)) * 1000e0, 0) / 1000e0 AS mae,
+  round_even(sqrt(avg((y - p) * (y - p))) * 1000e0, 0) / 1000e0 AS rmse FROM {name}_p{r} WHERE split = 'val'"""
+    errors = "\nUNION ALL ".join(error.format(r=r, name=name) for r in range(1, rounds + 1))
+    return [*out, f"{name}_errors AS MATERIALIZED ({errors})"]
+
+
+def boosted_scored() -> str:
+    """Predictions of the prefix that early stopping keeps."""
+    n = BOOSTED["n_estimators"]
+    parts = "\nUNION ALL ".join(f"SELECT {r} AS trees, split, y AS weight_grams, p AS prediction FROM b_p{r}" for r in range(1, n + 1))
+    return f"stopped AS (SELECT * FROM ({parts}) WHERE trees = (SELECT trees FROM b_errors ORDER BY mae, trees LIMIT 1))"
+
+
+def halving() -> str:
+    """Every trial grown as far as any may grow; the rounds pick from their errors."""
+    space = halving_space()
+    ctes = [c for i, p in enumerate(space) for c in boosted_ctes(f"h{i}", HALVING_MOST, p["learning_rate"], p["min_child_samples"])]
+    ctes.append("errors AS (" + " UNION ALL ".join(f"SELECT {i} AS trial, trees AS t, mae FROM h{i}_errors" for i in range(len(space))) + ")")
+    alive, count, trees, number, rounds = "errors", len(space), HALVING_START, 0, []
+    while True:
+        last = count == 1 or trees == HALVING_MOST
+        left = 1 if last else min(-(-count // 2), count - 1)
+        ctes.append(f"""round{number} AS MATERIALIZED (SELECT *, CAST(row_number() OVER (ORDER BY val_mae, trial) <= {left} AS INT) AS survived FROM (
+  SELECT {number} AS round, trial, {trees} AS trees, arg_min(t, (mae, t)) AS best_trees, min(mae) AS val_mae FROM {alive} WHERE t <= {trees} GROUP BY trial))""")
+        ctes.append(f"alive{number} AS (SELECT e.* FROM errors e JOIN round{number} r ON e.trial = r.trial AND r.survived = 1)")
+        rounds.append(f"SELECT round, trial, trees, CAST(best_trees AS INT) AS best_trees, val_mae, survived FROM round{number}")
+        if last:
+            return sql("split", " UNION ALL ".join(rounds), *impute_ctes(), filled_rows("tree_rows"), *ctes)
+        alive, trees, count, number = f"alive{number}", min(-(-trees * count // left), HALVING_MOST), left, number + 1
+
+
+def tree_shapley() -> str:
+    """Shapley values of a tree of two levels by their definition: worth of every set of features, weighted by its size."""
+    n = len(CUT_COLUMNS)
+    bit = "CASE feature " + " ".join(f"WHEN '{c}' THEN {1 << i}" for i, c in enumerate(CUT_COLUMNS)) + " END"
+    known = {k: f"(mask & {bit.replace('feature', f'{k}.feature')}) > 0" for k in ("a", "l", "r")}
+    value = {k: CUT_VALUE.replace("CASE feature", f"CASE {k}.feature") for k in ("a", "l", "r")}
+
+    def worth(k: str, low: str, high: str) -> str:
+        mean = f"({k}.nl * {low} + {k}.nr * {high}) / ({k}.nl + {k}.nr)"
+        return f"(CASE WHEN {known[k]} THEN CASE WHEN {value[k]} <= {k}.v THEN {low} ELSE {high} END ELSE {mean} END)"
+
+    whole = worth("a", worth("l", "l.low", "l.high"), worth("r", "r.low", "r.high"))
+    factorials = "[" + ", ".join(str(math.factorial(k)) + "e0" for k in range(n + 1)) + "]"
+    size, f = "bit_count(mask)", "f.f"
+    inside = f"{f}[{size}] * {f}[{n} - {size} + 1]"
+    outside = f"{f}[{size} + 1] * {f}[{n} - {size}]"
+    weight = f"(CASE WHEN (mask & b) > 0 THEN {inside} ELSE -({outside}) END) / {f}[{n + 1}]"
+    left = f"({CUT_VALUE.replace('CASE feature', 'CASE (SELECT feature FROM a)')} <= (SELECT v FROM a))"
+    bits = ", ".join(f"('{c}', {1 << i})" for i, c in enumerate(CUT_COLUMNS))
+    return sql(
+        "split", "SELECT feature, round_even(avg(abs(phi)) * 10000e0, 0) / 10000e0 AS mean_abs FROM values_ GROUP BY feature",
+        *impute_ctes(), filled_rows("tree_rows"), *best_cut("a", "tree_rows", "y"),
+        *best_cut("l", "tree_rows", "y", where=left), *best_cut("r", "tree_rows", "y", where=f"NOT {left}"),
+        f"worths AS (SELECT row_number() OVER () AS row, t.* FROM tree_rows t WHERE split = 'val')",
+        f"masked AS MATERIALIZED (SELECT row, mask, {whole} AS worth FROM worths, (SELECT range AS mask FROM range({1 << n})), a, l, r)",
+        f"values_ AS (SELECT row, feature, sum({weight} * worth) AS phi FROM masked, (VALUES {bits}) q(feature, b), (SELECT {factorials} AS f) f GROUP BY row, feature)",
+    )
+
+
 def horner(x: str, coefficients: list[float]) -> str:
     out = f"{coefficients[0]!r}"
     for c in coefficients[1:]:
@@ -480,6 +574,13 @@ UNION ALL SELECT birth_id, year_fix, state, lmp, 0 FROM first WHERE n < 5 UNION
         "permutation_importance_stump": sql("split", rows_of("SELECT '@' AS feature, CAST(feature = '@' AS INT) AS matters, CAST(feature <> '@' AS INT) AS is_zero FROM stump_best", STUMP_COLUMNS), *impute_ctes(), *stump_ctes()),
         "shapley_stump": sql("split", rows_of("SELECT '@' AS feature, (SELECT count(*) FROM split WHERE split = 'val') AS n, 0e0 AS total, CAST(feature = '@' AS INT) AS matters FROM stump_best", STUMP_COLUMNS), *impute_ctes(), *stump_ctes()),
         "hpo_stump": stump_trials(),
+        "tree_shapley": tree_shapley(),
+        "tree_shapley_rows": sql("split", "SELECT birth_id, 0e0 AS gap FROM split WHERE split = 'val'"),
+        "gbt_prefix_errors": sql("split", "SELECT *, CAST(trees <= (SELECT trees FROM b_errors ORDER BY mae, trees LIMIT 1) AS INT) AS kept FROM b_errors",
+            *impute_ctes(), filled_rows("tree_rows"), *boosted_ctes("b", BOOSTED["n_estimators"], BOOSTED["learning_rate"])),
+        "gbt_stopped_early": sql("split", all_metrics("split", "stopped"), *impute_ctes(), filled_rows("tree_rows"),
+            *boosted_ctes("b", BOOSTED["n_estimators"], BOOSTED["learning_rate"]), boosted_scored()),
+        "hpo_halving": halving(),
         "screening_small": sql("ridge", "\nUNION ALL ".join(
             f"SELECT '{n}' AS model, mae AS val_mae, rmse AS val_rmse, r2 AS val_r2, sensitivity AS val_sensitivity FROM ({all_metrics('', t, IN_VAL)})"
             for n, t in (("mean", "mean_scored"), ("ridge", "scored"), ("stump", "stump"))),

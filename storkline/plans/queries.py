@@ -13,7 +13,7 @@ from storkline import schema as S
 from storkline.functions.columns import label_of, paired_columns, rint_to, rounded
 from storkline.functions.partitions import spread
 from storkline.functions.sampling import add_fold, sample_n
-from storkline.operators import clean, drift, explain, features, metrics, model, profile, split, validate
+from storkline.operators import clean, drift, explain, features, metrics, model, profile, split, trees, validate
 from storkline.sources import raw_files, run_tables, split_files
 from storkline.sources.births import births, births_from
 from storkline.session import shared_folder, work_path
@@ -32,6 +32,11 @@ SMALL_TREES = {"n_estimators": 10, "max_depth": 4, "learning_rate": 0.2, "max_bi
 STUMP = {"n_estimators": 1, "max_depth": 1, "max_bins": 128}
 STUMP_FEATURES = (["gestation_weeks", "mother_age", "father_age", "month"], ["is_male", "mother_married", "gestation_preterm"])
 STUMP_TRIALS = 3
+# no two of these make the same cut
+CUT_FEATURES = (["gestation_weeks", "mother_age", "father_age", "month"], ["is_male", "mother_married"])
+TWO_LEVELS = {"n_estimators": 1, "max_depth": 2, "max_bins": 128}
+BOOSTED = {"n_estimators": 6, "max_depth": 1, "max_bins": 128, "learning_rate": 0.4}
+HALVING_START, HALVING_MOST = 1, 4
 
 
 def query(function: Query) -> Query:
@@ -697,6 +702,60 @@ def shapley_stump(spark, sf_dir):
     )
 
 
+@query
+def tree_shapley(spark, sf_dir):
+    """Exact values of a tree of two levels, mean size per feature over all validation rows."""
+    fitted = model.build_pipeline(model.gbt(**TWO_LEVELS), False, *CUT_FEATURES).fit(spread(part(spark, sf_dir, "train")))
+    names = model.prepared_features(fitted)
+    found = trees.tree_shapley(fitted, part(spark, sf_dir, "val"), ["birth_id"])
+    return explain.mean_absolute_shapley(found, names).withColumn("mean_abs", rint_to(F.col("mean_abs"), 4))
+
+
+@query
+def tree_shapley_rows(spark, sf_dir):
+    """Values of small boosted trees row by row: by how much they miss the prediction that they add up to."""
+    fitted = small_trees(spark, sf_dir)
+    names = model.prepared_features(fitted)
+    rows = fitted.transform(part(spark, sf_dir, "val")).select("birth_id", "prediction", *names)
+    found = trees.tree_shapley(fitted, rows, ["birth_id", "prediction"])
+    total = F.col("base") + sum((F.col(f"phi_{n}") for n in names), F.lit(0.0))
+    return found.select("birth_id", F.abs(rint_to(total - F.col("prediction"), 6)).alias("gap"))
+
+
+@query
+def gbt_prefix_errors(spark, sf_dir):
+    """Validation error of every number of boosted stumps, and which of them early stopping keeps."""
+    fitted = model.build_pipeline(model.gbt(**BOOSTED), False, *CUT_FEATURES).fit(spread(part(spark, sf_dir, "train")))
+    val = part(spark, sf_dir, "val")
+    kept = trees.stop_early(fitted, val).trees
+    errors = trees.prefix_errors(fitted, val).select("trees", "n", "mae", "rmse")
+    return errors.withColumn("kept", (F.col("trees") <= kept).cast("int"))
+
+
+@query
+def gbt_stopped_early(spark, sf_dir):
+    """Metrics of the boosted stumps cut to the prefix with the least validation error."""
+    fitted = model.build_pipeline(model.gbt(**BOOSTED), False, *CUT_FEATURES).fit(spread(part(spark, sf_dir, "train")))
+    stopped = trees.stop_early(fitted, part(spark, sf_dir, "val"))
+    return metrics.all_metrics(stopped.model.transform(divided(spark, sf_dir)), ["split"])
+
+
+def halving_space() -> list[dict]:
+    """Four boosted stumps that differ in their pace and the least number of rows on a side."""
+    return [{"max_depth": 1, "max_bins": 128, "learning_rate": r, "min_child_samples": m} for r, m in ((0.1, 1), (0.4, 4000), (0.9, 1), (0.3, 9000))]
+
+
+@query
+def hpo_halving(spark, sf_dir):
+    """Rounds and survivors of a search by successive halving."""
+    prep = model.FeaturePrep(numericCols=CUT_FEATURES[0], binaryCols=CUT_FEATURES[1])
+    _, table = trees.halving_search(
+        halving_space(), lambda p: model.gbt(**p), part(spark, sf_dir, "train"), part(spark, sf_dir, "val"), HALVING_START,
+        max_trees=HALVING_MOST, prep=prep,
+    )
+    return table.drop("params")
+
+
 @query
 def hpo_stump(spark, sf_dir):
     """Three stumps that differ in the least number of rows on a side."""
