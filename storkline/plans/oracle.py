@@ -657,6 +657,24 @@ WHERE w + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE G
         "stream_counts_resumed": """SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS requests, count(*) FILTER (event_type = 'error') AS errors,
   round_even((100e0 * count(*) FILTER (event_type = 'error') / count(*)) * 10000e0, 0) / 10000e0 AS error_pct, CAST(100e0 * count(*) FILTER (event_type = 'error') / count(*) > 5 AS INT) AS alert
 FROM (SELECT date_trunc('hour', ts) AS w, event_type FROM events) GROUP BY w""",
+        "stream_counts_repeated": """SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, count(*) AS requests, count(*) FILTER (event_type = 'error') AS errors,
+  round_even((100e0 * count(*) FILTER (event_type = 'error') / count(*)) * 10000e0, 0) / 10000e0 AS error_pct, CAST(100e0 * count(*) FILTER (event_type = 'error') / count(*) > 5 AS INT) AS alert
+FROM (SELECT date_trunc('day', ts) AS w, event_type FROM events)
+WHERE w + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE GROUP BY w""",
+        "stream_quantile_drift": """WITH v AS (
+  SELECT date_trunc('day', ts) AS w, CAST(ceil(ln(value) / ln(1.01e0 / 0.99e0)) AS INT) AS b FROM events WHERE value > 0
+), everything AS (SELECT w, b FROM v WHERE w + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR UNION ALL SELECT NULL, b FROM v),
+ranked AS (SELECT w, b, row_number() OVER (PARTITION BY w ORDER BY b) AS r, count(*) OVER (PARTITION BY w) AS n FROM everything),
+q AS (SELECT w, n, min(b) FILTER (r >= ceil(n * 0.1e0)) AS b10, min(b) FILTER (r >= ceil(n * 0.5e0)) AS b50, min(b) FILTER (r >= ceil(n * 0.9e0)) AS b90 FROM ranked GROUP BY w, n),
+x AS (SELECT w, n, 2 * (1.01e0 / 0.99e0) ** b10 / (1.01e0 / 0.99e0 + 1) AS q10, 2 * (1.01e0 / 0.99e0) ** b50 / (1.01e0 / 0.99e0 + 1) AS q50,
+  2 * (1.01e0 / 0.99e0) ** b90 / (1.01e0 / 0.99e0 + 1) AS q90 FROM q),
+m AS (SELECT x.*, greatest(abs(x.q10 - o.q10) / o.q10, abs(x.q50 - o.q50) / o.q50, abs(x.q90 - o.q90) / o.q90) AS moved FROM x, x o WHERE x.w IS NOT NULL AND o.w IS NULL)
+SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, n, round_even(q10 * 1000000e0, 0) / 1000000e0 AS q10, round_even(q50 * 1000000e0, 0) / 1000000e0 AS q50,
+  round_even(q90 * 1000000e0, 0) / 1000000e0 AS q90, round_even(moved * 1000000e0, 0) / 1000000e0 AS moved, CAST(moved > 0.1 AS INT) AS alert FROM m""",
+        "stream_late_truth": """WITH e AS (SELECT date_trunc('day', ts) AS w, CAST(event_id % 7 AS DOUBLE) + dayofmonth(ts) % 3 AS off FROM events WHERE event_id % 4 > 0),
+m AS (SELECT w, count(*) AS n, avg(off) AS mae FROM e GROUP BY w)
+SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, n, round_even(mae * 1000000e0, 0) / 1000000e0 AS mae,
+  round_even((100e0 * (mae - 3.5e0) / 3.5e0) * 10000e0, 0) / 10000e0 AS increase_pct, CAST(100e0 * (mae - 3.5e0) / 3.5e0 > 10 AS INT) AS retrain FROM m""",
         "stream_value_drift": f"""WITH binned AS (SELECT date_trunc('day', ts) AS w, {value_bin} AS bin FROM events WHERE value IS NOT NULL),
 base AS (SELECT bin, count(*) * 1e0 / (SELECT count(*) FROM binned) AS e FROM binned GROUP BY bin),
 windows AS (SELECT w, count(*) AS n FROM binned WHERE w + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR GROUP BY w),

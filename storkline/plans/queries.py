@@ -17,7 +17,7 @@ from storkline.operators import clean, drift, explain, features, metrics, model,
 from storkline.sources import raw_files, run_tables, split_files
 from storkline.sources.births import births, births_from
 from storkline.session import shared_folder, work_path
-from storkline.streaming import jobs
+from storkline.streaming import jobs, monitor
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -742,7 +742,7 @@ def gbt_stopped_early(spark, sf_dir):
 
 def halving_space() -> list[dict]:
     """Four boosted stumps that differ in their pace and the least number of rows on a side."""
-    return [{"max_depth": 1, "max_bins": 128, "learning_rate": r, "min_child_samples": m} for r, m in ((0.1, 1), (0.4, 4000), (0.9, 1), (0.3, 9000))]
+    return [{"max_depth": 1, "max_bins": 128, "learning_rate": r, "min_child_samples": m} for r, m in ((0.1, 1), (0.4, 40), (0.9, 1), (0.3, 900))]
 
 
 @query
@@ -1041,3 +1041,48 @@ def stream_value_drift(spark, sf_dir):
     parts = jobs.drift_parts(jobs.value_histograms(events, low, high, bins), baseline, bins)
     report = jobs.drift_report(jobs.available_now(parts, "drift"))
     return report.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))
+
+
+def shown(df: DataFrame) -> DataFrame:
+    return df.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))
+
+
+@query
+def stream_counts_repeated(spark, sf_dir):
+    """Every third event is sent again a little later; each counts once."""
+    folder = work_path(spark, "repeated-events")
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "event_type")
+    again = events.filter(F.col("event_id") % 3 == 0).withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 MINUTE"))
+    # both copies in one table, so a repeat may come in its own batch or with the first
+    events.unionAll(again.filter("event_id % 2 = 0")).repartition(1).sortWithinPartitions("ts").write.mode("append").parquet(folder)
+    again.filter("event_id % 2 = 1").repartition(1).write.mode("append").parquet(folder)
+    return shown(jobs.available_now(jobs.request_counts(jobs.stream_table(spark, folder, "*.parquet"), "1 day", key="event_id"), "requests"))
+
+
+@query
+def stream_quantile_drift(spark, sf_dir):
+    """Quantiles of each closed day from sketches in keyed state, against those of the whole table."""
+    baseline = monitor.batch_sketch(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    sketches = jobs.available_now(monitor.window_sketches(jobs.stream_table(spark, sf_dir, "events.parquet")), "sketches")
+    return shown(monitor.quantile_drift(sketches, baseline)).withColumns(rounded(["q10", "q50", "q90", "moved"], 6))
+
+
+@query
+def stream_late_truth(spark, sf_dir):
+    """Predictions and outcomes that follow within hours, three of four; error per day against a baseline."""
+    folders = {side: work_path(spark, f"late-{side}") for side in ("predictions", "outcomes")}
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "value")
+    hours, off = F.col("event_id") % 5, (F.col("event_id") % 7).cast("double") + F.dayofmonth("ts") % 3
+    later = F.timestamp_micros(F.unix_micros("ts") + hours * 3_600_000_000)
+    sides = {
+        "predictions": events.select("event_id", "ts", F.col("value").alias("prediction")),
+        "outcomes": events.filter("event_id % 4 > 0").select("event_id", later.alias("ts"), (F.col("value") + off).alias("actual")),
+    }
+    half, end = events.agg(F.timestamp_micros(((F.min(F.unix_micros("ts")) + F.max(F.unix_micros("ts"))) / 2).cast("long")), F.max("ts")).first()
+    for side, df in sides.items():
+        closing = df.orderBy("event_id").limit(1).withColumn("ts", F.lit(end) + F.expr("INTERVAL 30 DAYS"))
+        df.filter(F.col("ts") < F.lit(half)).write.mode("append").parquet(folders[side])
+        df.filter(F.col("ts") >= F.lit(half)).unionAll(closing).write.mode("append").parquet(folders[side])
+    predictions, outcomes = (jobs.stream_table(spark, folders[side], "*.parquet") for side in ("predictions", "outcomes"))
+    errors = jobs.available_now(monitor.late_truth_errors(predictions, outcomes, "event_id"), "late-errors")
+    return shown(monitor.late_retrain(errors, 3.5))

@@ -47,16 +47,24 @@ def score(records: DataFrame, model: PipelineModel, keep: list[str]) -> DataFram
     return risk_category(model.transform(records)).select(*keep, "prediction", "risk", "near_limit")
 
 
-def _event_time(ts: str) -> Column:
+def event_time(ts: str) -> Column:
     return F.col(ts).cast("timestamp")
 
 
 def request_counts(
-    events: DataFrame, width: str = "1 hour", lateness: str = "10 minutes", alert_pct: float = 5.0
+    events: DataFrame, width: str = "1 hour", lateness: str = "10 minutes", alert_pct: float = 5.0, key: str | None = None,
 ) -> DataFrame:
-    """Requests, errors and error rate per tumbling window; a window appears once it is closed."""
-    timed = events.select(_event_time("ts").alias("ts"), (F.col("event_type") == "error").alias("is_error"))
-    grouped = timed.withWatermark("ts", lateness).groupBy(F.window("ts", width)).agg(
+    """Requests, errors and error rate per tumbling window; a window appears once it is closed.
+
+    With a ``key``, an event that was sent again counts once: a key is remembered until the watermark is ``lateness``
+    beyond its first event, which is as long as a repeat of it can still arrive in time.
+    """
+    keys = [F.col(key).alias("_key")] if key else []
+    timed = events.select(event_time("ts").alias("ts"), (F.col("event_type") == "error").alias("is_error"), *keys)
+    timed = timed.withWatermark("ts", lateness)
+    if key:
+        timed = timed.dropDuplicatesWithinWatermark(["_key"])
+    grouped = timed.groupBy(F.window("ts", width)).agg(
         F.count(F.lit(1)).alias("requests"), F.count(F.when(F.col("is_error"), 1)).alias("errors")
     )
     rate = 100.0 * F.col("errors") / F.col("requests")
@@ -86,7 +94,7 @@ def value_histograms(
 ) -> DataFrame:
     """Histogram of ``value`` per closed window, one row per window."""
     timed = events.filter(F.col("value").isNotNull()).select(
-        _event_time("ts").alias("ts"), value_bin(F.col("value"), low, high, bins).alias("bin")
+        event_time("ts").alias("ts"), value_bin(F.col("value"), low, high, bins).alias("bin")
     )
     counts = [F.count(F.when(F.col("bin") == i, 1)).alias(f"bin_{i}") for i in range(bins)]
     grouped = timed.withWatermark("ts", lateness).groupBy(F.window("ts", width)).agg(F.count(F.lit(1)).alias("n"), *counts)
