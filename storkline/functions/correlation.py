@@ -53,8 +53,8 @@ def pair_moments(df: DataFrame, columns: list[str]) -> DataFrame:
     return doubles.mapInArrow(scan, "i int, j int, n double, x double, y double, xx double, yy double, xy double")
 
 
-def pair_correlations(df: DataFrame, columns: list[str]) -> DataFrame:
-    """``(i, j, r)``: Pearson correlation per pair of positions, ``i < j``; null where a side is constant.
+def pair_totals(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``(i, j, n, mx, my, xx, yy, xy)`` per pair of positions, ``i < j``: means and sums of products around them.
 
     The tasks' moments are moved to the common mean before they are added up.
     """
@@ -62,13 +62,27 @@ def pair_correlations(df: DataFrame, columns: list[str]) -> DataFrame:
     means = {f"m{c}": F.sum(n * F.col(c)).over(pair) / F.nullif(F.sum(n).over(pair), F.lit(0.0)) for c in "xy"}
     moved = pair_moments(df, columns).withColumns(means)
     dx, dy = F.col("x") - F.col("mx"), F.col("y") - F.col("my")
-    totals = moved.groupBy("i", "j").agg(
+    return moved.groupBy("i", "j").agg(
         F.sum("n").alias("n"), F.max("mx").alias("mx"), F.max("my").alias("my"), F.sum(F.col("xx") + n * dx * dx).alias("xx"),
         F.sum(F.col("yy") + n * dy * dy).alias("yy"), F.sum(F.col("xy") + n * dx * dy).alias("xy"),
     )
 
-    def spread(squares: str, mean: str) -> Column:
-        return F.when(F.col(squares) > CONSTANT * n * F.col(mean) * F.col(mean), F.sqrt(squares))
 
-    r = F.col("xy") / F.nullif(spread("xx", "mx") * spread("yy", "my"), F.lit(0.0))
-    return totals.select("i", "j", clip(r, -1.0, 1.0).alias("r"))
+def varies(squares: str, mean: str) -> Column:
+    """The sum of squares around a mean, null where it is only rounding."""
+    return F.when(F.col(squares) > CONSTANT * F.col("n") * F.col(mean) * F.col(mean), F.col(squares))
+
+
+def pair_correlations(df: DataFrame, columns: list[str]) -> DataFrame:
+    """``(i, j, r)``: Pearson correlation per pair of positions, ``i < j``; null where a side is constant."""
+    r = F.col("xy") / F.nullif(F.sqrt(varies("xx", "mx")) * F.sqrt(varies("yy", "my")), F.lit(0.0))
+    return pair_totals(df, columns).select("i", "j", clip(r, -1.0, 1.0).alias("r"))
+
+
+def pair_lines(df: DataFrame, columns: list[str], target: str) -> DataFrame:
+    """``(i, n, slope, intercept)``: least-squares line of the target on each column, null on a constant one."""
+    last = len(columns)
+    totals = pair_totals(df, [*columns, target]).filter(F.col("j") == last)
+    slope = F.col("xy") / F.nullif(varies("xx", "mx"), F.lit(0.0))
+    lines = totals.withColumn("slope", slope)
+    return lines.select("i", F.col("n").cast("long").alias("n"), "slope", (F.col("my") - F.col("slope") * F.col("mx")).alias("intercept"))

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from storkline import schema as S
 from storkline.functions.columns import flag, rint_to
 from storkline.functions.counts import quantiles, running_totals, value_counts_long
 from storkline.functions.joins import join_lookup
+from storkline.functions.sampling import add_fold
 from storkline.operators.clean import null_unknown_lmp
 from storkline.operators.features import OPEN_WEIGHT_EDGES, cut
 from storkline.operators.metrics import all_metrics
@@ -177,6 +178,33 @@ def target_encode(df: DataFrame, train: DataFrame, column: str, target: str = S.
     return joined.withColumn(f"{column}_encoded", F.coalesce(f"{column}_encoded", overall))
 
 
+def target_encode_out_of_fold(
+    train: DataFrame, column: str, key: str, k: int = 5, target: str = S.TARGET, seed: int = 42
+) -> DataFrame:
+    """Adds ``fold`` and the encoded category of training rows; no row's own target takes part in its value.
+
+    A row gets the mean target of its category over the other folds, or, where they do not have the category, theirs
+    over all categories. Folds are by key, so copies of a record never encode each other. One aggregate by
+    category and fold is all that is counted; means of the other folds are its totals less the fold's own.
+    """
+    folded = add_fold(train, k, key, seed)
+    known = F.col(target).isNotNull()
+    sums = folded.groupBy(column, "fold").agg(F.sum(target).alias("_s"), F.count(F.when(known, 1)).alias("_n"))
+
+    def others(everything, s: str, n: str) -> Column:
+        """Mean over the folds of ``everything`` but the row's own."""
+        left = {c: F.sum(c).over(everything) - F.col(c) for c in (s, n)}
+        return F.when(left[n] > 0, left[s] / left[n])
+
+    # one row per fold
+    overall = sums.groupBy("fold").agg(F.coalesce(F.sum("_s"), F.lit(0.0)).alias("_fs"), F.sum("_n").alias("_fn"))
+    overall = overall.select("fold", others(Window.partitionBy(), "_fs", "_fn").alias("_overall"))
+    by_category = sums.filter(F.col(column).isNotNull()).withColumn("_s", F.coalesce("_s", F.lit(0.0)))
+    by_category = by_category.select(column, "fold", others(Window.partitionBy(column), "_s", "_n").alias("_others"))
+    joined = join_lookup(folded, by_category, [column, "fold"]).join(F.broadcast(overall), "fold", "left")
+    return joined.select(*folded.columns, F.coalesce("_others", "_overall").alias(f"{column}_encoded"))
+
+
 def cross_file_duplicates(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Records with equal values in ``columns`` that occur in more than one file.
 

@@ -10,8 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from storkline import schema as S
-from storkline.functions.columns import label_of, null_percent, paired_columns, percent, rint_to, whole_quotient
-from storkline.functions.correlation import pair_correlations
+from storkline.functions.columns import label_of, null_percent, percent, rint_to, whole_quotient
+from storkline.functions.correlation import pair_correlations, pair_lines
 from storkline.functions.counts import (
     QUARTILES, describe, moments, quantiles, running_totals, value_counts_long, value_counts_of,
 )
@@ -240,13 +240,12 @@ def point_biserial(df: DataFrame, flags: list[str], target: str = S.TARGET, digi
 
 
 def trend_line(df: DataFrame, columns: list[str], target: str = S.TARGET, digits: int = 6) -> DataFrame:
-    """Least-squares line of the target on each column over rows where both are known."""
-    lines = paired_columns(df, [(c, target) for c in columns]).groupBy("pair").agg(
-        F.regr_slope("y", "x").alias("slope"), F.regr_intercept("y", "x").alias("intercept"),
-        F.regr_count("y", "x").alias("n"),
-    )
-    return lines.select(
-        label_of(columns, F.col("pair")).alias("feature"),
+    """Least-squares line of the target on each column over rows where both are known.
+
+    From the same matrix products as the correlations; no row is multiplied by its pairs.
+    """
+    return pair_lines(df, columns, target).select(
+        label_of(columns, F.col("i")).alias("feature"),
         rint_to(F.col("slope"), digits).alias("slope"), rint_to(F.col("intercept"), digits).alias("intercept"), "n",
     )
 

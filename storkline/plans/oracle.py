@@ -634,6 +634,10 @@ UNION ALL SELECT birth_id, year_fix, state, lmp, 0 FROM first WHERE n < 5 UNION
         "lmp_date": sql("births", "SELECT birth_id, CASE WHEN lmp NOT IN ('99', '9999') THEN CAST(try_strptime(lmp, '%m%d%Y') AS DATE) END AS lmp_date FROM births"),
         "target_encode": sql("split", """SELECT birth_id, s.mother_birth_state, round_even((coalesce(e.m, (SELECT avg(weight_grams) FROM split WHERE split = 'train'))) * 1000000e0, 0) / 1000000e0 AS encoded
   FROM split s LEFT JOIN (SELECT mother_birth_state, avg(weight_grams) AS m FROM split WHERE split = 'train' GROUP BY 1) e ON s.mother_birth_state = e.mother_birth_state"""),
+        "target_encode_out_of_fold": sql("split", """SELECT f.birth_id, f.fold, f.mother_birth_state, round_even(coalesce(
+    (SELECT avg(weight_grams) FROM means_rows m WHERE m.fold <> f.fold AND m.mother_birth_state = f.mother_birth_state), o.m) * 1000000e0, 0) / 1000000e0 AS encoded
+  FROM (SELECT DISTINCT fold AS own, (SELECT avg(weight_grams) FROM means_rows b WHERE b.fold <> a.fold) AS m FROM means_rows a) o JOIN means_rows f ON f.fold = o.own""",
+            f"means_rows AS MATERIALIZED (SELECT birth_id, CAST({key_hash('birth_id')} % 5 AS INT) AS fold, mother_birth_state, weight_grams FROM split WHERE split = 'train')"),
         "cross_file_duplicates": sql("births", f"SELECT {DUPLICATE_COLUMNS}, count(*) AS copies, min(source_file) AS first_file, max(source_file) AS last_file FROM births GROUP BY {DUPLICATE_COLUMNS} HAVING count(*) > 1 AND count(DISTINCT source_file) > 1"),
         "cross_file_duplicates_all": sql("births", f"SELECT count(*) AS copies, min(source_file) AS first_file, max(source_file) AS last_file FROM births GROUP BY {raw} HAVING count(*) > 1 AND count(DISTINCT source_file) > 1"),
         "kfold": sql("split", """SELECT h.fold, count(*) AS n, round_even((avg(abs(weight_grams - p))) * 1000e0, 0) / 1000e0 AS mae, round_even((sqrt(avg((weight_grams - p) ** 2))) * 1000e0, 0) / 1000e0 AS rmse,

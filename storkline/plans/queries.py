@@ -969,6 +969,13 @@ def target_encode(spark, sf_dir):
     return encoded.select("birth_id", "mother_birth_state", rint_to(F.col("mother_birth_state_encoded"), 6).alias("encoded"))
 
 
+@query
+def target_encode_out_of_fold(spark, sf_dir):
+    """Training rows encoded by the means of the other folds."""
+    encoded = drift.target_encode_out_of_fold(part(spark, sf_dir, "train"), "mother_birth_state", "birth_id")
+    return encoded.select("birth_id", "fold", "mother_birth_state", rint_to(F.col("mother_birth_state_encoded"), 6).alias("encoded"))
+
+
 @query
 def cross_file_duplicates(spark, sf_dir):
     columns = ["month", "weight_pounds", "plurality", "is_male", "state", "mother_age", "gestation_weeks"]

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import os
 import time
 import uuid
 from dataclasses import dataclass, field
+from urllib.parse import quote
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,11 +41,12 @@ class Run:
 
 def append_run(spark: SparkSession, folder: str, *runs: Run) -> None:
     table = spark.createDataFrame([r.row() for r in runs], RUNS)
-    table.coalesce(1).write.mode("append").parquet(f"{folder}/runs")
+    # a folder of its own: writers that share one clear away each other's unfinished files
+    table.coalesce(1).write.parquet(f"{folder}/runs/{runs[0].run_id}")
 
 
 def read_runs(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.schema(RUNS).parquet(f"{folder}/runs")
+    return spark.read.schema(RUNS).option("recursiveFileLookup", True).parquet(f"{folder}/runs")
 
 
 def find_run(runs: DataFrame, name: str) -> DataFrame:
@@ -52,23 +56,54 @@ def find_run(runs: DataFrame, name: str) -> DataFrame:
 
 def read_registry(spark: SparkSession, folder: str) -> DataFrame:
     try:
-        return spark.read.schema(REGISTRY).parquet(f"{folder}/registry")
+        return spark.read.schema(REGISTRY).option("recursiveFileLookup", True).parquet(f"{folder}/registry")
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return spark.createDataFrame([], REGISTRY)
         raise
 
 
+def claim(spark: SparkSession, path: str) -> bool:
+    """Whether this call is the one that created the file; at most one of many callers is told so.
+
+    Local files are created exclusively by the system. Elsewhere the store's own create without overwriting decides,
+    which HDFS answers atomically.
+    """
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    store.mkdirs(place.getParent())
+    if store.getUri().getScheme() == "file":
+        try:
+            os.close(os.open(store.makeQualified(place).toUri().getPath(), os.O_CREAT | os.O_EXCL | os.O_WRONLY))
+        except FileExistsError:
+            return False
+        return True
+    try:
+        store.create(place, False).close()
+    except Py4JJavaError as error:
+        if store.exists(place):
+            return False
+        raise error
+    return True
+
+
 def register_model(
     spark: SparkSession, folder: str, name: str, run_id: str, metrics: dict[str, float] | None = None,
     tags: dict[str, str] | None = None,
 ) -> tuple[int, str]:
-    """Add the next version of a registered model for a recorded run; returns version and path."""
+    """Add the next version of a registered model for a recorded run; returns version and path.
+
+    A version belongs to the writer that claims it, by a file below ``registry-claims``; others take the next one. A
+    writer that is lost after its claim leaves a gap.
+    """
     known = read_registry(spark, folder).filter(F.col("name") == name)
     version = (known.agg(F.max("version")).first()[0] or 0) + 1
+    own = quote(name, safe="")
+    while not claim(spark, f"{folder}/registry-claims/{own}/{version}"):
+        version += 1
     path = f"{folder}/models/{run_id}"
     entry = (name, version, run_id, path, dict(metrics or {}), {"best_model": "true", **(tags or {})})
-    spark.createDataFrame([entry], REGISTRY).coalesce(1).write.mode("append").parquet(f"{folder}/registry")
+    spark.createDataFrame([entry], REGISTRY).coalesce(1).write.parquet(f"{folder}/registry/{own}-{version}")
     return version, path
 
 
