@@ -23,7 +23,7 @@ def _outside(column: str, low: float, high: float) -> Column:
     return (F.col(column) < low) | (F.col(column) > high)
 
 
-def _row_checks(columns: set[str]) -> dict[str, Column]:
+def row_checks(columns: set[str]) -> dict[str, Column]:
     """Check name -> condition that a violating row meets; nulls violate only where said."""
     checks: dict[str, tuple[list[str], Column]] = {
         "target_not_null": ([S.TARGET], F.col(S.TARGET).isNull()),
@@ -64,7 +64,7 @@ def run_expectations(splits: Splits, expected_files: int | None = None) -> DataF
     """
     frames = dict(zip(S.SPLITS, splits))
     columns = set().union(*[df.columns for df in frames.values()])
-    row_checks = _row_checks(columns)
+    by_row = row_checks(columns)
 
     # a marker row per split keeps an empty split in the result
     spark = frames["train"].sparkSession
@@ -74,7 +74,7 @@ def run_expectations(splits: Splits, expected_files: int | None = None) -> DataF
 
     real = F.col("_row").isNotNull()
     aggregates = [F.count("_row").alias("n")]
-    aggregates += [F.count(F.when(real & c, 1)).alias(name) for name, c in row_checks.items()]
+    aggregates += [F.count(F.when(real & c, 1)).alias(name) for name, c in by_row.items()]
     if S.TARGET in columns:
         low = F.when(F.col(S.TARGET) < S.LBW_GRAMS, 1.0).otherwise(0.0)
         aggregates += [F.avg(S.TARGET).alias("_mean"), (100.0 * F.avg(F.when(real, low))).alias("_lbw")]
@@ -99,7 +99,7 @@ def run_expectations(splits: Splits, expected_files: int | None = None) -> DataF
         "same_columns": by_split({n: len(columns - set(df.columns)) for n, df in frames.items()}),
         "split_not_empty": failed(F.col("n") > 0),
     }
-    results |= {name: F.col(name) for name in row_checks}
+    results |= {name: F.col(name) for name in by_row}
     train_only = {"train_share": failed(F.col("_share") >= 50.0)}
     if S.TARGET in columns:
         train_only["target_mean_plausible"] = failed(F.col("_mean").between(2800, 3800))

@@ -231,8 +231,8 @@ def nulls(columns, digits: int) -> str:
     return each(f"round_even((avg(CASE WHEN @ IS NULL THEN 1e0 ELSE 0e0 END) * 100e0) * {10 ** digits}e0, 0) / {10 ** digits}e0 AS @", columns)
 
 
-def expectations() -> str:
-    """Violations per check and split, for the checks that look at rows; schema checks are constants."""
+def row_rules() -> dict[str, str]:
+    """What a row that fails a check meets."""
     outside = {
         "target_not_null": "weight_grams IS NULL",
         "target_in_range": "weight_grams < 300 OR weight_grams > 7000",
@@ -250,6 +250,21 @@ def expectations() -> str:
     }
     for name in ("is_male", "mother_married", "gestation_preterm", "gestation_post_term", "is_multiple_birth", "lmp_known"):
         outside[f"{name}_is_flag"] = f"{name} NOT IN (0, 1)"
+    return outside
+
+
+def arrivals() -> str:
+    """Violations of each row check over all rows, and how many rows pass all of them."""
+    rules = row_rules()
+    failed = "(" + " OR ".join(f"coalesce({c}, false)" for c in rules.values()) + ")"
+    parts = " UNION ALL ".join(f"SELECT '{n}' AS \"check\", count(*) FILTER ({c}) AS violations FROM split s" for n, c in rules.items())
+    return sql("split", f"""SELECT p.*, t.*, 0::BIGINT AS lost FROM ({parts}) p,
+  (SELECT count(*) AS rows, count(*) FILTER (NOT {failed}) AS passed, count(*) FILTER ({failed}) AS quarantined FROM split s) t""")
+
+
+def expectations() -> str:
+    """Violations per check and split, for the checks that look at rows; schema checks are constants."""
+    outside = row_rules()
     parts = [f"SELECT '{n}' AS \"check\", s.split, count(*) FILTER ({c}) AS violations FROM split s GROUP BY s.split" for n, c in outside.items()]
     parts += [f"SELECT '{n}', split, 0 FROM split GROUP BY split" for n in ("required_columns", "no_leakage_columns", "same_columns", "split_not_empty")]
     parts += [
@@ -557,6 +572,7 @@ UNION ALL SELECT birth_id, year_fix, state, lmp, 0 FROM first WHERE n < 5 UNION
         "union_by_name": sql("births", "SELECT birth_id, source_file, weight_pounds, CASE WHEN source_year >= 2002 THEN alcohol_use END AS alcohol_use, CASE WHEN source_year >= 2002 THEN drinks_per_week END AS drinks_per_week FROM births"),
         "union_splits": sql("features", "SELECT count(*) AS n, count(*) FILTER (weight_grams < 300 OR weight_grams > 7000) AS out_of_range FROM features"),
         "expectations": expectations(),
+        "stream_expectations": arrivals(),
         # modelling
         "impute": sql("split", "SELECT * FROM fills", *impute_ctes()),
         "impute_rows": sql("split", "SELECT birth_id, " + ", ".join(f"CAST(coalesce({c}, {fill_of(c)}) AS DOUBLE) AS {c}" for c in S.MODEL_FEATURES) + " FROM split WHERE split = 'val'", *impute_ctes()),

@@ -17,7 +17,7 @@ from storkline.operators import clean, drift, explain, features, metrics, model,
 from storkline.sources import raw_files, run_tables, split_files
 from storkline.sources.births import births, births_from
 from storkline.session import shared_folder, work_path
-from storkline.streaming import jobs, monitor
+from storkline.streaming import arrivals, jobs, monitor
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1093,3 +1093,15 @@ def stream_late_truth(spark, sf_dir):
     predictions, outcomes = (jobs.stream_table(spark, folders[side], "*.parquet") for side in ("predictions", "outcomes"))
     errors = jobs.available_now(monitor.late_truth_errors(predictions, outcomes, "event_id"), "late-errors")
     return shown(monitor.late_retrain(errors, 3.5))
+
+
+@query
+def stream_expectations(spark, sf_dir):
+    """Row checks on arriving records: violations of each, and how many rows passed or went to quarantine."""
+    out, state = work_path(spark, "arrivals"), work_path(spark, "arrivals-state")
+    records = births_from(jobs.stream_table(spark, sf_dir, "lineitem.parquet"))
+    prepared = split.add_split(features.engineer_features(clean.run_preprocessing(records)))
+    arrivals.check_arrivals(prepared, out, state)
+    sides = arrivals.arrived(spark, out, False).agg(F.count(F.lit(1)).alias("passed")).crossJoin(
+        arrivals.arrived(spark, out, True).agg(F.count(F.lit(1)).alias("quarantined")))
+    return arrivals.arrival_checks(spark, out).crossJoin(sides).withColumn("lost", F.col("rows") - F.col("passed") - F.col("quarantined"))
