@@ -1,8 +1,9 @@
 """Removal of repeated line chunks with content-defined boundaries.
 
-A rolling hash over the hashes of the last lines decides where a chunk ends, so a boundary depends on the
-lines near it only and an inserted line shifts no boundary further on. Chunks of several lines that occur
-again anywhere are removed once their bytes have been compared.
+A rolling hash over the hashes of the last lines decides where a chunk ends: at its local minima. A boundary
+depends on the lines near it only, so an inserted line shifts no boundary further on, and no chunk is shorter than
+the distance that a minimum must hold over. Chunks of several lines that occur again anywhere are removed once
+their bytes have been compared, and so are the lines around them that equal those around the first occurrence.
 """
 
 from __future__ import annotations
@@ -12,9 +13,8 @@ from pyspark.sql import functions as F
 
 from storkline.session import stored
 
-ROLL = 3  # lines the rolling hash looks at
+ROLL = 2  # lines the rolling hash looks at
 BASE = 31
-DIVISOR = 4  # a chunk has about so many lines
 HASH_DIGITS = 7
 
 
@@ -22,14 +22,21 @@ def line_hash(line: Column) -> Column:
     return F.conv(F.substring(F.md5(line), 1, HASH_DIGITS), 16, 10).cast("long")
 
 
-def chunked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Adds ``_lines`` and ``_ends``, the positions of the last lines of chunks, to ``(_id, _text)``.
+def line_digest(line: Column) -> Column:
+    """128 bits of SHA-256."""
+    return F.substring(F.unhex(F.sha2(line, 256)), 1, 16)
 
-    A line ends a chunk if the rolling hash of it and the lines before divides evenly; the last line always
-    does.
+
+def chunked(docs: DataFrame, min_lines: int) -> DataFrame:
+    """Adds ``_lines`` and ``_ends``, the positions of the last lines of chunks, to rows with ``_text``.
+
+    A line ends a chunk if its rolling hash is less than those of the ``min_lines - 1`` lines before and no more
+    than those of as many lines after it, and both sides keep ``min_lines`` lines; the last line always does.
     """
     df = docs.withColumn("_lines", F.split(F.coalesce("_text", F.lit("")), "\n", -1))
     df = df.withColumn("_hashes", F.transform("_lines", line_hash))
+    last = F.size("_lines") - 1
+    every = F.sequence(F.lit(0), last)
 
     def rolling(i: Column) -> Column:
         total = F.lit(0).cast("long")
@@ -37,15 +44,30 @@ def chunked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             total = total * BASE + F.coalesce(F.get("_hashes", i - back), F.lit(0))
         return total
 
-    last = F.size("_lines") - 1
-    ends = F.filter(F.sequence(F.lit(0), last), lambda i: (i == last) | (rolling(i) % DIVISOR == 0))
-    return df.withColumn("_ends", ends).drop("_hashes")
+    def least(i: Column) -> Column:
+        own, found = F.get("_rolls", i), (i >= min_lines - 1) & (last - i >= min_lines)
+        for away in range(1, min_lines):
+            found = found & (own < F.get("_rolls", i - away)) & (own <= F.get("_rolls", i + away))
+        return found
+
+    df = df.withColumn("_rolls", F.transform(every, rolling))
+    return df.withColumn("_ends", F.filter(every, lambda i: (i == last) | least(i))).drop("_hashes", "_rolls")
 
 
-def chunk_at(k: Column) -> Column:
-    """The lines of chunk ``k``."""
-    first = F.coalesce(F.get("_ends", k - 1), F.lit(-1)) + 1
-    return F.slice("_lines", first + 1, F.get("_ends", k) - first + 1)
+def first_of(k: Column) -> Column:
+    """The position of the first line of chunk ``k``."""
+    return F.coalesce(F.get("_ends", k - 1), F.lit(-1)) + 1
+
+
+def between(start: Column, end: Column) -> Column:
+    """The lines of positions ``start`` to ``end - 1``."""
+    return F.slice("_lines", start + 1, F.greatest(end - start, F.lit(0)))
+
+
+def common_prefix(a: Column, b: Column) -> Column:
+    """How many first entries two arrays share."""
+    differs = F.array_position(F.zip_with(a, b, lambda x, y: ~x.eqNullSafe(y)), True).cast("int")
+    return F.when(differs > 0, differs - 1).otherwise(F.size(a))
 
 
 def remove_repeated_chunks(
@@ -55,21 +77,35 @@ def remove_repeated_chunks(
 
     Lines are the parts of a text between line feeds. A chunk of at least ``min_lines`` lines goes if an
     earlier chunk (smaller id, or same document and further up) has the same bytes; the first one stays.
-    ``n_removed`` counts lines, ``kept_text`` joins the others by line feeds. A null text counts as empty,
-    with one empty line, and stays null. Null ids come last; rows that share id and text lose the same
-    chunks. An empty table gives an empty result. The new columns begin with ``prefix``; an input column of
-    the same name is replaced.
+    With it go lines right before and after it that equal those around the first one, over the next chunk and
+    ``min_lines`` lines more; lines equal beyond that have the same boundaries, so they are in chunks that meet
+    by themselves. So every line that goes equals one further up that
+    stays, and copies of a text of ``min_lines`` lines or more lose all of them. ``n_removed`` counts lines,
+    ``kept_text`` joins the others by line feeds. A null text counts as empty, with one empty line, and stays
+    null. Null ids come last; rows that share id and text lose the same chunks. An empty table gives an empty
+    result. The new columns begin with ``prefix``; an input column of the same name is replaced.
 
     Chunks meet by a 64-bit hash first, reduced within tasks; only those whose hash occurs again are read
-    and grouped by their bytes, so the text of other chunks never leaves its task.
+    and grouped by their bytes. Neighbouring lines travel as 128 bits of SHA-256.
     """
     rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    parts = chunked(rows, "_id", "_text")
+    parts = chunked(rows, min_lines)
     key = F.xxhash64(F.coalesce("_text", F.lit(""))).alias("_key")
-    numbered = parts.select(
-        "_id", key, F.size("_ends").alias("_of"), F.posexplode(F.transform(F.sequence(F.lit(0), F.size("_ends") - 1), chunk_at)).alias("_k", "_chunk")
-    ).filter(F.size("_chunk") >= min_lines)
-    chunks = numbered.select("_id", "_key", "_k", F.array_join("_chunk", "\n").alias("_bytes"), F.size("_chunk").alias("_n"))
+
+    def chunk_around(k: Column) -> Column:
+        start, end, n = first_of(k), F.get("_ends", k) + 1, F.size("_lines")
+        up = F.greatest(first_of(k - 1) - min_lines, F.lit(0))
+        down = F.least(F.coalesce(F.get("_ends", k + 1) + 1 + min_lines, n), n)
+        return F.struct(
+            between(start, end).alias("lines"), F.reverse(F.transform(between(up, start), line_digest)).alias("before"),
+            F.transform(between(end, down), line_digest).alias("after"),
+        )
+
+    around = F.transform(F.sequence(F.lit(0), F.size("_ends") - 1), chunk_around)
+    numbered = parts.select("_id", key, F.posexplode(around).alias("_k", "_c")).filter(F.size("_c.lines") >= min_lines)
+    chunks = numbered.select(
+        "_id", "_key", "_k", F.array_join("_c.lines", "\n").alias("_bytes"), F.col("_c.before").alias("_before"), F.col("_c.after").alias("_after")
+    )
     hashed = F.xxhash64("_bytes")
 
     again = chunks.groupBy(hashed.alias("_hash")).agg(F.count(F.lit(1)).alias("_times")).filter("_times > 1")
@@ -77,17 +113,23 @@ def remove_repeated_chunks(
     likely = chunks.withColumn("_h", hashed).join(again, F.col("_h") == F.col("_hash"), "left_semi")
     likely = stored(likely, "likely-chunks")
     place = F.struct(F.col("_id").isNull().alias("none"), "_id", "_k")
-    first = likely.groupBy("_h", F.col("_bytes").alias("_same")).agg(F.min(place).alias("_first"), F.count(F.lit(1)).alias("_times"))
+    first = likely.groupBy("_h", F.col("_bytes").alias("_same")).agg(
+        F.min(F.struct(place.alias("at"), "_key", "_before", "_after")).alias("_first"), F.count(F.lit(1)).alias("_times")
+    )
     first = stored(first.filter("_times > 1").select(F.col("_h").alias("_g"), "_same", "_first"), "first-chunks")
-    later = likely.join(first, (F.col("_h") == F.col("_g")) & (F.col("_bytes") == F.col("_same")))
-    later = later.filter(place != F.col("_first")).select("_id", "_key", "_k").distinct()
-    gone = later.groupBy(F.col("_id").alias("_i"), F.col("_key").alias("_t")).agg(F.collect_list("_k").alias("_gone"))
+    later = likely.join(first, (F.col("_h") == F.col("_g")) & (F.col("_bytes") == F.col("_same"))).filter(place != F.col("_first.at"))
+    later = later.select(
+        "_id", "_key", "_k", common_prefix(F.col("_before"), F.col("_first._before")).alias("_up"),
+        common_prefix(F.col("_after"), F.col("_first._after")).alias("_down"),
+    ).distinct()
+    gone = later.groupBy(F.col("_id").alias("_i"), F.col("_key").alias("_t")).agg(F.collect_list(F.struct("_k", "_up", "_down")).alias("_gone"))
 
     whole = rows.withColumn("_key", key)
     found = whole.join(gone, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_key") == F.col("_t")), "left")
-    cut = chunked(found, "_id", "_text")
-    every = F.sequence(F.lit(0), F.size("_ends") - 1)
-    kept = F.flatten(F.transform(F.array_except(every, "_gone"), chunk_at))
+    cut = chunked(found, min_lines)
+    every = F.sequence(F.lit(0), F.size("_lines") - 1)
+    runs = F.transform("_gone", lambda g: F.sequence(first_of(g["_k"]) - g["_up"], F.get("_ends", g["_k"]) + g["_down"]))
+    kept = F.transform(F.array_except(every, F.flatten(runs)), lambda i: F.get("_lines", i))
     cut = cut.withColumn("_kept", F.when(F.col("_gone").isNull(), F.col("_lines")).otherwise(kept))
     new = {
         f"{prefix}n_lines": F.size("_lines"), f"{prefix}n_chunks": F.size("_ends"),

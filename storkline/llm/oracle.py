@@ -11,19 +11,37 @@ WITH line AS (
 ), hashed AS (
   SELECT *, ('0x' || substr(md5(line), 1, 7))::BIGINT AS h, max(pos) OVER (PARTITION BY doc_id) AS last FROM line
 ), rolled AS (
-  SELECT *, (coalesce(lag(h, 2) OVER w, 0) * 961 + coalesce(lag(h, 1) OVER w, 0) * 31 + h) % 4 = 0 OR pos = last AS ends
-  FROM hashed WINDOW w AS (PARTITION BY doc_id ORDER BY pos)
+  SELECT *, coalesce(lag(h) OVER w, 0) * 31 + h AS r FROM hashed WINDOW w AS (PARTITION BY doc_id ORDER BY pos)
+), ended AS (
+  SELECT *, pos = last OR pos >= 1 AND last - pos >= 2 AND r < lag(r) OVER w AND r <= lead(r) OVER w AS ends
+  FROM rolled WINDOW w AS (PARTITION BY doc_id ORDER BY pos)
 ), numbered AS (
   SELECT *, coalesce(sum(ends::INT) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS k
-  FROM rolled
+  FROM ended
 ), chunk AS (
-  SELECT doc_id, k, string_agg(line, chr(10) ORDER BY pos) AS bytes, count(*) AS n FROM numbered GROUP BY doc_id, k
+  SELECT doc_id, k, string_agg(line, chr(10) ORDER BY pos) AS bytes, min(pos) AS start, count(*) AS n
+  FROM numbered GROUP BY doc_id, k
+), whole AS (
+  SELECT doc_id, list(line ORDER BY pos) AS every, count(*) AS total FROM line GROUP BY doc_id
+), near AS (
+  SELECT *, list_reverse(every[greatest(coalesce(lag(start) OVER w, 0) - 2, 0) + 1:start]) AS before,
+    every[start + n + 1:least(coalesce(lead(start + n) OVER w + 2, total), total)] AS after
+  FROM chunk JOIN whole USING (doc_id) WINDOW w AS (PARTITION BY doc_id ORDER BY k)
 ), judged AS (
-  SELECT *, n >= 2 AND row_number() OVER (PARTITION BY bytes, n >= 2 ORDER BY doc_id, k) > 1 AS gone FROM chunk
+  SELECT *, row_number() OVER w AS nth, first_value(before) OVER w AS b, first_value(after) OVER w AS a
+  FROM near WHERE n >= 2 WINDOW w AS (PARTITION BY bytes ORDER BY doc_id, k)
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(
+    start - len(list_filter(range(1, 1 + least(len(before), len(b))), lambda i : before[1:i] = b[1:i])),
+    start + n + len(list_filter(range(1, 1 + least(len(after), len(a))), lambda i : after[1:i] = a[1:i])))) AS pos
+  FROM judged WHERE nth > 1
+), kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(line, chr(10) ORDER BY pos) AS text FROM line ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id
+), sizes AS (
+  SELECT doc_id, sum(n)::INT AS n_lines, count(*)::INT AS n_chunks FROM chunk GROUP BY doc_id
 )
-SELECT doc_id, sum(n)::INT AS n_lines, count(*)::INT AS n_chunks, coalesce(sum(n) FILTER (gone), 0)::INT AS n_removed,
-  sha256(coalesce(string_agg(bytes, chr(10) ORDER BY k) FILTER (NOT gone), '')) AS kept_sha256
-FROM judged GROUP BY doc_id
+SELECT doc_id, n_lines, n_chunks, n_lines - coalesce(n, 0)::INT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM sizes LEFT JOIN kept USING (doc_id)
 """
 
 EXACT_DEDUP = rf"""

@@ -55,32 +55,53 @@ def repeats_removed(rows, window=20):
 
 
 def line_chunks(text):
-    """Lists of lines."""
+    """Lists of at least two lines, but for a text of one line."""
     lines = (text or "").split("\n")
     h = [int(hashlib.md5(x.encode()).hexdigest()[:7], 16) for x in lines]
-    out, held = [], []
+    roll = [(h[i - 1] if i else 0) * 31 + x for i, x in enumerate(h)]
+    chunks, held = [], []
     for i, line in enumerate(lines):
         held.append(line)
-        rolled = sum(31**j * h[i - j] for j in range(3) if i >= j)
-        if rolled % 4 == 0 or i == len(lines) - 1:
-            out.append(held)
+        inner = 1 <= i <= len(lines) - 3
+        if i == len(lines) - 1 or inner and roll[i] < roll[i - 1] and roll[i] <= roll[i + 1]:
+            chunks.append(held)
             held = []
-    return out
+    return chunks
+
+
+def shared(a, b):
+    n = 0
+    while n < min(len(a), len(b)) and a[n] == b[n]:
+        n += 1
+    return n
 
 
 def lines_removed(rows, min_lines=2):
-    first = {}
+    """(doc_id, n_lines, n_chunks, n_removed, kept text), for chunks of two lines and more."""
+    first, read = {}, []
     for doc, text, _ in rows:
-        for k, chunk in enumerate(line_chunks(text)):
-            at = (doc is None, doc or 0, k)
-            first[tuple(chunk)] = min(first.get(tuple(chunk), at), at)
+        lines, start, chunks = (text or "").split("\n"), 0, line_chunks(text)
+        placed = []
+        for k, chunk in enumerate(chunks):
+            end = start + len(chunk)
+            top = max(0, start - (len(chunks[k - 1]) + min_lines if k else 0))
+            bottom = end + (len(chunks[k + 1]) + min_lines if k + 1 < len(chunks) else 0)
+            if len(chunk) >= min_lines:
+                at, place = (doc is None, doc or 0, k), (lines[top:start][::-1], lines[end:bottom])
+                placed.append((tuple(chunk), at, place, start))
+                if tuple(chunk) not in first or at < first[tuple(chunk)][0]:
+                    first[tuple(chunk)] = at, place
+            start = end
+        read.append((doc, text, lines, len(chunks), placed))
     out = []
-    for doc, text, _ in rows:
-        chunks = line_chunks(text)
-        kept = [c for k, c in enumerate(chunks) if len(c) < min_lines or first[tuple(c)] == (doc is None, doc or 0, k)]
-        n = sum(map(len, chunks))
-        kept_lines = [line for c in kept for line in c]
-        out.append((doc, n, len(chunks), n - len(kept_lines), None if text is None else "\n".join(kept_lines)))
+    for doc, text, lines, n_chunks, placed in read:
+        gone = set()
+        for chunk, at, (before, after), start in placed:
+            earliest, (above, below) = first[chunk]
+            if earliest != at:
+                gone |= set(range(start - shared(before, above), start + len(chunk) + shared(after, below)))
+        kept = "\n".join(line for i, line in enumerate(lines) if i not in gone)
+        out.append((doc, len(lines), n_chunks, len(gone), None if text is None else kept))
     return out
 
 

@@ -118,7 +118,22 @@ def test_line_boundaries_resist_shifts(spark):
     lines = [f"line number {i} of a long page" for i in range(200)]
     rows = [(1, "\n".join(lines)), (2, "\n".join(["something new", *lines[:90], "inserted", *lines[90:]]))]
     found = line_dedup.remove_repeated_chunks(spark.createDataFrame(rows, "doc_id long, text string"))
-    assert dict(found.select("doc_id", "n_removed").collect())[2] > 120
+    # what meets the new lines at the start and inside grows on from the chunks beside them
+    kept = {r.doc_id: r.kept_text for r in found.collect()}
+    assert kept == {1: "\n".join(lines), 2: "something new\ninserted"}
+
+
+def test_copies_lose_all_lines_but_the_first(spark):
+    rng = random.Random(9)
+    pages = [[f"{rng.random()} words of line {i}" for i in range(n)] for n in (1, 2, 3, 4, 7, 30) for _ in range(4)]
+    rows = [(100 * copy + i, "\n".join(page)) for copy in range(3) for i, page in enumerate(pages)]
+    found = line_dedup.remove_repeated_chunks(spark.createDataFrame(rows, "doc_id long, text string"))
+    size = {i: len(page) for i, page in enumerate(pages)}
+    expected = {d: size[d % 100] if d >= 100 and size[d % 100] > 1 else 0 for d, _ in rows}
+    assert dict(found.select("doc_id", "n_removed").collect()) == expected
+    # without a repeated chunk of so many lines nothing goes
+    wide = line_dedup.remove_repeated_chunks(spark.createDataFrame(rows, "doc_id long, text string"), min_lines=5)
+    assert dict(wide.select("doc_id", "n_removed").collect()) == {d: n if size[d % 100] >= 5 else 0 for d, n in expected.items()}
 
 
 def test_exact(docs, rows, no_docs):
