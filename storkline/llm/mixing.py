@@ -2,7 +2,7 @@
 
 A source takes its documents whole: so many full repeats, then a seeded choice of documents whose
 sizes fill the rest of its target. The choice is made by counts of equal sizes: a proportional share of
-every size, and a bounded knapsack over the sizes for what is left. Documents of one size are
+every size, and bounded knapsacks over the sizes for what is left. Documents of one size are
 interchangeable for the budget, so the seed picks which of them are taken.
 """
 
@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from storkline.llm.ranks import ranked, slots_for
@@ -19,8 +19,8 @@ from storkline.llm.words import WORD
 from storkline.session import stored
 
 WEIGHTS = (3.0, 1.0, 2.0)
-# the knapsack runs over budgets up to this many words; larger rests are filled greedily first
-KNAPSACK_WORDS = 1 << 16
+# the knapsack tells so many sums apart; for larger budgets sizes are first counted in a coarser unit, then finer ones
+KNAPSACK_SUMS = 1 << 17
 
 
 def source_targets(
@@ -46,23 +46,74 @@ def source_targets(
     return targets
 
 
-def knapsack(items: Sequence[tuple[int, int]], budget: int) -> dict[int, int]:
-    """How many of each size to take so that the sum is as near to ``budget`` from below as can be.
+def target_table(
+    sizes: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = 1.5, most: float = 2.0
+) -> DataFrame:
+    """``source_targets`` for a table of ``(source, source_size)``: adds ``target`` and ``full``, the full repeats.
+
+    Only sums reach the driver. Ranges of the ordered sources and their numbers of rows give the place of a source
+    in the order. A source that is full stays so when the others' shares grow, so a round needs but the words and
+    weights of the sources below their limits.
+    """
+    place = [F.col("source").isNull(), F.col("source")]
+    ordered = stored(
+        sizes.repartitionByRange(*place).sortWithinPartitions(*place)
+        .withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))),
+        "sources",
+    )
+    parts = ordered.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    offsets = parts.select(F.col("_part").alias("_p"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    turn = F.pmod(F.col("_at") + F.col("_offset"), F.lit(len(weights))).cast("int")
+    listed = F.array(*[F.lit(float(w)) for w in weights])
+    known = ordered.join(F.broadcast(offsets), F.col("_part") == F.col("_p")).select("source", "source_size", F.get(listed, turn).alias("weight"))
+
+    limit, weight = F.col("source_size") * F.lit(float(most)), F.col("weight")
+    level = (0.0, 1.0)  # words and weights of the sources below their limits
+
+    def is_full() -> Column:
+        return F.lit(level[0]) * weight / F.lit(level[1]) > limit
+
+    whole, total = known.agg(F.sum("source_size"), F.sum("weight")).first()
+    budget, n_full = share * (whole or 0), 0
+    level = (budget, total or 1.0)
+    while True:
+        n, words, left = known.agg(
+            F.count_if(is_full()), F.sum(F.when(is_full(), limit)), F.sum(F.when(~is_full(), weight))
+        ).first()
+        if n == n_full or left is None:
+            break
+        n_full, level = n, (budget - words, left)
+    target = F.when(is_full(), limit).otherwise(F.lit(level[0]) * weight / F.lit(level[1]))
+    full = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("int")
+    return known.withColumn("target", target).withColumn("full", full).drop("weight")
 
-    ``items`` are (size, available). Reachable sums are the bits of an integer; a count is split into
-    powers of two, so a size costs log2(available) shifts.
+
+def knapsack(items: Sequence[tuple[int, int]], budget: int, above: int = 0) -> dict[int, int]:
+    """How many of each size to take so that the sum is as near to ``budget`` as can be.
+
+    ``items`` are (size, available); the sum may pass ``budget`` by ``above``, of two sums equally near the
+    smaller is taken. Reachable sums are the bits of an integer; a count is split into powers of two, so a size
+    costs log2(available) shifts.
     """
-    full = (1 << (budget + 1)) - 1
+    most = budget + above
+    full = (1 << (most + 1)) - 1
     reach, steps = 1, []
     for size, available in items:
         part = 1
-        while available > 0 and size * part <= budget and not reach >> budget & 1:
+        while available > 0 and size * part <= most and not reach >> budget & 1:
             part = min(part, available)
-            steps.append((size, part, reach))
-            reach |= reach << (size * part) & full
+            wider = reach | reach << (size * part) & full
+            if wider != reach:
+                steps.append((size, part, reach))
+            reach = wider
             available -= part
             part *= 2
-    at, taken = reach.bit_length() - 1, {}
+    at, beyond = (reach & ((1 << (budget + 1)) - 1)).bit_length() - 1, reach >> (budget + 1)
+    if beyond:
+        over = budget + (beyond & -beyond).bit_length()
+        at = over if over - budget < budget - at else at
+    taken = {}
     for size, part, before in reversed(steps):
         if not before >> at & 1:
             taken[size] = taken.get(size, 0) + part
@@ -70,25 +121,60 @@ def knapsack(items: Sequence[tuple[int, int]], budget: int) -> dict[int, int]:
     return taken
 
 
+def fill(counts: dict[int, int], taken: dict[int, int], budget: int) -> dict[int, int]:
+    """``taken`` with documents added, or given back, until its words are as near to ``budget`` as rounds bring them.
+
+    A round makes up the difference by one knapsack over the documents not taken (over those taken where the words
+    are too many), in a unit that tells ``KNAPSACK_SUMS`` sums apart. A difference below that many words is made up
+    in single words; a larger one leaves the error of the unit to the next round. Rounds end when none comes nearer.
+    """
+    rest = budget - sum(s * n for s, n in taken.items())
+    while rest:
+        sign = 1 if rest > 0 else -1
+        free = {s: n - taken.get(s, 0) if rest > 0 else taken.get(s, 0) for s, n in counts.items()}
+        unit = -(-2 * abs(rest) // KNAPSACK_SUMS)
+        scaled: dict[int, list[int]] = {}
+        for s in sorted(free, reverse=True):
+            if free[s] and s < 2 * abs(rest) and (2 * s + unit) // (2 * unit):
+                scaled.setdefault((2 * s + unit) // (2 * unit), []).append(s)
+        items = [(q, sum(free[s] for s in same)) for q, same in scaled.items()]
+        goal = (2 * abs(rest) + unit) // (2 * unit)
+        change: dict[int, int] = {}
+        for q, n in knapsack(items, goal, goal).items():
+            for s in scaled[q]:
+                change[s] = min(n, free[s])
+                n -= change[s]
+        left = rest - sign * sum(s * n for s, n in change.items())
+        if abs(left) >= abs(rest):
+            break
+        taken = {s: taken.get(s, 0) + sign * change.get(s, 0) for s in counts}
+        rest = left
+    return taken
+
+
 def fit_budget(counts: dict[int, int], budget: int) -> dict[int, int]:
-    """Documents to take of each size, at most ``counts``, to fill ``budget`` words."""
+    """Documents to take of each size, at most ``counts``, so that their words are near to ``budget``.
+
+    A proportional share of every size comes first, so that the choice has sizes of all kinds, and ``fill`` makes up
+    the rest. Where that misses the budget, ``fill`` may come nearer once the shortest documents taken have been given
+    back, or from nothing.
+    """
     counts = {s: n for s, n in counts.items() if s > 0}
     whole = sum(s * n for s, n in counts.items())
     if budget <= 0 or not whole:
         return {}
-    taken = {s: min(n, n * budget // whole) for s, n in counts.items()}
-    rest = budget - sum(s * n for s, n in taken.items())
-    for s in sorted(counts, reverse=True):
-        if rest <= KNAPSACK_WORDS:
-            break
-        spare = rest if s >= KNAPSACK_WORDS // 2 else rest - KNAPSACK_WORDS // 2
-        n = min(counts[s] - taken[s], max(0, spare // s))
-        taken[s] += n
-        rest -= s * n
-    if 0 < rest <= 4 * KNAPSACK_WORDS:
-        left = [(s, counts[s] - taken[s]) for s in sorted(counts, reverse=True) if s <= rest]
-        for s, n in knapsack(left, rest).items():
-            taken[s] += n
+
+    def missing(taken: dict[int, int]) -> int:
+        return abs(budget - sum(s * n for s, n in taken.items()))
+
+    taken = fill(counts, {s: min(n, n * budget // whole) for s, n in counts.items()}, budget)
+    if missing(taken):
+        shorter, back = dict(taken), 0
+        for s in sorted(s for s, n in taken.items() if n):
+            n = min(taken[s], max(0, KNAPSACK_SUMS // 4 - back) // s)
+            shorter[s] -= n
+            back += s * n
+        taken = min(taken, fill(counts, shorter, budget), fill(counts, {}, budget), key=missing)
     return {s: n for s, n in taken.items() if n}
 
 
@@ -104,9 +190,8 @@ def mix_sources(
     ``keep_columns`` puts all columns of ``docs`` in place of ``doc_id``; the others then begin with
     ``prefix``, and an input column of the same name is replaced.
 
-    Only one row per source reaches the driver, and the knapsack of a source sees one row per size.
+    Only sums reach the driver, and the knapsack of a source sees one row per size.
     """
-    spark = docs.sparkSession
     new = {c: f"{prefix}{c}" for c in ("size", "source_size", "target", "copies", "taken")}
     columns = [c for c in docs.columns if c not in new.values()] if keep_columns else [id_col]
     text = F.coalesce(F.col(text_col), F.lit(""))
@@ -116,10 +201,8 @@ def mix_sources(
         F.xxhash64(F.lit(seed), F.col(id_col), F.col(source_col), text).alias("seeded"),
     ), "sizes")
     histogram = stored(rows.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")), "size-counts")
-    sizes = {r[0]: int(r[1] or 0) for r in histogram.groupBy("source").agg(F.sum(F.col("size") * F.col("n"))).collect()}
-    targets = source_targets(sizes, weights, share, most)
-    plan = [(s, sizes[s], float(t), int(t // sizes[s]) if sizes[s] else 0) for s, t in targets.items()]
-    about = spark.createDataFrame(plan, "s string, source_size long, target double, full int")
+    sizes = histogram.groupBy("source").agg(F.coalesce(F.sum(F.col("size") * F.col("n")), F.lit(0)).alias("source_size"))
+    about = stored(target_table(sizes, weights, share, most), "targets").withColumnRenamed("source", "s")
 
     def choose(table: pa.Table) -> pa.Table:
         size, n = table["size"].to_pylist(), table["n"].to_pylist()
@@ -127,7 +210,7 @@ def mix_sources(
         extra = fit_budget(dict(zip(size, n)), round(target - full * source_size))
         return table.append_column("extra", pa.array([extra.get(s, 0) for s in size], pa.int64()))
 
-    known = histogram.join(F.broadcast(about), F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    known = histogram.join(about, F.col("source").eqNullSafe(F.col("s"))).drop("s")
     chosen = known.groupBy("source").applyInArrow(
         choose, "source string, size long, n long, source_size long, target double, full int, extra long"
     )

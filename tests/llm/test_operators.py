@@ -224,7 +224,34 @@ def test_budgets_against_all_sums(seed):
     assert sum(s * n for s, n in best.items()) == max(x for x in sums if x <= budget)
     assert all(n <= counts[s] for s, n in best.items())
     fitted = mixing.fit_budget(counts, budget)
-    assert all(n <= counts[s] for s, n in fitted.items()) and sum(s * n for s, n in fitted.items()) <= budget
+    assert all(n <= counts[s] for s, n in fitted.items())
+    assert abs(sum(s * n for s, n in fitted.items()) - budget) == min(abs(x - budget) for x in sums)
+
+
+def test_large_budgets():
+    def miss(counts, budget):
+        fitted = mixing.fit_budget(counts, budget)
+        assert all(0 < n <= counts[s] for s, n in fitted.items())
+        return abs(budget - sum(s * n for s, n in fitted.items()))
+
+    # few long documents: the longest first would take 350,000 and nothing else
+    assert miss({350_000: 1, 300_000: 1, 290_000: 1}, 590_000) == 0
+    assert mixing.fit_budget({100: 1}, 90) == {100: 1} and mixing.fit_budget({100: 1}, 40) == {}
+    rng = random.Random(3)
+    many = {rng.randint(1, 10**6): rng.randint(1, 50) for _ in range(5000)}
+    assert all(miss(many, int(part * sum(s * n for s, n in many.items()))) == 0 for part in (0.01, 0.1, 0.5, 0.93, 1))
+    long = {rng.randint(10**6, 10**7): 1 for _ in range(30)}
+    assert miss(long, sum(long) // 2) < 10_000
+
+
+def test_targets_of_a_table_of_sources(spark):
+    rng = random.Random(5)
+    sizes = {f"{rng.random()}": rng.choice([0, 3, 10, 500, 10**5, 10**7]) for _ in range(300)} | {None: 77, "": 5, "\U0001f600": 9, "\uffff": 8}
+    table = spark.createDataFrame(list(sizes.items()), "source string, source_size long").repartition(7)
+    found = mixing.target_table(table).collect()
+    assert {r.source: r.target for r in found} == mixing.source_targets(sizes) and len(found) == len(sizes)
+    assert all(r.full == (r.target // r.source_size if r.source_size else 0) for r in found)
+    assert mixing.target_table(table.limit(0)).isEmpty()
 
 
 def test_packing(docs, rows, no_docs):
