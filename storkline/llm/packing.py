@@ -12,6 +12,7 @@ from __future__ import annotations
 import itertools
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,8 +27,9 @@ from storkline.session import stored
 
 MAX_TOKENS = 2048
 END = 0
-# words a task remembers the ids of before it starts afresh
-REMEMBERED_WORDS = 700_000
+# words, and pieces of words, a worker remembers the ids of before it starts afresh
+REMEMBERED_WORDS = 300_000
+REMEMBERED_PIECES = 150_000
 ROUNDS = 300
 # patterns of three lengths for each shortest length; many more would share the histogram out so thinly
 # that every count rounds to 0
@@ -62,17 +64,21 @@ class WordTokenizer:
 
     def forget(self) -> None:
         self.known: dict[bytes, int] = {}
-        self.pieces: dict[str, list[int]] = {}
+        self.pieces: dict[str, bytes] = {}
         self.ids = np.zeros(1 << 20, np.uint32)
         self.begins = np.zeros(1 << 18, np.int64)
 
-    def piece_ids(self, piece: str) -> list[int]:
+    def piece_ids(self, piece: str) -> bytes:
         found = self.pieces.get(piece)
         if found is None:
-            found = self.pieces[piece] = [t.id for t in self.tokenizer.model.tokenize(piece.translate(self.letters))]
+            if len(self.pieces) >= REMEMBERED_PIECES:
+                self.pieces.clear()
+            ids = [t.id for t in self.tokenizer.model.tokenize(piece.translate(self.letters))]
+            found = self.pieces[piece] = array("I", ids).tobytes()
         return found
 
-    def word_ids(self, words: list[str]) -> list[list[int]]:
+    def word_ids(self, words: list[str]) -> list[bytes]:
+        """Ids as 32-bit numbers, which take a fraction of the room of lists."""
         common, cut, piece_ids = self.common.fullmatch, self.piece.findall, self.piece_ids
         plain = [common(w) is not None for w in words]
         usual = iter(self.tokenizer.normalizer.normalize_str(" ".join(itertools.compress(words, plain))).split(" "))
@@ -80,23 +86,23 @@ class WordTokenizer:
         for word, is_plain in zip(words, plain):
             norm = next(usual) if is_plain else ""
             if common(norm) is None:
-                out.append(self.tokenizer.encode(word, add_special_tokens=False).ids)
+                out.append(array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes())
             elif norm.isalpha():
                 out.append(piece_ids(norm))
             else:
-                out.append([i for p in cut(norm) for i in piece_ids(p)])
+                out.append(b"".join(map(piece_ids, cut(norm))))
         return out
 
     def learn(self, words: list[bytes]) -> None:
         found = self.word_ids([w.decode() for w in words])
         n, at = len(self.known), int(self.begins[len(self.known)])
-        flat = np.fromiter(itertools.chain.from_iterable(found), np.uint32)
+        flat = np.frombuffer(b"".join(found), np.uint32)
         while at + len(flat) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         while n + len(words) >= len(self.begins):
             self.begins = np.concatenate([self.begins, np.zeros_like(self.begins)])
         self.ids[at : at + len(flat)] = flat
-        self.begins[n + 1 : n + 1 + len(words)] = at + np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
+        self.begins[n + 1 : n + 1 + len(words)] = at + np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) // 4)
         self.known.update(zip(words, range(n, n + len(words))))
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
