@@ -6,6 +6,9 @@ counted values (``functions.counts``), so no group is gathered in one task.
 
 from __future__ import annotations
 
+import math
+
+from numpy.polynomial.hermite_e import herme2poly
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -309,6 +312,8 @@ def histogram(df: DataFrame, columns: list[str], bins: int = 80, digits: int = 9
 
 # bandwidths beyond which a Gaussian kernel cannot be seen in a double
 REACH = 9.0
+# width of a cell in bandwidths, and moments kept of its values; see ``kde`` for the error
+CELL, MOMENTS = 0.25, 12
 
 
 def kde(
@@ -317,9 +322,13 @@ def kde(
 ) -> DataFrame:
     """Gaussian density on an even grid per group, Scott bandwidth; small groups are left out.
 
-    The grid reaches half a range beyond the data on both sides. Rows are counted by value first, and a value
-    is laid only over the grid points within ``REACH`` bandwidths: beyond, a kernel is below 1e-17 of its
-    peak. So the work grows with distinct values and with the share of the grid that a kernel covers.
+    The grid reaches half a range beyond the data on both sides. Rows are counted by value; values are binned
+    in cells of ``CELL`` bandwidths, each with ``MOMENTS`` moments around its middle, and the cells are
+    convolved with the kernel: the kernel of a value at distance u bandwidths from the middle is the sum
+    over k of u^k / k! times the k-th Hermite polynomial times the kernel of the middle. What the moments
+    leave out is below 1.09 (CELL / 2)^MOMENTS / sqrt(MOMENTS!), here 1e-15, of a kernel's peak. A cell is laid
+    over the grid points within ``REACH`` bandwidths: beyond, a kernel is below 1e-17 of its peak. So beyond
+    counting the work grows with the number of cells, about the fifth root of the rows, not with the values.
     """
     keys = [key] if key else []
     counts = value_counts_of(df, column, keys)
@@ -327,7 +336,7 @@ def kde(
     reach = F.col("max") - F.col("min")
     stats = stats.select(
         *keys, F.col("n").alias("total"),
-        (F.col("std") * F.pow(F.col("n").cast("double"), F.lit(-0.2))).alias("bandwidth"),
+        (F.col("std") * F.pow(F.col("n").cast("double"), F.lit(-0.2))).alias("bandwidth"), F.col("min").alias("low"),
         (F.col("min") - 0.5 * reach).alias("start"), (2.0 * reach / (points - 1)).alias("step"),
     )
     if key:
@@ -335,22 +344,36 @@ def kde(
     else:
         placed = counts.withColumn("_stats", stats.select(F.struct("*")).scalar()).select("value", "n", "_stats.*")
         placed = placed.filter(F.col("total").isNotNull())
-    # each counted value meets the grid points in reach inside its task and is summed there
-    first = F.greatest(F.ceil((F.col("value") - REACH * F.col("bandwidth") - F.col("start")) / F.col("step")), F.lit(0))
-    last = F.least(F.floor((F.col("value") + REACH * F.col("bandwidth") - F.col("start")) / F.col("step")), F.lit(points - 1))
+    size, middle = CELL * F.col("bandwidth"), F.col("low") + (F.col("cell") + 0.5) * CELL * F.col("bandwidth")
+    placed = placed.withColumn("cell", F.floor((F.col("value") - F.col("low")) / size))
+    off = (F.col("value") - middle) / F.col("bandwidth")
+    cells = placed.groupBy(*keys, *[c for c in stats.columns if c not in keys], "cell").agg(
+        *[F.sum(F.col("n") * F.pow(off, F.lit(k)) / math.factorial(k)).alias(f"m{k}") for k in range(MOMENTS)]
+    )
+    # each cell meets the grid points in reach inside its task and is summed there
+    first = F.greatest(F.ceil((middle - REACH * F.col("bandwidth") - F.col("start")) / F.col("step")), F.lit(0))
+    last = F.least(F.floor((middle + REACH * F.col("bandwidth") - F.col("start")) / F.col("step")), F.lit(points - 1))
     near = F.when(first <= last, F.sequence(first.cast("int"), last.cast("int")))
-    spread = placed.select("*", F.explode(near).alias("point"))
+    hermite = [herme2poly([0.0] * k + [1.0]) for k in range(MOMENTS)]
+    powers = [sum(F.col(f"m{k}") * float(h[j]) for k, h in enumerate(hermite) if j < len(h) and h[j]) for j in range(MOMENTS)]
+    spread = cells.select(
+        *keys, *[c for c in stats.columns if c not in keys], middle.alias("middle"),
+        *[c.alias(f"p{j}") for j, c in enumerate(powers)], F.explode(near).alias("point"),
+    )
     x = F.col("start") + F.col("point") * F.col("step")
-    z = (x - F.col("value")) / F.col("bandwidth")
+    z = (x - F.col("middle")) / F.col("bandwidth")
+    series = F.lit(0.0)
+    for j in reversed(range(MOMENTS)):
+        series = series * z + F.col(f"p{j}")
     scale = F.col("total") * F.col("bandwidth") * 2.5066282746310002  # sqrt(2 pi)
-    weights = spread.select(*keys, "point", x.alias("x"), scale.alias("scale"), (F.col("n") * F.exp(-0.5 * z * z)).alias("weight"))
+    weights = spread.select(*keys, "point", x.alias("x"), scale.alias("scale"), (series * F.exp(-0.5 * z * z)).alias("weight"))
     # points that no value reaches stay, with density 0
     grid = stats.select("*", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
     grid = grid.select(*keys, "point", x.alias("x"), scale.alias("scale"), F.lit(0.0).alias("weight"))
     out = weights.unionByName(grid).groupBy(*keys, "point", "x", "scale").agg(F.sum("weight").alias("weight"))
     return out.select(
         *keys, "point", rint_to(F.col("x"), 6).alias("x"),
-        rint_to(F.col("weight") / F.col("scale"), digits).alias("density"),
+        rint_to(F.greatest(F.lit(0.0), F.col("weight")) / F.col("scale"), digits).alias("density"),
     )
 
 
