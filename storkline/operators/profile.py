@@ -313,7 +313,7 @@ def histogram(df: DataFrame, columns: list[str], bins: int = 80, digits: int = 9
 # bandwidths beyond which a Gaussian kernel cannot be seen in a double
 REACH = 9.0
 # width of a cell in bandwidths, and moments kept of its values; see ``kde`` for the error
-CELL, MOMENTS = 0.25, 12
+CELL, MOMENTS = 0.1, 8
 
 
 def kde(
@@ -326,7 +326,7 @@ def kde(
     in cells of ``CELL`` bandwidths, each with ``MOMENTS`` moments around its middle, and the cells are
     convolved with the kernel: the kernel of a value at distance u bandwidths from the middle is the sum
     over k of u^k / k! times the k-th Hermite polynomial times the kernel of the middle. What the moments
-    leave out is below 1.09 (CELL / 2)^MOMENTS / sqrt(MOMENTS!), here 1e-15, of a kernel's peak. A cell is laid
+    leave out is below 1.09 (CELL / 2)^MOMENTS / sqrt(MOMENTS!), here 2e-13, of a kernel's peak. A cell is laid
     over the grid points within ``REACH`` bandwidths: beyond, a kernel is below 1e-17 of its peak. So beyond
     counting the work grows with the number of cells, about the fifth root of the rows, not with the values.
     """
