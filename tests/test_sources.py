@@ -173,3 +173,13 @@ def test_quoted_line_break(spark, tmp_path):
     path = write(tmp_path / "newborn_2010", ["year_fix", "state"], '2011,"a\nb"', "2012,CA")
     rows = raw_files.scan_csv(spark, path, multi_line=True).orderBy("year_fix").collect()
     assert [(r.year_fix, r.state) for r in rows] == [(2011, "a\nb"), (2012, "CA")]
+
+
+def test_splits_are_written_without_a_sort(spark, features_frame, tmp_path):
+    """A task has a file open for every part; what it would sort, it would spill."""
+    folder = str(tmp_path / "unsorted")
+    split_files.save_splits(features_frame, folder)
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+    names = [f.name for f in (tmp_path / "unsorted").rglob("*.parquet")]
+    assert names and all(".zstd." in n for n in names)
+    assert [s.count() for s in split_files.load_splits(spark, folder)] == [s.count() for s in temporal_split(features_frame)]
