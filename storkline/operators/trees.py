@@ -135,6 +135,85 @@ class LeafGame:
             phi[at : at + rows, self.owners] += np.add.reduceat(by_feature, self.runs, axis=1)
 
 
+class LeafChanges:
+    """What one group of leaves adds to predictions whose features come from a row ``x`` or its partner ``z``."""
+
+    def __init__(self, leaves: Leaves, weights: np.ndarray):
+        self.leaves, self.worth = leaves, leaves.value * weights[leaves.tree]
+        # columns of one feature lie together, so that a batch is summed up by runs
+        self.order = np.argsort(leaves.features.ravel(), kind="stable")
+        in_order = leaves.features.ravel()[self.order]
+        self.runs = np.flatnonzero(np.diff(in_order, prepend=-1))
+        self.owners = in_order[self.runs]
+
+    def passed(self, x: np.ndarray) -> np.ndarray:
+        tested = x[:, self.leaves.features]
+        return (tested > self.leaves.low) & (tested <= self.leaves.high)
+
+    def by_feature(self, parts: np.ndarray) -> np.ndarray:
+        return np.add.reduceat(parts.reshape(len(parts), -1)[:, self.order], self.runs, axis=1)
+
+    def chunks(self, rows: int) -> Iterator[slice]:
+        step = max(1, WORK_BYTES // (64 * max(1, self.leaves.features.size)))
+        return (slice(at, at + step) for at in range(0, rows, step))
+
+    def add_swaps(self, base: np.ndarray, rise: np.ndarray, x: np.ndarray, z: np.ndarray) -> None:
+        """Adds predictions of ``x`` to ``base`` and, per feature, their change when it alone is taken from ``z``."""
+        for at in self.chunks(len(x)):
+            own, other = self.passed(x[at]), self.passed(z[at])
+            failed = (~own).sum(axis=2)
+            reached = failed == 0
+            base[at] += reached @ self.worth
+            if self.leaves.features.size:
+                # the leaf is reached if the row passes all tests on other features and the partner this one
+                swapped = (failed[..., None] == ~own) & other
+                rise[at, self.owners] += self.by_feature((swapped * 1.0 - reached[..., None]) * self.worth[:, None])
+
+    def add_walk(self, phi: np.ndarray, x: np.ndarray, z: np.ndarray, place: np.ndarray) -> None:
+        """Adds what each feature changes when ``z`` turns into ``x`` feature by feature; ``place`` counts from 1.
+
+        A leaf is reached from the place of the last feature that only the row passes to that of the first one that
+        only the partner passes.
+        """
+        if not self.leaves.features.size:
+            return
+        never = np.iinfo(place.dtype).max
+        for at in self.chunks(len(x)):
+            own, other, turn = self.passed(x[at]), self.passed(z[at]), place[at][:, self.leaves.features]
+            begins, ends = np.where(other, 0, turn), np.where(own, never, turn)
+            first, last = begins.max(axis=2, keepdims=True), ends.min(axis=2, keepdims=True)
+            gained = (begins == first) & (first > 0) & (first < last)
+            lost = (ends == last) & (last < never) & (first < last)
+            phi[at, self.owners] += self.by_feature((gained * 1.0 - lost) * self.worth[:, None])
+
+
+def is_boosted(model: PipelineModel) -> bool:
+    """A preparation feature by feature and boosted trees, whose leaves tell how a prediction changes."""
+    return len(model.stages) == 2 and isinstance(model.stages[-1], GBTRegressionModel) and isinstance(model.stages[0], PipelineModel)
+
+
+def leaf_changes(model: PipelineModel) -> tuple[list[LeafChanges], list[str]]:
+    """Groups of leaves, and the features that they test in the order of their numbers."""
+    groups, weights = model_leaves(model.stages[-1])
+    tested = sorted({int(f) for g in groups for f in g.features.ravel()})
+    number = np.zeros(max(tested, default=0) + 1, np.int64)
+    number[tested] = np.arange(len(tested))
+    names = prepared_features(model)
+    for g in groups:
+        g.features = number[g.features]
+    return [LeafChanges(g, weights) for g in groups], [names[f] for f in tested]
+
+
+def matrix(batch: pa.RecordBatch, columns: list[str]) -> np.ndarray:
+    """Columns of numbers side by side; NaN is an error, as it is where a vector is assembled."""
+    out = np.empty((batch.num_rows, len(columns)))
+    for i, c in enumerate(columns):
+        out[:, i] = batch.column(c).to_numpy(zero_copy_only=False)
+    if np.isnan(out).any():
+        raise ValueError("NaN or null among the features")
+    return out
+
+
 def tree_shapley(model: PipelineModel, df: DataFrame, keep: list[str]) -> DataFrame:
     """``keep``, ``base`` and ``phi_<feature>``: exact Shapley values of boosted trees, without a shuffle.
 

@@ -9,6 +9,7 @@ from conftest import values
 from storkline import schema as S
 from storkline.operators import explain, model
 from storkline.operators.metrics import all_metrics, evaluate_split
+from storkline.operators.trees import leaf_changes, tree_shapley
 from storkline.sources import run_tables
 
 
@@ -266,3 +267,72 @@ def test_no_rows(spark, data):
     scored = model.BaselineMean().fit(train).transform(none)
     row = all_metrics(scored).first()
     assert (row.mae, row.r2, row.n_lbw_true) == (None, None, 0)
+
+
+def test_fit_works_rows_out_once(spark, data):
+    """Statistics and all passes of the trees read what was written, not the rows' own source."""
+    train, _, _ = data
+    drawn = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def seen(value):
+        drawn.add(1)
+        return value
+
+    pipeline = model.build_pipeline(model.gbt(n_estimators=2, max_depth=2), False, ["gestation_weeks", "plurality"], ["is_male"])
+    watched = train.withColumn(S.TARGET, seen(F.col(S.TARGET).cast("double")))
+    fitted = model.fit_stored(pipeline, watched)
+    assert drawn.value == train.count()
+    assert spark.conf.get("spark.sql.files.minPartitionNum", None) is None
+    plain = pipeline.fit(train)
+    both = [values(m.transform(train).orderBy("record"), "prediction") for m in (fitted, plain)]
+    assert both[0] == pytest.approx(both[1]) and not fitted.stages[-1].getCacheNodeIds()
+
+
+@pytest.mark.parametrize("asked", [S.MODEL_FEATURES, ["gestation_weeks", "month", "plurality"]])
+def test_swaps_by_leaves_equal_scoring(data, trees, monkeypatch, asked):
+    """Only few rows are scored, and as before, whatever number of features is asked for."""
+    val = data[1].coalesce(1)  # one file, so that both ways draw alike
+    by_leaves = {r.feature: (r.importance, r.std) for r in explain.permutation_importance(trees, val, S.MODEL_FEATURES, repeats=2).collect()}
+    some = {r.feature: r.importance for r in explain.permutation_importance(trees, val, asked, repeats=2).collect()}
+    assert some == pytest.approx({f: by_leaves[f][0] for f in asked}, abs=1e-9)
+    monkeypatch.setattr(explain, "is_boosted", lambda _: False)
+    for r in explain.permutation_importance(trees, val, S.MODEL_FEATURES, repeats=2).collect():
+        assert by_leaves[r.feature] == pytest.approx((r.importance, r.std), abs=1e-6)
+
+
+def test_walks_by_leaves_equal_scoring(data, trees):
+    """Step by step, with the model's own predictions."""
+    groups, tested = leaf_changes(trees)
+    at = [S.MODEL_FEATURES.index(f) for f in tested]
+    rng = np.random.default_rng(5)
+    x, z = (np.stack([filled(data[2], slice(n, n + 200))[f] for f in tested], axis=1) for n in (1000, 1200))
+    place = np.argsort(rng.random((200, len(S.MODEL_FEATURES))), axis=1)[:, at] + 1
+    phi, wanted, last = np.zeros_like(x), np.zeros_like(x), None
+    for step in range(len(S.MODEL_FEATURES) + 1):
+        now, mixed = np.zeros(200), np.where(place <= step, x, z)
+        for g in groups:
+            now += g.passed(mixed).all(axis=2) @ g.worth
+        if last is not None:
+            wanted += np.where(place == step, (now - last)[:, None], 0.0)
+        last = now
+    for g in groups:
+        g.add_walk(phi, x, z, place)
+    assert np.abs(phi - wanted).max() < 1e-9 and np.abs(phi).max() > 100
+
+
+def test_walks_of_trees_carry_sums(data, trees):
+    """Rows are not multiplied by steps or put together by row, and values add up as those of any model do."""
+    val = data[1]
+    phi = explain.sampled_shapley(trees, val, "record", permutations=3)
+    plan = phi._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" not in plan and "_step" not in plan
+    assert phi.count() == 500 * len(S.MODEL_FEATURES)
+    sums = {r.record: r.s for r in phi.groupBy("record").agg(F.sum("phi").alias("s")).collect()}
+    predicted = {r.record: r.prediction for r in trees.transform(val).collect()}
+    assert np.mean(list(sums.values())) == pytest.approx(0.0, abs=1e-6)
+    gaps = [predicted[k] - sums[k] for k in sums]
+    assert np.mean(gaps) == pytest.approx(np.mean(list(predicted.values())))
+    exact = tree_shapley(trees, val, ["record"]).select("record", "phi_gestation_weeks")
+    both = phi.filter("feature = 'gestation_weeks'").join(exact, "record")
+    assert both.agg(F.corr("phi", "phi_gestation_weeks")).first()[0] > 0.8
