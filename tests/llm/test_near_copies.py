@@ -107,3 +107,20 @@ def test_word_hashes():
     again = np.frombuffer(("z " + " ".join(held[::-1])).encode(), np.uint8)
     starts, ends, _ = words.word_spans(again, np.array([0, len(again)]))
     assert words.word_hashes(again, starts, ends)[1:][::-1].tolist() == hashes.tolist()
+
+
+def test_fingerprint_trees_give_candidates(spark, monkeypatch):
+    """Without a bucket of the bands, texts with fingerprints within the trees' reach are still compared; others are not."""
+    plain = near_copies.signatures
+
+    def apart(hashes, begins):
+        keys, buckets, sketch = plain(hashes, begins)
+        return keys, keys[:, None] + np.arange(buckets.shape[1], dtype=np.uint64), sketch
+
+    monkeypatch.setattr(near_copies, "signatures", apart)
+    draw = random.Random(7)
+    long = [f"w{draw.randrange(10_000)}" for _ in range(4000)]
+    near, other = [*long[:-1], "changed"], [f"v{draw.randrange(10_000)}" for _ in range(4000)]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate([long, other, near])], "doc_id long, text string")
+    found = {r.doc_id: r.component_id for r in near_copies.mark_near_copies(docs).collect()}
+    assert found == {0: 0, 1: 1, 2: 0}
