@@ -283,7 +283,7 @@ def test_fit_works_rows_out_once(spark, data):
     watched = train.withColumn(S.TARGET, seen(F.col(S.TARGET).cast("double")))
     fitted = model.fit_stored(pipeline, watched)
     assert drawn.value == train.count()
-    assert spark.conf.get("spark.sql.files.minPartitionNum", None) is None
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
     plain = pipeline.fit(train)
     both = [values(m.transform(train).orderBy("record"), "prediction") for m in (fitted, plain)]
     assert both[0] == pytest.approx(both[1]) and not fitted.stages[-1].getCacheNodeIds()
