@@ -91,11 +91,11 @@ def scan_rows(
 
 def typed(text: Column, target: T.DataType) -> Column:
     """Missing-value texts become null; a number that does not parse becomes null, not an error."""
-    known = F.when(~F.trim(text).isin(S.NA_TEXTS), text)
     if isinstance(target, T.StringType):
-        return known
-    number = F.trim(known).try_cast("double")
-    number = F.when(~F.isnan(number), number)
+        return F.when(~F.trim(text).isin(S.NA_TEXTS), text)
+    # no missing-value text is a number other than NaN, and a cast ignores blanks around one
+    number = text.try_cast("double")
+    number = F.nullif(number, F.lit(float("nan")))
     if isinstance(target, T.IntegerType):
         return number.try_cast("int")
     return number

@@ -183,3 +183,18 @@ def test_splits_are_written_without_a_sort(spark, features_frame, tmp_path):
     names = [f.name for f in (tmp_path / "unsorted").rglob("*.parquet")]
     assert names and all(".zstd." in n for n in names)
     assert [s.count() for s in split_files.load_splits(spark, folder)] == [s.count() for s in temporal_split(features_frame)]
+
+
+def test_numbers_are_cast_once(spark, tmp_path):
+    """Missing-value texts need no test of their own where a number is wanted."""
+    texts = [*S.NA_TEXTS, " 12 ", "3.5", " nan", "x", "1e2"]
+    path = str(tmp_path / "newborn_2002")
+    spark.createDataFrame([(t, t, t) for t in texts], "mother_age string, year_fix string, state string").write.options(
+        header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    ).csv(path)
+    df = raw_files.scan_csv(spark, path)
+    assert sorted(r.mother_age for r in df.filter("mother_age is not null").collect()) == [3.5, 12.0, 100.0]
+    assert sorted(r.year_fix for r in df.filter("year_fix is not null").collect()) == [3, 12, 100]
+    assert sorted(r.state for r in df.filter("state is not null").collect()) == [" 12 ", "1e2", "3.5", "x"]
+    plan = df.select("mother_age", "year_fix")._jdf.queryExecution().optimizedPlan().toString()
+    assert "trim(" not in plan and "INSET" not in plan and " IN (" not in plan
