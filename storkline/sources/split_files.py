@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from storkline import schema as S
 from storkline.operators.split import Splits, add_split, model_matrix
+from storkline.session import COMPILED, set_for
 
 
 def _part(folder: str, split: str) -> str:
@@ -24,18 +25,15 @@ def _read_part(spark: SparkSession, folder: str, split: str) -> DataFrame:
 
 
 def _write_parts(df: DataFrame, folder: str) -> None:
-    """Writes every part of a task to a file of its own at once: a task need not sort its rows by ``split`` first."""
-    spark, setting = df.sparkSession, "spark.sql.maxConcurrentOutputFileWriters"
-    before = spark.conf.get(setting, None)
-    # one more for rows without a split
-    spark.conf.set(setting, len(S.SPLITS) + 1)
-    try:
+    """Writes every part of a task to a file of its own at once: a task need not sort its rows by ``split`` first.
+
+    The write sets the limit of ``build_session`` itself: in a session of another's making the rows, too wide for one
+    method that the JVM compiles, would be worked out by interpreted code.
+    """
+    # one file more for rows without a split
+    settings = {"spark.sql.maxConcurrentOutputFileWriters": len(S.SPLITS) + 1, **COMPILED}
+    with set_for(df.sparkSession, settings):
         df.write.mode("overwrite").option("compression", "zstd").partitionBy("split").parquet(folder)
-    finally:
-        if before is None:
-            spark.conf.unset(setting)
-        else:
-            spark.conf.set(setting, before)
 
 
 def save_splits(df: DataFrame, folder: str) -> None:

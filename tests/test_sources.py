@@ -198,3 +198,24 @@ def test_numbers_are_cast_once(spark, tmp_path):
     assert sorted(r.state for r in df.filter("state is not null").collect()) == [" 12 ", "1e2", "3.5", "x"]
     plan = df.select("mother_age", "year_fix")._jdf.queryExecution().optimizedPlan().toString()
     assert "trim(" not in plan and "INSET" not in plan and " IN (" not in plan
+
+
+def test_splits_are_written_by_compiled_code(spark, features_frame, tmp_path):
+    """In a session without the limit on methods, too, the write has it, and the session's own value returns."""
+    name, seen = "spark.sql.codegen.hugeMethodLimit", []
+
+    class Frame:
+        sparkSession = spark
+
+        @property
+        def write(self):
+            seen.append(int(spark.conf.get(name)))
+            return features_frame.withColumn("split", F.lit("train")).write
+
+    usual = spark.conf.get(name)
+    spark.conf.set(name, 65535)
+    try:
+        split_files._write_parts(Frame(), str(tmp_path / "compiled"))
+        assert (seen, spark.conf.get(name)) == ([8000], "65535")
+    finally:
+        spark.conf.set(name, usual)
