@@ -13,7 +13,7 @@ import itertools
 import re
 import zlib
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,14 +22,14 @@ from pyspark.sql import functions as F
 
 from storkline.llm.ranks import ranked, slots_for
 from storkline.llm.words import pieces, text_bytes
-from storkline.llm.workers import held_by_worker
+from storkline.llm.workers import held_by_worker, no_collection
 from storkline.session import stored
 
 MAX_TOKENS = 2048
 END = 0
-# words, and pieces of words, a worker remembers the ids of before it starts afresh
-REMEMBERED_WORDS = 300_000
-REMEMBERED_PIECES = 150_000
+# words, and pieces of words, a worker remembers the ids of before it forgets the rarer ones
+REMEMBERED_WORDS = 400_000
+REMEMBERED_PIECES = 250_000
 ROUNDS = 300
 # patterns of three lengths for each shortest length; many more would share the histogram out so thinly
 # that every count rounds to 0
@@ -41,8 +41,8 @@ class WordTokenizer:
 
     Such a tokenizer gives a text the ids of its words one after the other, so a word's ids are worked out
     once and remembered. New words are normalised together and cut by the tokenizer's own expression, and
-    its model sees every distinct piece once; words with characters beyond the common Latin ones, or with a
-    ``<``, which may begin a special token, go through the whole tokenizer one by one.
+    its model sees every new piece once, all of a batch in one call; words with characters beyond the common
+    Latin ones, or with a ``<``, which may begin a special token, go through the whole tokenizer one by one.
     """
 
     def __init__(self, path: str):
@@ -59,54 +59,108 @@ class WordTokenizer:
         self.piece = regex.compile(split[0]["pattern"]["Regex"])
         letters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.letters = {c: letters.pre_tokenize_str(chr(c))[0][0] for c in range(0x21, 0x250)}
-        self.common = re.compile("[!-;=-~\u00a1-\u024f]+")
-        self.forget()
-
-    def forget(self) -> None:
+        self.common = re.compile("[!-;=-~\u00a1-\u024f]+").fullmatch
+        self.all_common = re.compile("[ !-;=-~\u00a1-\u024f]*").fullmatch
+        # a normaliser that composes, joins blanks and lowers does nothing to an ASCII word but lower it
+        steps = (config["normalizer"] or {}).get("normalizers", [config["normalizer"]])
+        blanks = {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}
+        self.lowers = {"type": "Lowercase"} in steps and all(s in ({"type": "Lowercase"}, {"type": "NFC"}, blanks) for s in steps)
+        # the model alone, for pieces between blanks; where it marks the last token of a piece, that tells them apart
+        self.bare = Tokenizer(self.tokenizer.model)
+        self.bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        suffix, vocabulary = config["model"].get("end_of_word_suffix"), self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closes[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
         self.known: dict[bytes, int] = {}
-        self.pieces: dict[str, bytes] = {}
         self.ids = np.zeros(1 << 20, np.uint32)
         self.begins = np.zeros(1 << 18, np.int64)
+        self.uses = np.zeros(1 << 18, np.int64)
+        self.pieces: dict[str, bytes] = {}
+        self.older_pieces: dict[str, bytes] = {}
 
-    def piece_ids(self, piece: str) -> bytes:
-        found = self.pieces.get(piece)
-        if found is None:
-            if len(self.pieces) >= REMEMBERED_PIECES:
-                self.pieces.clear()
-            ids = [t.id for t in self.tokenizer.model.tokenize(piece.translate(self.letters))]
-            found = self.pieces[piece] = array("I", ids).tobytes()
-        return found
+    def forget(self) -> None:
+        """Forgets the words met once and, beyond half of what may be remembered, those met least."""
+        uses, half = self.uses[: len(self.known)], REMEMBERED_WORDS // 2
+        keep = np.flatnonzero(uses > 1)
+        if len(keep) > half:
+            keep = np.sort(keep[np.argsort(-uses[keep], kind="stable")[:half]])
+        begin, length = self.begins[keep], self.begins[keep + 1] - self.begins[keep]
+        upto = np.concatenate([[0], np.cumsum(length)])
+        self.ids[: upto[-1]] = self.ids[np.arange(upto[-1]) + np.repeat(begin - upto[:-1], length)]
+        self.begins[: len(upto)] = upto
+        kept = uses[keep] // 2
+        self.uses[:] = 0
+        self.uses[: len(keep)] = kept
+        words = list(self.known)  # in the order of their numbers
+        self.known = {words[i]: n for n, i in enumerate(keep.tolist())}
+
+    def learn_pieces(self, pieces: Iterable[str]) -> None:
+        if len(self.pieces) >= REMEMBERED_PIECES // 2:
+            self.older_pieces, self.pieces = self.pieces, {}
+        fresh = []
+        for piece in dict.fromkeys(pieces):
+            if piece not in self.pieces:
+                if piece in self.older_pieces:
+                    self.pieces[piece] = self.older_pieces[piece]
+                else:
+                    fresh.append(piece)
+        if not fresh:
+            return
+        text = " ".join(fresh).translate(self.letters)
+        ids = np.array(self.bare.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+        ends = np.flatnonzero(self.closes[ids]) + 1
+        if len(ends) == len(fresh):
+            raw, at = ids.tobytes(), [0, *(4 * ends).tolist()]
+            found = [raw[a:z] for a, z in itertools.pairwise(at)]
+        else:
+            found = [array("I", [t.id for t in self.tokenizer.model.tokenize(p)]).tobytes() for p in text.split(" ")]
+        self.pieces.update(zip(fresh, found))
+
+    def common_or_empty(self, words: list[str]) -> list[str]:
+        """The words, with an empty one for each that has characters beyond the common ones."""
+        if self.all_common(" ".join(words)):
+            return words
+        return [w if self.common(w) else "" for w in words]
+
+    def normalized(self, words: list[str]) -> list[str]:
+        """The words normalised, with an empty one for each that is not common, before or after it."""
+        plain = self.common_or_empty(words)
+        easy = [self.lowers and w.isascii() or not w for w in plain]
+        others = [w for w, is_easy in zip(plain, easy) if not is_easy]
+        found = iter(self.common_or_empty(self.tokenizer.normalizer.normalize_str(" ".join(others)).split(" ")))
+        return [w.lower() if is_easy else next(found) for w, is_easy in zip(plain, easy)]
 
     def word_ids(self, words: list[str]) -> list[bytes]:
         """Ids as 32-bit numbers, which take a fraction of the room of lists."""
-        common, cut, piece_ids = self.common.fullmatch, self.piece.findall, self.piece_ids
-        plain = [common(w) is not None for w in words]
-        usual = iter(self.tokenizer.normalizer.normalize_str(" ".join(itertools.compress(words, plain))).split(" "))
-        out = []
-        for word, is_plain in zip(words, plain):
-            norm = next(usual) if is_plain else ""
-            if common(norm) is None:
-                out.append(array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes())
-            elif norm.isalpha():
-                out.append(piece_ids(norm))
-            else:
-                out.append(b"".join(map(piece_ids, cut(norm))))
-        return out
+        norms = self.normalized(words)
+        cuts = {norm: self.piece.findall(norm) for norm in norms if not norm.isalpha()}
+        self.learn_pieces(itertools.chain((n for n in norms if n.isalpha()), itertools.chain.from_iterable(cuts.values())))
+        ids_of = self.pieces.__getitem__
+        return [
+            ids_of(norm) if norm.isalpha() else b"".join(map(ids_of, cuts[norm])) if norm
+            else array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+            for word, norm in zip(words, norms)
+        ]
 
     def learn(self, words: list[bytes]) -> None:
-        found = self.word_ids([w.decode() for w in words])
+        found = self.word_ids(b" ".join(words).decode().split(" "))
         n, at = len(self.known), int(self.begins[len(self.known)])
         flat = np.frombuffer(b"".join(found), np.uint32)
         while at + len(flat) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         while n + len(words) >= len(self.begins):
             self.begins = np.concatenate([self.begins, np.zeros_like(self.begins)])
+            self.uses = np.concatenate([self.uses, np.zeros_like(self.uses)])
         self.ids[at : at + len(flat)] = flat
         self.begins[n + 1 : n + 1 + len(words)] = at + np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) // 4)
         self.known.update(zip(words, range(n, n + len(words))))
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each closed by the end id, and where each text begins."""
+        with no_collection():
+            return self.encode_words(column)
+
+    def encode_words(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         data, offsets = text_bytes(column)
         text, at = data.tobytes(), offsets.tolist()
         per_text = [text[a:z].split() for a, z in itertools.pairwise(at)]  # at the blanks of ``words``
@@ -119,6 +173,7 @@ class WordTokenizer:
         if fresh:
             self.learn(list(dict.fromkeys(words[i] for i in fresh)))
             number[fresh] = [self.known[words[i]] for i in fresh]
+        self.uses[: len(self.known)] += np.bincount(number, minlength=len(self.known))
         begin, length = self.begins[number], self.begins[number + 1] - self.begins[number]
         upto = np.concatenate([[0], np.cumsum(length)])
         flat = self.ids[np.arange(upto[-1]) + np.repeat(begin - upto[:-1], length)]

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import gc
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 
 def held_by_worker(kind: type, path: str):
     """One tokenizer of a kind per Python worker, with what it remembers, while tasks come and go.
@@ -16,3 +20,15 @@ def held_by_worker(kind: type, path: str):
     if key not in held:
         held[key] = kind(path)
     return held[key]
+
+
+@contextmanager
+def no_collection() -> Iterator[None]:
+    """No search for cycles meanwhile: work on many short-lived lists without any would only be interrupted by it."""
+    usual = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if usual:
+            gc.enable()
