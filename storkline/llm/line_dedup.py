@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from storkline.llm.marks import marks_of, with_marked
 from storkline.session import stored
 
 ROLL = 2  # lines the rolling hash looks at
@@ -85,8 +86,9 @@ def remove_repeated_chunks(
     null. Null ids come last; rows that share id and text lose the same chunks. An empty table gives an empty
     result. The new columns begin with ``prefix``; an input column of the same name is replaced.
 
-    Chunks meet by a 64-bit hash first, reduced within tasks; only those whose hash occurs again are read
-    and grouped by their bytes. Neighbouring lines travel as 128 bits of SHA-256.
+    Chunks meet by a 64-bit hash first, reduced within tasks; only those that a bitmap of the hashes that occur
+    again lets pass are grouped by their bytes. Neighbouring lines travel as 128 bits of SHA-256. Of the texts, only
+    those that lose lines (and the few that share their bits of a second bitmap) travel.
     """
     rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     parts = chunked(rows, min_lines)
@@ -97,20 +99,19 @@ def remove_repeated_chunks(
         up = F.greatest(first_of(k - 1) - min_lines, F.lit(0))
         down = F.least(F.coalesce(F.get("_ends", k + 1) + 1 + min_lines, n), n)
         return F.struct(
-            between(start, end).alias("lines"), F.reverse(F.transform(between(up, start), line_digest)).alias("before"),
-            F.transform(between(end, down), line_digest).alias("after"),
+            between(start, end).alias("lines"), F.reverse(between(up, start)).alias("before"), between(end, down).alias("after"),
         )
 
     around = F.transform(F.sequence(F.lit(0), F.size("_ends") - 1), chunk_around)
     numbered = parts.select("_id", key, F.posexplode(around).alias("_k", "_c")).filter(F.size("_c.lines") >= min_lines)
-    chunks = numbered.select(
-        "_id", "_key", "_k", F.array_join("_c.lines", "\n").alias("_bytes"), F.col("_c.before").alias("_before"), F.col("_c.after").alias("_after")
-    )
-    hashed = F.xxhash64("_bytes")
+    chunks = numbered.withColumn("_bytes", F.array_join("_c.lines", "\n")).withColumn("_h", F.xxhash64("_bytes"))
 
-    again = chunks.groupBy(hashed.alias("_hash")).agg(F.count(F.lit(1)).alias("_times")).filter("_times > 1")
-    again = stored(again.select("_hash"), "repeated-hashes")
-    likely = chunks.withColumn("_h", hashed).join(again, F.col("_h") == F.col("_hash"), "left_semi")
+    again = chunks.groupBy("_h").agg(F.count(F.lit(1)).alias("_times")).filter("_times > 1")
+    again = stored(again.select("_h"), "repeated-hashes")
+    likely = with_marked(chunks, "_h", marks_of(again, "_h"), "_again").filter("_again").select(
+        "_id", "_key", "_k", "_bytes", F.transform("_c.before", line_digest).alias("_before"),
+        F.transform("_c.after", line_digest).alias("_after"), "_h",
+    )
     likely = stored(likely, "likely-chunks")
     place = F.struct(F.col("_id").isNull().alias("none"), "_id", "_k")
     first = likely.groupBy("_h", F.col("_bytes").alias("_same")).agg(
@@ -124,9 +125,14 @@ def remove_repeated_chunks(
     ).distinct()
     gone = later.groupBy(F.col("_id").alias("_i"), F.col("_key").alias("_t")).agg(F.collect_list(F.struct("_k", "_up", "_down")).alias("_gone"))
 
-    whole = rows.withColumn("_key", key)
-    found = whole.join(gone, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_key") == F.col("_t")), "left")
-    cut = chunked(found, min_lines)
+    gone = stored(gone.withColumn("_d", F.xxhash64("_i", "_t")), "gone-chunks")
+
+    whole = rows.withColumn("_key", key).withColumn("_d", F.xxhash64("_id", "_key"))
+    whole = with_marked(whole, "_d", marks_of(gone, "_d"), "_loses").drop("_d")
+    same = F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_key") == F.col("_t"))
+    losing = whole.filter("_loses").join(gone.drop("_d"), same, "left").select(*whole.columns, "_gone")
+    others = whole.filter("NOT _loses").withColumn("_gone", F.lit(None).cast(gone.schema["_gone"].dataType))
+    cut = chunked(losing.unionAll(others), min_lines)
     every = F.sequence(F.lit(0), F.size("_lines") - 1)
     runs = F.transform("_gone", lambda g: F.sequence(first_of(g["_k"]) - g["_up"], F.get("_ends", g["_k"]) + g["_down"]))
     kept = F.transform(F.array_except(every, F.flatten(runs)), lambda i: F.get("_lines", i))
