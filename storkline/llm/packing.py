@@ -28,8 +28,8 @@ from storkline.session import stored
 MAX_TOKENS = 2048
 END = 0
 # words, and pieces of words, a worker remembers the ids of before it forgets the rarer ones
-REMEMBERED_WORDS = 400_000
-REMEMBERED_PIECES = 250_000
+REMEMBERED_WORDS = 250_000
+REMEMBERED_PIECES = 130_000
 ROUNDS = 300
 # patterns of three lengths for each shortest length; many more would share the histogram out so thinly
 # that every count rounds to 0
@@ -68,7 +68,7 @@ class WordTokenizer:
         # the model alone, for pieces between blanks; where it marks the last token of a piece, that tells them apart
         self.bare = Tokenizer(self.tokenizer.model)
         self.bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
-        suffix, vocabulary = config["model"].get("end_of_word_suffix"), self.tokenizer.get_vocab()
+        suffix, vocabulary = config["model"].get("end_of_word_suffix"), config["model"]["vocab"]
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
         self.closes[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
         self.known: dict[bytes, int] = {}
@@ -192,7 +192,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int, id_col:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = held_by_worker(WordTokenizer, tokenizer_path)
         for batch in batches:
-            for part in pieces(batch, "text", 1 << 20):
+            for part in pieces(batch, "text", 1 << 18):
                 ids, begins = tokenizer.encode(part.column("text"))
                 counts = -(-np.diff(begins) // max_tokens)
                 owner = np.repeat(np.arange(part.num_rows), counts)
