@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from storkline.llm.warc import open_store
-from storkline.llm.words import pieces
+from storkline.llm.words import pieces, text_bytes
 from storkline.llm.workers import held_by_worker
 
 MAGIC = b"IDPLANE1"
@@ -37,9 +37,17 @@ BLOCK_IDS = 1 << 16
 LEVEL = 3
 END = 0
 PLANES = {"byte": 4, "bit": 32}
+# pieces a worker remembers the ids of before it forgets the rarer ones, and the bytes of the longest of these
 REMEMBERED_PIECES = 700_000
-# characters of a text that are encoded together, up to the next seam
-SLICE_CHARS = 1 << 16
+REMEMBERED_BYTES = 64
+# bytes of texts that are looked up together
+SLICE_CHARS = 4 << 20
+# kinds of ASCII characters (letter, digit, blank, other), and the bytes of characters that are not cut on bytes
+BLANK = 0x20
+KINDS = np.array([0 if chr(b).isalpha() else 1 if chr(b).isdigit() else 2 if b in b"\t\n\r " else 3 for b in range(128)] + [3] * 128, np.uint8)
+STRANGE = np.array([b not in b"\t\n\r" and not 0x20 <= b < 0x7F for b in range(256)])
+# behind pieces, for the model: a blank that no piece shows, and a character that no merge has
+GAP, MARK = "\v", "\ue000"
 
 
 def split_planes(ids: np.ndarray, planes: int) -> list[bytes]:
@@ -160,13 +168,59 @@ class PlaneReader:
         return found[start - first * self.block_ids : stop - first * self.block_ids]
 
 
+def chunk_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """First bytes of the chunks of all texts: where a text begins, and blanks right behind a visible character."""
+    before = data[:-1]
+    visible = (before >= 0x21) & (before <= 0x7E)
+    # the last byte of U+00C0 to U+023F, which has two
+    visible[1:] |= (before[1:] >= 0x80) & (before[:-1] >= 0xC3) & (before[:-1] <= 0xC8)
+    begins = np.zeros(len(data), bool)
+    begins[1:] = visible & (data[1:] == BLANK)
+    begins[offsets[:-1][offsets[:-1] < offsets[1:]]] = True
+    return np.flatnonzero(begins)
+
+
+def piece_starts(data: np.ndarray, offsets: np.ndarray, strange: np.ndarray) -> np.ndarray:
+    """First bytes of the pieces of all texts; a chunk that has a ``strange`` byte stays whole.
+
+    Pieces are runs of letters, digits, or other visible characters, each with the blank before it; endings like
+    ``'s``; and runs of blanks without the last one before a visible character.
+    """
+    kind, first = KINDS[data], np.zeros(len(data) + 1, bool)
+    first[offsets] = True
+    blank = kind == KINDS[BLANK]
+    begins = first[:-1].copy()
+    # a new kind begins a piece, unless the character before is a blank that goes with it
+    begins[1:] |= (kind[1:] != kind[:-1]) & (blank[1:] | (data[:-1] != BLANK))
+    # so does the last of several blanks, if a visible character follows
+    begins[1:-1] |= blank[1:-1] & blank[:-2] & ~blank[2:] & ~first[2:-1]
+    spots = np.flatnonzero(begins & (data == ord("'")))
+    tail = np.concatenate([data, np.zeros(2, np.uint8)])
+    one, two = tail[spots + 1], tail[spots + 2]
+    short = np.isin(one, np.frombuffer(b"stmd", np.uint8))
+    pair = one.astype(np.int64) << 8 | two
+    long = np.isin(pair, [int.from_bytes(e, "big") for e in (b"re", b"ve", b"ll")]) & ~first[np.minimum(spots + 2, len(data))]
+    ending = (short | long) & ~first[spots + 1]
+    spots, size = spots[ending], np.where(short, 2, 3)[ending]
+    begins[spots + 1] = False
+    begins[(spots + size)[spots + size < len(data)]] = True
+    if strange.any():
+        chunks = chunk_starts(data, offsets)
+        whole = np.logical_or.reduceat(strange, chunks)
+        begins &= ~np.repeat(whole, np.diff(chunks, append=len(data)))
+        begins[chunks] = True
+    return np.flatnonzero(begins)
+
+
 class PieceTokenizer:
     """Ids of whole texts by a byte-level tokenizer.
 
-    The tokenizer cuts a text into pieces and encodes each on its own, so the ids of a piece are worked out
-    once, by its model, and remembered. A blank behind another visible character always begins a piece, so long
-    texts are worked on in slices. Slices with characters outside the common Latin ones, where the rules for letters
-    depend on versions of Unicode, and those that may hold a special token go through the whole tokenizer.
+    The tokenizer cuts a text into pieces and encodes each on its own, so the ids of a piece are worked out once, by
+    its model, and remembered. ASCII texts are cut on their bytes; equal pieces of a slice are looked up together, and
+    the model sees its new ones in one call. A blank behind a visible character always begins a piece. Chunks between
+    two such blanks are looked up whole if they have other characters: common Latin ones are cut by the tokenizer's
+    expression; others, where the rules for letters depend on versions of Unicode, and chunks that may hold a special
+    token go through the whole tokenizer.
     """
 
     def __init__(self, path: str):
@@ -176,70 +230,126 @@ class PieceTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         config = json.loads(self.tokenizer.to_str())
-        cut = config["pre_tokenizer"]
+        cut, model = config["pre_tokenizer"], config["model"]
+        self.special = [t["content"] for t in config["added_tokens"]]
         usual = cut["type"] == "ByteLevel" and cut["use_regex"] and not cut["add_prefix_space"]
-        self.cacheable = usual and config["normalizer"] is None and config["model"]["type"] == "BPE"
+        self.cacheable = usual and config["normalizer"] is None and model["type"] == "BPE" and not any(" " in s for s in self.special)
+        if not self.cacheable:
+            return
         common = [0x09, 0x0A, 0x0D, *range(0x20, 0x7F), *range(0xA1, 0x250)]
         letters, digits = (
             "".join(re.escape(chr(c)) for c in common if unicodedata.category(chr(c)).startswith(kind)) for kind in "LN"
         )
-        self.seam = re.compile("(?<=[!-~]) ")
-        self.common = re.compile("[\\t\\n\\r\\x20-\\x7e\\xa1-\\u024f]*")
+        self.common = re.compile("[\\t\\n\\r\\x20-\\x7e\\xa1-\\u024f]*").fullmatch
         # the tokenizer's own cut, with its classes spelled out for the common characters
-        self.cut = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{letters}]+| ?[{digits}]+| ?[^\s{letters}{digits}]+|\s+(?!\S)|\s+")
-        self.special = [t["content"] for t in config["added_tokens"]]
+        self.cut = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{letters}]+| ?[{digits}]+| ?[^\s{letters}{digits}]+|\s+(?!\S)|\s+").findall
         shown = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.shown = {c: "".join(p for p, _ in shown.pre_tokenize_str(chr(c))) for c in common}
-        self.forget()
-
-    def forget(self) -> None:
-        self.known: dict[str, int] = {}
+        # the model alone, for pieces between blanks, with one more token that tells where what was looked up ends
+        self.mark = max(model["vocab"].values()) + 1
+        plain = {"normalizer": None, "post_processor": None, "added_tokens": [], "pre_tokenizer": {"type": "WhitespaceSplit"}}
+        self.bare = Tokenizer.from_str(json.dumps(config | plain | {"model": model | {"vocab": model["vocab"] | {MARK: self.mark}}}))
+        self.known: dict[bytes, int] = {}
         self.ids = np.zeros(1 << 20, np.uint32)
         self.begins = np.zeros(1 << 18, np.int64)
+        self.uses = np.zeros(1 << 18, np.uint32)
 
-    def learn(self, fresh: list[str]) -> None:
-        tokenize, shown = self.tokenizer.model.tokenize, self.shown
-        found = [[t.id for t in tokenize(p.translate(shown))] for p in fresh]
+    def forget(self) -> None:
+        """Forgets what was met in one slice only and, beyond half of what may be remembered, what was met least."""
+        uses, half = self.uses[: len(self.known)], REMEMBERED_PIECES // 2
+        keep = np.flatnonzero(uses > 1)
+        if len(keep) > half:
+            keep = np.sort(keep[np.argsort(uses[keep], kind="stable")[len(keep) - half :]])
+        begin, length = self.begins[keep], self.begins[keep + 1] - self.begins[keep]
+        upto = np.concatenate([[0], np.cumsum(length)])
+        self.ids[: upto[-1]] = self.ids[np.arange(upto[-1]) + np.repeat(begin - upto[:-1], length)]
+        self.begins[: len(upto)] = upto
+        kept = uses[keep] // 2
+        self.uses[:] = 0
+        self.uses[: len(keep)] = kept
+        met = list(self.known)  # in the order of their numbers
+        self.known = {met[i]: n for n, i in enumerate(keep.tolist())}
+
+    def is_common(self, text: str) -> bool:
+        return self.common(text) is not None and not any(s in text for s in self.special)
+
+    def by_model(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces and of common chunks, end to end, and how many each has."""
+        if not texts:
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        shown = "".join(f"{t if t.isascii() else GAP.join(self.cut(t))}{MARK}{GAP}" for t in texts).translate(self.shown)
+        ids = np.array(self.bare.encode_batch_fast([shown], add_special_tokens=False)[0].ids, np.uint32)
+        marks = ids == self.mark
+        return ids[~marks], np.diff(np.flatnonzero(marks), prepend=-1) - 1
+
+    def learn(self, fresh: list[bytes]) -> np.ndarray:
+        """The numbers of new pieces and chunks. Those of long ones, which are not remembered, hold until others are learned."""
+        texts = [f.decode() for f in fresh]
+        plain = np.full(len(fresh), self.is_common("".join(texts)))
+        if not plain.all():
+            plain[:] = [self.is_common(t) for t in texts]
+        short = np.fromiter(map(len, fresh), np.int64, len(fresh)) <= REMEMBERED_BYTES
+        order = np.lexsort([~plain, ~short]).tolist()
+        flat, length = self.by_model([texts[i] for i in order if plain[i]])
+        if not plain.all():
+            by_model, found = iter(np.split(flat, np.cumsum(length)[:-1])), []
+            for i in order:
+                ids = next(by_model) if plain[i] else self.tokenizer.encode(texts[i], add_special_tokens=False).ids
+                found.append(np.asarray(ids, np.uint32))
+            flat, length = np.concatenate(found), np.fromiter(map(len, found), np.int64, len(found))
         n, at = len(self.known), int(self.begins[len(self.known)])
-        flat = np.fromiter(itertools.chain.from_iterable(found), np.uint32)
         while at + len(flat) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         while n + len(fresh) >= len(self.begins):
             self.begins = np.concatenate([self.begins, np.zeros_like(self.begins)])
+            self.uses = np.concatenate([self.uses, np.zeros_like(self.uses)])
         self.ids[at : at + len(flat)] = flat
-        self.begins[n + 1 : n + 1 + len(fresh)] = at + np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
-        self.known.update(zip(fresh, range(n, n + len(fresh))))
-
-    def by_pieces(self, text: str) -> np.ndarray:
+        self.begins[n + 1 : n + 1 + len(fresh)] = at + np.cumsum(length)
+        self.uses[n : n + len(fresh)] = 0
+        self.known.update(zip((fresh[i] for i in order[: int(short.sum())]), itertools.count(n)))
+        numbers = np.empty(len(fresh), np.int64)
+        numbers[order] = np.arange(n, n + len(fresh))
+        return numbers
+
+    def looked_up(self, slice_of: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the pieces and chunks of a slice, end to end, and how many each has."""
         if len(self.known) > REMEMBERED_PIECES:
             self.forget()
-        cut = self.cut.findall(text)
-        number = np.fromiter(map(self.known.get, cut, itertools.repeat(-1)), np.int64, len(cut))
-        fresh = np.flatnonzero(number < 0).tolist()
-        if fresh:
-            self.learn(list(dict.fromkeys(cut[i] for i in fresh)))
-            number[fresh] = [self.known[cut[i]] for i in fresh]
-        begin = self.begins[number]
-        length = self.begins[number + 1] - begin
+        met = slice_of.dictionary_encode()
+        different = met.dictionary.to_numpy(zero_copy_only=False).tolist()
+        number = np.fromiter(map(self.known.get, different, itertools.repeat(-1)), np.int64, len(different))
+        fresh = np.flatnonzero(number < 0)
+        if len(fresh):
+            number[fresh] = self.learn([different[i] for i in fresh.tolist()])
+        self.uses[number] += 1
+        at = met.indices.to_numpy()
+        begin, length = self.begins[number][at], (self.begins[number + 1] - self.begins[number])[at]
         upto = np.cumsum(length) - length
-        return self.ids[np.arange(int(length.sum())) + np.repeat(begin - upto, length)]
+        return self.ids[np.arange(int(length.sum())) + np.repeat(begin - upto, length)], length
+
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts end to end, null as empty, each with an end, and how many each has."""
+        if not self.cacheable:
+            found = [[*self.tokenizer.encode(t or "", add_special_tokens=False).ids, END] for t in texts.to_pylist()]
+            return np.array(list(itertools.chain.from_iterable(found)), np.uint32), np.fromiter(map(len, found), np.int64, len(found))
+        data, offsets = text_bytes(texts)
+        strange = STRANGE[data]
+        for special in self.special:
+            strange[[m.start() for m in re.finditer(re.escape(special.encode()), data)]] = True
+        starts = piece_starts(data, offsets, strange) if len(data) else np.zeros(0, np.int64)
+        edges, held, first = np.append(starts, len(data)), [(np.zeros(0, np.uint32), np.zeros(0, np.int64))], 0
+        while first < len(starts):
+            last = max(first + 1, int(np.searchsorted(edges, edges[first] + SLICE_CHARS, side="right")) - 1)
+            begins = pa.py_buffer(edges[first : last + 1])
+            held.append(self.looked_up(pa.Array.from_buffers(pa.large_binary(), last - first, [None, begins, pa.py_buffer(data)])))
+            first = last
+        ids, length = (np.concatenate(parts) for parts in zip(*held))
+        upto = np.concatenate([[0], np.cumsum(length)])[np.searchsorted(starts, offsets)]
+        return np.insert(ids, upto[1:], END), np.diff(upto) + 1
 
     def encode(self, text: str | None) -> np.ndarray:
         """Ids of one text, null as empty, without an end."""
-        found = [self.encode_slice(part) for part in self.slices(text or "")]
-        return found[0] if len(found) == 1 else np.concatenate(found)
-
-    def slices(self, text: str) -> Iterator[str]:
-        at = 0
-        while self.cacheable and (seam := self.seam.search(text, at + SLICE_CHARS)):
-            yield text[at : seam.start()]
-            at = seam.start()
-        yield text[at:]
-
-    def encode_slice(self, text: str) -> np.ndarray:
-        if self.cacheable and self.common.fullmatch(text) and not any(s in text for s in self.special):
-            return self.by_pieces(text)
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+        return self.encode_all(pa.array([text], pa.large_string()))[0][:-1]
 
 
 MANIFEST_TYPE = "part int, file string, n_docs long, n_ids long"
@@ -272,15 +382,14 @@ def write_ids(
         tokenizer = held_by_worker(PieceTokenizer, tokenizer_path)
         name, writer = f"ids-{uuid.uuid4().hex}.planes", None
         for batch in batches:
-            for part in pieces(batch, "text", 1 << 20):
+            for part in pieces(batch, "text", SLICE_CHARS):
                 if writer is None:
                     store, root = open_store(folder)
                     store.create_dir(root, recursive=True)
                     writer = PlaneWriter(store.open_output_stream(f"{root}/{name}", compression=None), block_ids, planes)
-                ids = [np.append(tokenizer.encode(t), np.uint32(END)) for t in part.column("text").to_pylist()]
+                ids, counts = tokenizer.encode_all(part.column("text"))
                 key = part.column("doc_id")
-                counts = np.fromiter(map(len, ids), np.int64, len(ids))
-                writer.add(key.fill_null(0).to_numpy(), key.is_null().to_numpy(zero_copy_only=False), counts, np.concatenate(ids))
+                writer.add(key.fill_null(0).to_numpy(), key.is_null().to_numpy(zero_copy_only=False), counts, ids)
         if writer is not None:
             n_docs, n_ids = writer.close()
             yield pa.RecordBatch.from_pydict({

@@ -4,6 +4,7 @@ import random
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.fs as fs
 import pytest
 from pyspark.sql import functions as F
@@ -38,6 +39,41 @@ def test_ids_of_texts(tokenizer, monkeypatch):
     assert all(found.encode(t).tolist() == tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts[:60])
 
 
+def test_ids_of_batches(tokenizer, monkeypatch):
+    rng = random.Random(8)
+    letters = ["  \n\t\r'''aeslltdvrem12.,!-", " \n'aeslltdvr12é²-_.ß", " 'slA\x0b\x1c\x7f\u00a0\u2003é你\U0001f600.\u00ad ȿ", "ab "]
+    texts = [None, "", *ODD, *("".join(rng.choice(letters[i % 4]) for _ in range(rng.randint(0, 40))) for i in range(4000)), "a" * 3000]
+    texts[::50] = [f"{t}<|endoftext|>x" for t in texts[::50]]
+    expected = [tokenizer.encode(t or "", add_special_tokens=False).ids + [0] for t in texts]
+    for size, remembered in [(token_files.SLICE_CHARS, 1000), (50, 1000), (1000, 20)]:
+        monkeypatch.setattr(token_files, "SLICE_CHARS", size)
+        monkeypatch.setattr(token_files, "REMEMBERED_PIECES", remembered)
+        found = token_files.PieceTokenizer(BYTE_BPE)
+        for rows in (slice(0, 0), slice(0, 1), slice(0, None), slice(7, 900), slice(900, None)):
+            ids, counts = found.encode_all(pa.array(texts, pa.string())[rows])
+            assert counts.tolist() == [len(e) for e in expected[rows]] and ids.tolist() == sum(expected[rows], [])
+
+
+def test_pieces_are_worked_out_once(monkeypatch):
+    """All new pieces of a slice at once, each once, and the frequent ones not again after a full memory."""
+    found, learned = token_files.PieceTokenizer(BYTE_BPE), []
+    learn = found.learn
+    monkeypatch.setattr(found, "learn", lambda fresh: learned.append(sorted(fresh)) or learn(fresh))
+    monkeypatch.setattr(token_files, "REMEMBERED_PIECES", 40)
+    often = [f"some words, and: don't stop {i % 3}" for i in range(300)]
+    pieces = sorted([b"some", b" words", b",", b" and", b":", b" don", b"'t", b" stop", b" 0", b" 1", b" 2"])
+    found.encode_all(pa.array(often))
+    assert learned == [pieces]
+    found.encode_all(pa.array([*often, " rare" + "!" * 3]))
+    found.encode_all(pa.array([" ".join(chr(0x41 + i) * 3 for i in range(26)) + " x" * 9 + " y z" + "".join(f" a{i}" for i in range(9))]))
+    assert len(found.known) > 40
+    learned.clear()
+    found.encode_all(pa.array(often))
+    assert len(found.known) < 40 and not learned
+    found.encode_all(pa.array(["b" * 100, "b" * 100]))
+    assert learned == [[b"b" * 100]] and b"b" * 100 not in found.known
+
+
 @pytest.mark.parametrize("planes", ["byte", "bit"])
 @pytest.mark.parametrize("n", [0, 1, 7, 64, 65, 1000])
 def test_planes_of_blocks(tmp_path, planes, n):
