@@ -88,9 +88,11 @@ def remove_repeated_chunks(
 
     Chunks meet by a 64-bit hash first, reduced within tasks; only those that a bitmap of the hashes that occur
     again lets pass are grouped by their bytes. Neighbouring lines travel as 128 bits of SHA-256. Of the texts, only
-    those that lose lines (and the few that share their bits of a second bitmap) travel.
+    those that lose lines (and the few that share their bits of a second bitmap) travel, once each, at every size.
     """
-    rows = docs.select(F.struct(*docs.columns).alias("_row"), F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    apart = {id_col: "_id", text_col: "_text"}
+    rest = F.struct(*[c for c in docs.columns if c not in apart]).alias("_row")
+    rows = docs.select(rest, *[F.col(c).alias(name) for c, name in apart.items()])
     parts = chunked(rows, min_lines)
     key = F.xxhash64(F.coalesce("_text", F.lit(""))).alias("_key")
 
@@ -130,7 +132,8 @@ def remove_repeated_chunks(
     whole = rows.withColumn("_key", key).withColumn("_d", F.xxhash64("_id", "_key"))
     whole = with_marked(whole, "_d", marks_of(gone, "_d"), "_loses").drop("_d")
     same = F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_key") == F.col("_t"))
-    losing = whole.filter("_loses").join(gone.drop("_d"), same, "left").select(*whole.columns, "_gone")
+    # sent by key at every size, so that the texts' share of the disk grows with the input and not in a jump
+    losing = whole.filter("_loses").join(gone.drop("_d").hint("merge"), same, "left").select(*whole.columns, "_gone")
     others = whole.filter("NOT _loses").withColumn("_gone", F.lit(None).cast(gone.schema["_gone"].dataType))
     cut = chunked(losing.unionAll(others), min_lines)
     every = F.sequence(F.lit(0), F.size("_lines") - 1)
@@ -142,4 +145,5 @@ def remove_repeated_chunks(
         f"{prefix}n_removed": F.size("_lines") - F.size("_kept"),
         f"{prefix}kept_text": F.when(F.col("_text").isNotNull(), F.array_join("_kept", "\n")),
     }
-    return cut.select(*[F.col("_row")[c].alias(c) for c in docs.columns if c not in new], *[v.alias(n) for n, v in new.items()])
+    old = {c: F.col(apart[c]) if c in apart else F.col("_row")[c] for c in docs.columns if c not in new}
+    return cut.select(*[v.alias(n) for n, v in (old | new).items()])

@@ -1,6 +1,7 @@
 """Every operator on messy rows: nulls, empty and very long texts, ties, repeated rows, clashing names."""
 
 import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -136,6 +137,18 @@ def test_copies_lose_all_lines_but_the_first(spark):
     assert dict(wide.select("doc_id", "n_removed").collect()) == {d: n if size[d % 100] >= 5 else 0 for d, n in expected.items()}
 
 
+def test_losing_texts_travel_once_and_by_key(spark):
+    """Not by a broadcast of what goes from them while that is small, which hides what larger tables move."""
+    lines = [f"line number {i} of a long page" for i in range(40)]
+    docs = spark.createDataFrame([(i, "\n".join(lines[i:]), i % 3) for i in range(9)], "doc_id long, text string, n int")
+    found = line_dedup.remove_repeated_chunks(docs)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and plan.count("BroadcastHashJoin") == 2
+    rows = re.findall(r"struct\(([^()]*)\) AS _row#", found._jdf.queryExecution().analyzed().toString())
+    assert rows and all("text" not in r and "doc_id" not in r for r in rows)
+    assert [r.n for r in found.orderBy("doc_id").collect()] == [i % 3 for i in range(9)]
+
+
 def test_exact(docs, rows, no_docs):
     norm = [(r[0], BLANKS.sub(" ", r[1] or "")) for r in rows]
     groups = defaultdict(list)
