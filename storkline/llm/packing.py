@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import itertools
 import re
+import unicodedata
 import zlib
 from array import array
 from collections.abc import Iterable, Iterator
@@ -21,15 +22,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storkline.llm.ranks import ranked, slots_for
-from storkline.llm.words import pieces, text_bytes
+from storkline.llm.words import BLANK_BYTES, pieces, text_bytes
 from storkline.llm.workers import held_by_worker, no_collection
 from storkline.session import stored
 
 MAX_TOKENS = 2048
 END = 0
-# words, and pieces of words, a worker remembers the ids of before it forgets the rarer ones
+# pieces as they stand in the texts (or whole words), and normalised ones, a worker remembers the ids of before it forgets the rarer ones
 REMEMBERED_WORDS = 250_000
 REMEMBERED_PIECES = 130_000
+# bytes of texts that are looked up together
+SLICE_BYTES = 1 << 20
+# the expression whose pieces are cut on bytes, and the kinds of characters it tells apart
+EXPRESSION = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+LETTER, NUMBER, OTHER, BLANK, STRANGE = range(5)
 ROUNDS = 300
 # patterns of three lengths for each shortest length; many more would share the histogram out so thinly
 # that every count rounds to 0
@@ -39,10 +45,12 @@ TRIPLES = 12
 class WordTokenizer:
     """Ids of whole texts by a tokenizer that never joins words across blanks.
 
-    Such a tokenizer gives a text the ids of its words one after the other, so a word's ids are worked out
-    once and remembered. New words are normalised together and cut by the tokenizer's own expression, and
-    its model sees every new piece once, all of a batch in one call; words with characters beyond the common
-    Latin ones, or with a ``<``, which may begin a special token, go through the whole tokenizer one by one.
+    Such a tokenizer gives a text the ids of its words one after the other, and a word those of its pieces, so a
+    piece's ids are worked out once and remembered. Texts are cut on their bytes, and equal pieces of a slice are
+    looked up together. New ones are normalised together, and the model sees them in one call; words with characters
+    beyond the common Latin ones, or with a ``<``, which may begin a special token, stay whole and go through the whole
+    tokenizer one by one. Under an expression or a normaliser other than the usual all words stay whole and are cut
+    by the tokenizer's own expression.
     """
 
     def __init__(self, path: str):
@@ -71,6 +79,7 @@ class WordTokenizer:
         suffix, vocabulary = config["model"].get("end_of_word_suffix"), config["model"]["vocab"]
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
         self.closes[[i for token, i in vocabulary.items() if suffix and token.endswith(suffix)]] = True
+        self.learn_kinds(split[0]["pattern"]["Regex"])
         self.known: dict[bytes, int] = {}
         self.ids = np.zeros(1 << 20, np.uint32)
         self.begins = np.zeros(1 << 18, np.int64)
@@ -78,6 +87,24 @@ class WordTokenizer:
         self.pieces: dict[str, bytes] = {}
         self.older_pieces: dict[str, bytes] = {}
 
+    def learn_kinds(self, expression: str) -> None:
+        """The kinds of characters of one and two bytes.
+
+        Characters that the normaliser makes into anything but one of the same kind are strange, and so are all visible
+        ones under an expression or a normaliser other than the usual.
+        """
+        self.kinds, self.pair_kinds = np.full(256, STRANGE, np.uint8), np.full(1 << 16, STRANGE, np.uint8)
+        self.kinds[BLANK_BYTES] = BLANK
+        if expression != EXPRESSION or not self.lowers:
+            return
+        by_category = {"L": LETTER, "N": NUMBER}
+        common = [c for c in range(0x21, 0x250) if self.common(chr(c))]
+        kind_of = {c: by_category.get(unicodedata.category(chr(c))[0], OTHER) for c in common}
+        for c, kind in kind_of.items():
+            normal, raw = self.tokenizer.normalizer.normalize_str(chr(c)), chr(c).encode()
+            if len(normal) == 1 and kind_of.get(ord(normal)) == kind:
+                (self.kinds if len(raw) == 1 else self.pair_kinds)[int.from_bytes(raw, "big")] = kind
+
     def forget(self) -> None:
         """Forgets the words met once and, beyond half of what may be remembered, those met least."""
         uses, half = self.uses[: len(self.known)], REMEMBERED_WORDS // 2
@@ -160,21 +187,58 @@ class WordTokenizer:
         with no_collection():
             return self.encode_words(column)
 
+    def cut(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The bytes of all texts without blanks, those of each piece counted, and the first piece of each text.
+
+        Pieces are what the tokenizer's expression cuts from the normalised text: runs of letters or of other visible
+        characters, single numbers, endings like ``'s``. Words with a character that is not cut on its bytes stay whole.
+        The first pieces have one more entry than there are texts.
+        """
+        kind, first = self.kinds[data], np.zeros(len(data) + 1, bool)
+        first[offsets] = True
+        lead = np.flatnonzero((data[:-1] >= 0xC2) & (data[:-1] <= 0xC9))
+        pair = self.pair_kinds[data[lead].astype(np.int64) << 8 | data[lead + 1]]
+        lead, pair = lead[pair != STRANGE], pair[pair != STRANGE]
+        kind[lead] = kind[lead + 1] = pair
+        edge = first[:-1] | (kind == NUMBER)
+        edge[1:] |= kind[1:] != kind[:-1]
+        edge[lead + 1] = False
+        spots = np.flatnonzero(edge & (data == ord("'")))
+        # letters in lower case; nothing else becomes one of the letters below
+        one, two = (data.take(spots + n, mode="clip").astype(np.int64) | 0x20 for n in (1, 2))
+        short = np.isin(one, list(b"stmd"))
+        long = np.isin(one << 8 | two, [int.from_bytes(e, "big") for e in (b"re", b"ve", b"ll")]) & ~first.take(spots + 2, mode="clip")
+        ending = (short | long) & ~first[spots + 1]
+        spots, size = spots[ending], np.where(short, 2, 3)[ending]
+        edge[spots + 1] = False
+        edge[(spots + size)[spots + size < len(data)]] = True
+        visible, strange = kind != BLANK, kind == STRANGE
+        if strange.any():
+            begins = visible.copy()
+            begins[1:] &= ~visible[:-1] | first[1:-1]
+            words = np.flatnonzero(begins)
+            whole = np.zeros(len(data), bool)
+            whole[words[0] :] = np.repeat(np.logical_or.reduceat(strange, words), np.diff(words, append=len(data)))
+            edge &= ~(whole & visible)
+            edge[words] = True
+        at = np.flatnonzero(edge)
+        shown = visible[at]
+        return data[visible], np.diff(at, append=len(data))[shown], np.searchsorted(at[shown], offsets)
+
     def encode_words(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        data, offsets = text_bytes(column)
-        text, at = data.tobytes(), offsets.tolist()
-        per_text = [text[a:z].split() for a, z in itertools.pairwise(at)]  # at the blanks of ``words``
-        firsts = np.concatenate([[0], np.cumsum([len(w) for w in per_text], dtype=np.int64)])
-        words = list(itertools.chain.from_iterable(per_text))
+        data, sizes, firsts = self.cut(*text_bytes(column))
+        places = [None, pa.py_buffer(np.concatenate([[0], np.cumsum(sizes)])), pa.py_buffer(data)]
+        met = pa.Array.from_buffers(pa.large_binary(), len(sizes), places).dictionary_encode()
+        words, at = met.dictionary.to_numpy(zero_copy_only=False).tolist(), met.indices.to_numpy()
         if len(self.known) > REMEMBERED_WORDS:
             self.forget()
         number = np.fromiter(map(self.known.get, words, itertools.repeat(-1)), np.int64, len(words))
-        fresh = np.flatnonzero(number < 0).tolist()
-        if fresh:
-            self.learn(list(dict.fromkeys(words[i] for i in fresh)))
-            number[fresh] = [self.known[words[i]] for i in fresh]
-        self.uses[: len(self.known)] += np.bincount(number, minlength=len(self.known))
-        begin, length = self.begins[number], self.begins[number + 1] - self.begins[number]
+        fresh = np.flatnonzero(number < 0)
+        if len(fresh):
+            number[fresh] = len(self.known) + np.arange(len(fresh))
+            self.learn([words[i] for i in fresh.tolist()])
+        self.uses[number] += np.bincount(at, minlength=len(words))
+        begin, length = self.begins[number][at], (self.begins[number + 1] - self.begins[number])[at]
         upto = np.concatenate([[0], np.cumsum(length)])
         flat = self.ids[np.arange(upto[-1]) + np.repeat(begin - upto[:-1], length)]
         begins = upto[firsts]
@@ -192,7 +256,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, max_tokens: int, id_col:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = held_by_worker(WordTokenizer, tokenizer_path)
         for batch in batches:
-            for part in pieces(batch, "text", 1 << 18):
+            for part in pieces(batch, "text", SLICE_BYTES):
                 ids, begins = tokenizer.encode(part.column("text"))
                 counts = -(-np.diff(begins) // max_tokens)
                 owner = np.repeat(np.arange(part.num_rows), counts)

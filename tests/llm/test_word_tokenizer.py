@@ -48,3 +48,31 @@ def test_new_pieces_reach_the_model_in_one_call(monkeypatch):
     plain = packing.WordTokenizer(tokenizer_path())
     plain.closes[:] = False
     assert np.array_equal(plain.encode(pa.array([text]))[0], ids)
+
+
+def test_words_share_the_pieces_they_have_in_common():
+    words = packing.WordTokenizer(tokenizer_path())
+    texts = ["cat, (cat) cat's\t'cat' dog!cat", "Cat'S caf\u00e9\u00d7caf\u00e9 12", "a<cat \u65e5cat \u0130's cat"]
+    ids, begins = words.encode(pa.array(texts))
+    assert [ids[a : z - 1].tolist() for a, z in zip(begins, begins[1:])] == [
+        words.tokenizer.encode(t, add_special_tokens=False).ids for t in texts
+    ]
+    whole = {w.encode() for w in ("a<cat", "\u65e5cat", "\u0130's")}
+    assert set(words.known) == whole | {w.encode() for w in (
+        "cat", ",", "(", ")", "'s", "'", "dog", "!", "Cat", "'S", "caf\u00e9", "\u00d7", "1", "2"
+    )}
+
+
+def test_cut_on_bytes_is_the_tokenizers():
+    words, other = packing.WordTokenizer(tokenizer_path()), packing.WordTokenizer(tokenizer_path())
+    other.learn_kinds(".")  # not the usual expression: words stay whole
+    draw, latin = random.Random(7), "".join(map(chr, range(0x20, 0x250)))
+    pools = ["'sSmtdreEvl'' 1!\n", latin, "\u00b2\u00aa\u00d7\u00c9'12 ab!", "".join(ODD) + " '\x0b\x1c"]
+    for _ in range(60):
+        texts = ["".join(draw.choices(draw.choice(pools), k=draw.randrange(40))) for _ in range(8)]
+        # endings do not reach into the next text
+        texts += [draw.choice(["x'", "'r", "'"]), draw.choice(["s", "e", "ll"]), None]
+        wanted = [words.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+        for tokenizer in (words, other):
+            ids, begins = tokenizer.encode(pa.array(["", *texts]).slice(1))
+            assert [ids[a : z - 1].tolist() for a, z in zip(begins, begins[1:])] == wanted
