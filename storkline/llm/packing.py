@@ -95,6 +95,9 @@ class WordTokenizer:
         """
         self.kinds, self.pair_kinds = np.full(256, STRANGE, np.uint8), np.full(1 << 16, STRANGE, np.uint8)
         self.kinds[BLANK_BYTES] = BLANK
+        # simple characters as the model knows them, normalised
+        self.shown: dict[int, str] = {0x20: " "}
+        self.all_simple = re.compile("").fullmatch
         if expression != EXPRESSION or not self.lowers:
             return
         by_category = {"L": LETTER, "N": NUMBER}
@@ -104,6 +107,8 @@ class WordTokenizer:
             normal, raw = self.tokenizer.normalizer.normalize_str(chr(c)), chr(c).encode()
             if len(normal) == 1 and kind_of.get(ord(normal)) == kind:
                 (self.kinds if len(raw) == 1 else self.pair_kinds)[int.from_bytes(raw, "big")] = kind
+                self.shown[c] = normal.translate(self.letters)
+        self.all_simple = re.compile(f"[{re.escape(''.join(map(chr, self.shown)))}]*").fullmatch
 
     def forget(self) -> None:
         """Forgets the words met once and, beyond half of what may be remembered, those met least."""
@@ -169,18 +174,42 @@ class WordTokenizer:
             for word, norm in zip(words, norms)
         ]
 
-    def learn(self, words: list[bytes]) -> None:
-        found = self.word_ids(b" ".join(words).decode().split(" "))
+    def simple_ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces without strange characters, end to end, and how many each has."""
+        shown = " ".join(pieces).translate(self.shown)
+        ids = np.array(self.bare.encode_batch_fast([shown], add_special_tokens=False)[0].ids, np.uint32)
+        ends = np.flatnonzero(self.closes[ids]) + 1
+        if len(ends) == len(pieces):
+            return ids, np.diff(ends, prepend=0)
+        found = [[t.id for t in self.tokenizer.model.tokenize(p)] for p in shown.split(" ")]
+        return np.array(list(itertools.chain.from_iterable(found)), np.uint32), np.fromiter(map(len, found), np.int64, len(found))
+
+    def learn(self, words: list[bytes]) -> np.ndarray:
+        """The numbers of new words or pieces, those without strange characters first."""
+        texts, order = b" ".join(words).decode().split(" "), np.arange(len(words))
+        simple, others = texts, []
+        if not self.all_simple(" ".join(texts)):
+            is_simple = np.fromiter((self.all_simple(t) is not None for t in texts), bool, len(texts))
+            order = np.concatenate([np.flatnonzero(is_simple), np.flatnonzero(~is_simple)])
+            ordered, cut = [texts[i] for i in order.tolist()], int(is_simple.sum())
+            simple, others = ordered[:cut], ordered[cut:]
+        flat, length = self.simple_ids(simple) if simple else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
+        if others:
+            found = self.word_ids(others)
+            flat = np.concatenate([flat, np.frombuffer(b"".join(found), np.uint32)])
+            length = np.concatenate([length, np.fromiter(map(len, found), np.int64, len(found)) // 4])
         n, at = len(self.known), int(self.begins[len(self.known)])
-        flat = np.frombuffer(b"".join(found), np.uint32)
         while at + len(flat) > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
         while n + len(words) >= len(self.begins):
             self.begins = np.concatenate([self.begins, np.zeros_like(self.begins)])
             self.uses = np.concatenate([self.uses, np.zeros_like(self.uses)])
         self.ids[at : at + len(flat)] = flat
-        self.begins[n + 1 : n + 1 + len(words)] = at + np.cumsum(np.fromiter(map(len, found), np.int64, len(found)) // 4)
-        self.known.update(zip(words, range(n, n + len(words))))
+        self.begins[n + 1 : n + 1 + len(words)] = at + np.cumsum(length)
+        self.known.update(zip((words[i] for i in order.tolist()) if others else words, range(n, n + len(words))))
+        numbers = np.empty(len(words), np.int64)
+        numbers[order] = np.arange(n, n + len(words))
+        return numbers
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each closed by the end id, and where each text begins."""
@@ -235,8 +264,7 @@ class WordTokenizer:
         number = np.fromiter(map(self.known.get, words, itertools.repeat(-1)), np.int64, len(words))
         fresh = np.flatnonzero(number < 0)
         if len(fresh):
-            number[fresh] = len(self.known) + np.arange(len(fresh))
-            self.learn([words[i] for i in fresh.tolist()])
+            number[fresh] = self.learn([words[i] for i in fresh.tolist()])
         self.uses[number] += np.bincount(at, minlength=len(words))
         begin, length = self.begins[number][at], (self.begins[number + 1] - self.begins[number])[at]
         upto = np.concatenate([[0], np.cumsum(length)])
