@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from storkline.operators.validate import row_checks
+from storkline.session import COMPILED, set_for
 
 CHECKS = "check string, violations long, rows long"
 
@@ -32,7 +33,9 @@ def check_arrivals(stream: DataFrame, out: str, state: str) -> None:
         # one row per check
         batch.sparkSession.createDataFrame(lines, CHECKS).coalesce(1).write.mode("overwrite").parquet(f"{out}/checks/batch={number}")
 
-    query = stream.writeStream.foreachBatch(write).option("checkpointLocation", state).trigger(availableNow=True).start()
+    # a stream takes over the settings it is started with
+    with set_for(stream.sparkSession, COMPILED):
+        query = stream.writeStream.foreachBatch(write).option("checkpointLocation", state).trigger(availableNow=True).start()
     query.awaitTermination()
 
 

@@ -18,9 +18,13 @@ from storkline.session import work_path
 
 
 def stream_table(spark: SparkSession, folder: str, file_name: str) -> DataFrame:
-    """Stream of the Parquet files in a folder whose names match ``file_name``."""
-    schema = spark.read.parquet(f"{folder}/{file_name}").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", file_name).parquet(folder)
+    """Stream of the Parquet files in a folder whose names match ``file_name``, or of all files of a table of that name."""
+    table = spark.read.parquet(f"{folder}/{file_name}")
+    arriving = spark.readStream.schema(table.schema)
+    # a large table is a folder of part files, whose own names do not match
+    if any(path.rsplit("/", 2)[1] == file_name for path in table.inputFiles()):
+        return arriving.parquet(f"{folder}/{file_name}")
+    return arriving.option("pathGlobFilter", file_name).parquet(folder)
 
 
 def available_now(stream: DataFrame, name: str, out: str | None = None, state: str | None = None) -> DataFrame:
