@@ -9,6 +9,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from storkline.operators import model, trees
+from storkline.plans.queries import QUERIES
 
 NUMERIC, BINARY = ["a", "b", "c"], ["d"]
 
@@ -116,3 +117,19 @@ def test_halving(rows):
             assert kept == {r.trial for r in rounds[k + 1]}
     last = min(rounds[max(rounds)], key=lambda r: (r.val_mae, r.trial))
     assert best == {**space[last.trial], "n_estimators": last.best_trees} and last.survived == 1
+
+
+def test_the_query_fits_the_default_trees(spark, monkeypatch, tmp_path):
+    columns = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_discount double, l_tax double, l_returnflag string, l_linestatus string"
+    lines = [(i, 7 * i + 1, i % 50, 1 + i % 7, float(i % 50), 0.05, 0.02, "ANR"[i % 3], "OF"[i % 2]) for i in range(600)]
+    spark.createDataFrame(lines, columns).write.parquet(str(tmp_path / "lineitem.parquet"))
+    asked, plain = [], model.fit_stored
+
+    def fewer(pipeline, train):
+        prep, boosted = pipeline.getStages()
+        asked.append((boosted.getMaxIter(), boosted.getMaxDepth(), boosted.getStepSize(), boosted.getMaxBins()))
+        return plain(model.Pipeline(stages=[prep, boosted.copy({boosted.maxIter: 2})]), train)
+
+    monkeypatch.setattr(model, "fit_stored", fewer)
+    assert len(QUERIES["gbt"](spark, str(tmp_path)).collect()) == 3
+    assert asked == [(300, 5, 0.1, 64)]
