@@ -179,6 +179,15 @@ def test_search_keeps_the_best_trial(spark, data, tmp_path):
     assert again == best
 
 
+def test_search_holds_no_rows_itself(data, monkeypatch):
+    """Trials read the columns that were written once; only the regressor keeps rows with the executors."""
+    train, val, _ = data
+    held = []
+    monkeypatch.setattr(type(train), "persist", lambda self, *a: held.append(self) or self)
+    model.run_search("trees", lambda draw: {**SMALL, "n_estimators": 1, "max_depth": 1}, lambda p: model.gbt(**p), train, val, 2)
+    assert held == []
+
+
 def test_screening(spark, data):
     train, val, _ = data
     table = model.screening_table({"mean": (model.BaselineMean(), False), "ridge": (model.Ridge(), True)}, train, val, "record", sample=400)
