@@ -124,3 +124,41 @@ def test_fingerprint_trees_give_candidates(spark, monkeypatch):
     docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate([long, other, near])], "doc_id long, text string")
     found = {r.doc_id: r.component_id for r in near_copies.mark_near_copies(docs).collect()}
     assert found == {0: 0, 1: 1, 2: 0}
+
+
+def test_no_link_depends_on_rounds_and_partners(spark, monkeypatch):
+    """Many texts around the similarity, where the closest by their minima are not those that are similar."""
+    monkeypatch.setattr(near_copies, "PARTNERS", 1)
+    monkeypatch.setattr(near_copies, "MAX_ROUNDS", 1)
+    monkeypatch.setattr(near_copies, "TILE_ROWS", 16)
+    rng = random.Random(3)
+    known, texts = vocabulary(rng), []
+    base = [rng.choice(known) for _ in range(200)]
+    for _ in range(60):
+        w = list(base)
+        for at in rng.sample(range(4, 196, 5), 3):
+            w[at] = f"other{rng.randrange(6)}x{at}"
+        texts.append(" ".join(w))
+    assert groups(marked(spark, texts)) == expected(texts)
+
+
+def test_links_beyond_the_closest(spark, monkeypatch):
+    """Two similar texts of one bucket, each with more other texts closer to it by their minima than a round compares."""
+    plain = near_copies.signatures
+
+    def decoyed(hashes, begins):
+        keys, buckets, sketch = plain(hashes, begins)
+        buckets = keys[:, None] + np.arange(buckets.shape[1], dtype=np.uint64)
+        buckets[:, 0] = 1
+        sketch = np.zeros_like(sketch)
+        sketch[np.diff(begins) == 47, 115:] = 1
+        return keys, buckets, sketch
+
+    monkeypatch.setattr(near_copies, "signatures", decoyed)
+    rng = random.Random(5)
+    prose = lambda n: [f"w{rng.randrange(10_000)}" for _ in range(n)]
+    one = prose(50)
+    other = [*one[:2], "changed", *one[3:], "more"]
+    texts = [one, other, *(prose(50) for _ in range(6)), *(prose(51) for _ in range(6))]
+    found = groups(marked(spark, [" ".join(w) for w in texts]))
+    assert found == {frozenset((0, 1)), *(frozenset((i,)) for i in range(2, 14))}
